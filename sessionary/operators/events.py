@@ -67,43 +67,49 @@ _INT_RANGES = [  # fixed values: signed integer widths, smallest first
 ]
 
 
-def downcast_plan(df: DataFrame, floats: bool = False) -> dict[str, str]:
-    """P5: the smallest type per numeric column, from one min/max aggregate.
+def downcast_table(df: DataFrame) -> DataFrame:
+    """P5 as data: (column, min_value, max_value, type) per integer column.
 
-    Integers go to the narrowest signed width holding [min, max].  Doubles go
-    to FLOAT only when ``floats`` is set and every value survives the round
-    trip (checked in the same aggregate); off by default, precision matters.
+    One aggregate over the table (min and max of every integer column), then
+    the narrowest signed integer type that holds [min, max].
     """
-    aggs = []
     ints = [f.name for f in df.schema.fields if isinstance(f.dataType, _INT_TYPES)]
-    dbls = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    for c in ints:
-        aggs += [F.min(c).alias(f"min__{c}"), F.max(c).alias(f"max__{c}")]
-    if floats:
-        for c in dbls:
-            lossy = F.col(c).cast("float").cast("double") != F.col(c)
-            aggs.append(F.max(F.when(lossy, 1).otherwise(0)).alias(f"lossy__{c}"))
-    if not aggs:
-        return {}
-    row = df.agg(*aggs).first().asDict()
-    plan = {}
+    aggs = []
     for c in ints:
-        lo, hi = row[f"min__{c}"], row[f"max__{c}"]
-        if lo is None:
-            continue
-        for name, tmin, tmax in _INT_RANGES:
-            if tmin <= lo and hi <= tmax:
-                plan[c] = name
-                break
+        aggs += [F.min(c).cast("bigint").alias(f"min__{c}"),
+                 F.max(c).cast("bigint").alias(f"max__{c}")]
+    one = df.agg(*aggs)
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"min__{c}").alias("min_value"),
+                 F.col(f"max__{c}").alias("max_value")) for c in ints]))
+    long = one.select(rows.alias("r")).select("r.*")
+    pick = None
+    for name, lo, hi in _INT_RANGES:
+        fits = (F.col("min_value") >= F.lit(lo)) & (F.col("max_value") <= F.lit(hi))
+        pick = F.when(fits, F.lit(name)) if pick is None else pick.when(fits, F.lit(name))
+    return long.withColumn("type", pick)
+
+
+def downcast_plan(df: DataFrame, floats: bool = False) -> dict[str, str]:
+    """Column -> narrowest type (one row per column reaches the driver).
+
+    Doubles go to FLOAT only when ``floats`` is set and every value survives
+    the round trip; off by default, precision matters.
+    """
+    plan = {r["column"]: r["type"] for r in downcast_table(df).collect()
+            if r["type"] is not None}
     if floats:
-        for c in dbls:
-            if not row[f"lossy__{c}"]:
-                plan[c] = "float"
+        dbls = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
+        if dbls:
+            row = df.agg(*[
+                F.max(F.when(F.col(c).cast("float").cast("double") != F.col(c), 1)
+                      .otherwise(0)).alias(c) for c in dbls]).first().asDict()
+            plan.update({c: "float" for c in dbls if not row[c]})
     return plan
 
 
 def downcast(df: DataFrame, floats: bool = False) -> DataFrame:
-    """P5: apply :func:`downcast_plan` (one small aggregate job)."""
+    """P5: cast every numeric column to its narrowest type."""
     plan = downcast_plan(df, floats)
     return df.select(*[F.col(c).cast(plan[c]).alias(c) if c in plan else F.col(c)
                        for c in df.columns])

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,3 +70,180 @@ def q_sessionize_6h(spark, sf_dir):
 def q_event_counts(spark, sf_dir):
     enh = _enh(spark, sf_dir)
     return enh.groupBy("visitorid").agg(*V.event_count_aggs())
+
+
+# ------------------------------------------------------------ sources / prep
+
+from sessionary.operators import ratings as R  # noqa: E402
+from sessionary.sources.tables import raw_events, prepare_raw  # noqa: E402
+from sessionary.functions.time import epoch_ms_to_timestamp  # noqa: E402
+from sessionary.functions.columns import fill_missing_id  # noqa: E402
+
+
+def ntz(col: str):
+    """Timestamps leave as TIMESTAMP_NTZ (UTC wall clock), zone-independent."""
+    return F.col(col).cast("timestamp_ntz").alias(col)
+
+
+@register("scan_events")
+def q_scan_events(spark, sf_dir):
+    ev = canonical_events(spark, sf_dir, "user")
+    return ev.select("event_id", ntz("timestamp"), "visitorid", "event", "itemid",
+                     "transactionid")
+
+
+@register("epoch_ms")
+def q_epoch_ms(spark, sf_dir):
+    raw = raw_events(spark, sf_dir, "user")
+    return raw.select("event_id", F.col("timestamp").alias("epoch_ms"),
+                      epoch_ms_to_timestamp("timestamp").cast("timestamp_ntz")
+                      .alias("timestamp"))
+
+
+@register("event_codes")
+def q_event_codes(spark, sf_dir):
+    return P.event_codes(canonical_events(spark, sf_dir, "user")).select(
+        "event_id", "event", "event_code")
+
+
+@register("fill_tx")
+def q_fill_tx(spark, sf_dir):
+    raw = raw_events(spark, sf_dir, "user")
+    return raw.select("event_id", fill_missing_id("transactionid").alias("transactionid"))
+
+
+@register("downcast")
+def q_downcast(spark, sf_dir):
+    feats = V.visitor_features(canonical_events(spark, sf_dir, "user_day"))
+    return P.downcast_table(feats)
+
+
+# ------------------------------------------------------------ row columns V1-V8
+
+@register("hour_range")
+def q_hour_range(spark, sf_dir):
+    return _enh(spark, sf_dir).select("event_id", "hour_range")
+
+
+@register("week_day")
+def q_week_day(spark, sf_dir):
+    return _enh(spark, sf_dir).select("event_id", "week_day")
+
+
+@register("delta_same_event")
+def q_delta_same_event(spark, sf_dir):
+    return rounded(_enh(spark, sf_dir).select("event_id", "deltat_2equal_events"))
+
+
+@register("views_per_minute")
+def q_views_per_minute(spark, sf_dir):
+    """V4 per event: views of the visitor in the event's calendar minute."""
+    enh = _enh(spark, sf_dir)
+    w = Window.partitionBy("visitorid", "minute")
+    return enh.select("event_id", F.count_if(F.col("event") == "view").over(w)
+                      .alias("views_per_minute"))
+
+
+@register("views_per_hour")
+def q_views_per_hour(spark, sf_dir):
+    return V.views_per_bucket(_enh(spark, sf_dir), "hour")
+
+
+@register("rep_flags")
+def q_rep_flags(spark, sf_dir):
+    return _enh(spark, sf_dir).select("event_id", "repitem", "repitem_fview", "repitem_bview")
+
+
+@register("funnel_flag")
+def q_funnel_flag(spark, sf_dir):
+    return _enh(spark, sf_dir).select("event_id", "funnel_flag")
+
+
+# ------------------------------------------------------------ aggregates V9-V20
+
+@register("session_counts")
+def q_session_counts(spark, sf_dir):
+    return V.session_counts(_enh(spark, sf_dir))
+
+
+@register("session_stats")
+def q_session_stats(spark, sf_dir):
+    return rounded(V.session_stats(_enh(spark, sf_dir)))
+
+
+@register("hour_counts")
+def q_hour_counts(spark, sf_dir):
+    return _enh(spark, sf_dir).groupBy("visitorid").agg(*V.hour_count_aggs())
+
+
+@register("weekday_counts")
+def q_weekday_counts(spark, sf_dir):
+    return _enh(spark, sf_dir).groupBy("visitorid").agg(*V.weekday_count_aggs())
+
+
+@register("rep_counts")
+def q_rep_counts(spark, sf_dir):
+    return _enh(spark, sf_dir).groupBy("visitorid").agg(*V.rep_count_aggs())
+
+
+@register("max_vpmin")
+def q_max_vpmin(spark, sf_dir):
+    return V.visitor_features(canonical_events(spark, sf_dir, "user")).select(
+        "visitorid", "max_vpmin")
+
+
+@register("delta_stats")
+def q_delta_stats(spark, sf_dir):
+    return rounded(_enh(spark, sf_dir).groupBy("visitorid").agg(*V.delta_stat_aggs()))
+
+
+@register("session_join")
+def q_session_join(spark, sf_dir):
+    """The feature table joined with the session statistics, no filter."""
+    ev = canonical_events(spark, sf_dir, "user_day")
+    return rounded(V.visitor_features(ev, drop_bouncers=False))
+
+
+@register("drop_bouncers")
+def q_drop_bouncers(spark, sf_dir):
+    ev = canonical_events(spark, sf_dir, "user_day")
+    return V.visitor_features(ev).select("visitorid", "num_views", "num_acart", "num_txs")
+
+
+# ------------------------------------------------------------ ratings R1-R5
+
+def _ratings_input(spark, sf_dir):
+    ev = canonical_events(spark, sf_dir, "user_day")
+    return ev, V.visitor_features(ev)
+
+
+@register("ratings_semi")
+def q_ratings_semi(spark, sf_dir):
+    ev, feats = _ratings_input(spark, sf_dir)
+    return R.eligible_events(ev, feats).select(
+        ntz("timestamp"), "visitorid", "event", "itemid")
+
+
+@register("dedup_latest")
+def q_dedup_latest(spark, sf_dir):
+    ev, feats = _ratings_input(spark, sf_dir)
+    return R.latest_per_event(R.eligible_events(ev, feats)).select(
+        "visitorid", "event", "itemid", ntz("timestamp"))
+
+
+@register("rating_map")
+def q_rating_map(spark, sf_dir):
+    ev = canonical_events(spark, sf_dir, "user_day")
+    return R.with_rating(ev).select("event_id", "event", "rating")
+
+
+@register("ratings")
+def q_ratings(spark, sf_dir):
+    ev, feats = _ratings_input(spark, sf_dir)
+    return R.ratings(ev, feats).select("visitorid", "itemid", "rating", ntz("timestamp"))
+
+
+@register("ratings_multi")
+def q_ratings_multi(spark, sf_dir):
+    ev, feats = _ratings_input(spark, sf_dir)
+    return R.visitors_with_many_ratings(R.ratings(ev, feats))

@@ -15,3 +15,94 @@ ORACLE["sessionize_6h"] = O.with_ctes(O.events_cte("user"), O.sessions_cte(21600
     "SELECT event_id, visitorid, session_id FROM sess"
 ORACLE["event_counts"] = O.enhanced_prefix("user") + \
     f"SELECT visitorid, {O.EVENT_COUNTS_SQL} FROM enh GROUP BY visitorid"
+
+_ENH = O.enhanced_prefix("user")
+_EV = O.with_ctes(O.events_cte("user"))
+
+RAW_CTE = """raw AS (
+    SELECT event_id, CAST(epoch_us(ts) // 1000 AS BIGINT) AS epoch_ms,
+           CASE WHEN event_type = 'purchase' THEN CAST(event_id AS DOUBLE) END AS transactionid
+    FROM events WHERE event_type IN ('view', 'click', 'purchase'))"""
+
+ORACLE["scan_events"] = _EV + \
+    'SELECT event_id, "timestamp", visitorid, event, itemid, transactionid FROM ev'
+ORACLE["epoch_ms"] = O.with_ctes(RAW_CTE) + \
+    "SELECT event_id, epoch_ms, make_timestamp(epoch_ms * 1000) AS \"timestamp\" FROM raw"
+ORACLE["event_codes"] = _EV + """SELECT event_id, event,
+    CAST(DENSE_RANK() OVER (ORDER BY event) - 1 AS INTEGER) AS event_code FROM ev"""
+ORACLE["fill_tx"] = O.with_ctes(RAW_CTE) + \
+    "SELECT event_id, CAST(COALESCE(CAST(transactionid AS BIGINT), -1) AS BIGINT) " \
+    "AS transactionid FROM raw"
+
+_FEATURES_UD = O.visitor_features_sql("user_day")
+_INT_FEATURES = ["visitorid", "num_views", "num_acart", "num_purch", "num_evnts", "num_txs",
+                 "num_ev06h", "num_ev12h", "num_ev18h", "num_ev00h",
+                 "num_evsun", "num_evmon", "num_evtue", "num_evwed", "num_evthu",
+                 "num_evfri", "num_evsat", "num_rep", "num_repfv", "num_repbv",
+                 "num_funnl", "max_vpmin", "min_vwpse", "max_vwpse", "min_acpse",
+                 "max_acpse", "min_prpse", "max_prpse"]
+_unions = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(MIN({c}) AS BIGINT) AS min_value, "
+    f"CAST(MAX({c}) AS BIGINT) AS max_value FROM vf" for c in _INT_FEATURES)
+ORACLE["downcast"] = f"""WITH vf AS ({_FEATURES_UD}),
+mm AS ({_unions})
+SELECT "column", min_value, max_value,
+       CASE WHEN min_value >= -128 AND max_value <= 127 THEN 'tinyint'
+            WHEN min_value >= -32768 AND max_value <= 32767 THEN 'smallint'
+            WHEN min_value >= -2147483648 AND max_value <= 2147483647 THEN 'int'
+            ELSE 'bigint' END AS type
+FROM mm"""
+
+ORACLE["hour_range"] = _ENH + "SELECT event_id, hour_range FROM enh"
+ORACLE["week_day"] = _ENH + "SELECT event_id, week_day FROM enh"
+ORACLE["delta_same_event"] = _ENH + \
+    "SELECT event_id, round(deltat_2equal_events, 6) AS deltat_2equal_events FROM enh"
+ORACLE["views_per_minute"] = _ENH + """SELECT event_id,
+    CAST(SUM(CASE WHEN event = 'view' THEN 1 ELSE 0 END)
+         OVER (PARTITION BY visitorid, minute) AS BIGINT) AS views_per_minute FROM enh"""
+ORACLE["views_per_hour"] = _ENH + """SELECT visitorid, CAST(MAX(v) AS BIGINT) AS max_vphour
+FROM (SELECT visitorid, date_trunc('hour', "timestamp") AS h,
+             SUM(CASE WHEN event = 'view' THEN 1 ELSE 0 END) AS v
+      FROM enh GROUP BY visitorid, h) GROUP BY visitorid"""
+ORACLE["rep_flags"] = _ENH + \
+    "SELECT event_id, repitem, repitem_fview, repitem_bview FROM enh"
+ORACLE["funnel_flag"] = _ENH + "SELECT event_id, funnel_flag FROM enh"
+
+ORACLE["session_counts"] = _ENH + f""", {O.SESSION_COUNTS_CTE}
+SELECT * FROM sc"""
+ORACLE["session_stats"] = _ENH + f""", {O.SESSION_COUNTS_CTE}
+SELECT visitorid, {O.session_stats_sql()} FROM sc GROUP BY visitorid"""
+ORACLE["hour_counts"] = _ENH + \
+    f"SELECT visitorid, {O.HOUR_COUNTS_SQL} FROM enh GROUP BY visitorid"
+ORACLE["weekday_counts"] = _ENH + \
+    f"SELECT visitorid, {O.WEEKDAY_COUNTS_SQL} FROM enh GROUP BY visitorid"
+ORACLE["rep_counts"] = _ENH + \
+    f"SELECT visitorid, {O.REP_COUNTS_SQL} FROM enh GROUP BY visitorid"
+ORACLE["max_vpmin"] = f"SELECT visitorid, max_vpmin FROM ({ORACLE['visitor_features']})"
+ORACLE["delta_stats"] = _ENH + \
+    f"SELECT visitorid, {O.delta_stats_sql()} FROM enh GROUP BY visitorid"
+ORACLE["session_join"] = O.visitor_features_sql("user_day", drop_bouncers=False)
+ORACLE["drop_bouncers"] = \
+    f"SELECT visitorid, num_views, num_acart, num_txs FROM ({_FEATURES_UD})"
+
+# ratings: eligible visitors = the feature table (user_day mapping)
+_R_PREFIX = f"""WITH vf AS ({_FEATURES_UD}),
+{O.events_cte("user_day")},
+elig AS (SELECT "timestamp", visitorid, event, itemid FROM ev
+         WHERE visitorid IN (SELECT visitorid FROM vf)),
+latest AS (SELECT visitorid, event, itemid, MAX("timestamp") AS "timestamp"
+           FROM elig GROUP BY visitorid, event, itemid),
+rated AS (SELECT *, CAST(CASE WHEN event = 'view' THEN 1 WHEN event = 'addtocart' THEN 2
+                              ELSE 3 END AS INTEGER) AS rating FROM latest),
+best AS (SELECT visitorid, itemid, arg_max(rating, (rating, "timestamp")) AS rating,
+                arg_max("timestamp", (rating, "timestamp")) AS "timestamp"
+         FROM rated GROUP BY visitorid, itemid)
+"""
+ORACLE["ratings_semi"] = _R_PREFIX + 'SELECT "timestamp", visitorid, event, itemid FROM elig'
+ORACLE["dedup_latest"] = _R_PREFIX + 'SELECT visitorid, event, itemid, "timestamp" FROM latest'
+ORACLE["rating_map"] = O.with_ctes(O.events_cte("user_day")) + """SELECT event_id, event,
+    CAST(CASE WHEN event = 'view' THEN 1 WHEN event = 'addtocart' THEN 2 ELSE 3 END AS INTEGER)
+    AS rating FROM ev"""
+ORACLE["ratings"] = _R_PREFIX + 'SELECT visitorid, itemid, rating, "timestamp" FROM best'
+ORACLE["ratings_multi"] = _R_PREFIX + """SELECT visitorid, CAST(COUNT(*) AS BIGINT) AS size
+FROM best GROUP BY visitorid HAVING COUNT(*) >= 2"""
