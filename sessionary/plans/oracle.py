@@ -97,21 +97,25 @@ REP_COUNTS_SQL = ", ".join([
 ])
 
 
-def delta_stats_sql(r: int = 6) -> str:
+def _rnd(expr: str, r: int | None) -> str:
+    return expr if r is None else f"round({expr}, {r})"
+
+
+def delta_stats_sql(r: int | None = 6) -> str:
     parts = []
     for ev, tag in (("view", "dltvw"), ("addtocart", "dltac"), ("transaction", "dltpr")):
         for fn in ("min", "avg", "max"):
-            parts.append(
-                f"round(COALESCE(CAST({fn.upper()}(CASE WHEN event = '{ev}' THEN "
-                f"deltat_2equal_events END) AS DOUBLE), -1.0), {r}) AS {fn}_{tag}")
+            e = (f"COALESCE(CAST({fn.upper()}(CASE WHEN event = '{ev}' THEN "
+                 f"deltat_2equal_events END) AS DOUBLE), -1.0)")
+            parts.append(f"{_rnd(e, r)} AS {fn}_{tag}")
     return ", ".join(parts)
 
 
-def session_stats_sql(r: int = 6) -> str:
+def session_stats_sql(r: int | None = 6) -> str:
     parts = []
     for src, tag in (("num_views", "vwpse"), ("num_acart", "acpse"), ("num_purch", "prpse")):
         parts += [f"CAST(MIN({src}) AS BIGINT) AS min_{tag}",
-                  f"round(AVG({src}), {r}) AS avg_{tag}",
+                  f"{_rnd(f'CAST(AVG({src}) AS DOUBLE)', r)} AS avg_{tag}",
                   f"CAST(MAX({src}) AS BIGINT) AS max_{tag}"]
     return ", ".join(parts)
 
@@ -127,17 +131,19 @@ BOUNCER_KEEP = "NOT (num_views <= 1 AND num_acart = 0 AND num_txs = 0)"
 
 
 def visitor_features_sql(mapping: str = "user", gap_seconds: int = 1800,
-                         drop_bouncers: bool = True) -> str:
+                         drop_bouncers: bool = True, digits: int | None = 6) -> str:
+    """The feature table; ``digits=None`` leaves doubles unrounded (for use
+    as an input of further SQL)."""
     having = f"WHERE {BOUNCER_KEEP}" if drop_bouncers else ""
     return enhanced_prefix(mapping, gap_seconds) + f""",
 {SESSION_COUNTS_CTE},
-ss AS (SELECT visitorid, {session_stats_sql()} FROM sc GROUP BY visitorid),
+ss AS (SELECT visitorid, {session_stats_sql(digits)} FROM sc GROUP BY visitorid),
 vpm AS (SELECT visitorid, CAST(MAX(v) AS BIGINT) AS max_vpmin FROM (
           SELECT visitorid, minute, SUM(CASE WHEN event = 'view' THEN 1 ELSE 0 END) AS v
           FROM enh GROUP BY visitorid, minute) GROUP BY visitorid),
 main AS (
     SELECT visitorid, {EVENT_COUNTS_SQL}, {HOUR_COUNTS_SQL}, {WEEKDAY_COUNTS_SQL},
-           {REP_COUNTS_SQL}, {delta_stats_sql()}
+           {REP_COUNTS_SQL}, {delta_stats_sql(digits)}
     FROM enh GROUP BY visitorid)
 SELECT main.visitorid,
        num_views, num_acart, num_purch, num_evnts, num_txs,
@@ -150,11 +156,3 @@ SELECT main.visitorid,
        min_prpse, avg_prpse, max_prpse
 FROM main JOIN vpm USING (visitorid) JOIN ss USING (visitorid)
 {having}"""
-
-
-def features_cte(mapping: str = "user_day", name: str = "vf") -> str:
-    """The feature table as a CTE body (for the downstream operators)."""
-    body = visitor_features_sql(mapping)
-    # strip the leading WITH: callers splice this into their own WITH list
-    assert body.startswith("WITH ")
-    return body

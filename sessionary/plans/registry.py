@@ -247,3 +247,83 @@ def q_ratings(spark, sf_dir):
 def q_ratings_multi(spark, sf_dir):
     ev, feats = _ratings_input(spark, sf_dir)
     return R.visitors_with_many_ratings(R.ratings(ev, feats))
+
+
+# ------------------------------------------------------------ profiling F1-F7
+
+from sessionary.operators import profile as PR  # noqa: E402
+from sessionary.operators import stats as ST  # noqa: E402
+
+
+def _features(spark, sf_dir, mapping="user_day"):
+    """The feature table, computed once (the profile operators read it often)."""
+    from sessionary.session import materialize
+    return materialize(V.visitor_features(canonical_events(spark, sf_dir, mapping)))
+
+
+@register("profile_min")
+def q_profile_min(spark, sf_dir):
+    return PR.min_profile(_features(spark, sf_dir))
+
+
+@register("profile_summary")
+def q_profile_summary(spark, sf_dir):
+    return rounded(PR.summary_without_min(_features(spark, sf_dir)))
+
+
+@register("corr_matrix")
+def q_corr_matrix(spark, sf_dir):
+    return rounded(PR.correlation_long(_features(spark, sf_dir)))
+
+
+@register("corr_counts")
+def q_corr_counts(spark, sf_dir):
+    return PR.correlated_counts(_features(spark, sf_dir))
+
+
+@register("feature_selection")
+def q_feature_selection(spark, sf_dir):
+    return PR.feature_selection_table(_features(spark, sf_dir))
+
+
+@register("norm_zscore")
+def q_norm_zscore(spark, sf_dir):
+    return rounded(PR.normalize(_features(spark, sf_dir), "z_score", keep=("visitorid",)))
+
+
+@register("norm_minmax")
+def q_norm_minmax(spark, sf_dir):
+    return rounded(PR.normalize(_features(spark, sf_dir), "min_max", keep=("visitorid",)))
+
+
+# ------------------------------------------------------------ result stats A1-A3
+# lineitem price by return flag stands in for score by anomaly label
+
+LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _lineitem(spark, sf_dir):
+    from sessionary.sources.tables import read_table
+    return read_table(spark, sf_dir, "lineitem")
+
+
+@register("describe_by_label")
+def q_describe_by_label(spark, sf_dir):
+    return ST.describe_by(_lineitem(spark, sf_dir), "l_returnflag", "l_extendedprice")
+
+
+@register("feature_stats_by_label")
+def q_feature_stats_by_label(spark, sf_dir):
+    return ST.stats_by_label(_lineitem(spark, sf_dir), "l_returnflag", LINE_FEATURES,
+                             ["A", "N", "R"])
+
+
+@register("kde_all")
+def q_kde_all(spark, sf_dir):
+    return rounded(ST.density_curves(_lineitem(spark, sf_dir), "l_extendedprice"), 9)
+
+
+@register("kde_group")
+def q_kde_group(spark, sf_dir):
+    return rounded(ST.density_curves(_lineitem(spark, sf_dir), "l_extendedprice",
+                                     "l_returnflag"), 9)

@@ -34,7 +34,7 @@ ORACLE["fill_tx"] = O.with_ctes(RAW_CTE) + \
     "SELECT event_id, CAST(COALESCE(CAST(transactionid AS BIGINT), -1) AS BIGINT) " \
     "AS transactionid FROM raw"
 
-_FEATURES_UD = O.visitor_features_sql("user_day")
+_FEATURES_UD = O.visitor_features_sql("user_day", digits=None)
 _INT_FEATURES = ["visitorid", "num_views", "num_acart", "num_purch", "num_evnts", "num_txs",
                  "num_ev06h", "num_ev12h", "num_ev18h", "num_ev00h",
                  "num_evsun", "num_evmon", "num_evtue", "num_evwed", "num_evthu",
@@ -106,3 +106,119 @@ ORACLE["rating_map"] = O.with_ctes(O.events_cte("user_day")) + """SELECT event_i
 ORACLE["ratings"] = _R_PREFIX + 'SELECT visitorid, itemid, rating, "timestamp" FROM best'
 ORACLE["ratings_multi"] = _R_PREFIX + """SELECT visitorid, CAST(COUNT(*) AS BIGINT) AS size
 FROM best GROUP BY visitorid HAVING COUNT(*) >= 2"""
+
+# ------------------------------------------------------------ profiling F1-F7
+from sessionary.operators.features import FEATURE_COLUMNS as _FC  # noqa: E402
+
+_LONG = f"""WITH vf AS ({_FEATURES_UD}),
+long AS (UNPIVOT (SELECT {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _FC)} FROM vf)
+         ON {", ".join(_FC)} INTO NAME feature VALUE value),
+mins AS (SELECT feature, MIN(value) AS min_value, COUNT(*) AS n FROM long GROUP BY feature),
+prof AS (SELECT m.feature, m.min_value,
+                CAST(SUM(CASE WHEN l.value = m.min_value THEN 1 ELSE 0 END) AS BIGINT) AS min_count,
+                round_even(SUM(CASE WHEN l.value = m.min_value THEN 1 ELSE 0 END) / m.n * 100.0, 2)
+                    AS min_percentage
+         FROM long l JOIN mins m USING (feature) GROUP BY m.feature, m.min_value, m.n)
+"""
+ORACLE["profile_min"] = _LONG + "SELECT * FROM prof"
+ORACLE["profile_summary"] = _LONG + """, rest AS (
+    SELECT l.feature, l.value FROM long l JOIN prof p USING (feature) WHERE l.value != p.min_value),
+st AS (SELECT feature, MIN(value) AS "min", quantile_cont(value, 0.25) AS q1,
+              quantile_cont(value, 0.5) AS median, AVG(value) AS mean,
+              quantile_cont(value, 0.75) AS q3, MAX(value) AS "max",
+              stddev_samp(value) AS std_dev, var_samp(value) AS variance
+       FROM rest GROUP BY feature)
+SELECT p.feature, round(p.min_value, 6) AS min_value, p.min_count,
+       round(p.min_percentage, 6) AS min_percentage,
+       round(st."min", 6) AS "min", round(q1, 6) AS q1, round(median, 6) AS median,
+       round(mean, 6) AS mean, round(q3, 6) AS q3, round(st."max", 6) AS "max",
+       round(std_dev, 6) AS std_dev, round(variance, 6) AS variance
+FROM prof p LEFT JOIN st USING (feature)"""
+
+
+def _corr_sql(features, where_pairs=""):
+    sel = ", ".join(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS "{a}|{b}"'
+                    for a in features for b in features)
+    cols = ", ".join(f'"{a}|{b}"' for a in features for b in features)
+    return f"""cm AS (SELECT {sel} FROM vf),
+cl AS (UNPIVOT cm ON {cols} INTO NAME pair VALUE r0),
+corr AS (SELECT split_part(pair, '|', 1) AS feature_a, split_part(pair, '|', 2) AS feature_b,
+                CASE WHEN isnan(r0) THEN NULL ELSE greatest(least(r0, 1.0), -1.0) END AS r
+         FROM cl)"""
+
+
+ORACLE["corr_matrix"] = f"WITH vf AS ({_FEATURES_UD}),\n{_corr_sql(_FC)}\n" + \
+    "SELECT feature_a, feature_b, round(r, 6) AS r FROM corr"
+
+_names_values = ", ".join(f"('{c}')" for c in _FC)
+ORACLE["corr_counts"] = f"""WITH vf AS ({_FEATURES_UD}),
+{_corr_sql(_FC)},
+names AS (SELECT * FROM (VALUES {_names_values}) t(feature)),
+hits AS (SELECT feature_a AS feature, COUNT(*) AS c FROM corr
+         WHERE feature_a != feature_b AND abs(r) > 0.8 AND r < 1 - 1e-12 GROUP BY feature_a)
+SELECT feature, CAST(COALESCE(c, 0) AS BIGINT) AS correlated_count
+FROM names LEFT JOIN hits USING (feature)"""
+
+ORACLE["feature_selection"] = _LONG + f""",
+{_corr_sql(_FC)},
+kept AS (SELECT feature FROM prof WHERE min_percentage < 95.0),
+hits AS (SELECT feature_a AS feature, COUNT(*) AS c FROM corr
+         WHERE feature_a IN (SELECT feature FROM kept) AND feature_b IN (SELECT feature FROM kept)
+           AND feature_a != feature_b AND abs(r) > 0.8 AND r < 1 - 1e-12 GROUP BY feature_a),
+cnt AS (SELECT k.feature, CAST(COALESCE(h.c, 0) AS BIGINT) AS correlated_count
+        FROM kept k LEFT JOIN hits h USING (feature))
+SELECT p.feature, p.min_percentage, cnt.correlated_count,
+       COALESCE(cnt.correlated_count < (SELECT COUNT(*) // 2 FROM kept), FALSE) AS selected
+FROM prof p LEFT JOIN cnt USING (feature)"""
+
+ORACLE["norm_zscore"] = f"WITH vf AS ({_FEATURES_UD})\nSELECT visitorid, " + ", ".join(
+    f"round((CAST({c} AS DOUBLE) - AVG(CAST({c} AS DOUBLE)) OVER ()) / "
+    f"NULLIF(stddev_samp(CAST({c} AS DOUBLE)) OVER (), 0), 6) AS {c}" for c in _FC) + " FROM vf"
+ORACLE["norm_minmax"] = f"WITH vf AS ({_FEATURES_UD})\nSELECT visitorid, " + ", ".join(
+    f"round((CAST({c} AS DOUBLE) - MIN({c}) OVER ()) / "
+    f"NULLIF(CAST(MAX({c}) OVER () AS DOUBLE) - MIN({c}) OVER (), 0), 6) AS {c}"
+    for c in _FC) + " FROM vf"
+
+# ------------------------------------------------------------ result stats A1-A3
+ORACLE["describe_by_label"] = """SELECT l_returnflag,
+    round(CAST(COUNT(l_extendedprice) AS DOUBLE), 2) AS count, round(AVG(l_extendedprice), 2) AS mean,
+    round(stddev_samp(l_extendedprice), 2) AS std, round(MIN(l_extendedprice), 2) AS "min",
+    round(quantile_cont(l_extendedprice, 0.25), 2) AS p25,
+    round(quantile_cont(l_extendedprice, 0.5), 2) AS p50,
+    round(quantile_cont(l_extendedprice, 0.75), 2) AS p75,
+    round(MAX(l_extendedprice), 2) AS "max"
+FROM lineitem GROUP BY l_returnflag"""
+
+_LF = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_stat_rows = []
+for _c in _LF:
+    for _s, _e in (("min", f"MIN({_c})"), ("median", f"quantile_cont({_c}, 0.5)"),
+                   ("max", f"MAX({_c})"), ("std", f"stddev_samp({_c})")):
+        _stat_rows.append(
+            f"SELECT '{_c}' AS feature, '{_s}' AS stat, "
+            + ", ".join(f"round(CAST({_e} FILTER (WHERE l_returnflag = '{v}') AS DOUBLE), 2) "
+                        f"AS label_{v}" for v in ("A", "N", "R"))
+            + " FROM lineitem")
+ORACLE["feature_stats_by_label"] = "\nUNION ALL\n".join(_stat_rows)
+
+
+def _kde_sql(group_expr: str | None) -> str:
+    parts = ["SELECT 'ALL' AS grp, CAST(l_extendedprice AS DOUBLE) AS x FROM lineitem"]
+    if group_expr:
+        parts.append(f"SELECT CAST({group_expr} AS VARCHAR) AS grp, "
+                     "CAST(l_extendedprice AS DOUBLE) AS x FROM lineitem")
+    data = " UNION ALL ".join(parts)
+    return f"""WITH d AS ({data}),
+p AS (SELECT grp, COUNT(*) AS n, stddev_samp(x) * pow(COUNT(*), -0.2) AS h,
+             MIN(x) AS lo, MAX(x) AS hi FROM d WHERE x IS NOT NULL GROUP BY grp),
+g AS (SELECT grp, n, h, CAST(k AS INTEGER) AS point,
+             (lo - 3.0 * h) + k * ((hi - lo + 6.0 * h) / 199.0) AS gx
+      FROM p, range(0, 200) t(k) WHERE h > 0)
+SELECT g.grp AS "group", g.point, round(g.gx, 9) AS x,
+       round(SUM(exp(-0.5 * ((g.gx - d.x) / g.h) * ((g.gx - d.x) / g.h)))
+             / sqrt(2 * pi()) / (g.n * g.h), 9) AS density
+FROM g JOIN d ON d.grp = g.grp GROUP BY g.grp, g.point, g.gx, g.n, g.h"""
+
+
+ORACLE["kde_all"] = _kde_sql(None)
+ORACLE["kde_group"] = _kde_sql("l_returnflag")

@@ -66,3 +66,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark.sparkContext.setLogLevel("ERROR")
     ensure_session_rules(spark)
     return spark
+
+
+def materialize(df, mode: str = "checkpoint"):
+    """Compute ``df`` once for operators that read it several times.
+
+    ``checkpoint`` writes it to the shared ``spark.checkpoint.dir`` (survives
+    executor loss and cuts the lineage); ``persist`` keeps it in executor
+    memory/disk (lost blocks are recomputed from lineage).
+    """
+    if mode == "checkpoint":
+        checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    if mode == "persist":
+        from pyspark import StorageLevel
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    raise ValueError(f"unknown materialize mode {mode!r}")
