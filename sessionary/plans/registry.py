@@ -327,3 +327,63 @@ def q_kde_all(spark, sf_dir):
 def q_kde_group(spark, sf_dir):
     return rounded(ST.density_curves(_lineitem(spark, sf_dir), "l_extendedprice",
                                      "l_returnflag"), 9)
+
+
+# ------------------------------------------------------------ samples / neighbours
+
+from sessionary.operators import neighbors as N  # noqa: E402
+from sessionary.operators import sampling as SM  # noqa: E402
+from sessionary.sources.tables import read_table as _read  # noqa: E402
+
+SPLITS, SAMPLE = 3, 0.2
+
+
+@register("sample_stratified")
+def q_sample_stratified(spark, sf_dir):
+    lab = _read(spark, sf_dir, "labels")
+    return SM.stratified_samples(lab, "toxic", "doc_id", SPLITS, SAMPLE)
+
+
+@register("sample_stratified_counts")
+def q_sample_stratified_counts(spark, sf_dir):
+    lab = _read(spark, sf_dir, "labels")
+    s = SM.stratified_samples(lab, "toxic", "doc_id", SPLITS, SAMPLE, drop_label=False)
+    return s.groupBy("split", "toxic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("sample_random")
+def q_sample_random(spark, sf_dir):
+    lab = _read(spark, sf_dir, "labels")
+    return SM.random_samples(lab, "doc_id", SPLITS, SAMPLE, drop_last="toxic")
+
+
+@register("sample_random_count")
+def q_sample_random_count(spark, sf_dir):
+    lab = _read(spark, sf_dir, "labels")
+    s = SM.random_samples(lab, "doc_id", SPLITS, SAMPLE, drop_last="toxic")
+    return s.groupBy("split").agg(F.count(F.lit(1)).alias("n"),
+                                  F.count_distinct("doc_id").alias("distinct_docs"))
+
+
+def _embedding_points(spark, sf_dir):
+    return N.vectors(_read(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+@register("k_distance")
+def q_k_distance(spark, sf_dir):
+    pts = _embedding_points(spark, sf_dir)
+    return rounded(N.k_distance_curve(pts, tail=None))
+
+
+@register("k_distance_tail")
+def q_k_distance_tail(spark, sf_dir):
+    pts = _embedding_points(spark, sf_dir)
+    return rounded(N.k_distance_curve(pts, tail=20))
+
+
+@register("silhouette")
+def q_silhouette(spark, sf_dir):
+    emb = _read(spark, sf_dir, "embeddings")
+    pts = N.vectors(emb, "vec_id", "embedding").join(
+        emb.select(F.col("vec_id").alias("id"), "label"), "id")
+    return rounded(N.silhouette_score(pts, noise_label=-1))

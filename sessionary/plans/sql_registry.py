@@ -222,3 +222,46 @@ FROM g JOIN d ON d.grp = g.grp GROUP BY g.grp, g.point, g.gx, g.n, g.h"""
 
 ORACLE["kde_all"] = _kde_sql(None)
 ORACLE["kde_group"] = _kde_sql("l_returnflag")
+
+# ------------------------------------------------------------ samples / neighbours
+_SPLITS, _FRAC = 3, 0.2
+ORACLE["sample_stratified_counts"] = f"""WITH c AS (SELECT toxic, COUNT(*) AS n FROM labels GROUP BY toxic),
+tot AS (SELECT SUM(n) AS nn, CAST(ceil({_FRAC} * SUM(n)) AS BIGINT) AS t FROM c),
+r AS (SELECT toxic, n, t * n / nn AS raw, CAST(floor(t * n / nn) AS BIGINT) AS base FROM c, tot),
+l AS (SELECT (SELECT t FROM tot) - SUM(base) AS lft FROM r),
+rk AS (SELECT *, ROW_NUMBER() OVER (ORDER BY raw - base DESC, CAST(toxic AS VARCHAR)) AS k FROM r)
+SELECT CAST(s.split AS INTEGER) AS split, toxic,
+       CAST(base + CASE WHEN k <= lft THEN 1 ELSE 0 END AS BIGINT) AS n
+FROM rk, l, range(0, {_SPLITS}) s(split)"""
+ORACLE["sample_random_count"] = f"""SELECT CAST(s.split AS INTEGER) AS split,
+       CAST(round({_FRAC} * COUNT(*)) AS BIGINT) AS n,
+       CAST(round({_FRAC} * COUNT(*)) AS BIGINT) AS distinct_docs
+FROM labels, range(0, {_SPLITS}) s(split) GROUP BY s.split"""
+
+_EMB = """e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v,
+                list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) AS nn,
+                label FROM embeddings),
+pairs AS (SELECT a.vec_id AS id, b.vec_id AS other, a.label AS label, b.label AS olabel,
+                 CASE WHEN a.vec_id = b.vec_id THEN 0.0
+                      ELSE greatest(a.nn + b.nn - 2 * list_inner_product(a.v, b.v), 0.0) END AS d2
+          FROM e a, e b)"""
+_KD = f"""WITH {_EMB},
+kd AS (SELECT id, d2 FROM (SELECT id, d2, ROW_NUMBER() OVER (PARTITION BY id ORDER BY d2) AS rn
+                           FROM pairs) WHERE rn = 128),
+curve AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY d2) AS INTEGER) AS rank, d2 FROM kd)
+"""
+ORACLE["k_distance"] = _KD + \
+    "SELECT rank, round(d2, 6) AS distance_sq, round(sqrt(d2), 6) AS distance FROM curve"
+ORACLE["k_distance_tail"] = _KD + """SELECT rank, round(d2, 6) AS distance_sq,
+    round(sqrt(d2), 6) AS distance FROM curve WHERE rank > (SELECT COUNT(*) FROM curve) - 20"""
+ORACLE["silhouette"] = f"""WITH {_EMB},
+per AS (SELECT id, label, olabel, SUM(sqrt(d2)) AS s, COUNT(*) AS c FROM pairs
+        GROUP BY id, label, olabel),
+ab AS (SELECT id,
+              MAX(CASE WHEN label = olabel THEN s / NULLIF(c - 1, 0) END) AS a,
+              MAX(CASE WHEN label = olabel THEN c END) AS size,
+              MIN(CASE WHEN label != olabel THEN s / c END) AS b
+       FROM per GROUP BY id)
+SELECT CAST(COUNT(*) AS BIGINT) AS n,
+       round(AVG(CASE WHEN size <= 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
+FROM ab"""
