@@ -41,14 +41,17 @@ def _bracket(k: Column, n: Column, sigmas: float):
 
 
 def bottom_k(rows: DataFrame, groups: list[str], targets: DataFrame,
-             tie: list[str], sigmas: float = 8.0) -> DataFrame:
+             tie: list[str], sigmas: float = 8.0,
+             widths: tuple | None = None) -> DataFrame:
     """Rows of ``rows`` (with ``_u``, ``_h`` columns) that are among the ``_k``
     smallest ``(_u, _h, tie...)`` of their group.
 
     ``targets``: one row per group with ``groups + ['_k', '_n']`` (``_n`` = group
     size).  The targets table is small (one row per group) and is broadcast.
     """
-    for width in (sigmas, sigmas * 4, math.inf):
+    widths = widths or (sigmas, sigmas * 4, math.inf)
+    exact = False
+    for width in widths:
         if math.isinf(width):
             t = targets.select(*groups, "_k", F.lit(0.0).alias("_lo"), F.lit(1.01).alias("_hi"))
         else:
@@ -66,7 +69,10 @@ def bottom_k(rows: DataFrame, groups: list[str], targets: DataFrame,
                  .where((F.col("_below") > F.col("_k"))
                         | (F.col("_upto_hi") < F.least(F.col("_k"), F.col("_n")))))
         if check.limit(1).count() == 0:
+            exact = True
             break
+    if not exact:
+        raise RuntimeError("sampling bracket missed the k-th key; widen ``widths``")
     sure = tagged.where(F.col(U) < F.col("_lo"))
     edge = tagged.where(F.col(U) >= F.col("_lo"))
     below = counts.select(*groups, "_below")

@@ -387,3 +387,132 @@ def q_silhouette(spark, sf_dir):
     pts = N.vectors(emb, "vec_id", "embedding").join(
         emb.select(F.col("vec_id").alias("id"), "label"), "id")
     return rounded(N.silhouette_score(pts, noise_label=-1))
+
+
+# ------------------------------------------------------------ forest M2-M4, M14, E1-E7, S5
+
+from sessionary.operators import explain as EX  # noqa: E402
+from sessionary.operators import iforest as IF  # noqa: E402
+
+FOREST_TREES = 10   # the evaluation grid's smallest forest
+
+
+def _forest(spark, sf_dir, trees=FOREST_TREES):
+    feats = _features(spark, sf_dir)
+    sel = PR.feature_selection(feats)
+    model = IF.fit(feats, sel, n_estimators=trees, random_state=42)
+    return feats, sel, model
+
+
+@register("iforest_nodes")
+def q_iforest_nodes(spark, sf_dir):
+    _, _, model = _forest(spark, sf_dir)
+    return model.nodes_df(spark)
+
+
+@register("iforest_score")
+def q_iforest_score(spark, sf_dir):
+    feats, _, model = _forest(spark, sf_dir)
+    return model.transform(feats, keep=["visitorid"]).select(
+        "visitorid", "path_length", "score_samples", "anomaly_score")
+
+
+@register("iforest_label")
+def q_iforest_label(spark, sf_dir):
+    feats, _, model = _forest(spark, sf_dir)
+    return model.transform(feats, keep=["visitorid"]).select("visitorid", "anomaly_label")
+
+
+@register("label_correction")
+def q_label_correction(spark, sf_dir):
+    """M14 on a rule label (-1 when the visitor has more events than views*2)."""
+    feats = V.visitor_features(canonical_events(spark, sf_dir, "user_day"))
+    lab = feats.select("visitorid", "num_txs",
+                       F.when(F.col("num_evnts") > 2 * F.col("num_views"), -1).otherwise(1)
+                       .alias("anomaly_label"))
+    return IF.correct_labels(lab).select("visitorid", "anomaly_label")
+
+
+@register("split_importance")
+def q_split_importance(spark, sf_dir):
+    _, _, model = _forest(spark, sf_dir)
+    return IF.split_importance(model, spark)
+
+
+@register("tree_nodes")
+def q_tree_nodes(spark, sf_dir):
+    _, _, model = _forest(spark, sf_dir)
+    return IF.tree_rules(model, spark, 0)
+
+
+@register("forest_roundtrip")
+def q_forest_roundtrip(spark, sf_dir):
+    """Save the forest, load it back, score with the loaded copy."""
+    import os
+    import uuid
+    from sessionary.session import checkpoint_dir
+    feats, _, model = _forest(spark, sf_dir)
+    path = os.path.join(checkpoint_dir(spark), f"forest-{uuid.uuid4().hex}")
+    model.save(spark, path)
+    loaded = IF.IsolationForestModel.load(spark, path)
+    return loaded.transform(feats, keep=["visitorid"]).select("visitorid", "anomaly_score")
+
+
+def _shap(spark, sf_dir):
+    feats, sel, model = _forest(spark, sf_dir)
+    ex = EX.ForestExplainer(model)
+    return feats, ex, ex.shap_values(feats)
+
+
+@register("shap_values")
+def q_shap_values(spark, sf_dir):
+    return _shap(spark, sf_dir)[2]
+
+
+@register("shap_importance")
+def q_shap_importance(spark, sf_dir):
+    _, ex, sv = _shap(spark, sf_dir)
+    return ex.importance(sv)
+
+
+@register("shap_top20")
+def q_shap_top20(spark, sf_dir):
+    _, ex, sv = _shap(spark, sf_dir)
+    return ex.top(sv, 20)
+
+
+@register("shap_dependence")
+def q_shap_dependence(spark, sf_dir):
+    feats, ex, sv = _shap(spark, sf_dir)
+    return ex.dependence(feats, sv, ex.features[0])
+
+
+@register("shap_instance")
+def q_shap_instance(spark, sf_dir):
+    feats, ex, sv = _shap(spark, sf_dir)
+    first = feats.agg(F.min("visitorid")).first()[0]
+    return ex.instance(feats, sv, first)
+
+
+@register("feature_stats_by_anomaly")
+def q_feature_stats_by_anomaly(spark, sf_dir):
+    """A2 on the forest: top-10 split features by anomaly label."""
+    feats, _, model = _forest(spark, sf_dir)
+    scored = model.transform(feats)
+    top10 = [r["feature"] for r in IF.split_importance(model, spark).limit(10).collect()]
+    return ST.stats_by_label(scored, "anomaly_label", top10, [-1, 1])
+
+
+@register("describe_by_anomaly")
+def q_describe_by_anomaly(spark, sf_dir):
+    """A1 on the forest: anomaly score described per label."""
+    feats, _, model = _forest(spark, sf_dir)
+    return ST.describe_by(model.transform(feats, keep=["visitorid"]), "anomaly_label",
+                          "anomaly_score")
+
+
+@register("kde_anomaly")
+def q_kde_anomaly(spark, sf_dir):
+    feats, _, model = _forest(spark, sf_dir)
+    return rounded(ST.density_curves(model.transform(feats, keep=["visitorid"]),
+                                     "anomaly_score", "anomaly_label"), 9)

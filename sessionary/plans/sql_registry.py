@@ -265,3 +265,8 @@ ab AS (SELECT id,
 SELECT CAST(COUNT(*) AS BIGINT) AS n,
        round(AVG(CASE WHEN size <= 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
 FROM ab"""
+
+ORACLE["label_correction"] = f"""SELECT visitorid,
+    CAST(CASE WHEN lab = -1 AND num_txs > 0 THEN 1 ELSE lab END AS INTEGER) AS anomaly_label
+FROM (SELECT visitorid, num_txs, CASE WHEN num_evnts > 2 * num_views THEN -1 ELSE 1 END AS lab
+      FROM ({_FEATURES_UD}))"""
