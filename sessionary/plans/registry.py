@@ -516,3 +516,23 @@ def q_kde_anomaly(spark, sf_dir):
     feats, _, model = _forest(spark, sf_dir)
     return rounded(ST.density_curves(model.transform(feats, keep=["visitorid"]),
                                      "anomaly_score", "anomaly_label"), 9)
+
+
+# ------------------------------------------------------------ density clustering M11
+
+from sessionary.operators import density as DN  # noqa: E402
+
+DBSCAN_EPS, DBSCAN_MIN_SAMPLES = 1.2, 38   # the configured DBSCAN parameters
+
+
+@register("dbscan_core")
+def q_dbscan_core(spark, sf_dir):
+    pts = _embedding_points(spark, sf_dir)
+    counts = DN.neighbour_counts(pts, DBSCAN_EPS)
+    return counts.select("id", "n_neighbors",
+                         (F.col("n_neighbors") >= DBSCAN_MIN_SAMPLES).alias("core"))
+
+
+@register("dbscan")
+def q_dbscan(spark, sf_dir):
+    return DN.dbscan(_embedding_points(spark, sf_dir), DBSCAN_EPS, DBSCAN_MIN_SAMPLES)

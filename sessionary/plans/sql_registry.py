@@ -270,3 +270,7 @@ ORACLE["label_correction"] = f"""SELECT visitorid,
     CAST(CASE WHEN lab = -1 AND num_txs > 0 THEN 1 ELSE lab END AS INTEGER) AS anomaly_label
 FROM (SELECT visitorid, num_txs, CASE WHEN num_evnts > 2 * num_views THEN -1 ELSE 1 END AS lab
       FROM ({_FEATURES_UD}))"""
+
+ORACLE["dbscan_core"] = f"""WITH {_EMB}
+SELECT id, CAST(COUNT(*) AS BIGINT) AS n_neighbors, COUNT(*) >= 38 AS core
+FROM pairs WHERE d2 <= 1.2 * 1.2 GROUP BY id"""
