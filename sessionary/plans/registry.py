@@ -536,3 +536,53 @@ def q_dbscan_core(spark, sf_dir):
 @register("dbscan")
 def q_dbscan(spark, sf_dir):
     return DN.dbscan(_embedding_points(spark, sf_dir), DBSCAN_EPS, DBSCAN_MIN_SAMPLES)
+
+
+# ------------------------------------------------------------ sinks / runs S3, S4, M13
+
+from sessionary.sources import sinks as SK  # noqa: E402
+
+GRID = {  # the evaluation grid of the forest notebook configuration
+    "n_estimators": [10, 50], "max_samples": ["auto"], "contamination": ["auto"],
+    "max_features": [1.0], "bootstrap": [False], "random_state": [42],
+}
+
+
+def _scratch(spark, name):
+    import os
+    import uuid
+    from sessionary.session import checkpoint_dir
+    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+@register("artifact_roundtrip")
+def q_artifact_roundtrip(spark, sf_dir):
+    """S3: event counts written as a run artifact and read back."""
+    enh = _enh(spark, sf_dir)
+    counts = enh.groupBy("visitorid").agg(*V.event_count_aggs())
+    base = _scratch(spark, "artifacts")
+    path = SK.write_artifact(counts, base, "run0", "stats", "event_counts")
+    return SK.read_artifact(spark, path, "run0").select(*counts.columns)
+
+
+@register("grid_runs")
+def q_grid_runs(spark, sf_dir):
+    """M13 + S4: fit the forest for every grid point, log params and metrics."""
+    from sessionary.operators.detection import AnomalyDetection
+    feats = _features(spark, sf_dir)
+    sel = PR.feature_selection(feats)
+    log = SK.RunLog(spark, _scratch(spark, "runs"), "anomaly_detection")
+    parent = log.new_run()
+    for params in SK.param_grid(GRID):
+        run = log.new_run()
+        det = AnomalyDetection("isolation_forest", **params).fit(feats, sel)
+        scored = det.model.transform(feats, keep=["visitorid"])
+        log.log_params(run, "isolation_forest", params, parent)
+        log.log_config(run, {"features": sel, **params})
+        log.log_metrics_df(run, scored.agg(
+            F.avg((F.col("anomaly_label") == -1).cast("double")).alias("anomaly_share"),
+            F.avg("anomaly_score").alias("mean_score"))
+            .unpivot([], ["anomaly_share", "mean_score"], "key", "value"))
+    runs = log.table("runs").where(F.col("param") == "n_estimators") \
+        .select("run_id", F.col("value").alias("n_estimators"))
+    return log.table("metrics").join(runs, "run_id").select("n_estimators", "key", "value")

@@ -274,3 +274,5 @@ FROM (SELECT visitorid, num_txs, CASE WHEN num_evnts > 2 * num_views THEN -1 ELS
 ORACLE["dbscan_core"] = f"""WITH {_EMB}
 SELECT id, CAST(COUNT(*) AS BIGINT) AS n_neighbors, COUNT(*) >= 38 AS core
 FROM pairs WHERE d2 <= 1.2 * 1.2 GROUP BY id"""
+
+ORACLE["artifact_roundtrip"] = ORACLE["event_counts"]
