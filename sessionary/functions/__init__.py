@@ -13,10 +13,11 @@ from sessionary.functions.columns import (
     implicit_rating,
     safe_div,
     count_when,
+    numpy_round,
 )
 
 __all__ = [
     "epoch_ms_to_timestamp", "floor_seconds", "hour_range", "minute_bucket",
     "week_day", "epoch_micros", "fill_missing_id", "implicit_rating",
-    "safe_div", "count_when",
+    "safe_div", "count_when", "numpy_round",
 ]

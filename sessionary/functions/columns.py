@@ -28,3 +28,12 @@ def safe_div(num: Column, den: Column) -> Column:
 def count_when(cond: Column) -> Column:
     """Number of rows where ``cond`` holds, as BIGINT."""
     return F.count_if(cond).cast("bigint")
+
+
+def numpy_round(col: str | Column, digits: int = 2) -> Column:
+    """Round as numpy/pandas do for floats: ``rint(x * 10^d) / 10^d`` with
+    half-to-even on the scaled binary value (Spark's ``round`` is half-up on
+    the decimal digits, which differs on ties such as 2.675)."""
+    c = F.col(col) if isinstance(col, str) else col
+    scale = float(10 ** digits)
+    return F.bround(c.cast("double") * F.lit(scale), 0) / F.lit(scale)

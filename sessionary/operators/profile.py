@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sessionary.functions.columns import numpy_round
 from sessionary.operators.quantiles import DEFAULT_ACCURACY, quantile_columns
 
 KEY_COLUMNS = ("visitorid",)
@@ -38,7 +39,7 @@ def long_form(df: DataFrame, features: list[str]) -> DataFrame:
 def min_profile(df: DataFrame, features: list[str] | None = None) -> DataFrame:
     """per feature min_value, min_count and min_percentage.
 
-    ``min_percentage = round(100 * min_count / rows, 2)`` (half-even, as numpy),
+    ``min_percentage = round(100 * min_count / rows, 2)`` (as numpy rounds),
     NULL rows counting in ``rows``.
     """
     features = features or feature_names(df)
@@ -51,7 +52,8 @@ def min_profile(df: DataFrame, features: list[str] | None = None) -> DataFrame:
                .agg(F.count_if(F.col("value") == F.col("min_value")).alias("min_count")))
     return counted.select(
         "feature", "min_value", "min_count",
-        F.bround(F.col("min_count") / F.col("_rows") * F.lit(100.0), 2).alias("min_percentage"))
+        numpy_round(F.col("min_count") / F.col("_rows") * F.lit(100.0), 2)
+        .alias("min_percentage"))
 
 
 def summary_without_min(df: DataFrame, features: list[str] | None = None,
@@ -62,7 +64,10 @@ def summary_without_min(df: DataFrame, features: list[str] | None = None,
     quantiles; an empty remainder gives NULLs.  Ordered by ``min_count``.
     """
     features = features or feature_names(df)
-    prof = min_profile(df, features)
+    # one row per feature: read once, reused by both branches below
+    prof_rows = min_profile(df, features).collect()
+    prof = df.sparkSession.createDataFrame(
+        prof_rows, "feature string, min_value double, min_count long, min_percentage double")
     long = long_form(df, features)
     rest = (long.join(F.broadcast(prof.select("feature", "min_value")), "feature")
             .where(F.col("value") != F.col("min_value")))

@@ -24,6 +24,35 @@ from pyspark.sql import functions as F
 DEFAULT_ACCURACY = 100_000
 
 
+def _small_group_quantiles(base: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """All groups have at most ``4 * accuracy`` rows: exact from value counts.
+
+    One pass of distinct (group, value) counts, one cumulative window per
+    group (bounded by the group size), all quantiles read off together.
+    """
+    counts = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    w = (Window.partitionBy(*keys).orderBy("_v")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    wall = Window.partitionBy(*keys)
+    cum = counts.select(*keys, "_v", F.sum("_c").over(w).alias("_cum"),
+                        F.sum("_c").over(wall).alias("_n"))
+    aggs = []
+    for i, p in enumerate(probs):
+        pos = (F.col("_n") - 1) * F.lit(p)
+        aggs += [F.min(F.when(F.col("_cum") > F.floor(pos), F.col("_v"))).alias(f"_a{i}"),
+                 F.min(F.when(F.col("_cum") > F.ceil(pos), F.col("_v"))).alias(f"_b{i}"),
+                 F.first(pos - F.floor(pos)).alias(f"_f{i}")]
+    picked = cum.groupBy(*keys).agg(*aggs)
+    parts = [picked.select(*keys, F.lit(p).alias("q"),
+                           (F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}"))
+                            * F.col(f"_f{i}")).alias("quantile"))
+             for i, p in enumerate(probs)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
                     accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Rows ``keys + [q, quantile]``; NULL values are ignored, empty -> NULL."""
@@ -33,12 +62,16 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
         return out.drop("_all")
     keys = list(keys)
     probs = [float(p) for p in probs]
+    base = (df.where(F.col(value).isNotNull())
+            .select(*keys, F.col(value).cast("double").alias("_v")))
+    groups = (df.select(*keys).distinct()
+              .select(*keys, F.explode(F.array(*[F.lit(p) for p in probs])).alias("q")))
+    largest = base.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if largest <= 4 * accuracy:
+        return groups.join(_small_group_quantiles(base, keys, probs), keys + ["q"], "left")
     margin = 4.0 / accuracy
     lo_p = [max(0.0, p - margin) for p in probs]
     hi_p = [min(1.0, p + margin) for p in probs]
-    base = (df.where(F.col(value).isNotNull())
-            .select(*keys, F.col(value).cast("double").alias("_v")))
-
     sketch = base.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_v", lo_p, accuracy).alias("_lo"),
@@ -77,8 +110,6 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
         (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (F.col("_pos") - F.col("_r0")))
         .alias("quantile"))
     # groups without values still get NULL quantiles
-    groups = (df.select(*keys).distinct()
-              .select(*keys, F.explode(F.array(*[F.lit(p) for p in probs])).alias("q")))
     return groups.join(result, on=keys + ["q"], how="left")
 
 

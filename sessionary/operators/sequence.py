@@ -78,6 +78,9 @@ def sequence(df: DataFrame, keys: list[str], order: list[str], *,
     """
     if skew == "off":
         return Sequenced(df, list(keys), list(order), split=False, depth=depth)
+    # no key can be hot when the whole input is not (a cheap count first)
+    if skew == "auto" and df.count() <= hot_rows:
+        return Sequenced(df, list(keys), list(order), split=False, depth=depth)
     hot = find_hot_keys(df, keys, hot_rows)
     if not hot:
         return Sequenced(df, list(keys), list(order), split=False, depth=depth)

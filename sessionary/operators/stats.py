@@ -8,6 +8,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessionary.functions.columns import numpy_round
 from sessionary.operators.quantiles import DEFAULT_ACCURACY, quantile_columns
 
 GRID_SIZE = 200   # fixed value: points of a density curve
@@ -25,7 +26,7 @@ def describe_by(df: DataFrame, group: str, measure: str, digits: int = 2,
                           accuracy)
     out = moments.join(qs, group, "left")
     cols = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
-    return out.select(group, *[F.round(c, digits).alias(c) for c in cols])
+    return out.select(group, *[numpy_round(c, digits).alias(c) for c in cols])
 
 
 def stats_by_label_long(df: DataFrame, label: str, features: list[str], digits: int = 2,
@@ -40,7 +41,7 @@ def stats_by_label_long(df: DataFrame, label: str, features: list[str], digits:
     med = quantile_columns(long, ["feature", "label"], "value", {"median": 0.5}, accuracy)
     wide = mom.join(med, ["feature", "label"], "left")
     return (wide.unpivot(["feature", "label"], ["min", "median", "max", "std"], "stat", "value")
-            .select("feature", "stat", "label", F.round("value", digits).alias("value")))
+            .select("feature", "stat", "label", numpy_round("value", digits).alias("value")))
 
 
 def label_column_name(v) -> str:

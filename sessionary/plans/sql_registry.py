@@ -116,7 +116,7 @@ long AS (UNPIVOT (SELECT {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _FC)}
 mins AS (SELECT feature, MIN(value) AS min_value, COUNT(*) AS n FROM long GROUP BY feature),
 prof AS (SELECT m.feature, m.min_value,
                 CAST(SUM(CASE WHEN l.value = m.min_value THEN 1 ELSE 0 END) AS BIGINT) AS min_count,
-                round_even(SUM(CASE WHEN l.value = m.min_value THEN 1 ELSE 0 END) / m.n * 100.0, 2)
+                round_even(SUM(CASE WHEN l.value = m.min_value THEN 1 ELSE 0 END) / m.n * 100.0 * 100.0, 0) / 100.0
                     AS min_percentage
          FROM long l JOIN mins m USING (feature) GROUP BY m.feature, m.min_value, m.n)
 """
@@ -180,13 +180,18 @@ ORACLE["norm_minmax"] = f"WITH vf AS ({_FEATURES_UD})\nSELECT visitorid, " + ",
     for c in _FC) + " FROM vf"
 
 # ------------------------------------------------------------ result stats A1-A3
-ORACLE["describe_by_label"] = """SELECT l_returnflag,
-    round(CAST(COUNT(l_extendedprice) AS DOUBLE), 2) AS count, round(AVG(l_extendedprice), 2) AS mean,
-    round(stddev_samp(l_extendedprice), 2) AS std, round(MIN(l_extendedprice), 2) AS "min",
-    round(quantile_cont(l_extendedprice, 0.25), 2) AS p25,
-    round(quantile_cont(l_extendedprice, 0.5), 2) AS p50,
-    round(quantile_cont(l_extendedprice, 0.75), 2) AS p75,
-    round(MAX(l_extendedprice), 2) AS "max"
+def _np_round(expr: str, d: int = 2) -> str:
+    """numpy rounding: rint(x * 10^d) / 10^d, half-even on the scaled value."""
+    return f"(round_even(CAST({expr} AS DOUBLE) * {10 ** d}.0, 0) / {10 ** d}.0)"
+
+
+ORACLE["describe_by_label"] = f"""SELECT l_returnflag,
+    {_np_round("COUNT(l_extendedprice)")} AS count, {_np_round("AVG(l_extendedprice)")} AS mean,
+    {_np_round("stddev_samp(l_extendedprice)")} AS std, {_np_round("MIN(l_extendedprice)")} AS "min",
+    {_np_round("quantile_cont(l_extendedprice, 0.25)")} AS p25,
+    {_np_round("quantile_cont(l_extendedprice, 0.5)")} AS p50,
+    {_np_round("quantile_cont(l_extendedprice, 0.75)")} AS p75,
+    {_np_round("MAX(l_extendedprice)")} AS "max"
 FROM lineitem GROUP BY l_returnflag"""
 
 _LF = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -196,7 +201,7 @@ for _c in _LF:
                    ("max", f"MAX({_c})"), ("std", f"stddev_samp({_c})")):
         _stat_rows.append(
             f"SELECT '{_c}' AS feature, '{_s}' AS stat, "
-            + ", ".join(f"round(CAST({_e} FILTER (WHERE l_returnflag = '{v}') AS DOUBLE), 2) "
+            + ", ".join(f"{_np_round(f'{_e} FILTER (WHERE l_returnflag = {chr(39)}{v}{chr(39)})')} "
                         f"AS label_{v}" for v in ("A", "N", "R"))
             + " FROM lineitem")
 ORACLE["feature_stats_by_label"] = "\nUNION ALL\n".join(_stat_rows)

@@ -68,15 +68,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def materialize(df, mode: str = "checkpoint"):
+def materialize(df, mode: str = "table"):
     """Compute ``df`` once for operators that read it several times.
 
-    ``checkpoint`` writes it to the shared ``spark.checkpoint.dir`` (survives
-    executor loss and cuts the lineage); ``persist`` keeps it in executor
-    memory/disk (lost blocks are recomputed from lineage).
+    ``table`` (default) writes it as Parquet under the shared
+    ``spark.checkpoint.dir`` and reads it back: one pass, survives executor
+    loss, cuts the lineage, and later reads prune columns and push filters.
+    ``checkpoint`` uses ``Dataset.checkpoint`` (same folder); ``persist`` keeps
+    it in executor memory/disk (lost blocks are recomputed from lineage).
     """
+    import os
+    import uuid
+    spark = df.sparkSession
+    if mode == "table":
+        path = os.path.join(checkpoint_dir(spark), "tables", uuid.uuid4().hex)
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
     if mode == "checkpoint":
-        checkpoint_dir(df.sparkSession)
+        checkpoint_dir(spark)
         return df.checkpoint(eager=True)
     if mode == "persist":
         from pyspark import StorageLevel

@@ -107,6 +107,11 @@ def visitor_key(mapping: str = "user"):
     raise ValueError(f"unknown visitor mapping {mapping!r}; use 'user' or 'user_day'")
 
 
+def item_id():
+    """Item id from the JSON properties (``{"k": <item>}``), as INT."""
+    return F.from_json("props", "k string")["k"].cast("int")
+
+
 def _event_name():
     expr = None
     for src, dst in EVENT_TYPE_MAP.items():
@@ -125,7 +130,7 @@ def raw_events(spark: SparkSession, sf_dir: str, mapping: str = "user") -> DataF
             F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
             visitor_key(mapping).alias("visitorid"),
             _event_name().alias("event"),
-            F.get_json_object("props", "$.k").cast("int").alias("itemid"),
+            item_id().alias("itemid"),
             F.when(F.col("event_type") == "purchase", F.col("event_id").cast("double"))
             .alias("transactionid"),
         )
@@ -142,7 +147,7 @@ def canonical_events(spark: SparkSession, sf_dir: str, mapping: str = "user") ->
             F.col("ts").cast("timestamp").alias("timestamp"),
             visitor_key(mapping).alias("visitorid"),
             _event_name().alias("event"),
-            F.get_json_object("props", "$.k").cast("int").alias("itemid"),
+            item_id().alias("itemid"),
             F.when(F.col("event_type") == "purchase", F.col("event_id"))
             .otherwise(F.lit(-1)).cast("bigint").alias("transactionid"),
         )
