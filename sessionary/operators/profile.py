@@ -124,11 +124,13 @@ def correlation_long(df: DataFrame, features: list[str] | None = None) -> DataFr
     vx = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
     vy = F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")
     den = F.sqrt(vx * vy)
-    r = F.when((vx > 0) & (vy > 0), cov / den)
+    # clamp inside the branch: greatest/least skip NULLs
+    r = F.when((vx > 0) & (vy > 0),
+               F.least(F.greatest(cov / den, F.lit(-1.0)), F.lit(1.0)))
     names = F.array(*[F.lit(c) for c in features])
     return sums.select(F.element_at(names, F.col("i") + 1).alias("feature_a"),
                        F.element_at(names, F.col("j") + 1).alias("feature_b"),
-                       F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)).alias("r"))
+                       r.alias("r"))
 
 
 ONE = 1.0 - 1e-12  # |r| this close to 1.0 counts as exactly 1.0 (skipped)
