@@ -67,3 +67,28 @@ def local_components(adj: np.ndarray) -> np.ndarray:
         if np.array_equal(new, lab):
             return lab
         lab = new
+
+
+def global_rank(df: DataFrame, order_cols: list[str], name: str = "rank") -> DataFrame:
+    """1-based positions in the total order ``order_cols`` (must be unique).
+
+    A range-partitioned sort (no single-task window): the position is the
+    row index inside its sorted partition (from ``monotonically_increasing_id``)
+    plus the row count of the partitions before it (one row per partition
+    reaches the driver).  The sorted data is materialised once so both uses
+    see the same partitions.
+    """
+    srt = materialize(df.orderBy(*order_cols)
+                      .withColumn("_p", F.spark_partition_id())
+                      .withColumn("_m", F.monotonically_increasing_id()))
+    counts = sorted((r["_p"], r["count"]) for r in srt.groupBy("_p").count().collect())
+    offsets, acc = {}, 0
+    for p, c in counts:
+        offsets[p] = acc
+        acc += c
+    spark = df.sparkSession
+    off = spark.createDataFrame(list(offsets.items()), "_p int, _off long")
+    local = F.col("_m") - F.shiftleft(F.col("_p").cast("long"), 33)
+    return (srt.join(F.broadcast(off), "_p")
+            .withColumn(name, F.col("_off") + local + F.lit(1))
+            .drop("_p", "_m", "_off"))
