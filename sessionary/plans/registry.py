@@ -586,3 +586,65 @@ def q_grid_runs(spark, sf_dir):
     runs = log.table("runs").where(F.col("param") == "n_estimators") \
         .select("run_id", F.col("value").alias("n_estimators"))
     return log.table("metrics").join(runs, "run_id").select("n_estimators", "key", "value")
+
+
+# ------------------------------------------------------------ HDBSCAN M5-M10, M12
+
+from sessionary.operators import hierarchy as HD  # noqa: E402
+
+HDBSCAN_MIN_CLUSTER_SIZE, HDBSCAN_MIN_SAMPLES = 1000, 38   # first point of the grid
+
+
+def _hdbscan(spark, sf_dir):
+    """The notebook flow: features -> selection -> min-max scaling -> HDBSCAN."""
+    feats = _features(spark, sf_dir)
+    sel = PR.feature_selection(feats)
+    from sessionary.session import materialize
+    scaled = materialize(PR.normalize(feats, "min_max", sel, keep=("visitorid",))
+                         .fillna(0.0, sel))
+    model = HD.fit(scaled, sel, "visitorid", min_cluster_size=HDBSCAN_MIN_CLUSTER_SIZE,
+                   min_samples=HDBSCAN_MIN_SAMPLES)
+    return scaled, sel, model
+
+
+@register("hdbscan_labels")
+def q_hdbscan_labels(spark, sf_dir):
+    _, _, model = _hdbscan(spark, sf_dir)
+    return model.transform(model.ids, ["visitorid"]).select("visitorid", "anomaly_label")
+
+
+@register("hdbscan_prob")
+def q_hdbscan_prob(spark, sf_dir):
+    _, _, model = _hdbscan(spark, sf_dir)
+    return model.transform(model.ids, ["visitorid"]).select("visitorid", "probability")
+
+
+@register("hdbscan_outlier")
+def q_hdbscan_outlier(spark, sf_dir):
+    _, _, model = _hdbscan(spark, sf_dir)
+    return model.transform(model.ids, ["visitorid"]).select("visitorid", "outlier_score")
+
+
+@register("hdbscan_condensed")
+def q_hdbscan_condensed(spark, sf_dir):
+    return _hdbscan(spark, sf_dir)[2].result.condensed
+
+
+@register("single_linkage")
+def q_single_linkage(spark, sf_dir):
+    return _hdbscan(spark, sf_dir)[2].result.linkage
+
+
+@register("hdbscan_persistence")
+def q_hdbscan_persistence(spark, sf_dir):
+    return _hdbscan(spark, sf_dir)[2].result.persistence
+
+
+@register("hdbscan_silhouette")
+def q_hdbscan_silhouette(spark, sf_dir):
+    """M12 as the notebook logs it: silhouette of the non-noise visitors."""
+    scaled, sel, model = _hdbscan(spark, sf_dir)
+    pts = (model.ids.join(model.result.labels.select("id", "label"), "id")
+           .join(scaled, "visitorid")
+           .select("id", F.array(*[F.col(c).cast("double") for c in sel]).alias("v"), "label"))
+    return N.silhouette_score(pts, noise_label=-1, sample_size=100_000)
