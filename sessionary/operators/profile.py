@@ -36,24 +36,34 @@ def long_form(df: DataFrame, features: list[str]) -> DataFrame:
     return wide.unpivot([], features, "feature", "value")
 
 
+def value_counts(df: DataFrame, features: list[str]) -> DataFrame:
+    """(feature, value, c): rows per distinct value of every feature.
+
+    Map-side combined, so a count-like feature shrinks to a handful of rows
+    per task before the shuffle; NULL values keep their own group."""
+    return long_form(df, features).groupBy("feature", "value").agg(
+        F.count(F.lit(1)).alias("c"))
+
+
+def _min_profile_from_counts(vc: DataFrame) -> DataFrame:
+    per = vc.groupBy("feature").agg(
+        F.min("value").alias("min_value"),
+        F.min_by("c", F.when(F.col("value").isNotNull(), F.col("value"))).alias("min_count"),
+        F.sum("c").alias("_rows"))
+    return per.select(
+        "feature", "min_value", F.coalesce("min_count", F.lit(0)).cast("long").alias("min_count"),
+        numpy_round(F.coalesce("min_count", F.lit(0)) / F.col("_rows") * F.lit(100.0), 2)
+        .alias("min_percentage"))
+
+
 def min_profile(df: DataFrame, features: list[str] | None = None) -> DataFrame:
     """per feature min_value, min_count and min_percentage.
 
     ``min_percentage = round(100 * min_count / rows, 2)`` (as numpy rounds),
-    NULL rows counting in ``rows``.
+    NULL rows counting in ``rows``.  One pass: the per-value counts.
     """
     features = features or feature_names(df)
-    long = long_form(df, features)
-    mins = long.groupBy("feature").agg(F.min("value").alias("min_value"),
-                                       F.count(F.lit(1)).alias("_rows"))
-    # one row per feature: bounded by the column count
-    counted = (long.join(F.broadcast(mins), "feature")
-               .groupBy("feature", "min_value", "_rows")
-               .agg(F.count_if(F.col("value") == F.col("min_value")).alias("min_count")))
-    return counted.select(
-        "feature", "min_value", "min_count",
-        numpy_round(F.col("min_count") / F.col("_rows") * F.lit(100.0), 2)
-        .alias("min_percentage"))
+    return _min_profile_from_counts(value_counts(df, features))
 
 
 def summary_without_min(df: DataFrame, features: list[str] | None = None,
@@ -62,21 +72,35 @@ def summary_without_min(df: DataFrame, features: list[str] | None = None,
 
     min, q1, median, mean, q3, max, std_dev, variance (n-1); exact linear
     quantiles; an empty remainder gives NULLs.  Ordered by ``min_count``.
+    Everything is computed from the per-value counts table (one pass over the
+    data); the variance is two-pass (centred) on that compact table.
     """
+    from sessionary.operators.quantiles import quantiles_from_counts
+    from sessionary.session import materialize
     features = features or feature_names(df)
-    # one row per feature: read once, reused by both branches below
-    prof_rows = min_profile(df, features).collect()
+    # short lineage (one aggregate over the input): cached, not written
+    vc = materialize(value_counts(df, features), "persist")
+    # one row per feature: read once, reused by the branches below
+    prof_rows = _min_profile_from_counts(vc).collect()
     prof = df.sparkSession.createDataFrame(
         prof_rows, "feature string, min_value double, min_count long, min_percentage double")
-    long = long_form(df, features)
-    rest = (long.join(F.broadcast(prof.select("feature", "min_value")), "feature")
+    rest = (vc.join(F.broadcast(prof.select("feature", "min_value")), "feature")
             .where(F.col("value") != F.col("min_value")))
-    moments = rest.groupBy("feature").agg(
-        F.min("value").alias("min"), F.avg("value").alias("mean"),
-        F.max("value").alias("max"), F.stddev_samp("value").alias("std_dev"),
-        F.var_samp("value").alias("variance"))
-    qs = quantile_columns(rest, ["feature"], "value",
-                          {"q1": 0.25, "median": 0.5, "q3": 0.75}, accuracy)
+    first = rest.groupBy("feature").agg(
+        F.sum("c").alias("_n"), (F.sum(F.col("c") * F.col("value")) / F.sum("c")).alias("mean"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    second = (rest.join(first.select("feature", "mean"), "feature")
+              .groupBy("feature").agg(F.sum(F.col("c") * (F.col("value") - F.col("mean"))
+                                            * (F.col("value") - F.col("mean"))).alias("_ss")))
+    moments = first.join(second, "feature").select(
+        "feature", "min", "mean", "max",
+        F.try_divide(F.col("_ss"), F.col("_n") - 1).alias("variance"))
+    moments = moments.withColumn("std_dev", F.sqrt("variance"))
+    qs = quantiles_from_counts(rest.select("feature", F.col("value").alias("_v"), "c"),
+                               ["feature"], {"q1": 0.25, "median": 0.5, "q3": 0.75}, accuracy,
+                               fallback=(long_form(df, features).join(
+                                   F.broadcast(prof.select("feature", "min_value")), "feature")
+                                   .where(F.col("value") != F.col("min_value"))))
     out = (prof.join(moments, "feature", "left").join(qs, "feature", "left")
            .select("feature", "min_value", "min_count", "min_percentage", "min", "q1",
                    "median", "mean", "q3", "max", "std_dev", "variance"))
@@ -105,7 +129,8 @@ def _partial_moments(features: list[str], shift: np.ndarray):
     return fn
 
 
-def correlation_long(df: DataFrame, features: list[str] | None = None) -> DataFrame:
+def correlation_long(df: DataFrame, features: list[str] | None = None,
+                     shift: dict | None = None) -> DataFrame:
     """Pearson r for every ordered pair (feature_a, feature_b).
 
     Pairwise-complete rows; a constant column gives NULL (NaN in pandas).
@@ -113,8 +138,10 @@ def correlation_long(df: DataFrame, features: list[str] | None = None) -> DataFr
     one-pass sums do not cancel.
     """
     features = features or feature_names(df)
-    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in features]).first()
-    shift = np.array([means[c] if means[c] is not None else 0.0 for c in features])
+    if shift is None:
+        means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in features]).first()
+        shift = {c: means[c] for c in features}
+    shift = np.array([shift.get(c) if shift.get(c) is not None else 0.0 for c in features])
     schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
     parts = (df.select(*[F.col(c).cast("double").alias(c) for c in features])
              .mapInPandas(_partial_moments(features, shift), schema))
@@ -137,10 +164,10 @@ ONE = 1.0 - 1e-12  # |r| this close to 1.0 counts as exactly 1.0 (skipped)
 
 
 def correlated_counts(df: DataFrame, features: list[str] | None = None,
-                      threshold: float = 0.8) -> DataFrame:
+                      threshold: float = 0.8, shift: dict | None = None) -> DataFrame:
     """per feature, how many other features have |r| > threshold (r != 1)."""
     features = features or feature_names(df)
-    corr = correlation_long(df, features)
+    corr = correlation_long(df, features, shift)
     hits = (corr.where((F.col("feature_a") != F.col("feature_b"))
                        & (F.abs("r") > threshold) & (F.col("r") < ONE))
             .groupBy("feature_a").agg(F.count(F.lit(1)).alias("correlated_count")))
@@ -162,14 +189,24 @@ def feature_selection_table(df: DataFrame, min_percentage_threshold: float = 95.
     ``t = kept // 2`` by default.  Only per-feature metadata reaches the driver.
     """
     features = features or feature_names(df)
-    prof = min_profile(df, features).select("feature", "min_percentage")
-    kept = [r["feature"] for r in prof.where(F.col("min_percentage")
-                                             < min_percentage_threshold).collect()]
-    kept = [c for c in features if c in set(kept)]
-    t = len(kept) // 2 if correlated_count_threshold is None else correlated_count_threshold
     spark = df.sparkSession
+    vc = value_counts(df, features)
+    # one row per feature reaches the driver: min share and mean (the shift
+    # that keeps the correlation sums well conditioned)
+    rows = (_min_profile_from_counts(vc).join(
+        vc.groupBy("feature").agg((F.sum(F.col("c") * F.col("value"))
+                                   / F.sum(F.when(F.col("value").isNotNull(), F.col("c"))))
+                                  .alias("_mean")), "feature")
+        .select("feature", "min_percentage", "_mean").collect())
+    prof = spark.createDataFrame([(r["feature"], r["min_percentage"]) for r in rows],
+                                 "feature string, min_percentage double")
+    kept = {r["feature"] for r in rows if r["min_percentage"] is not None
+            and r["min_percentage"] < min_percentage_threshold}
+    kept = [c for c in features if c in kept]
+    means = {r["feature"]: r["_mean"] for r in rows}
+    t = len(kept) // 2 if correlated_count_threshold is None else correlated_count_threshold
     if kept:
-        counts = correlated_counts(df, kept, corr_threshold)
+        counts = correlated_counts(df, kept, corr_threshold, shift=means)
     else:
         counts = spark.createDataFrame([], "feature string, correlated_count bigint")
     return (prof.join(counts, "feature", "left")

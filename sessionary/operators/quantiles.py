@@ -24,13 +24,14 @@ from pyspark.sql import functions as F
 DEFAULT_ACCURACY = 100_000
 
 
-def _small_group_quantiles(base: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
-    """All groups have at most ``4 * accuracy`` rows: exact from value counts.
-
-    One pass of distinct (group, value) counts, one cumulative window per
-    group (bounded by the group size), all quantiles read off together.
+def _small_group_quantiles(base: DataFrame, keys: list[str], probs: list[float],
+                           counts: DataFrame | None = None) -> DataFrame:
+    """All groups have at most ``4 * accuracy`` distinct values: exact from
+    value counts.  One pass of distinct (group, value) counts, one cumulative
+    window per group (bounded by its distinct values), all quantiles together.
     """
-    counts = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    if counts is None:
+        counts = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     w = (Window.partitionBy(*keys).orderBy("_v")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     wall = Window.partitionBy(*keys)
@@ -66,9 +67,11 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
             .select(*keys, F.col(value).cast("double").alias("_v")))
     groups = (df.select(*keys).distinct()
               .select(*keys, F.explode(F.array(*[F.lit(p) for p in probs])).alias("q")))
-    largest = base.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    counts = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    largest = counts.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     if largest <= 4 * accuracy:
-        return groups.join(_small_group_quantiles(base, keys, probs), keys + ["q"], "left")
+        return groups.join(_small_group_quantiles(base, keys, probs, counts), keys + ["q"],
+                           "left")
     margin = 4.0 / accuracy
     lo_p = [max(0.0, p - margin) for p in probs]
     hi_p = [min(1.0, p + margin) for p in probs]
@@ -113,6 +116,27 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     return groups.join(result, on=keys + ["q"], how="left")
 
 
+def quantiles_from_counts(counts: DataFrame, keys: list[str], named: dict[str, float],
+                          accuracy: int = DEFAULT_ACCURACY,
+                          fallback: DataFrame | None = None) -> DataFrame:
+    """Wide quantiles from a (keys, _v, c) value-count table.
+
+    When some group has more than ``4 * accuracy`` distinct values the
+    cumulative window would be too big for one task: ``fallback`` (the rows,
+    with a ``value`` column) then goes through :func:`exact_quantiles`.
+    """
+    probs = [float(p) for p in named.values()]
+    widest = counts.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if widest <= 4 * accuracy:
+        long = _small_group_quantiles(None, keys, probs,
+                                      counts.withColumnRenamed("c", "_c"))
+    else:
+        long = exact_quantiles(fallback, keys, "value", probs, accuracy)
+    cols = [F.max(F.when(F.col("q") == F.lit(float(p)), F.col("quantile"))).alias(n)
+            for n, p in named.items()]
+    return long.groupBy(*keys).agg(*cols)
+
+
 def quantile_columns(df: DataFrame, keys: list[str], value: str,
                      named: dict[str, float], accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Wide form: ``keys + list(named)`` with one quantile per named column."""
