@@ -648,3 +648,17 @@ def q_hdbscan_silhouette(spark, sf_dir):
            .join(scaled, "visitorid")
            .select("id", F.array(*[F.col(c).cast("double") for c in sel]).alias("v"), "label"))
     return N.silhouette_score(pts, noise_label=-1, sample_size=100_000)
+
+
+# ------------------------------------------------------------ S2: SQL text over views
+
+@register("visitor_features_sql")
+def q_visitor_features_sql(spark, sf_dir):
+    """The feature table from the SQL file, run by Spark SQL over a view of
+    the sessionized events (S2)."""
+    import os
+    from sessionary.sources.tables import SQL_DIR, load_queries
+    events = P.sessionize(canonical_events(spark, sf_dir, "user"))
+    out = load_queries(spark, {"visitor": os.path.join(SQL_DIR, "visitor_features.sql")},
+                       {"events": events})["visitor"]
+    return rounded(out.select("visitorid", *V.FEATURE_COLUMNS))

@@ -281,3 +281,5 @@ SELECT id, CAST(COUNT(*) AS BIGINT) AS n_neighbors, COUNT(*) >= 38 AS core
 FROM pairs WHERE d2 <= 1.2 * 1.2 GROUP BY id"""
 
 ORACLE["artifact_roundtrip"] = ORACLE["event_counts"]
+
+ORACLE["visitor_features_sql"] = ORACLE["visitor_features"]

@@ -152,3 +152,32 @@ def canonical_events(spark: SparkSession, sf_dir: str, mapping: str = "user") ->
             .otherwise(F.lit(-1)).cast("bigint").alias("transactionid"),
         )
     )
+
+
+def load_queries(spark: SparkSession, sql_paths: dict[str, str],
+                 tables: dict[str, DataFrame] | None = None,
+                 downcast: bool = False) -> dict[str, DataFrame]:
+    """Run each named SQL file over the registered tables.
+
+    ``tables`` are registered as temp views first; each result is registered
+    under its own name too, so later files can use earlier results.  With
+    ``downcast`` every integer column is narrowed (P5).
+    """
+    ensure_session_rules(spark)
+    for name, df in (tables or {}).items():
+        df.createOrReplaceTempView(name)
+    out = {}
+    for name, path in sql_paths.items():
+        with open(path) as fh:
+            text = fh.read()
+        df = spark.sql(text)
+        if downcast:
+            from sessionary.operators.events import downcast as narrow
+            df = narrow(df)
+        df.createOrReplaceTempView(name)
+        out[name] = df
+    return out
+
+
+SQL_DIR = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                       "plans", "sql")

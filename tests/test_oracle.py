@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
-FAST = ["visitor_features", "visitor_features_user_day", "sessionize", "sessionize_6h",
+FAST = ["visitor_features", "visitor_features_user_day", "visitor_features_sql", "sessionize", "sessionize_6h",
         "event_counts", "scan_events", "epoch_ms", "event_codes", "fill_tx", "hour_range",
         "week_day", "delta_same_event", "views_per_minute", "views_per_hour", "rep_flags",
         "funnel_flag", "session_counts", "session_stats", "hour_counts", "weekday_counts",
