@@ -12,8 +12,8 @@ never ends.  So:
 * Cold keys use plain windows (one hash exchange on the key).
 * Hot rows are range-partitioned on (key, order) - Spark samples the bounds
   and bins rows by binary search - so a hot key is cut into contiguous chunks
-  of about ``chunk_rows`` rows.  The chunk id is materialised with a reliable
-  ``checkpoint()`` so that every branch below sees the same chunks.  Windows
+  of about ``chunk_rows`` rows.  The chunk id is written once as a table in
+  the shared checkpoint folder so that every branch below sees the same chunks.  Windows
   then run per (key, chunk).  Values that cross a chunk border are taken from
   a boundary table holding the first and last ``depth`` rows of every chunk
   (at most ``2 * depth`` rows per chunk), and running sums get per-chunk
@@ -31,7 +31,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionary.session import checkpoint_dir
+from sessionary.session import materialize
 
 CHUNK = "_chunk"
 DEFAULT_HOT_ROWS = 4_000_000
@@ -97,12 +97,12 @@ def sequence(df: DataFrame, keys: list[str], order: list[str], *,
     tagged = df.join(F.broadcast(hot_df), on=keys, how="left")
     cold = (tagged.where(F.col("_hot").isNull()).drop("_hot")
             .withColumn(CHUNK, F.lit(-1)))
-    checkpoint_dir(spark)
-    hot_rows_df = (tagged.where(F.col("_hot")).drop("_hot")
-                   .repartitionByRange(n_chunks, *[F.col(k) for k in keys],
-                                       *[F.col(o) for o in order])
-                   .withColumn(CHUNK, F.spark_partition_id())
-                   .checkpoint(eager=True))
+    # chunk ids come from the range partitioning: written once (one pass,
+    # shared folder) so that every later branch reads the same chunks
+    hot_rows_df = materialize(
+        tagged.where(F.col("_hot")).drop("_hot")
+        .repartitionByRange(n_chunks, *[F.col(k) for k in keys], *[F.col(o) for o in order])
+        .withColumn(CHUNK, F.spark_partition_id()))
     both = cold.unionByName(hot_rows_df)
     return Sequenced(both, list(keys), list(order), split=True, depth=depth,
                      hot_keys=len(hot))
