@@ -662,3 +662,44 @@ def q_visitor_features_sql(spark, sf_dir):
     out = load_queries(spark, {"visitor": os.path.join(SQL_DIR, "visitor_features.sql")},
                        {"events": events})["visitor"]
     return rounded(out.select("visitorid", *V.FEATURE_COLUMNS))
+
+
+HDBSCAN_GRID = {"min_cluster_size": [1000, 2000, 4000], "min_samples": [38]}
+
+
+@register("grid_runs_hdbscan")
+def q_grid_runs_hdbscan(spark, sf_dir):
+    """M13 + S4 + M12 for HDBSCAN: each grid point fitted and logged with its
+    silhouette; the quadratic part is shared by grid points with the same
+    min_samples."""
+    from sessionary.operators.detection import AnomalyDetection
+    from sessionary.session import materialize
+    feats = _features(spark, sf_dir)
+    sel = PR.feature_selection(feats)
+    scaled = materialize(PR.normalize(feats, "min_max", sel, keep=("visitorid",))
+                         .fillna(0.0, sel))
+    ids, pts = HD.points_of(scaled, sel, "visitorid")
+    log = SK.RunLog(spark, _scratch(spark, "runs"), "anomaly_detection")
+    parent = log.new_run()
+    prepared = {}
+    for params in SK.param_grid(HDBSCAN_GRID):
+        ms = params["min_samples"]
+        if ms not in prepared:
+            prepared[ms] = HD.mst_edges_for(pts, ms)
+        run = log.new_run()
+        det = AnomalyDetection("hdbscan", **params).fit_prepared(scaled, sel, prepared[ms], ids)
+        log.log_params(run, "hdbscan", params, parent)
+        log.log_config(run, {"features": sel, **params})
+        labels = det.model.result.labels
+        vecs = (ids.join(labels.select("id", "label"), "id").join(scaled, "visitorid")
+                .select("id", F.array(*[F.col(c).cast("double") for c in sel]).alias("v"),
+                        "label"))
+        sil = N.silhouette_score(vecs, noise_label=-1, sample_size=100_000)
+        log.log_metrics_df(run, sil.select(F.lit("silhouette_score_sample").alias("key"),
+                                           F.col("silhouette").alias("value")))
+        log.log_metrics_df(run, labels.agg(
+            F.count_if(F.col("label") >= 0).cast("double").alias("value"))
+            .select(F.lit("clustered_points").alias("key"), "value"))
+    runs = log.table("runs").where(F.col("param") == "min_cluster_size") \
+        .select("run_id", F.col("value").alias("min_cluster_size"))
+    return log.table("metrics").join(runs, "run_id").select("min_cluster_size", "key", "value")
