@@ -66,44 +66,78 @@ def min_profile(df: DataFrame, features: list[str] | None = None) -> DataFrame:
     return _min_profile_from_counts(value_counts(df, features))
 
 
+def _literal_map(values: dict, value_type: str = "double"):
+    """A per-feature constant as a map literal (no join needed)."""
+    items = []
+    for k, v in values.items():
+        items += [F.lit(k), F.lit(v).cast(value_type)]
+    return F.create_map(*items) if items else F.create_map()
+
+
 def summary_without_min(df: DataFrame, features: list[str] | None = None,
                         accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """F1 plus statistics of the values other than the minimum.
 
     min, q1, median, mean, q3, max, std_dev, variance (n-1); exact linear
     quantiles; an empty remainder gives NULLs.  Ordered by ``min_count``.
-    Everything is computed from the per-value counts table (one pass over the
-    data); the variance is two-pass (centred) on that compact table.
+
+    Plan: the per-value counts table (one map-side-combined pass over the
+    data) -> one per-feature aggregate collected to the driver (min, its
+    count, rows, the remainder's count, mean and number of distinct values)
+    -> one aggregate for the centred variance, min, max and the exact
+    quantiles (cumulative counts), with the per-feature constants applied as
+    literal maps instead of joins.
     """
-    from sessionary.operators.quantiles import quantiles_from_counts
+    from sessionary.operators.quantiles import exact_quantiles, _small_group_quantiles
     from sessionary.session import materialize
     features = features or feature_names(df)
+    spark = df.sparkSession
     # short lineage (one aggregate over the input): cached, not written
     vc = materialize(value_counts(df, features), "persist")
-    # one row per feature: read once, reused by the branches below
-    prof_rows = _min_profile_from_counts(vc).collect()
-    prof = df.sparkSession.createDataFrame(
-        prof_rows, "feature string, min_value double, min_count long, min_percentage double")
-    rest = (vc.join(F.broadcast(prof.select("feature", "min_value")), "feature")
-            .where(F.col("value") != F.col("min_value")))
-    first = rest.groupBy("feature").agg(
-        F.sum("c").alias("_n"), (F.sum(F.col("c") * F.col("value")) / F.sum("c")).alias("mean"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    second = (rest.join(first.select("feature", "mean"), "feature")
-              .groupBy("feature").agg(F.sum(F.col("c") * (F.col("value") - F.col("mean"))
-                                            * (F.col("value") - F.col("mean"))).alias("_ss")))
-    moments = first.join(second, "feature").select(
-        "feature", "min", "mean", "max",
-        F.try_divide(F.col("_ss"), F.col("_n") - 1).alias("variance"))
-    moments = moments.withColumn("std_dev", F.sqrt("variance"))
-    qs = quantiles_from_counts(rest.select("feature", F.col("value").alias("_v"), "c"),
-                               ["feature"], {"q1": 0.25, "median": 0.5, "q3": 0.75}, accuracy,
-                               fallback=(long_form(df, features).join(
-                                   F.broadcast(prof.select("feature", "min_value")), "feature")
-                                   .where(F.col("value") != F.col("min_value"))))
-    out = (prof.join(moments, "feature", "left").join(qs, "feature", "left")
-           .select("feature", "min_value", "min_count", "min_percentage", "min", "q1",
-                   "median", "mean", "q3", "max", "std_dev", "variance"))
+    nn = F.col("value").isNotNull()
+    per = vc.groupBy("feature").agg(
+        F.min("value").alias("min_value"),
+        F.min_by("c", F.when(nn, F.col("value"))).alias("min_count"),
+        F.sum("c").alias("rows"),
+        F.sum(F.when(nn, F.col("c"))).alias("n_all"),
+        F.sum(F.when(nn, F.col("c") * F.col("value"))).alias("s_all"),
+        F.count("value").alias("distinct")).collect()
+    info = {}
+    for r in per:
+        mc = r["min_count"] or 0
+        n_rest = (r["n_all"] or 0) - mc
+        s_rest = (r["s_all"] or 0.0) - (r["min_value"] or 0.0) * mc
+        info[r["feature"]] = dict(min_value=r["min_value"], min_count=mc, rows=r["rows"],
+                                  n_rest=n_rest, mean=(s_rest / n_rest) if n_rest else None,
+                                  distinct=r["distinct"])
+    mins = _literal_map({f: v["min_value"] for f, v in info.items()})
+    means = _literal_map({f: v["mean"] for f, v in info.items() if v["mean"] is not None})
+    rest = vc.where(F.col("value") != F.element_at(mins, F.col("feature")))
+    dev = F.col("value") - F.element_at(means, F.col("feature"))
+    moments = rest.groupBy("feature").agg(
+        F.min("value").alias("min"), F.max("value").alias("max"),
+        F.sum("c").alias("_n"), F.sum(F.col("c") * dev * dev).alias("_ss"))
+    if max([v["distinct"] for v in info.values()] or [0]) <= 4 * accuracy:
+        qlong = _small_group_quantiles(None, ["feature"], [0.25, 0.5, 0.75],
+                                       rest.select("feature", F.col("value").alias("_v"),
+                                                   F.col("c").alias("_c")))
+    else:
+        rows = long_form(df, features)
+        qlong = exact_quantiles(rows.where(F.col("value") != F.element_at(mins, F.col("feature"))),
+                                ["feature"], "value", [0.25, 0.5, 0.75], accuracy)
+    qs = qlong.groupBy("feature").agg(*[
+        F.max(F.when(F.col("q") == F.lit(p), F.col("quantile"))).alias(n)
+        for n, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))])
+    var = F.try_divide(F.col("_ss"), F.col("_n") - 1)
+    stats = moments.join(qs, "feature", "full")
+    prof = spark.createDataFrame(
+        [(f, v["min_value"], int(v["min_count"]),
+          float(np.round(v["min_count"] / v["rows"] * 100.0, 2)) if v["rows"] else None,
+          v["mean"]) for f, v in info.items()],
+        "feature string, min_value double, min_count long, min_percentage double, mean double")
+    out = prof.join(stats, "feature", "left").select(
+        "feature", "min_value", "min_count", "min_percentage", "min", "q1", "median",
+        "mean", "q3", "max", F.sqrt(var).alias("std_dev"), var.alias("variance"))
     return out.orderBy("min_count", "feature")
 
 
