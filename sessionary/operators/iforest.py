@@ -244,9 +244,11 @@ def fit(df: DataFrame, features: list[str], key: str = "visitorid", n_estimators
                                   "max_features": max_features, "bootstrap": bootstrap,
                                   "random_state": random_state})
     if contamination != "auto":
+        # exact percentile without a single-task merge (sketch bracket + counts)
+        from sessionary.operators.quantiles import exact_quantiles
         scored = model.transform(df.select(key, *features), keep=[key])
-        q = scored.agg(F.percentile("score_samples", float(contamination))).first()[0]
-        model.offset = float(q)
+        q = exact_quantiles(scored, [], "score_samples", [float(contamination)]).first()
+        model.offset = float(q["quantile"])
     return model
 
 

@@ -123,9 +123,10 @@ def k_distance_curve(points: DataFrame, k: int | None = None, tail: int | None =
     if k is None:
         dims = dims or len(points.select("v").first()["v"])
         k = 2 * dims
-    kd = knn_distances(points, k, block_rows).select(
-        F.element_at("d", -1).alias("distance_sq"))
-    # rank by counting: position = number of smaller values + ties before
+    from sessionary.session import materialize
+    # the quadratic part runs once; the tail and the count read the table
+    kd = materialize(knn_distances(points, k, block_rows).select(
+        F.element_at("d", -1).alias("distance_sq")))
     if tail is not None:
         top = kd.orderBy(F.desc("distance_sq")).limit(tail)
         n = kd.count()

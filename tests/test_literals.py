@@ -117,3 +117,12 @@ def test_hot_visitor_path_matches_plain(spark):
     a = V.visitor_features(ev, skew="off").orderBy("visitorid").toPandas()
     b = V.visitor_features(ev, skew="split", hot_rows=10).orderBy("visitorid").toPandas()
     pd.testing.assert_frame_equal(a.round(9), b.round(9), check_dtype=False)
+
+
+def test_event_codes_like_categories(spark):
+    import pandas as pd
+    ev = spark.createDataFrame(pd.DataFrame({"event": ["b", "a", "c", "a", None]}))
+    for bound in (100, 1):  # broadcast table and distributed ranking
+        out = P.event_codes(ev, max_categories=bound).toPandas()
+        got = dict(zip(out["event"].fillna("<na>"), out["event_code"]))
+        assert got == {"a": 0, "b": 1, "c": 2, "<na>": -1}
