@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionary.operators.graph import connected_components, local_components
+from sessionary.operators.graph import connected_components, global_rank, local_components
 from sessionary.operators.neighbors import (
     DEFAULT_BLOCK_ROWS,
     _sqdist,
@@ -123,10 +123,8 @@ def dbscan(points: DataFrame, eps: float = 1.2, min_samples: int = 38,
         core_edges, flagged.where("core").select(F.col("id").alias("node")))
     # clusters numbered 0.. in order of their smallest core id
     names = comps.select("component").distinct()
-    from sessionary.operators.neighbors import _rank_sorted
-    numbered = (_rank_sorted(names.select(F.col("component").cast("double").alias("c")), "c")
-                .select(F.col("c").cast("long").alias("component"),
-                        (F.col("rank") - 1).cast("int").alias("cluster")))
+    numbered = (global_rank(names, ["component"], "rank")
+                .select("component", (F.col("rank") - 1).cast("int").alias("cluster")))
     core_lab = comps.join(numbered, "component").select(F.col("node").alias("id"), "cluster")
     border = (links.where(F.col("kind") == 1)
               .join(comps.select(F.col("node").alias("rep"), "component"), "rep")

@@ -135,27 +135,9 @@ def k_distance_curve(points: DataFrame, k: int | None = None, tail: int | None =
         # the tail holds ``tail`` rows: a single small window is fine here
         return top.select((F.lit(n + 1) - F.row_number().over(w)).alias("rank"),
                           "distance_sq", F.sqrt("distance_sq").alias("distance"))
-    return _rank_sorted(kd, "distance_sq")
-
-
-def _rank_sorted(df: DataFrame, col: str) -> DataFrame:
-    """1-based ascending positions of ``col`` without a single-partition window:
-    a range-partitioned sort, then partition offsets from per-partition counts."""
-    from sessionary.session import materialize
-    srt = df.orderBy(col)
-    # partition ids must be the same in both branches below: compute them once
-    with_part = materialize(srt.select(col, F.spark_partition_id().alias("_p"),
-                                       F.monotonically_increasing_id().alias("_m")))
-    from pyspark.sql import Window
-    counts = with_part.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
-    off = counts.select("_p", (F.sum("_c").over(Window.orderBy("_p")
-                                                .rowsBetween(Window.unboundedPreceding, -1)))
-                        .alias("_off"))
-    wp = Window.partitionBy("_p").orderBy("_m")
-    # one row per partition in ``off``: broadcast-sized
-    return (with_part.join(F.broadcast(off), "_p")
-            .select((F.coalesce("_off", F.lit(0)) + F.row_number().over(wp)).alias("rank"),
-                    col, F.sqrt(col).alias("distance")))
+    from sessionary.operators.graph import global_rank
+    ranked = global_rank(kd, ["distance_sq"], "rank")
+    return ranked.select("rank", "distance_sq", F.sqrt("distance_sq").alias("distance"))
 
 
 # ------------------------------------------------------------------ silhouette

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionary.functions.columns import numpy_round
-from sessionary.operators.quantiles import DEFAULT_ACCURACY, quantile_columns
+from sessionary.operators.quantiles import DEFAULT_ACCURACY
 
 KEY_COLUMNS = ("visitorid",)
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,

@@ -75,7 +75,7 @@ def q_event_counts(spark, sf_dir):
 # ------------------------------------------------------------ sources / prep
 
 from sessionary.operators import ratings as R  # noqa: E402
-from sessionary.sources.tables import raw_events, prepare_raw  # noqa: E402
+from sessionary.sources.tables import raw_events  # noqa: E402
 from sessionary.functions.time import epoch_ms_to_timestamp  # noqa: E402
 from sessionary.functions.columns import fill_missing_id  # noqa: E402
 

@@ -126,3 +126,18 @@ def test_event_codes_like_categories(spark):
         out = P.event_codes(ev, max_categories=bound).toPandas()
         got = dict(zip(out["event"].fillna("<na>"), out["event_code"]))
         assert got == {"a": 0, "b": 1, "c": 2, "<na>": -1}
+
+
+def test_one_row_group_and_constant_column(spark):
+    import math
+    from sessionary.operators.profile import normalize
+    from sessionary.operators.stats import describe_by
+    df = spark.createDataFrame([("a", 1.0, 5.0), ("a", 3.0, 5.0), ("b", 7.0, 5.0)],
+                               "g string, x double, k double")
+    d = describe_by(df, "g", "x").toPandas().set_index("g")
+    assert d.loc["b", "count"] == 1 and math.isnan(d.loc["b", "std"])
+    assert d.loc["a", "p50"] == 2.0
+    z = normalize(df, "z_score", ["x", "k"]).toPandas()
+    assert z["k"].isna().all() and not z["x"].isna().any()
+    m = normalize(df, "min_max", ["x", "k"]).toPandas()
+    assert m["k"].isna().all() and list(m["x"]) == [0.0, 2 / 6, 1.0]
