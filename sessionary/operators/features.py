@@ -239,6 +239,11 @@ def visitor_features(events: DataFrame, gap_seconds: float = SESSION_GAP_SECONDS
                      skew: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """The 40-column visitor feature table from canonical events."""
     enh, split = _enhance(events, gap_seconds, skew, hot_rows)
+    if split:
+        # three aggregates read the enhanced events: compute the chunked
+        # windows and border repairs once instead of once per branch
+        from sessionary.session import materialize
+        enh = materialize(enh)
     return aggregate_features(enh, drop_bouncers, weekday_compat, windowed=not split)
 
 
