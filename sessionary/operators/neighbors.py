@@ -195,11 +195,29 @@ def silhouette_samples(points: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS,
 
 
 def silhouette_score(points: DataFrame, noise_label=-1, sample_size: int | None = 100_000,
-                     key_seed: int = 0, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                     key_seed: int = 0, block_rows: int = DEFAULT_BLOCK_ROWS,
+                     distance: str = "euclidean") -> DataFrame:
     """Mean silhouette over non-noise points (one row: n, silhouette).
 
-    With more than ``sample_size`` points an exact-size hash sample is used.
+    ``distance="euclidean"`` (the reference's metric) is exact and quadratic;
+    with more than ``sample_size`` points an exact-size hash sample is used.
+    ``distance="squaredEuclidean"`` uses Spark ML's ``ClusteringEvaluator``:
+    linear in n (per-cluster sums), exact for squared distances - a
+    different number, for data too large for the quadratic form.
     """
+    if distance == "squaredEuclidean":
+        from pyspark.ml.evaluation import ClusteringEvaluator
+        from pyspark.ml.functions import array_to_vector
+        pts = points.where(F.col("label") != F.lit(noise_label)) if noise_label is not None \
+            else points
+        data = pts.select(array_to_vector("v").alias("features"),
+                          F.col("label").cast("double").alias("prediction"))
+        n = data.count()
+        value = ClusteringEvaluator(distanceMeasure="squaredEuclidean",
+                                    metricName="silhouette").evaluate(data) if n else None
+        return points.sparkSession.createDataFrame([(n, value)], "n long, silhouette double")
+    if distance != "euclidean":
+        raise ValueError(f"unknown distance {distance!r}")
     from sessionary.operators.sampling import H, U, bottom_k, uniform_hash
     pts = points.where(F.col("label") != F.lit(noise_label)) if noise_label is not None \
         else points

@@ -703,3 +703,12 @@ def q_grid_runs_hdbscan(spark, sf_dir):
     runs = log.table("runs").where(F.col("param") == "min_cluster_size") \
         .select("run_id", F.col("value").alias("min_cluster_size"))
     return log.table("metrics").join(runs, "run_id").select("min_cluster_size", "key", "value")
+
+
+@register("silhouette_sq")
+def q_silhouette_sq(spark, sf_dir):
+    """M12, linear-cost variant: squared-Euclidean silhouette (Spark ML)."""
+    emb = _read(spark, sf_dir, "embeddings")
+    pts = N.vectors(emb, "vec_id", "embedding").join(
+        emb.select(F.col("vec_id").alias("id"), "label"), "id")
+    return rounded(N.silhouette_score(pts, noise_label=-1, distance="squaredEuclidean"))

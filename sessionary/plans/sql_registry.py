@@ -283,3 +283,15 @@ FROM pairs WHERE d2 <= 1.2 * 1.2 GROUP BY id"""
 ORACLE["artifact_roundtrip"] = ORACLE["event_counts"]
 
 ORACLE["visitor_features_sql"] = ORACLE["visitor_features"]
+
+ORACLE["silhouette_sq"] = f"""WITH {_EMB},
+per AS (SELECT id, label, olabel, SUM(d2) AS s, COUNT(*) AS c FROM pairs
+        GROUP BY id, label, olabel),
+ab AS (SELECT id,
+              MAX(CASE WHEN label = olabel THEN s / NULLIF(c - 1, 0) END) AS a,
+              MAX(CASE WHEN label = olabel THEN c END) AS size,
+              MIN(CASE WHEN label != olabel THEN s / c END) AS b
+       FROM per GROUP BY id)
+SELECT CAST(COUNT(*) AS BIGINT) AS n,
+       round(AVG(CASE WHEN size <= 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
+FROM ab"""

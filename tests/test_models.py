@@ -223,3 +223,20 @@ def test_corr_constant_and_perfect_pairs(spark):
     cnt = correlated_counts(df, list(pdf.columns)).toPandas().set_index("feature")
     # +1 pairs are not counted (r == 1.0), -1 pairs are
     assert cnt.loc["a", "correlated_count"] == 1 and cnt.loc["d", "correlated_count"] == 0
+
+
+def test_silhouette_squared_euclidean_linear_variant(spark, blobs):
+    X, lab = blobs
+    got = N.silhouette_score(_points(spark, X, lab), noise_label=2,
+                             distance="squaredEuclidean").first()
+    keep = lab != 2
+    Y, L = X[keep], lab[keep]
+    d = ((Y[:, None] - Y[None]) ** 2).sum(-1)
+    s = []
+    for i in range(len(Y)):
+        same = (L == L[i]); same[i] = False
+        a = d[i, same].mean()
+        b = min(d[i, L == o].mean() for o in set(L) if o != L[i])
+        s.append((b - a) / max(a, b))
+    assert got["n"] == keep.sum()
+    assert math.isclose(got["silhouette"], float(np.mean(s)), rel_tol=1e-6)

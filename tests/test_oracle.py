@@ -14,7 +14,8 @@ FAST = ["visitor_features", "visitor_features_user_day", "visitor_features_sql",
         "dedup_latest", "rating_map", "ratings", "ratings_multi", "profile_min",
         "profile_summary", "corr_counts", "feature_selection", "norm_minmax",
         "describe_by_label", "kde_group", "k_distance_tail", "silhouette", "dbscan_core",
-        "sample_stratified_counts", "sample_random_count", "label_correction", "downcast"]
+        "sample_stratified_counts", "sample_random_count", "label_correction", "downcast",
+        "silhouette_sq"]
 
 
 def _norm(v):
