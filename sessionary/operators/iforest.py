@@ -207,14 +207,32 @@ def tree_samples(df: DataFrame, key: str, n_estimators: int, psi: int, n: int,
     return bottom_k(cand, ["tree_id"], targets, [key], widths=(8.0, 32.0)).drop(U, H)
 
 
+def bootstrap_samples(df: DataFrame, key: str, n_estimators: int, psi: int, n: int,
+                      seed: int = 42) -> DataFrame:
+    """Samples with replacement: ``psi`` draws per tree, duplicates kept.
+
+    Rows get dense positions 0..n-1 (distributed ranking); the draws are a
+    ``T * psi`` table from a seeded generator (bounded: broadcast) and an
+    equi-join on the position pulls the drawn rows, once per draw.
+    """
+    from sessionary.operators.graph import global_rank
+    spark = df.sparkSession
+    rng = np.random.default_rng([seed, 7])
+    draws = pd.DataFrame({"tree_id": np.repeat(np.arange(n_estimators), psi).astype("int32"),
+                          "_pos": rng.integers(0, n, size=n_estimators * psi)})
+    picks = spark.createDataFrame(draws, "tree_id int, _pos long")
+    ranked = global_rank(df, [key], "_pos").withColumn("_pos", F.col("_pos") - 1)
+    return ranked.join(F.broadcast(picks), "_pos").drop("_pos")
+
+
 def fit(df: DataFrame, features: list[str], key: str = "visitorid", n_estimators: int = 100,
         max_samples="auto", contamination="auto", max_features: float = 1.0,
         bootstrap: bool = False, random_state: int = 42, n: int | None = None,
         **_ignored) -> IsolationForestModel:
-    """M2: fit an isolation forest on ``df[features]`` (``key`` must be unique)."""
-    if bootstrap:
-        raise NotImplementedError("bootstrap=True is not supported (sampling is without "
-                                  "replacement, as with the default)")
+    """M2: fit an isolation forest on ``df[features]`` (``key`` must be unique).
+
+    ``bootstrap=False`` draws each tree's ``psi`` rows without replacement
+    (bottom-k by hash); ``bootstrap=True`` with replacement."""
     n = n if n is not None else df.count()
     if max_samples == "auto":
         psi = min(256, n)
@@ -232,7 +250,8 @@ def fit(df: DataFrame, features: list[str], key: str = "visitorid", n_estimators
         for t in range(n_estimators):
             pick = sorted(rng.choice(len(features), n_feat, replace=False))
             tree_features[t] = [features[i] for i in pick]
-    sample = tree_samples(df.select(key, *features), key, n_estimators, psi, n, random_state)
+    draw = bootstrap_samples if bootstrap else tree_samples
+    sample = draw(df.select(key, *features), key, n_estimators, psi, n, random_state)
     nodes = (sample.groupBy("tree_id")
              .applyInPandas(_grow(features, psi, random_state, max_depth, tree_features),
                             NODE_SCHEMA))

@@ -240,3 +240,14 @@ def test_silhouette_squared_euclidean_linear_variant(spark, blobs):
         s.append((b - a) / max(a, b))
     assert got["n"] == keep.sum()
     assert math.isclose(got["silhouette"], float(np.mean(s)), rel_tol=1e-6)
+
+
+def test_forest_bootstrap_samples(spark, forest):
+    df, _ = forest
+    s = IF.bootstrap_samples(df.select("visitorid", "a"), "visitorid", 4, 256, 600, 42).toPandas()
+    assert (s.groupby("tree_id").size() == 256).all()
+    assert s.duplicated(["tree_id", "visitorid"]).any()      # with replacement
+    m = IF.fit(df, ["a", "b", "c"], n_estimators=10, bootstrap=True)
+    assert (m.nodes[m.nodes["depth"] == 0]["n"] == 256).all()
+    sc = m.transform(df, keep=["visitorid"]).toPandas()
+    assert sc["anomaly_score"].between(-0.5, 0.5).all()
