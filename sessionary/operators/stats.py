@@ -13,6 +13,7 @@ from sessionary.operators.quantiles import DEFAULT_ACCURACY, quantile_columns
 
 GRID_SIZE = 200   # fixed value: points of a density curve
 CUT = 3.0         # fixed value: curve extends this many bandwidths past the data
+MAX_LITERAL_GROUPS = 10_000  # per-group constants as literals up to this many groups
 
 
 def describe_by(df: DataFrame, group: str, measure: str, digits: int = 2,
@@ -63,9 +64,10 @@ def density_curves(df: DataFrame, measure: str, group: str | None = None,
     """A3: Gaussian KDE per group (and over all rows as ``ALL``).
 
     Scott's rule: bandwidth ``h = std(ddof=1) * n ** (-1/5)``; the grid spans
-    ``[min - cut h, max + cut h]`` in ``grid_size`` points.  Each row is
-    expanded over the fixed grid and the kernel sums are combined map-side,
-    so the shuffle holds ``groups x grid_size`` partial rows per task.
+    ``[min - cut h, max + cut h]`` in ``grid_size`` points.  The per-group
+    constants (one row per group) enter as literal maps, each row is expanded
+    over the fixed grid and the kernel sums are combined map-side, so the
+    shuffle holds ``groups x grid_size`` partial rows per task.
     Output: (group, point, x, density).
     """
     x = F.col(measure).cast("double")
@@ -83,11 +85,27 @@ def density_curves(df: DataFrame, measure: str, group: str | None = None,
         .where(F.col("_h") > 0)
         .withColumn("_g0", F.col("_lo") - F.lit(cut) * F.col("_h"))
         .withColumn("_step", (F.col("_hi") - F.col("_lo") + F.lit(2 * cut) * F.col("_h"))
-                    / F.lit(grid_size - 1)))
-    # one row per group: bounded by the number of groups
-    expanded = (data.join(F.broadcast(params), "group")
-                .select("group", "_x", "_n", "_h", "_g0", "_step",
-                        F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("point")))
+                    / F.lit(grid_size - 1))
+        .select("group", "_n", "_h", "_g0", "_step"))
+    rows = params.limit(MAX_LITERAL_GROUPS + 1).collect()
+    grid = F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("point")
+    if len(rows) <= MAX_LITERAL_GROUPS:
+        # one row per group: the constants enter as literal maps (no join)
+        def lit_map(col, typ):
+            items = []
+            for r in rows:
+                items += [F.lit(r["group"]), F.lit(r[col]).cast(typ)]
+            return F.element_at(F.create_map(*items), F.col("group")) if items \
+                else F.lit(None).cast(typ)
+        expanded = (data.select("group", "_x", lit_map("_n", "long").alias("_n"),
+                                lit_map("_h", "double").alias("_h"),
+                                lit_map("_g0", "double").alias("_g0"),
+                                lit_map("_step", "double").alias("_step"))
+                    .where(F.col("_h").isNotNull())
+                    .select("group", "_x", "_n", "_h", "_g0", "_step", grid))
+    else:
+        expanded = (data.join(params, "group")
+                    .select("group", "_x", "_n", "_h", "_g0", "_step", grid))
     gx = F.col("_g0") + F.col("point") * F.col("_step")
     z = (gx - F.col("_x")) / F.col("_h")
     sums = expanded.groupBy("group", "point", "_n", "_h", "_g0", "_step").agg(

@@ -22,3 +22,19 @@ def test_scan_prunes_and_pushes(spark):
     plan = _plan(spark, "visitor_features")
     assert "PushedFilters: [In(event_type" in plan
     assert "value" not in plan.split("ReadSchema:")[1].split("\n")[0]
+
+
+def test_no_cartesian_or_nested_loop_joins(spark):
+    """No registered query pairs rows without an equi-key."""
+    from sessionary.plans.sql_registry import ORACLE
+    names = set(ORACLE) | {"iforest_score", "shap_instance", "dbscan",
+                           "feature_stats_by_anomaly", "kde_anomaly", "sample_stratified"}
+    bad = {}
+    for name, fn in QUERIES.items():
+        if name not in names:
+            continue
+        plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        hits = [k for k in ("CartesianProduct", "BroadcastNestedLoopJoin") if k in plan]
+        if hits:
+            bad[name] = hits
+    assert not bad, bad
