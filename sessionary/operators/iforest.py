@@ -202,6 +202,17 @@ def tree_samples(df: DataFrame, key: str, n_estimators: int, psi: int, n: int,
                      .alias("tree_id"))
     cand = (cand.withColumn(H, F.xxhash64(F.lit(seed), F.col(key), F.col("tree_id")))
             .withColumn(U, F.col(H).cast("double") / F.lit(TWO64) + F.lit(0.5)))
+    # about psi + 32 sd + 2 candidates per tree: small, computed once
+    from sessionary.session import materialize
+    cand = materialize(cand, "persist")
+    need = min(psi, n)
+    short = (cand.groupBy("tree_id").count().where(F.col("count") < F.lit(need))
+             .limit(1).count())
+    if short == 0:
+        # every tree has all rows below the bracket top, hence its psi smallest
+        w = Window.partitionBy("tree_id").orderBy(U, H, key)
+        return (cand.withColumn("_r", F.row_number().over(w))
+                .where(F.col("_r") <= F.lit(psi)).drop("_r", U, H))
     targets = spark.createDataFrame([(t, psi, n) for t in range(n_estimators)],
                                     "tree_id int, _k long, _n long")
     return bottom_k(cand, ["tree_id"], targets, [key], widths=(8.0, 32.0)).drop(U, H)
