@@ -212,6 +212,37 @@ def correlated_counts(df: DataFrame, features: list[str] | None = None,
             .orderBy(F.desc("correlated_count"), "feature"))
 
 
+def _selection_rows(df: DataFrame, min_percentage_threshold: float,
+                    correlated_count_threshold: int | None, features: list[str],
+                    corr_threshold: float) -> list[tuple]:
+    """(feature, min_percentage, correlated_count, selected) per feature.
+
+    Two bounded results reach the driver: one row per feature (its minimum
+    share and mean, from the per-value counts) and the correlation table of
+    the kept features (kept^2 rows)."""
+    vc = value_counts(df, features)
+    rows = (_min_profile_from_counts(vc).join(
+        vc.groupBy("feature").agg((F.sum(F.col("c") * F.col("value"))
+                                   / F.sum(F.when(F.col("value").isNotNull(), F.col("c"))))
+                                  .alias("_mean")), "feature")
+        .select("feature", "min_percentage", "_mean").collect())
+    share = {r["feature"]: r["min_percentage"] for r in rows}
+    means = {r["feature"]: r["_mean"] for r in rows}
+    kept = [c for c in features if share.get(c) is not None
+            and share[c] < min_percentage_threshold]
+    t = len(kept) // 2 if correlated_count_threshold is None else correlated_count_threshold
+    counts = {c: 0 for c in kept}
+    if kept:
+        # means shift the sums (well conditioned); kept^2 rows come back
+        for r in correlation_long(df, kept, shift=means).collect():
+            rv = r["r"]
+            if (r["feature_a"] != r["feature_b"] and rv is not None
+                    and abs(rv) > corr_threshold and rv < ONE):
+                counts[r["feature_a"]] += 1
+    return [(c, share.get(c), counts.get(c), c in counts and counts[c] < t)
+            for c in features]
+
+
 def feature_selection_table(df: DataFrame, min_percentage_threshold: float = 95.0,
                             correlated_count_threshold: int | None = None,
                             features: list[str] | None = None,
@@ -223,30 +254,10 @@ def feature_selection_table(df: DataFrame, min_percentage_threshold: float = 95.
     ``t = kept // 2`` by default.  Only per-feature metadata reaches the driver.
     """
     features = features or feature_names(df)
-    spark = df.sparkSession
-    vc = value_counts(df, features)
-    # one row per feature reaches the driver: min share and mean (the shift
-    # that keeps the correlation sums well conditioned)
-    rows = (_min_profile_from_counts(vc).join(
-        vc.groupBy("feature").agg((F.sum(F.col("c") * F.col("value"))
-                                   / F.sum(F.when(F.col("value").isNotNull(), F.col("c"))))
-                                  .alias("_mean")), "feature")
-        .select("feature", "min_percentage", "_mean").collect())
-    prof = spark.createDataFrame([(r["feature"], r["min_percentage"]) for r in rows],
-                                 "feature string, min_percentage double")
-    kept = {r["feature"] for r in rows if r["min_percentage"] is not None
-            and r["min_percentage"] < min_percentage_threshold}
-    kept = [c for c in features if c in kept]
-    means = {r["feature"]: r["_mean"] for r in rows}
-    t = len(kept) // 2 if correlated_count_threshold is None else correlated_count_threshold
-    if kept:
-        counts = correlated_counts(df, kept, corr_threshold, shift=means)
-    else:
-        counts = spark.createDataFrame([], "feature string, correlated_count bigint")
-    return (prof.join(counts, "feature", "left")
-            .select("feature", "min_percentage", "correlated_count",
-                    (F.col("correlated_count").isNotNull()
-                     & (F.col("correlated_count") < F.lit(t))).alias("selected")))
+    rows = _selection_rows(df, min_percentage_threshold, correlated_count_threshold,
+                           features, corr_threshold)
+    return df.sparkSession.createDataFrame(
+        rows, "feature string, min_percentage double, correlated_count long, selected boolean")
 
 
 def feature_selection(df: DataFrame, min_percentage_threshold: float = 95.0,
@@ -254,10 +265,9 @@ def feature_selection(df: DataFrame, min_percentage_threshold: float = 95.0,
                       features: list[str] | None = None) -> list[str]:
     """the selected feature names, in table column order."""
     features = features or feature_names(df)
-    table = feature_selection_table(df, min_percentage_threshold,
-                                    correlated_count_threshold, features)
-    chosen = {r["feature"] for r in table.where("selected").collect()}
-    return [c for c in features if c in chosen]
+    rows = _selection_rows(df, min_percentage_threshold, correlated_count_threshold,
+                           features, 0.8)
+    return [r[0] for r in rows if r[3]]
 
 
 def normalize(df: DataFrame, method: str = "z_score", features: list[str] | None = None,
