@@ -712,3 +712,24 @@ def q_silhouette_sq(spark, sf_dir):
     pts = N.vectors(emb, "vec_id", "embedding").join(
         emb.select(F.col("vec_id").alias("id"), "label"), "id")
     return rounded(N.silhouette_score(pts, noise_label=-1, distance="squaredEuclidean"))
+
+
+# ------------------------------------------------------------ the hot-visitor path
+
+HOT_ROWS_DEMO = 32   # visitors with more events than this take the chunked path
+
+
+@register("visitor_features_hot")
+def q_visitor_features_hot(spark, sf_dir):
+    """V21 through the hot-visitor path: every visitor above HOT_ROWS_DEMO
+    events is range-split into chunks with border repair."""
+    ev = canonical_events(spark, sf_dir, "user")
+    return rounded(V.visitor_features(ev, skew="split", hot_rows=HOT_ROWS_DEMO))
+
+
+@register("sessionize_hot")
+def q_sessionize_hot(spark, sf_dir):
+    """P3 through the hot-visitor path."""
+    ev = canonical_events(spark, sf_dir, "user")
+    return P.sessionize(ev, skew="split", hot_rows=HOT_ROWS_DEMO).select(
+        "event_id", "visitorid", "session_id")

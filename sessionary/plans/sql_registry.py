@@ -295,3 +295,7 @@ ab AS (SELECT id,
 SELECT CAST(COUNT(*) AS BIGINT) AS n,
        round(AVG(CASE WHEN size <= 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
 FROM ab"""
+
+# the hot-visitor path must give the same tables
+ORACLE["visitor_features_hot"] = ORACLE["visitor_features"]
+ORACLE["sessionize_hot"] = ORACLE["sessionize"]

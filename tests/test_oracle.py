@@ -15,7 +15,7 @@ FAST = ["visitor_features", "visitor_features_user_day", "visitor_features_sql",
         "profile_summary", "corr_counts", "feature_selection", "norm_minmax",
         "describe_by_label", "kde_group", "k_distance_tail", "silhouette", "dbscan_core",
         "sample_stratified_counts", "sample_random_count", "label_correction", "downcast",
-        "silhouette_sq"]
+        "silhouette_sq", "visitor_features_hot", "sessionize_hot"]
 
 
 def _norm(v):
