@@ -84,6 +84,14 @@ def bottom_k(rows: DataFrame, groups: list[str], targets: DataFrame,
     return sure.unionByName(ranked).drop("_lo", "_hi", "_k")
 
 
+def bracket_top(k: int, n: int, sigmas: float = 32.0) -> float:
+    """Top of the widest sampling bracket (the value ``bottom_k`` uses)."""
+    if k >= n:
+        return 1.01
+    p = k / n
+    return min(1.0, (k + sigmas * math.sqrt(n * p * (1 - p)) + 2.0) / n)
+
+
 def _largest_remainder(counts: dict, total: int) -> dict:
     """Split ``total`` over classes in proportion to ``counts`` (exact sum)."""
     n = sum(counts.values())
@@ -118,10 +126,23 @@ def stratified_samples(df: DataFrame, label: str, key: str, n_splits: int,
     targets = spark.createDataFrame(
         [(s, c, alloc[c], counts[c]) for s in range(n_splits) for c in counts],
         f"split int, {label} {df.schema[label].dataType.simpleString()}, _k long, _n long")
-    rows = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("split"))
+    # each row keeps only the splits whose hash is below its class's bracket
+    # top, before exploding: the data is never replicated n_splits times
+    items = []
+    for c in counts:
+        if c is not None:
+            items += [F.lit(c), F.lit(bracket_top(alloc[c], counts[c]))]
+    tops = F.create_map(*items) if items else F.create_map()
+    top = F.coalesce(F.element_at(tops, F.col(label)), F.lit(1.01))
+
+    def u_of(sp):
+        return F.xxhash64(F.lit(seed), F.col(key), sp).cast("double") / F.lit(TWO64) + F.lit(0.5)
+
+    splits = F.sequence(F.lit(0), F.lit(n_splits - 1))
+    rows = df.select("*", F.explode(F.filter(splits, lambda sp: u_of(sp) < top)).alias("split"))
     h, u = uniform_hash(key, "split", seed=seed)
     rows = rows.withColumn(H, h).withColumn(U, u)
-    out = bottom_k(rows, ["split", label], targets, [key]).drop(U, H)
+    out = bottom_k(rows, ["split", label], targets, [key], widths=(8.0, 32.0)).drop(U, H)
     return out.drop(label) if drop_label else out
 
 
@@ -136,8 +157,12 @@ def random_samples(df: DataFrame, key: str, n_splits: int, frac: float,
     spark = df.sparkSession
     targets = spark.createDataFrame([(s, k, n) for s in range(n_splits)],
                                     "split int, _k long, _n long")
-    rows = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("split"))
+    top = F.lit(bracket_top(k, n))
+    splits = F.sequence(F.lit(0), F.lit(n_splits - 1))
+    keep = F.filter(splits, lambda sp: F.xxhash64(sp + F.lit(seed), F.col(key)).cast("double")
+                    / F.lit(TWO64) + F.lit(0.5) < top)
+    rows = df.select("*", F.explode(keep).alias("split"))
     h = F.xxhash64(F.col("split") + F.lit(seed), F.col(key))
     rows = rows.withColumn(H, h).withColumn(U, h.cast("double") / F.lit(TWO64) + F.lit(0.5))
-    out = bottom_k(rows, ["split"], targets, [key]).drop(U, H)
+    out = bottom_k(rows, ["split"], targets, [key], widths=(8.0, 32.0)).drop(U, H)
     return out.drop(drop_last) if drop_last else out

@@ -251,3 +251,26 @@ def test_forest_bootstrap_samples(spark, forest):
     assert (m.nodes[m.nodes["depth"] == 0]["n"] == 256).all()
     sc = m.transform(df, keep=["visitorid"]).toPandas()
     assert sc["anomaly_score"].between(-0.5, 0.5).all()
+
+
+def test_samples_equal_brute_force_ranking(spark):
+    from pyspark.sql import Window
+    df = spark.range(3000).withColumnRenamed("id", "key") \
+        .withColumn("label", (F.col("key") % 7 == 0).cast("int"))
+    got = SM.random_samples(df, "key", 3, 0.1).select("split", "key").toPandas()
+    rows = df.select("key", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("split"))
+    h = F.xxhash64(F.col("split") + F.lit(42), F.col("key"))
+    w = Window.partitionBy("split").orderBy(h, "key")
+    exp = rows.withColumn("_r", F.row_number().over(w)).where("_r <= 300") \
+        .select("split", "key").toPandas()
+    assert sorted(map(tuple, got.values)) == sorted(map(tuple, exp.values))
+    st = SM.stratified_samples(df, "label", "key", 2, 0.2, drop_label=False) \
+        .select("split", "label", "key").toPandas()
+    rows = df.select("key", "label", F.explode(F.sequence(F.lit(0), F.lit(1))).alias("split"))
+    h2 = F.xxhash64(F.lit(42), F.col("key"), F.col("split"))
+    w2 = Window.partitionBy("split", "label").orderBy(h2, "key")
+    ranked = rows.withColumn("_r", F.row_number().over(w2)).toPandas()
+    quota = st.groupby(["split", "label"]).size().to_dict()
+    exp2 = ranked[ranked.apply(lambda r: r["_r"] <= quota[(r["split"], r["label"])], axis=1)]
+    assert sorted(map(tuple, st.values)) == \
+        sorted(map(tuple, exp2[["split", "label", "key"]].values))
