@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from sessionary.session import materialize
 
 
-def connected_components(edges: DataFrame, nodes: DataFrame | None = None,
-                         max_rounds: int = 200) -> DataFrame:
+def connected_components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """(node, component): component = smallest node id of the component.
 
+    Rounds go on until no label changes.
+
     ``edges``: (src, dst) undirected.  ``nodes``: optional (node) list so that
     isolated nodes appear as their own component.
     """
@@ -33,7 +34,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None,
         seeds.unionByName(both.select(F.col("b").alias("node"))).distinct()
         .join(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")), "node", "left")
         .select("node", F.least(F.col("node"), F.coalesce("m", "node")).alias("label")))
-    for _ in range(max_rounds):
+    while True:
         # neighbours' labels
         hop = (both.join(labels.withColumnRenamed("node", "b"), "b")
                .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("nl")))
@@ -48,8 +49,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None,
                    .where(F.col("label") != F.col("old")).limit(1).count())
         labels = nxt
         if changed == 0:
-            break
-    return labels.withColumnRenamed("label", "component")
+            return labels.withColumnRenamed("label", "component")
 
 
 def local_components(adj: np.ndarray) -> np.ndarray:
