@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionary.llm.common import documents
+from sessionary.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,3 +32,18 @@ def op9_token_ids(spark, sf_dir):
 def op10_best_fit_packing(spark, sf_dir):
     from sessionary.llm import packing
     return packing.pack_documents(documents(spark, sf_dir))
+
+
+@register("op4_quality_rules")
+def op4_quality_rules(spark, sf_dir):
+    from sessionary.llm import quality
+    judged = quality.judge(documents(spark, sf_dir).select("doc_id", "text"),
+                           read_table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "_rules.*")
+
+
+@register("op6_simhash_dedup")
+def op6_simhash_dedup(spark, sf_dir):
+    from sessionary.llm import simhash
+    return simhash.near_duplicates(documents(spark, sf_dir)).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
