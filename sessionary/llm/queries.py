@@ -47,3 +47,9 @@ def op6_simhash_dedup(spark, sf_dir):
     from sessionary.llm import simhash
     return simhash.near_duplicates(documents(spark, sf_dir)).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register("op5_byte_bpe")
+def op5_byte_bpe(spark, sf_dir):
+    from sessionary.llm import bytebpe
+    return bytebpe.encode_documents(documents(spark, sf_dir), digest=True)
