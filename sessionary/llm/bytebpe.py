@@ -42,7 +42,7 @@ _NONE = np.int64(1) << 40
 _SHIFT = 20
 
 #: Unicode white space, as in the pattern's \s.
-_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def default_path() -> str:

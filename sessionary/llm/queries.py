@@ -53,3 +53,68 @@ def op6_simhash_dedup(spark, sf_dir):
 def op5_byte_bpe(spark, sf_dir):
     from sessionary.llm import bytebpe
     return bytebpe.encode_documents(documents(spark, sf_dir), digest=True)
+
+
+@register("op1_license_scan")
+def op1_license_scan(spark, sf_dir):
+    from sessionary.llm import licenses
+    return licenses.summary(licenses.scan(documents(spark, sf_dir)))
+
+
+@register("op8_url_filter")
+def op8_url_filter(spark, sf_dir):
+    from sessionary.llm import urlrules
+    return urlrules.judge(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
+#: Aliases are followed from each edge by a recursive query, as the components do.
+ORACLE["op8_url_filter"] = r"""
+WITH RECURSIVE rules(verdict, h, p) AS (VALUES
+    ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+    ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+found AS (
+    SELECT url, regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS link
+    FROM (SELECT url, unnest(regexp_extract_all(html,
+        '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>')) AS tag FROM pages)
+    UNION ALL
+    SELECT url, regexp_extract(tag, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) AS link
+    FROM (SELECT url, unnest(regexp_extract_all(html,
+        '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>')) AS tag FROM pages)),
+links AS (
+    SELECT url, replace(link, '&amp;', '&') AS link,
+        regexp_extract(url, '(?s)^(.*?://[^/?#]*(?:[^?#]*/)?)', 1) AS folder
+    FROM found WHERE link != '' AND contains(url, '://')),
+edges AS (
+    SELECT regexp_replace(url, '(?s)#.*', '') AS src, regexp_replace(CASE
+        WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN link
+        WHEN starts_with(link, '//') THEN regexp_extract(url, '(?s)^(.*?):', 1) || ':' || link
+        WHEN starts_with(link, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || link
+        ELSE folder || CASE WHEN ends_with(folder, '/') THEN '' ELSE '/' END || link END,
+        '(?s)#.*', '') AS dst
+    FROM links),
+both_ways AS (
+    SELECT src, dst FROM edges WHERE src != dst AND contains(dst, '://')
+    UNION SELECT dst, src FROM edges WHERE src != dst AND contains(dst, '://')),
+reach(node, alias) AS (
+    SELECT src, src FROM both_ways
+    UNION SELECT r.node, b.dst FROM reach r JOIN both_ways b ON b.src = r.alias),
+urls AS (SELECT url FROM pages UNION SELECT node FROM reach),
+parts AS (
+    SELECT url, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+    FROM urls),
+ruled AS (
+    SELECT url, host, path, arg_max(h || p, length(h || p)) AS rule,
+        arg_max(verdict, length(h || p)) AS verdict
+    FROM parts LEFT JOIN rules
+        ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+    GROUP BY url, host, path),
+blocked AS (
+    SELECT DISTINCT node FROM reach JOIN ruled ON ruled.url = reach.alias WHERE verdict = 'block')
+SELECT page_id, host, path, rule, coalesce(verdict,
+    CASE WHEN regexp_replace(pages.url, '(?s)#.*', '') IN (SELECT node FROM blocked)
+        THEN 'block' ELSE 'allow' END) AS verdict
+FROM pages JOIN ruled ON ruled.url IS NOT DISTINCT FROM pages.url
+"""
