@@ -118,3 +118,10 @@ SELECT page_id, host, path, rule, coalesce(verdict,
         THEN 'block' ELSE 'allow' END) AS verdict
 FROM pages JOIN ruled ON ruled.url IS NOT DISTINCT FROM pages.url
 """
+
+
+@register("op3_html_text")
+def op3_html_text(spark, sf_dir):
+    from sessionary.llm import htmltext
+    return htmltext.extract(read_table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.char_length("text").cast("bigint"))
