@@ -125,3 +125,9 @@ def op3_html_text(spark, sf_dir):
     from sessionary.llm import htmltext
     return htmltext.extract(read_table(spark, sf_dir, "pages")).withColumn(
         "n_chars", F.char_length("text").cast("bigint"))
+
+
+@register("op2_pii")
+def op2_pii(spark, sf_dir):
+    from sessionary.llm import pii
+    return pii.digest(pii.detect(documents(spark, sf_dir).select("doc_id", "text")))
