@@ -131,3 +131,9 @@ def op3_html_text(spark, sf_dir):
 def op2_pii(spark, sf_dir):
     from sessionary.llm import pii
     return pii.digest(pii.detect(documents(spark, sf_dir).select("doc_id", "text")))
+
+
+@register("op7_order_minhash")
+def op7_order_minhash(spark, sf_dir):
+    from sessionary.llm import ordermin
+    return ordermin.compare_edits(documents(spark, sf_dir))
