@@ -68,7 +68,8 @@ _TOKEN = re.compile(
     r"|(script|style|noscript|template|textarea|title|svg|math|iframe|object|select)\b[^<>]*>"
     r".*?(?:</\1\s*>|\Z)"
     r"|(/?)([a-zA-Z][^\s/<>]*)([^<>]*)>"
-    r"|[!?][^<>]*>)", re.S | re.I)
+    r"|[!?][^<>]*>"
+    r"|/?[a-zA-Z][^<>]*\Z)", re.S | re.I)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)

@@ -39,7 +39,7 @@ def op4_quality_rules(spark, sf_dir):
     from sessionary.llm import quality
     judged = quality.judge(documents(spark, sf_dir).select("doc_id", "text"),
                            read_table(spark, sf_dir, "labels"))
-    return judged.select("doc_id", "_rules.*")
+    return judged.select("doc_id", "__rules.*")
 
 
 @register("op6_simhash_dedup")

@@ -177,18 +177,18 @@ def deduplicate(docs: DataFrame, width: int = SHINGLE_WORDS, radius: int = RADIU
     It is the row with the smallest id (null ids last) and then the smallest
     text hash; of rows equal in both, any one.
     """
-    own = [F.col("doc_id").cast("bigint").alias("_id"),
-           F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash")]
+    own = [F.col("doc_id").cast("bigint").alias("__id"),
+           F.xxhash64(F.coalesce("text", F.lit(""))).alias("__hash")]
     prints = materialize(docs.select(*own, fingerprint_column(F.col("text"), width).alias("fp")))
-    groups = components(prints.withColumnRenamed("_id", "doc_id"), radius, tile_rows)
+    groups = components(prints.withColumnRenamed("__id", "doc_id"), radius, tile_rows)
     kept = (prints.join(groups, "fp").groupBy(F.coalesce("component_id", "fp"),
                                               F.col("component_id").isNull())
-            .agg(F.min(F.struct(F.col("_id").isNull().alias("last"), F.col("_id"),
-                                F.col("_hash"))).alias("row"))
-            .select(F.col("row._id").alias("_kid"), F.col("row._hash").alias("_khash")))
+            .agg(F.min(F.struct(F.col("__id").isNull().alias("last"), F.col("__id"),
+                                F.col("__hash"))).alias("row"))
+            .select(F.col("row.__id").alias("__kid"), F.col("row.__hash").alias("__khash")))
     rows = docs.select("*", *own)
-    rows = rows.join(kept, F.col("_id").eqNullSafe(F.col("_kid"))
-                     & (F.col("_hash") == F.col("_khash")), "left_semi")
-    one = Window.partitionBy("_id", "_hash").orderBy("_hash")
-    return (rows.withColumn("_n", F.row_number().over(one)).where("_n = 1")
-            .drop("_id", "_hash", "_n"))
+    rows = rows.join(kept, F.col("__id").eqNullSafe(F.col("__kid"))
+                     & (F.col("__hash") == F.col("__khash")), "left_semi")
+    one = Window.partitionBy("__id", "__hash").orderBy("__hash")
+    return (rows.withColumn("__n", F.row_number().over(one)).where("__n = 1")
+            .drop("__id", "__hash", "__n"))
