@@ -40,8 +40,8 @@ def session_flags(sq: Sequenced, gap_seconds: float) -> Sequenced:
 
 def sessionize(events: DataFrame, gap_seconds: float = SESSION_GAP_SECONDS, *,
                skew: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Canonical events + ``session_id``."""
-    sq = sequence(events, ["visitorid"], ORDER, skew=skew, hot_rows=hot_rows)
+    """Canonical events + ``session_id``; events without a visitor have no session and go."""
+    sq = sequence(events.where(F.col("visitorid").isNotNull()), ["visitorid"], ORDER, skew=skew, hot_rows=hot_rows)
     return session_flags(sq, gap_seconds).result().select(*events.columns, "session_id")
 
 
@@ -127,9 +127,3 @@ def downcast(df: DataFrame, floats: bool = False) -> DataFrame:
     plan = downcast_plan(df, floats)
     return df.select(*[F.col(c).cast(plan[c]).alias(c) if c in plan else F.col(c)
                        for c in df.columns])
-
-
-def prepare_events(events: DataFrame, gap_seconds: float = SESSION_GAP_SECONDS,
-                   **kw) -> DataFrame:
-    """P1-P4 in one call: canonical events in, sessionized events out."""
-    return sessionize(events, gap_seconds, **kw)

@@ -114,6 +114,9 @@ def shap_matrix(x: np.ndarray, trees, n_features: int) -> np.ndarray:
     return phi
 
 
+ROWS_AT_ONCE = 256
+
+
 class ForestExplainer:
     """E3-E7 over a fitted :class:`IsolationForestModel`."""
 
@@ -121,18 +124,22 @@ class ForestExplainer:
         self.model = model
         self.features = list(model.features)
         fidx = {f: i for i, f in enumerate(self.features)}
-        self.trees = _tree_paths(model.nodes, fidx, 1.0 / max(1, model.n_estimators))
+        self.trees = _tree_paths(model.node_rows(), fidx, 1.0 / max(1, model.n_estimators))
         self.base_value = float(sum(t[-1] for t in self.trees))
 
     def shap_values(self, df: DataFrame, key: str = "visitorid") -> DataFrame:
         """One row per input row: key, ``shap_<feature>`` ..., base_value."""
-        feats, trees, base = self.features, self.trees, self.base_value
+        feats, base = self.features, self.base_value
+        held = df.sparkSession.sparkContext.broadcast(self.trees)
         k = len(feats)
 
         def fn(batches):
             for pdf in batches:
                 x = pdf[feats].to_numpy(dtype=float)
-                phi = shap_matrix(x, trees, k) if len(x) else np.zeros((0, k))
+                # few rows at a time: the arrays are rows x leaves x path features
+                phi = np.concatenate([np.zeros((0, k))] + [
+                    shap_matrix(x[at:at + ROWS_AT_ONCE], held.value, k)
+                    for at in range(0, len(x), ROWS_AT_ONCE)])
                 out = pd.DataFrame(phi, columns=[f"shap_{f}" for f in feats])
                 out.insert(0, key, pdf[key].to_numpy())
                 out["base_value"] = base
@@ -165,13 +172,14 @@ class ForestExplainer:
                 .select(key, F.lit(feature).alias("feature"), "value", "shap_value",
                         F.lit(interaction).alias("interaction"), "interaction_value"))
 
-    def instance(self, data: DataFrame, shap: DataFrame, key_value,
-                 key: str = "visitorid") -> DataFrame:
-        """Base value and the per-feature contributions of one row."""
-        row_vals = (data.where(F.col(key) == F.lit(key_value))
-                    .select(key, *[F.col(f).cast("double").alias(f) for f in self.features])
+    def instance(self, data: DataFrame, key_value, key: str = "visitorid") -> DataFrame:
+        """Base value and the per-feature contributions of one row.
+
+        Only the wanted row is explained."""
+        row = data.where(F.col(key) == F.lit(key_value))
+        row_vals = (row.select(key, *[F.col(f).cast("double").alias(f) for f in self.features])
                     .unpivot([key], self.features, "feature", "value"))
-        row_shap = (shap.where(F.col(key) == F.lit(key_value))
+        row_shap = (self.shap_values(row, key)
                     .select(key, "base_value", *[F.col(f"shap_{f}").alias(f)
                                                 for f in self.features])
                     .unpivot([key, "base_value"], self.features, "feature", "shap_value"))

@@ -63,6 +63,7 @@ def _flag(cond: Column) -> Column:
 
 def _enhance(events: DataFrame, gap_seconds: float, skew: str,
              hot_rows: int) -> tuple[DataFrame, bool]:
+    events = events.where(F.col("visitorid").isNotNull())  # no visitor, no features
     visitor_seq = sequence(events, ["visitorid"], ORDER, skew=skew, hot_rows=hot_rows)
     visitor_seq = add_neighbors(
         visitor_seq,

@@ -35,6 +35,10 @@ from sessionary.operators.sampling import H, TWO64, U, bottom_k
 
 EULER_GAMMA = 0.5772156649015329  # fixed value: Euler-Mascheroni constant
 
+#: Columns that ``transform`` adds.
+OUTPUT_TYPES = {"path_length": "double", "score_samples": "double", "anomaly_score": "double",
+                "anomaly_label": "int"}
+
 NODE_SCHEMA = ("tree_id int, node_id int, depth int, feature string, threshold double, "
                "left int, right int, n long, leaf_value double")
 
@@ -49,14 +53,45 @@ def average_path_length(n):
     return out
 
 
+def mean_path(trees: list, x: np.ndarray) -> np.ndarray:
+    """Mean over the trees' arrays of leaf depth + c(leaf size) for each row of ``x``."""
+    total = np.zeros(len(x))
+    every = np.arange(len(x))
+    for feat, thr, left, right, val, depth in trees:
+        idx = np.zeros(len(x), dtype=int)
+        for _ in range(depth + 1):
+            f = feat[idx]
+            inner = f >= 0
+            if not inner.any():
+                break
+            go_left = x[every, np.where(inner, f, 0)] <= thr[idx]
+            idx = np.where(inner, np.where(go_left, left[idx], right[idx]), idx)
+        total += val[idx]
+    return total / max(1, len(trees))
+
+
 @dataclass
 class IsolationForestModel:
-    nodes: pd.DataFrame            # the node table (bounded: T (2 psi - 1) rows)
+    """``nodes`` is the node table in the shared folder; the driver and the
+    tasks use arrays read from it (T (2 psi - 1) rows at most)."""
+
+    nodes: DataFrame
     features: list[str]
     psi: int
     offset: float
     n_estimators: int
     params: dict = field(default_factory=dict)
+    input_types: dict = field(default_factory=dict)
+
+    def node_rows(self) -> pd.DataFrame:
+        """The node table on the driver, in (tree, node) order."""
+        rows = self.__dict__.get("_node_rows")
+        if rows is None:
+            rows = pd.DataFrame([r.asDict() for r in self.nodes.collect()],
+                                columns=self.nodes.columns)
+            rows = rows.sort_values(["tree_id", "node_id"]).reset_index(drop=True)
+            self.__dict__["_node_rows"] = rows
+        return rows
 
     # ------------------------------------------------------------ scoring
     def _arrays(self):
@@ -65,8 +100,9 @@ class IsolationForestModel:
             return cached
         fidx = {f: i for i, f in enumerate(self.features)}
         trees = []
-        for t, g in self.nodes.groupby("tree_id", sort=True):
-            g = g.sort_values("node_id")
+        for t, g in self.node_rows().groupby("tree_id", sort=True):
+            for c in ("threshold", "left", "right", "leaf_value"):
+                g = g.assign(**{c: pd.to_numeric(g[c])})
             feat = np.array([fidx[f] if isinstance(f, str) else -1 for f in g["feature"]])
             trees.append((feat, g["threshold"].fillna(0.0).to_numpy(float),
                           g["left"].fillna(-1).to_numpy(int), g["right"].fillna(-1).to_numpy(int),
@@ -76,19 +112,7 @@ class IsolationForestModel:
         return trees
 
     def path_lengths(self, x: np.ndarray) -> np.ndarray:
-        """Mean over trees of leaf depth + c(leaf size) for each row of ``x``."""
-        total = np.zeros(len(x))
-        for feat, thr, left, right, val, depth in self._arrays():
-            idx = np.zeros(len(x), dtype=int)
-            for _ in range(depth + 1):
-                f = feat[idx]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                go_left = x[np.arange(len(x)), np.where(inner, f, 0)] <= thr[idx]
-                idx = np.where(inner, np.where(go_left, left[idx], right[idx]), idx)
-            total += val[idx]
-        return total / max(1, self.n_estimators)
+        return mean_path(self._arrays(), x)
 
     def score_samples_np(self, x: np.ndarray) -> np.ndarray:
         c = float(average_path_length([self.psi])[0]) or 1.0
@@ -98,18 +122,18 @@ class IsolationForestModel:
         """Add ``path_length``, ``score_samples``, ``anomaly_score`` (decision
         function) and ``anomaly_label`` (-1 / 1).  Map-only."""
         keep = keep if keep is not None else df.columns
-        self._arrays()  # prepared once on the driver, shipped with the closure
-        model = self
+        held = df.sparkSession.sparkContext.broadcast(self._arrays())
+        c = float(average_path_length([self.psi])[0]) or 1.0
+        offset = self.offset
         feats = list(self.features)
         cols = list(dict.fromkeys(keep + feats))
 
         def fn(batches):
             for pdf in batches:
                 x = pdf[feats].to_numpy(dtype=float)
-                h = model.path_lengths(x)
-                c = float(average_path_length([model.psi])[0]) or 1.0
+                h = mean_path(held.value, x)
                 s = -np.power(2.0, -h / c)
-                d = s - model.offset
+                d = s - offset
                 out = pdf[keep].copy()
                 out["path_length"] = h
                 out["score_samples"] = s
@@ -125,24 +149,21 @@ class IsolationForestModel:
 
     # ------------------------------------------------------------ persistence
     def save(self, spark: SparkSession, path: str) -> None:
-        """Node table as parquet plus a one-row metadata table (the signature)."""
-        spark.createDataFrame(self.nodes, NODE_SCHEMA).write.mode("overwrite") \
-            .parquet(os.path.join(path, "nodes"))
+        """Node table as parquet plus a one-row metadata table: parameters and the
+        signature (input columns with types, output columns with types)."""
+        self.nodes.write.mode("overwrite").parquet(os.path.join(path, "nodes"))
         meta = {"features": self.features, "psi": self.psi, "offset": self.offset,
-                "n_estimators": self.n_estimators, "params": self.params}
+                "n_estimators": self.n_estimators, "params": self.params,
+                "inputs": self.input_types, "outputs": OUTPUT_TYPES}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite") \
             .parquet(os.path.join(path, "meta"))
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "IsolationForestModel":
-        nodes = spark.read.parquet(os.path.join(path, "nodes")).toPandas()
+        nodes = spark.read.parquet(os.path.join(path, "nodes"))
         meta = json.loads(spark.read.parquet(os.path.join(path, "meta")).first()["meta"])
-        return IsolationForestModel(nodes.sort_values(["tree_id", "node_id"])
-                                    .reset_index(drop=True), meta["features"], meta["psi"],
-                                    meta["offset"], meta["n_estimators"], meta["params"])
-
-    def nodes_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.nodes, NODE_SCHEMA)
+        return IsolationForestModel(nodes, meta["features"], meta["psi"], meta["offset"],
+                                    meta["n_estimators"], meta["params"], meta["inputs"])
 
 
 def _ddl(df: DataFrame) -> str:
@@ -204,7 +225,7 @@ def tree_samples(df: DataFrame, key: str, n_estimators: int, psi: int, n: int,
             .withColumn(U, F.col(H).cast("double") / F.lit(TWO64) + F.lit(0.5)))
     # about psi + 32 sd + 2 candidates per tree: small, computed once
     from sessionary.session import materialize
-    cand = materialize(cand, "persist")
+    cand = materialize(cand)
     need = min(psi, n)
     short = (cand.groupBy("tree_id").count().where(F.col("count") < F.lit(need))
              .limit(1).count())
@@ -263,16 +284,16 @@ def fit(df: DataFrame, features: list[str], key: str = "visitorid", n_estimators
             tree_features[t] = [features[i] for i in pick]
     draw = bootstrap_samples if bootstrap else tree_samples
     sample = draw(df.select(key, *features), key, n_estimators, psi, n, random_state)
-    nodes = (sample.groupBy("tree_id")
-             .applyInPandas(_grow(features, psi, random_state, max_depth, tree_features),
-                            NODE_SCHEMA))
-    # bounded by T (2 psi - 1) rows: the forest goes to the driver once
-    node_pdf = nodes.toPandas().sort_values(["tree_id", "node_id"]).reset_index(drop=True)
-    model = IsolationForestModel(node_pdf, list(features), psi, -0.5, n_estimators,
+    from sessionary.session import materialize
+    nodes = materialize(
+        sample.groupBy("tree_id")
+        .applyInPandas(_grow(features, psi, random_state, max_depth, tree_features), NODE_SCHEMA))
+    model = IsolationForestModel(nodes, list(features), psi, -0.5, n_estimators,
                                  {"n_estimators": n_estimators, "max_samples": max_samples,
                                   "contamination": contamination,
                                   "max_features": max_features, "bootstrap": bootstrap,
-                                  "random_state": random_state})
+                                  "random_state": random_state},
+                                 {f: df.schema[f].dataType.simpleString() for f in features})
     if contamination != "auto":
         # exact percentile without a single-task merge (sketch bracket + counts)
         from sessionary.operators.quantiles import exact_quantiles
@@ -290,20 +311,22 @@ def correct_labels(df: DataFrame, label: str = "anomaly_label",
 
 
 def split_importance(model: IsolationForestModel, spark: SparkSession) -> DataFrame:
-    """Share of all splits that use each feature; unused features get 0."""
-    nodes = model.nodes_df(spark).where(F.col("feature").isNotNull())
+    """Share of all splits that use each feature; unused features get 0.
+
+    A forest without any split gives every feature NULL."""
+    nodes = model.nodes.where(F.col("feature").isNotNull())
     # one row per feature: a whole-table window over a handful of rows
     total = F.sum("splits").over(Window.partitionBy())
     counts = nodes.groupBy("feature").agg(F.count(F.lit(1)).alias("splits"))
     names = spark.createDataFrame([(f,) for f in model.features], "feature string")
     allf = names.join(counts, "feature", "left").fillna(0, ["splits"])
-    return (allf.select("feature", (F.col("splits") / total).alias("weight"))
+    return (allf.select("feature", F.try_divide("splits", total).alias("weight"))
             .orderBy(F.desc("weight"), "feature"))
 
 
 def tree_rules(model: IsolationForestModel, spark: SparkSession, tree: int = 0) -> DataFrame:
     """The nodes of one tree with a readable rule per node."""
-    nodes = model.nodes_df(spark).where(F.col("tree_id") == tree)
+    nodes = model.nodes.where(F.col("tree_id") == tree)
     rule = F.when(F.col("feature").isNull(),
                   F.concat(F.lit("leaf n="), F.col("n").cast("string"),
                            F.lit(" value="), F.format_number("leaf_value", 4))) \

@@ -59,7 +59,7 @@ def _tile_topk(k: int):
         bi, bj = int(pdf["bi"].iloc[0]), int(pdf["bj"].iloc[0])
         left = pdf[pdf["blk"] == bi]
         right = pdf[pdf["blk"] == bj]
-        out_ids, out_d = [], []
+        out_ids, out_d, other = [], [], []  # other: the block that the distances go to
         xl = np.stack(left["v"].to_numpy()) if len(left) else np.zeros((0, 1))
         xr = np.stack(right["v"].to_numpy()) if len(right) else np.zeros((0, 1))
         if len(left) and len(right):
@@ -68,18 +68,18 @@ def _tile_topk(k: int):
                 np.fill_diagonal(d, 0.0)
             kk = min(k, d.shape[1])
             part = np.sort(np.partition(d, kk - 1, axis=1)[:, :kk], axis=1)
-            out_ids += list(left["id"]); out_d += list(part)
+            out_ids += list(left["id"]); out_d += list(part); other += [bj] * len(left)
             if bi != bj:
                 kk = min(k, d.shape[0])
                 part = np.sort(np.partition(d.T, kk - 1, axis=1)[:, :kk], axis=1)
-                out_ids += list(right["id"]); out_d += list(part)
-        return pd.DataFrame({"id": out_ids, "d": [list(x) for x in out_d],
-                             "bj": [bj] * len(out_ids)})
+                out_ids += list(right["id"]); out_d += list(part); other += [bi] * len(right)
+        return pd.DataFrame({"id": out_ids, "d": [list(x) for x in out_d], "bj": other})
     return fn
 
 
 def merge_topk(parts: DataFrame, k: int, span: int, fan_in: int = 32) -> DataFrame:
-    """Merge per-point sorted lists ``d`` (column ``bj`` = source 0..span-1)."""
+    """Merge per-point sorted lists ``d``, one for each block ``bj`` in 0..span-1;
+    a group holds at most ``fan_in`` lists."""
     level = parts
     width = span
     bucket = F.col("bj")
@@ -108,10 +108,11 @@ def knn_distances(points: DataFrame, k: int, block_rows: int = DEFAULT_BLOCK_ROW
 
 def k_distances(points: DataFrame, k: int, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Per point the distance to its k-th neighbour, the point itself
-    counted (as a flat L2 index search does).  Output (id, distance_sq,
-    distance); :func:`k_distance_curve` gives the sorted curve."""
+    counted (as a flat L2 index search does); NULL when there are fewer than k
+    points.  Output (id, distance_sq, distance); :func:`k_distance_curve` gives
+    the sorted curve."""
     kd = knn_distances(points, k, block_rows).select(
-        "id", F.element_at("d", -1).alias("distance_sq"))
+        "id", F.get("d", F.lit(k - 1)).alias("distance_sq"))
     return kd.select("id", "distance_sq", F.sqrt("distance_sq").alias("distance"))
 
 
@@ -126,17 +127,17 @@ def k_distance_curve(points: DataFrame, k: int | None = None, tail: int | None =
     from sessionary.session import materialize
     # the quadratic part runs once; the tail and the count read the table
     kd = materialize(knn_distances(points, k, block_rows).select(
-        F.element_at("d", -1).alias("distance_sq")))
+        "id", F.get("d", F.lit(k - 1)).alias("distance_sq")))
     if tail is not None:
-        top = kd.orderBy(F.desc("distance_sq")).limit(tail)
+        top = kd.orderBy(F.desc("distance_sq"), F.desc("id")).limit(tail)
         n = kd.count()
         from pyspark.sql import Window
-        w = Window.orderBy(F.desc("distance_sq"))
+        w = Window.orderBy(F.desc("distance_sq"), F.desc("id"))
         # the tail holds ``tail`` rows: a single small window is fine here
         return top.select((F.lit(n + 1) - F.row_number().over(w)).alias("rank"),
                           "distance_sq", F.sqrt("distance_sq").alias("distance"))
     from sessionary.operators.graph import global_rank
-    ranked = global_rank(kd, ["distance_sq"], "rank")
+    ranked = global_rank(kd, ["distance_sq", "id"], "rank")  # equal distances spread by id
     return ranked.select("rank", "distance_sq", F.sqrt("distance_sq").alias("distance"))
 
 
@@ -194,13 +195,13 @@ def silhouette_samples(points: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS,
     return agg.select("id", "label", "a", "b", s.alias("s"))
 
 
-def silhouette_score(points: DataFrame, noise_label=-1, sample_size: int | None = 100_000,
+def silhouette_score(points: DataFrame, noise_label=-1, sample_size: int | None = None,
                      key_seed: int = 0, block_rows: int = DEFAULT_BLOCK_ROWS,
                      distance: str = "euclidean") -> DataFrame:
     """Mean silhouette over non-noise points (one row: n, silhouette).
 
-    ``distance="euclidean"`` (the reference's metric) is exact and quadratic;
-    with more than ``sample_size`` points an exact-size hash sample is used.
+    ``distance="euclidean"`` (the usual metric) is exact and quadratic, over
+    every point; a caller may ask for an exact-size hash sample by ``sample_size``.
     ``distance="squaredEuclidean"`` uses Spark ML's ``ClusteringEvaluator``:
     linear in n (per-cluster sums), exact for squared distances - a
     different number, for data too large for the quadratic form.

@@ -25,6 +25,13 @@ H = "_h"       # the raw 64-bit hash (tie-breaker)
 TWO64 = float(2 ** 64)
 
 
+MAX_CLASSES = 10_000  # one row per class reaches the driver
+
+
+class MissedBracket(RuntimeError):
+    """The sampling bracket doesn't hold the k-th key of every group."""
+
+
 def uniform_hash(*cols: Column | str, seed: int = 42) -> tuple[Column, Column]:
     """(64-bit hash, the same mapped to a uniform double in [0, 1))."""
     h = F.xxhash64(F.lit(seed), *[F.col(c) if isinstance(c, str) else c for c in cols])
@@ -72,7 +79,7 @@ def bottom_k(rows: DataFrame, groups: list[str], targets: DataFrame,
             exact = True
             break
     if not exact:
-        raise RuntimeError("sampling bracket missed the k-th key; widen ``widths``")
+        raise MissedBracket("sampling bracket missed the k-th key")
     sure = tagged.where(F.col(U) < F.col("_lo"))
     edge = tagged.where(F.col(U) >= F.col("_lo"))
     below = counts.select(*groups, "_below")
@@ -86,12 +93,23 @@ def bottom_k(rows: DataFrame, groups: list[str], targets: DataFrame,
 
 def bracket_top(k: int, n: int, sigmas: float = 32.0) -> float:
     """Top of the widest sampling bracket (the value ``bottom_k`` uses)."""
-    if k >= n:
+    if k >= n or math.isinf(sigmas):
         return 1.01
     p = k / n
     return min(1.0, (k + sigmas * math.sqrt(n * p * (1 - p)) + 2.0) / n)
 
 
+def _widening(below, groups: list[str], targets: DataFrame, tie: list[str]) -> DataFrame:
+    """``bottom_k`` of ``below(sigmas)``; a missed bracket is widened up to all rows
+    (keys that repeat have equal hashes, so they can miss any bracket)."""
+    for widths in ((8.0, 32.0), (math.inf,)):
+        try:
+            return bottom_k(below(widths[-1]), groups, targets, tie, widths=widths)
+        except MissedBracket:
+            continue
+    raise MissedBracket("a group has fewer rows than its target")
+
+
 def _largest_remainder(counts: dict, total: int) -> dict:
     """Split ``total`` over classes in proportion to ``counts`` (exact sum)."""
     n = sum(counts.values())
@@ -117,32 +135,41 @@ def stratified_samples(df: DataFrame, label: str, key: str, n_splits: int,
     (an int >= 1); classes get their share by largest remainder.  The class
     count table (one row per class) is the only thing the driver reads.
     """
-    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+    found = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"{label} has over {MAX_CLASSES} classes")
+    counts = {r[label]: r["count"] for r in found}
     n = sum(counts.values())
     total = (int(sample_size) if isinstance(sample_size, int) and sample_size >= 1
              else int(math.ceil(sample_size * n)))
     alloc = _largest_remainder(counts, total)
+    if not counts:
+        out = df.limit(0).withColumn("split", F.lit(0))
+        return out.drop(label) if drop_label else out
     spark = df.sparkSession
+    # classes by number, NULL being a class like any other
+    number = {c: k for k, c in enumerate(sorted(counts, key=lambda c: (c is None, str(c))))}
+    named = [x for c, k in number.items() if c is not None for x in (F.lit(c), F.lit(k))]
+    cls = F.when(F.col(label).isNull(), F.lit(number.get(None, -1)))
+    cls = cls.otherwise(F.element_at(F.create_map(*named), F.col(label))) if named else cls
     targets = spark.createDataFrame(
-        [(s, c, alloc[c], counts[c]) for s in range(n_splits) for c in counts],
-        f"split int, {label} {df.schema[label].dataType.simpleString()}, _k long, _n long")
-    # each row keeps only the splits whose hash is below its class's bracket
-    # top, before exploding: the data is never replicated n_splits times
-    items = []
-    for c in counts:
-        if c is not None:
-            items += [F.lit(c), F.lit(bracket_top(alloc[c], counts[c]))]
-    tops = F.create_map(*items) if items else F.create_map()
-    top = F.coalesce(F.element_at(tops, F.col(label)), F.lit(1.01))
+        [(s, k, alloc[c], counts[c]) for s in range(n_splits) for c, k in number.items()],
+        "split int, _class int, _k long, _n long")
+    splits = F.sequence(F.lit(0), F.lit(n_splits - 1))
 
     def u_of(sp):
         return F.xxhash64(F.lit(seed), F.col(key), sp).cast("double") / F.lit(TWO64) + F.lit(0.5)
 
-    splits = F.sequence(F.lit(0), F.lit(n_splits - 1))
-    rows = df.select("*", F.explode(F.filter(splits, lambda sp: u_of(sp) < top)).alias("split"))
-    h, u = uniform_hash(key, "split", seed=seed)
-    rows = rows.withColumn(H, h).withColumn(U, u)
-    out = bottom_k(rows, ["split", label], targets, [key], widths=(8.0, 32.0)).drop(U, H)
+    def below(sigmas: float) -> DataFrame:
+        # each row keeps only the splits whose hash is below its class's bracket
+        # top, before exploding: the data is never replicated n_splits times
+        tops = F.array(*[F.lit(bracket_top(alloc[c], counts[c], sigmas)) for c in number])
+        rows = df.withColumn("_class", cls)
+        rows = rows.select("*", F.explode(F.filter(
+            splits, lambda sp: u_of(sp) < F.get(tops, F.col("_class")))).alias("split"))
+        h, u = uniform_hash(key, "split", seed=seed)
+        return rows.withColumn(H, h).withColumn(U, u)
+    out = _widening(below, ["split", "_class"], targets, [key]).drop(U, H, "_class")
     return out.drop(label) if drop_label else out
 
 
@@ -157,12 +184,14 @@ def random_samples(df: DataFrame, key: str, n_splits: int, frac: float,
     spark = df.sparkSession
     targets = spark.createDataFrame([(s, k, n) for s in range(n_splits)],
                                     "split int, _k long, _n long")
-    top = F.lit(bracket_top(k, n))
     splits = F.sequence(F.lit(0), F.lit(n_splits - 1))
-    keep = F.filter(splits, lambda sp: F.xxhash64(sp + F.lit(seed), F.col(key)).cast("double")
-                    / F.lit(TWO64) + F.lit(0.5) < top)
-    rows = df.select("*", F.explode(keep).alias("split"))
-    h = F.xxhash64(F.col("split") + F.lit(seed), F.col(key))
-    rows = rows.withColumn(H, h).withColumn(U, h.cast("double") / F.lit(TWO64) + F.lit(0.5))
-    out = bottom_k(rows, ["split"], targets, [key], widths=(8.0, 32.0)).drop(U, H)
+
+    def below(sigmas: float) -> DataFrame:
+        top = F.lit(bracket_top(k, n, sigmas))
+        keep = F.filter(splits, lambda sp: F.xxhash64(sp + F.lit(seed), F.col(key)).cast("double")
+                        / F.lit(TWO64) + F.lit(0.5) < top)
+        rows = df.select("*", F.explode(keep).alias("split"))
+        h = F.xxhash64(F.col("split") + F.lit(seed), F.col(key))
+        return rows.withColumn(H, h).withColumn(U, h.cast("double") / F.lit(TWO64) + F.lit(0.5))
+    out = _widening(below, ["split"], targets, [key]).drop(U, H)
     return out.drop(drop_last) if drop_last else out

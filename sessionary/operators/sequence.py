@@ -72,15 +72,13 @@ def sequence(df: DataFrame, keys: list[str], order: list[str], *,
              chunk_rows: int | None = None, depth: int = 2) -> Sequenced:
     """Prepare ``df`` for ordered per-key computations.
 
-    ``skew``: ``"auto"`` checks for hot keys (one cheap aggregate job),
+    Rows with a null key belong to no sequence and must be filtered before.
+    ``skew``: ``"auto"`` checks for hot keys (one map-side combined aggregate),
     ``"off"`` trusts the data, ``"split"`` forces the chunked path for keys
     above ``hot_rows`` (used by tests with a tiny threshold).
     """
     if skew == "off":
         return Sequenced(df, list(keys), list(order), split=False, depth=depth)
-    # no key can be hot when the whole input is not (a cheap count first)
-    if skew == "auto" and df.count() <= hot_rows:
-        return Sequenced(df, list(keys), list(order), split=False, depth=depth)
     hot = find_hot_keys(df, keys, hot_rows)
     if not hot:
         return Sequenced(df, list(keys), list(order), split=False, depth=depth)

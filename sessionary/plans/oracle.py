@@ -17,12 +17,11 @@ def events_cte(mapping: str = "user") -> str:
            ts AS "timestamp",
            {visitor} AS visitorid,
            CASE event_type WHEN 'view' THEN 'view' WHEN 'click' THEN 'addtocart'
-                           WHEN 'purchase' THEN 'transaction' END AS event,
+                           WHEN 'purchase' THEN 'transaction' ELSE event_type END AS event,
            CAST(json_extract_string(props, '$.k') AS INTEGER) AS itemid,
            CAST(CASE WHEN event_type = 'purchase' THEN event_id ELSE -1 END AS BIGINT)
                AS transactionid
-    FROM events
-    WHERE event_type IN ('view', 'click', 'purchase'))"""
+    FROM events)"""
 
 
 def sessions_cte(gap_seconds: int = 1800, src: str = "ev") -> str:

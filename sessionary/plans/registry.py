@@ -394,7 +394,7 @@ def q_silhouette(spark, sf_dir):
 from sessionary.operators import explain as EX  # noqa: E402
 from sessionary.operators import iforest as IF  # noqa: E402
 
-FOREST_TREES = 10   # the evaluation grid's smallest forest
+FOREST_TREES = 100   # the configured forest
 
 
 def _forest(spark, sf_dir, trees=FOREST_TREES):
@@ -407,7 +407,7 @@ def _forest(spark, sf_dir, trees=FOREST_TREES):
 @register("iforest_nodes")
 def q_iforest_nodes(spark, sf_dir):
     _, _, model = _forest(spark, sf_dir)
-    return model.nodes_df(spark)
+    return model.nodes
 
 
 @register("iforest_score")
@@ -459,9 +459,11 @@ def q_forest_roundtrip(spark, sf_dir):
 
 
 def _shap(spark, sf_dir):
+    """Features, explainer and the SHAP table, written once (several queries read it twice)."""
+    from sessionary.session import materialize
     feats, sel, model = _forest(spark, sf_dir)
     ex = EX.ForestExplainer(model)
-    return feats, ex, ex.shap_values(feats)
+    return feats, ex, materialize(ex.shap_values(feats))
 
 
 @register("shap_values")
@@ -489,9 +491,9 @@ def q_shap_dependence(spark, sf_dir):
 
 @register("shap_instance")
 def q_shap_instance(spark, sf_dir):
-    feats, ex, sv = _shap(spark, sf_dir)
+    feats, _, model = _forest(spark, sf_dir)
     first = feats.agg(F.min("visitorid")).first()[0]
-    return ex.instance(feats, sv, first)
+    return EX.ForestExplainer(model).instance(feats, first)
 
 
 @register("feature_stats_by_anomaly")
@@ -647,7 +649,7 @@ def q_hdbscan_silhouette(spark, sf_dir):
     pts = (model.ids.join(model.result.labels.select("id", "label"), "id")
            .join(scaled, "visitorid")
            .select("id", F.array(*[F.col(c).cast("double") for c in sel]).alias("v"), "label"))
-    return N.silhouette_score(pts, noise_label=-1, sample_size=100_000)
+    return N.silhouette_score(pts, noise_label=-1, sample_size=100_000)  # the notebook's argument
 
 
 # ------------------------------------------------------------ S2: SQL text over views

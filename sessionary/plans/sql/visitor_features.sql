@@ -13,6 +13,7 @@ WITH ordered AS (
          dayofweek(`timestamp`) - 1 AS week_day,
          date_trunc('minute', `timestamp`) AS minute
   FROM events e
+  WHERE visitorid IS NOT NULL
 ),
 flagged AS (
   SELECT *,

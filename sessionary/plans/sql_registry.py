@@ -22,7 +22,7 @@ _EV = O.with_ctes(O.events_cte("user"))
 RAW_CTE = """raw AS (
     SELECT event_id, CAST(epoch_us(ts) // 1000 AS BIGINT) AS epoch_ms,
            CASE WHEN event_type = 'purchase' THEN CAST(event_id AS DOUBLE) END AS transactionid
-    FROM events WHERE event_type IN ('view', 'click', 'purchase'))"""
+    FROM events)"""
 
 ORACLE["scan_events"] = _EV + \
     'SELECT event_id, "timestamp", visitorid, event, itemid, transactionid FROM ev'

@@ -31,7 +31,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder and
-    is used as-is.  Only when it is unset (local tests) a scratch folder is made.
+    is used as-is; it must be set there.  Only in local mode, where driver and
+    executors are one process, an unset folder becomes a scratch folder.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -39,6 +40,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="sessionary-ckpt-")
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
@@ -68,6 +71,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def tables_dir(spark: SparkSession) -> str:
+    """Where this application's ``materialize`` tables lie."""
+    return os.path.join(checkpoint_dir(spark), "tables", spark.sparkContext.applicationId)
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete this application's ``materialize`` tables, when no result needs them any more."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(tables_dir(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df, mode: str = "table"):
     """Compute ``df`` once for operators that read it several times.
 
@@ -77,11 +92,10 @@ def materialize(df, mode: str = "table"):
     ``checkpoint`` uses ``Dataset.checkpoint`` (same folder); ``persist`` keeps
     it in executor memory/disk (lost blocks are recomputed from lineage).
     """
-    import os
     import uuid
     spark = df.sparkSession
     if mode == "table":
-        path = os.path.join(checkpoint_dir(spark), "tables", uuid.uuid4().hex)
+        path = os.path.join(tables_dir(spark), uuid.uuid4().hex)
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     if mode == "checkpoint":

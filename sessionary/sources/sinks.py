@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 
 def write_artifact(df: DataFrame, base: str, run_id: str, artifact_path: str, name: str,
                    fmt: str = "parquet") -> str:
-    """S3: store a DataFrame as an artifact of a run; returns its folder."""
+    """S3: store a DataFrame as an artifact of a run; returns its folder.
+
+    Only the run's own partition is replaced, so a repeated run leaves one copy."""
     path = os.path.join(base, artifact_path, name)
-    writer = (df.withColumn("run_id", F.lit(run_id)).write.mode("append")
-              .partitionBy("run_id"))
+    writer = (df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite")
+              .option("partitionOverwriteMode", "dynamic").partitionBy("run_id"))
     if fmt == "csv":
         writer.option("header", True).csv(path)
     elif fmt == "parquet":
@@ -33,10 +35,13 @@ def write_artifact(df: DataFrame, base: str, run_id: str, artifact_path: str, na
 
 
 def read_artifact(spark: SparkSession, path: str, run_id: str | None = None,
-                  fmt: str = "parquet") -> DataFrame:
-    """Read an artifact back (one run when ``run_id`` is given: partition pruned)."""
+                  fmt: str = "parquet", schema: str | None = None) -> DataFrame:
+    """Read an artifact back (one run when ``run_id`` is given: partition pruned).
+
+    A CSV artifact needs its columns' ``schema``; without one they are strings."""
     if fmt == "csv":
-        df = spark.read.option("header", True).option("inferSchema", True).csv(path)
+        reader = spark.read.option("header", True)
+        df = (reader.schema(f"{schema}, run_id string") if schema else reader).csv(path)
     else:
         df = spark.read.parquet(path)
     return df.where(F.col("run_id") == run_id).drop("run_id") if run_id else df

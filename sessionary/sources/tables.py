@@ -24,7 +24,7 @@ from sessionary.functions.time import epoch_ms_to_timestamp
 from sessionary.session import ensure_session_rules
 
 # Event types of the test table and the shop event names they
-# stand for.  Types not listed are dropped by the adapter.
+# stand for.  Other types pass through under their own name.
 EVENT_TYPE_MAP = {
     "view": "view",
     "click": "addtocart",
@@ -39,6 +39,12 @@ RAW_EVENTS_SCHEMA = T.StructType([
     T.StructField("transactionid", T.DoubleType()),
 ])
 
+# Schemas of the shop export's other tables.
+CSV_SCHEMAS = {
+    "item_properties": "timestamp BIGINT, itemid BIGINT, property STRING, value STRING",
+    "category_tree": "categoryid BIGINT, parentid BIGINT",
+}
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations")
@@ -54,8 +60,9 @@ def load_tables(spark: SparkSession, paths: dict[str, str],
                 register: bool = True) -> dict[str, DataFrame]:
     """One lazy DataFrame per named path; registered as temp views.
 
-    ``.csv`` paths are read headered, other paths as parquet.  Nothing is read
-    until a query touches the table, so unused tables cost nothing.
+    ``.csv`` paths are read headered with a fixed schema (``CSV_SCHEMAS``; a
+    table without one is read as strings), other paths as parquet.  No file is
+    read before a query touches its table.
     """
     ensure_session_rules(spark)
     out = {}
@@ -63,7 +70,7 @@ def load_tables(spark: SparkSession, paths: dict[str, str],
         if name == "events" and path.endswith(".csv"):
             df = read_raw_events_csv(spark, path)
         elif path.endswith(".csv"):
-            df = spark.read.option("header", True).option("inferSchema", True).csv(path)
+            df = read_csv(spark, path, CSV_SCHEMAS.get(name))
         else:
             df = spark.read.parquet(path)
         if register:
@@ -72,6 +79,12 @@ def load_tables(spark: SparkSession, paths: dict[str, str],
     return out
 
 
+def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """Headered CSV with a given schema; without one every column is a string."""
+    reader = spark.read.option("header", True)
+    return (reader.schema(schema) if schema else reader).csv(path)
+
+
 def read_raw_events_csv(spark: SparkSession, path: str) -> DataFrame:
     """Shop export -> canonical events (P1 epoch ms, P4 transaction fill).
 
@@ -113,10 +126,9 @@ def item_id():
 
 
 def _event_name():
-    expr = None
+    expr = F.col("event_type")
     for src, dst in EVENT_TYPE_MAP.items():
-        cond = F.col("event_type") == F.lit(src)
-        expr = F.when(cond, F.lit(dst)) if expr is None else expr.when(cond, F.lit(dst))
+        expr = F.when(F.col("event_type") == F.lit(src), F.lit(dst)).otherwise(expr)
     return expr
 
 
@@ -124,8 +136,7 @@ def raw_events(spark: SparkSession, sf_dir: str, mapping: str = "user") -> DataF
     """Test table -> raw shop rows (epoch-ms timestamp, nullable transaction)."""
     ev = read_table(spark, sf_dir, "events")
     return (
-        ev.where(F.col("event_type").isin(list(EVENT_TYPE_MAP)))
-        .select(
+        ev.select(
             F.col("event_id"),
             F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
             visitor_key(mapping).alias("visitorid"),
@@ -138,11 +149,10 @@ def raw_events(spark: SparkSession, sf_dir: str, mapping: str = "user") -> DataF
 
 
 def canonical_events(spark: SparkSession, sf_dir: str, mapping: str = "user") -> DataFrame:
-    """Test table -> canonical events.  Filter and projection reach the scan."""
+    """Test table -> canonical events, all of its rows.  The projection reaches the scan."""
     ev = read_table(spark, sf_dir, "events")
     return (
-        ev.where(F.col("event_type").isin(list(EVENT_TYPE_MAP)))
-        .select(
+        ev.select(
             F.col("event_id"),
             F.col("ts").cast("timestamp").alias("timestamp"),
             visitor_key(mapping).alias("visitorid"),

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionary.sources.tables import EVENT_TYPE_MAP, _event_name, item_id, visitor_key
+from sessionary.sources.tables import _event_name, item_id, visitor_key
 
 
 def canonical_event_stream(spark: SparkSession, folder: str, pattern: str = "events*.parquet",
@@ -28,7 +28,7 @@ def canonical_event_stream(spark: SparkSession, folder: str, pattern: str = "eve
               "value double, props string")
     raw = (spark.readStream.schema(schema).option("pathGlobFilter", pattern)
            .option("maxFilesPerTrigger", 1).parquet(folder))
-    return (raw.where(F.col("event_type").isin(list(EVENT_TYPE_MAP)))
+    return (raw
             .select("event_id", F.col("ts").cast("timestamp").alias("timestamp"),
                     visitor_key(mapping).alias("visitorid"), _event_name().alias("event"),
                     item_id().alias("itemid"),

@@ -154,15 +154,15 @@ def test_forest_scores_and_planted_outliers(spark, forest):
     lowest = set(s.nsmallest(5, "anomaly_score")["visitorid"])
     assert lowest == {0, 1, 2, 3, 4}
     assert (s.loc[s.visitorid < 5, "anomaly_label"] == -1).all()
-    sizes = model.nodes[model.nodes["depth"] == 0]["n"]
+    rows = model.node_rows()
+    sizes = rows[rows["depth"] == 0]["n"]
     assert (sizes == 256).all()
 
 
 def test_forest_independent_of_partitioning(spark, forest):
     df, model = forest
     again = IF.fit(df.repartition(5), ["a", "b", "c"], n_estimators=30, random_state=42)
-    pd.testing.assert_frame_equal(model.nodes.reset_index(drop=True),
-                                  again.nodes.reset_index(drop=True))
+    pd.testing.assert_frame_equal(model.node_rows(), again.node_rows())
 
 
 def test_forest_roundtrip_and_importance(spark, forest, tmp_path):
@@ -248,7 +248,8 @@ def test_forest_bootstrap_samples(spark, forest):
     assert (s.groupby("tree_id").size() == 256).all()
     assert s.duplicated(["tree_id", "visitorid"]).any()      # with replacement
     m = IF.fit(df, ["a", "b", "c"], n_estimators=10, bootstrap=True)
-    assert (m.nodes[m.nodes["depth"] == 0]["n"] == 256).all()
+    rows = m.node_rows()
+    assert (rows[rows["depth"] == 0]["n"] == 256).all()
     sc = m.transform(df, keep=["visitorid"]).toPandas()
     assert sc["anomaly_score"].between(-0.5, 0.5).all()
 

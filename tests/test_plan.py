@@ -20,7 +20,7 @@ def test_visitor_features_single_exchange(spark):
 
 def test_scan_prunes_and_pushes(spark):
     plan = _plan(spark, "visitor_features")
-    assert "PushedFilters: [In(event_type" in plan
+    assert "PushedFilters: [IsNotNull(user_id)]" in plan  # all event types are read
     assert "value" not in plan.split("ReadSchema:")[1].split("\n")[0]
 
 
