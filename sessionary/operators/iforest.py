@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sessionary.operators.sampling import H, TWO64, U, bottom_k
+from sessionary.operators.sampling import H, U, bottom_k, uniform_hash
 
 EULER_GAMMA = 0.5772156649015329  # fixed value: Euler-Mascheroni constant
 
@@ -217,12 +217,12 @@ def tree_samples(df: DataFrame, key: str, n_estimators: int, psi: int, n: int,
     trees = F.sequence(F.lit(0), F.lit(n_estimators - 1))
 
     def u_of(t):
-        return F.xxhash64(F.lit(seed), F.col(key), t).cast("double") / F.lit(TWO64) + F.lit(0.5)
+        return uniform_hash(key, t, seed=seed)[1]
 
     cand = df.select("*", F.explode(F.filter(trees, lambda t: u_of(t) < F.lit(hi)))
                      .alias("tree_id"))
-    cand = (cand.withColumn(H, F.xxhash64(F.lit(seed), F.col(key), F.col("tree_id")))
-            .withColumn(U, F.col(H).cast("double") / F.lit(TWO64) + F.lit(0.5)))
+    h, u = uniform_hash(key, "tree_id", seed=seed)
+    cand = cand.withColumn(H, h).withColumn(U, u)
     # about psi + 32 sd + 2 candidates per tree: small, computed once
     from sessionary.session import materialize
     cand = materialize(cand)

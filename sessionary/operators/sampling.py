@@ -1,7 +1,8 @@
 """Exact-size samples by hash order (N1, N2, forest tree samples).
 
-A row's sampling key is a 64-bit hash of (row key, split, seed): uniform,
-reproducible on any partitioning, independent of row order.  A sample of
+A row's sampling key is the first 60 bits of the MD5 of "seed:key:split":
+uniform, reproducible on any partitioning and in any engine, independent of
+row order.  A sample of
 ``k`` rows out of a group of ``n`` is "the k smallest keys of the group".
 
 Sorting a whole group would put a big class in one task, so the k-th key is
@@ -21,8 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 U = "_u"       # uniform double in [0, 1)
-H = "_h"       # the raw 64-bit hash (tie-breaker)
-TWO64 = float(2 ** 64)
+H = "_h"       # the raw hash (tie-breaker)
+TWO60 = float(2 ** 60)
 
 
 MAX_CLASSES = 10_000  # one row per class reaches the driver
@@ -32,11 +33,13 @@ class MissedBracket(RuntimeError):
     """The sampling bracket doesn't hold the k-th key of every group."""
 
 
-def uniform_hash(*cols: Column | str, seed: int = 42) -> tuple[Column, Column]:
-    """(64-bit hash, the same mapped to a uniform double in [0, 1))."""
-    h = F.xxhash64(F.lit(seed), *[F.col(c) if isinstance(c, str) else c for c in cols])
-    u = h.cast("double") / F.lit(TWO64) + F.lit(0.5)
-    return h, u
+def uniform_hash(*cols: Column | str, seed: int | Column = 42) -> tuple[Column, Column]:
+    """(60-bit hash, the same mapped to a uniform double in [0, 1))."""
+    parts = [seed if isinstance(seed, Column) else F.lit(seed),
+             *[F.col(c) if isinstance(c, str) else c for c in cols]]
+    text = F.concat_ws(":", *[p.cast("string") for p in parts])
+    h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+    return h, h.cast("double") / F.lit(TWO60)
 
 
 def _bracket(k: Column, n: Column, sigmas: float):
@@ -158,7 +161,7 @@ def stratified_samples(df: DataFrame, label: str, key: str, n_splits: int,
     splits = F.sequence(F.lit(0), F.lit(n_splits - 1))
 
     def u_of(sp):
-        return F.xxhash64(F.lit(seed), F.col(key), sp).cast("double") / F.lit(TWO64) + F.lit(0.5)
+        return uniform_hash(key, sp, seed=seed)[1]
 
     def below(sigmas: float) -> DataFrame:
         # each row keeps only the splits whose hash is below its class's bracket
@@ -188,10 +191,9 @@ def random_samples(df: DataFrame, key: str, n_splits: int, frac: float,
 
     def below(sigmas: float) -> DataFrame:
         top = F.lit(bracket_top(k, n, sigmas))
-        keep = F.filter(splits, lambda sp: F.xxhash64(sp + F.lit(seed), F.col(key)).cast("double")
-                        / F.lit(TWO64) + F.lit(0.5) < top)
+        keep = F.filter(splits, lambda sp: uniform_hash(key, seed=sp + F.lit(seed))[1] < top)
         rows = df.select("*", F.explode(keep).alias("split"))
-        h = F.xxhash64(F.col("split") + F.lit(seed), F.col(key))
-        return rows.withColumn(H, h).withColumn(U, h.cast("double") / F.lit(TWO64) + F.lit(0.5))
+        h, u = uniform_hash(key, seed=F.col("split") + F.lit(seed))
+        return rows.withColumn(H, h).withColumn(U, u)
     out = _widening(below, ["split"], targets, [key]).drop(U, H)
     return out.drop(drop_last) if drop_last else out

@@ -525,6 +525,7 @@ def q_kde_anomaly(spark, sf_dir):
 from sessionary.operators import density as DN  # noqa: E402
 
 DBSCAN_EPS, DBSCAN_MIN_SAMPLES = 1.2, 38   # the configured DBSCAN parameters
+DBSCAN_WIDE_EPS, DBSCAN_FEW_SAMPLES = 1.15, 5   # a setting that finds clusters
 
 
 @register("dbscan_core")
@@ -535,6 +536,13 @@ def q_dbscan_core(spark, sf_dir):
                          (F.col("n_neighbors") >= DBSCAN_MIN_SAMPLES).alias("core"))
 
 
+@register("dbscan_clusters")
+def q_dbscan_clusters(spark, sf_dir):
+    """M11 with a setting that finds several clusters, border points and noise."""
+    pts = _embedding_points(spark, sf_dir)
+    return DN.dbscan(pts, DBSCAN_WIDE_EPS, DBSCAN_FEW_SAMPLES)
+
+
 @register("dbscan")
 def q_dbscan(spark, sf_dir):
     return DN.dbscan(_embedding_points(spark, sf_dir), DBSCAN_EPS, DBSCAN_MIN_SAMPLES)
@@ -689,7 +697,7 @@ def q_grid_runs_hdbscan(spark, sf_dir):
         if ms not in prepared:
             prepared[ms] = HD.mst_edges_for(pts, ms)
         run = log.new_run()
-        det = AnomalyDetection("hdbscan", **params).fit_prepared(scaled, sel, prepared[ms], ids)
+        det = AnomalyDetection("hdbscan", **params).fit(scaled, sel, prepared=prepared[ms], ids=ids)
         log.log_params(run, "hdbscan", params, parent)
         log.log_config(run, {"features": sel, **params})
         labels = det.model.result.labels

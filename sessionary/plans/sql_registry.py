@@ -280,6 +280,45 @@ ORACLE["dbscan_core"] = f"""WITH {_EMB}
 SELECT id, CAST(COUNT(*) AS BIGINT) AS n_neighbors, COUNT(*) >= 38 AS core
 FROM pairs WHERE d2 <= 1.2 * 1.2 GROUP BY id"""
 
+
+
+def _dbscan_sql(eps: float, min_samples: int) -> str:
+    return f"""WITH RECURSIVE {_EMB},
+near AS (SELECT id, other FROM pairs WHERE d2 <= {eps} * {eps}),
+cnt AS (SELECT id, CAST(COUNT(*) AS BIGINT) AS n_neighbors FROM near GROUP BY id),
+core AS (SELECT id FROM cnt WHERE n_neighbors >= {min_samples}),
+steps AS (SELECT near.id, near.other FROM near JOIN core a ON a.id = near.id
+          JOIN core b ON b.id = near.other),
+reach(root, id) AS (
+    SELECT id, id FROM core
+    UNION SELECT r.root, s.other FROM reach r JOIN steps s ON s.id = r.id),
+comp AS (SELECT id, MIN(root) AS first FROM reach GROUP BY id),
+numbered AS (SELECT id, CAST(DENSE_RANK() OVER (ORDER BY first) - 1 AS INTEGER) AS cluster FROM comp),
+border AS (SELECT near.id, MIN(cluster) AS cluster FROM near
+           JOIN numbered ON numbered.id = near.other GROUP BY near.id)
+SELECT cnt.id, n_neighbors, n_neighbors >= {min_samples} AS core,
+       COALESCE(numbered.cluster, border.cluster, -1) AS label
+FROM cnt LEFT JOIN numbered USING (id) LEFT JOIN border USING (id)"""
+
+
+ORACLE["dbscan"] = _dbscan_sql(1.2, 38)
+ORACLE["dbscan_clusters"] = _dbscan_sql(1.15, 5)
+
+# samples: the least MD5 keys of each split (and class)
+_KEY60 = "CAST('0x' || substr(md5(concat_ws(':', {parts})), 1, 15) AS BIGINT)"
+ORACLE["sample_random"] = f"""SELECT split, doc_id, quality FROM (
+    SELECT CAST(s.split AS INTEGER) AS split, doc_id, quality,
+           ROW_NUMBER() OVER (PARTITION BY s.split ORDER BY {_KEY60.format(parts="42 + s.split, doc_id")}, doc_id) AS k,
+           round({_FRAC} * COUNT(*) OVER (PARTITION BY s.split)) AS n
+    FROM labels, range(0, {_SPLITS}) s(split)) WHERE k <= n"""
+ORACLE["sample_stratified"] = f"""WITH counts AS ({ORACLE["sample_stratified_counts"]}),
+ranked AS (
+    SELECT CAST(s.split AS INTEGER) AS split, doc_id, quality, toxic,
+           ROW_NUMBER() OVER (PARTITION BY s.split, toxic
+                              ORDER BY {_KEY60.format(parts="42, doc_id, s.split")}, doc_id) AS k
+    FROM labels, range(0, {_SPLITS}) s(split))
+SELECT split, doc_id, quality FROM ranked JOIN counts USING (split, toxic) WHERE k <= n"""
+
 ORACLE["artifact_roundtrip"] = ORACLE["event_counts"]
 
 ORACLE["visitor_features_sql"] = ORACLE["visitor_features"]
