@@ -81,49 +81,48 @@ _INT_RANGES = [  # fixed values: signed integer widths, smallest first
 ]
 
 
+#: A double becomes a float when no value moves by more than this.
+FLOAT_TOLERANCE = 5e-4
+
+
 def downcast_table(df: DataFrame) -> DataFrame:
-    """P5 as data: (column, min_value, max_value, type) per integer column.
+    """P5 as data: (column, min_value, max_value, type) per numeric column.
 
-    One aggregate over the table (min and max of every integer column), then
-    the narrowest signed integer type that holds [min, max].
+    One aggregate over the table.  Integer columns: the narrowest signed type
+    that holds [min, max]; a column without values keeps no type (NULL).
+    Double columns (min and max NULL): ``float`` when every value survives
+    within ``FLOAT_TOLERANCE``, else ``double``; NULL and NaN always survive.
     """
     ints = [f.name for f in df.schema.fields if isinstance(f.dataType, _INT_TYPES)]
-    aggs = []
+    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
+    aggs, rows = [], []
     for c in ints:
         aggs += [F.min(c).cast("bigint").alias(f"min__{c}"),
                  F.max(c).cast("bigint").alias(f"max__{c}")]
-    one = df.agg(*aggs)
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"min__{c}").alias("min_value"),
-                 F.col(f"max__{c}").alias("max_value")) for c in ints]))
-    long = one.select(rows.alias("r")).select("r.*")
-    pick = None
+        rows.append(F.struct(F.lit(c).alias("column"), F.col(f"min__{c}").alias("min_value"),
+                             F.col(f"max__{c}").alias("max_value"),
+                             F.lit(None).cast("double").alias("moved")))
+    for c in doubles:
+        own = F.when(F.isnan(c), 0.0).otherwise(F.abs(F.col(c).cast("float").cast("double") - F.col(c)))
+        same = F.abs(F.col(c)) == F.lit(float("inf"))
+        aggs.append(F.coalesce(F.max(F.when(same, 0.0).otherwise(own)), F.lit(0.0)).alias(f"moved__{c}"))
+        none = F.lit(None).cast("bigint")
+        rows.append(F.struct(F.lit(c).alias("column"), none.alias("min_value"),
+                             none.alias("max_value"), F.col(f"moved__{c}").alias("moved")))
+    long = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    pick = F.when(F.col("moved") <= FLOAT_TOLERANCE, "float").when(F.col("moved").isNotNull(), "double")
     for name, lo, hi in _INT_RANGES:
-        fits = (F.col("min_value") >= F.lit(lo)) & (F.col("max_value") <= F.lit(hi))
-        pick = F.when(fits, F.lit(name)) if pick is None else pick.when(fits, F.lit(name))
-    return long.withColumn("type", pick)
+        pick = pick.when((F.col("min_value") >= F.lit(lo)) & (F.col("max_value") <= F.lit(hi)), name)
+    return long.select("column", "min_value", "max_value", pick.alias("type"))
 
 
-def downcast_plan(df: DataFrame, floats: bool = False) -> dict[str, str]:
-    """Column -> narrowest type (one row per column reaches the driver).
+def downcast_plan(df: DataFrame) -> dict[str, str]:
+    """Column -> narrowest type (one row per column reaches the driver)."""
+    return {r["column"]: r["type"] for r in downcast_table(df).collect() if r["type"] is not None}
 
-    Doubles go to FLOAT only when ``floats`` is set and every value survives
-    the round trip; off by default, precision matters.
-    """
-    plan = {r["column"]: r["type"] for r in downcast_table(df).collect()
-            if r["type"] is not None}
-    if floats:
-        dbls = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-        if dbls:
-            row = df.agg(*[
-                F.max(F.when(F.col(c).cast("float").cast("double") != F.col(c), 1)
-                      .otherwise(0)).alias(c) for c in dbls]).first().asDict()
-            plan.update({c: "float" for c in dbls if not row[c]})
-    return plan
-
-
-def downcast(df: DataFrame, floats: bool = False) -> DataFrame:
+
+def downcast(df: DataFrame) -> DataFrame:
     """P5: cast every numeric column to its narrowest type."""
-    plan = downcast_plan(df, floats)
+    plan = downcast_plan(df)
     return df.select(*[F.col(c).cast(plan[c]).alias(c) if c in plan else F.col(c)
                        for c in df.columns])

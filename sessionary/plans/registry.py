@@ -118,6 +118,18 @@ def q_downcast(spark, sf_dir):
     return P.downcast_table(feats)
 
 
+@register("csv_tables")
+def q_csv_tables(spark, sf_dir):
+    """The events as the shop exports them (headered CSV), loaded back by name."""
+    from sessionary.sources.tables import load_tables
+    raw = raw_events(spark, sf_dir, "user")
+    path = _scratch(spark, "export") + "/events.csv"
+    (raw.select("timestamp", "visitorid", "event", "itemid", "transactionid")
+     .write.option("header", True).csv(path))
+    events = load_tables(spark, {"events": path}, register=False)["events"]
+    return events.select(ntz("timestamp"), "visitorid", "event", "itemid", "transactionid")
+
+
 # ------------------------------------------------------------ row columns V1-V8
 
 @register("hour_range")
@@ -575,24 +587,61 @@ def q_artifact_roundtrip(spark, sf_dir):
     return SK.read_artifact(spark, path, "run0").select(*counts.columns)
 
 
+def _forest_artifacts(spark, model, feats, base, run):
+    """S3 of one forest run: scored table, score description, both importances,
+    top-10 feature statistics and the model; returns the scored table as read back.
+    The number of rows read back from each is logged as a metric by the caller."""
+    path = SK.write_artifact(model.transform(feats), base, run, "scores", "scored")
+    scored = SK.read_artifact(spark, path, run)
+    split = IF.split_importance(model, spark)
+    shap = EX.ForestExplainer(model)
+    top10 = [r["feature"] for r in split.limit(10).collect()]
+    for folder, name, table in (
+            ("scores", "describe", ST.describe_by(scored, "anomaly_label", "anomaly_score")),
+            ("importance", "splits", split),
+            ("importance", "shap", shap.importance(shap.shap_values(feats))),
+            ("stats", "top_features", ST.stats_by_label(scored, "anomaly_label", top10, [-1, 1]))):
+        SK.write_artifact(table, base, run, folder, name)
+    model.save(spark, f"{base}/models/{run}")
+    return scored
+
+
+ARTIFACTS = (("scores", "scored"), ("scores", "describe"), ("importance", "splits"),
+             ("importance", "shap"), ("stats", "top_features"))
+
+
+def _artifact_rows(spark, base, run):
+    """(key, value): rows of each artifact of a run and of its model, read back."""
+    from functools import reduce
+    parts = [SK.read_artifact(spark, f"{base}/{folder}/{name}", run).agg(
+        F.lit(f"rows_{folder}_{name}").alias("key"), F.count(F.lit(1)).cast("double").alias("value"))
+        for folder, name in ARTIFACTS]
+    model = IF.IsolationForestModel.load(spark, f"{base}/models/{run}")
+    parts.append(model.nodes.agg(F.lit("trees_of_model").alias("key"),
+                                 F.count_distinct("tree_id").cast("double").alias("value")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register("grid_runs")
 def q_grid_runs(spark, sf_dir):
-    """M13 + S4: fit the forest for every grid point, log params and metrics."""
+    """M13 + S4: fit the forest for every grid point, log params, metrics and artifacts."""
     from sessionary.operators.detection import AnomalyDetection
     feats = _features(spark, sf_dir)
     sel = PR.feature_selection(feats)
-    log = SK.RunLog(spark, _scratch(spark, "runs"), "anomaly_detection")
+    base = _scratch(spark, "runs")
+    log = SK.RunLog(spark, base, "anomaly_detection")
     parent = log.new_run()
     for params in SK.param_grid(GRID):
         run = log.new_run()
         det = AnomalyDetection("isolation_forest", **params).fit(feats, sel)
-        scored = det.model.transform(feats, keep=["visitorid"])
+        scored = _forest_artifacts(spark, det.model, feats, base, run)
         log.log_params(run, "isolation_forest", params, parent)
         log.log_config(run, {"features": sel, **params})
         log.log_metrics_df(run, scored.agg(
             F.avg((F.col("anomaly_label") == -1).cast("double")).alias("anomaly_share"),
             F.avg("anomaly_score").alias("mean_score"))
             .unpivot([], ["anomaly_share", "mean_score"], "key", "value"))
+        log.log_metrics_df(run, _artifact_rows(spark, base, run))
     runs = log.table("runs").where(F.col("param") == "n_estimators") \
         .select("run_id", F.col("value").alias("n_estimators"))
     return log.table("metrics").join(runs, "run_id").select("n_estimators", "key", "value")

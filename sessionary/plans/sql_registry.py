@@ -43,11 +43,18 @@ _INT_FEATURES = ["visitorid", "num_views", "num_acart", "num_purch", "num_evnts"
                  "max_acpse", "min_prpse", "max_prpse"]
 _unions = " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", CAST(MIN({c}) AS BIGINT) AS min_value, "
-    f"CAST(MAX({c}) AS BIGINT) AS max_value FROM vf" for c in _INT_FEATURES)
+    f"CAST(MAX({c}) AS BIGINT) AS max_value, CAST(NULL AS DOUBLE) AS moved FROM vf"
+    for c in _INT_FEATURES)
+_DOUBLE_FEATURES = [f"{s}_{t}" for t in ("dltvw", "dltac", "dltpr") for s in ("min", "avg", "max")] + [
+    "avg_vwpse", "avg_acpse", "avg_prpse"]
+_moved = " UNION ALL ".join(
+    f"SELECT '{c}', NULL, NULL, COALESCE(MAX(ABS(CAST(CAST({c} AS FLOAT) AS DOUBLE) - {c})), 0) FROM vf"
+    for c in _DOUBLE_FEATURES)
 ORACLE["downcast"] = f"""WITH vf AS ({_FEATURES_UD}),
-mm AS ({_unions})
+mm AS ({_unions} UNION ALL {_moved})
 SELECT "column", min_value, max_value,
-       CASE WHEN min_value >= -128 AND max_value <= 127 THEN 'tinyint'
+       CASE WHEN moved <= 5e-4 THEN 'float' WHEN moved IS NOT NULL THEN 'double'
+            WHEN min_value >= -128 AND max_value <= 127 THEN 'tinyint'
             WHEN min_value >= -32768 AND max_value <= 32767 THEN 'smallint'
             WHEN min_value >= -2147483648 AND max_value <= 2147483647 THEN 'int'
             ELSE 'bigint' END AS type
@@ -319,6 +326,9 @@ ranked AS (
     FROM labels, range(0, {_SPLITS}) s(split))
 SELECT split, doc_id, quality FROM ranked JOIN counts USING (split, toxic) WHERE k <= n"""
 
+ORACLE["csv_tables"] = _EV + """SELECT make_timestamp((epoch_us("timestamp") // 1000) * 1000)
+    AS "timestamp", visitorid, event, itemid, transactionid FROM ev"""
+
 ORACLE["artifact_roundtrip"] = ORACLE["event_counts"]
 
 ORACLE["visitor_features_sql"] = ORACLE["visitor_features"]
