@@ -36,34 +36,23 @@ def long_form(df: DataFrame, features: list[str]) -> DataFrame:
     return wide.unpivot([], features, "feature", "value")
 
 
-def value_counts(df: DataFrame, features: list[str]) -> DataFrame:
-    """(feature, value, c): rows per distinct value of every feature.
-
-    Map-side combined, so a count-like feature shrinks to a handful of rows
-    per task before the shuffle; NULL values keep their own group."""
-    return long_form(df, features).groupBy("feature", "value").agg(
-        F.count(F.lit(1)).alias("c"))
-
-
-def _min_profile_from_counts(vc: DataFrame) -> DataFrame:
-    per = vc.groupBy("feature").agg(
-        F.min("value").alias("min_value"),
-        F.min_by("c", F.when(F.col("value").isNotNull(), F.col("value"))).alias("min_count"),
-        F.sum("c").alias("_rows"))
-    return per.select(
-        "feature", "min_value", F.coalesce("min_count", F.lit(0)).cast("long").alias("min_count"),
-        numpy_round(F.coalesce("min_count", F.lit(0)) / F.col("_rows") * F.lit(100.0), 2)
-        .alias("min_percentage"))
-
-
 def min_profile(df: DataFrame, features: list[str] | None = None) -> DataFrame:
     """per feature min_value, min_count and min_percentage.
 
     ``min_percentage = round(100 * min_count / rows, 2)`` (as numpy rounds),
-    NULL rows counting in ``rows``.  One pass: the per-value counts.
+    NULL rows counting in ``rows``.  Two aggregates of one row per task: the
+    minima, then the rows that equal them.
     """
     features = features or feature_names(df)
-    return _min_profile_from_counts(value_counts(df, features))
+    lows = df.agg(*[F.min(F.col(c).cast("double")).alias(c) for c in features]).first()
+    low = {c: F.lit(lows[c]).cast("double") for c in features}
+    one = df.agg(F.count(F.lit(1)).alias("_rows"),
+                 *[F.count_if(F.col(c).cast("double") == low[c]).alias(c) for c in features])
+    rows = one.select("_rows", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), low[c].alias("min_value"),
+                 F.col(c).alias("min_count")) for c in features])).alias("r")).select("_rows", "r.*")
+    return rows.select("feature", "min_value", "min_count", numpy_round(
+        F.try_divide("min_count", "_rows") * F.lit(100.0), 2).alias("min_percentage"))
 
 
 def _literal_map(values: dict, value_type: str = "double"):
@@ -81,64 +70,40 @@ def summary_without_min(df: DataFrame, features: list[str] | None = None,
     min, q1, median, mean, q3, max, std_dev, variance (n-1); exact linear
     quantiles; an empty remainder gives NULLs.  Ordered by ``min_count``.
 
-    Plan: the per-value counts table (one map-side-combined pass over the
-    data) -> one per-feature aggregate collected to the driver (min, its
-    count, rows, the remainder's count, mean and number of distinct values)
-    -> one aggregate for the centred variance, min, max and the exact
-    quantiles (cumulative counts), with the per-feature constants applied as
-    literal maps instead of joins.
+    Plan: F1, one map-side combined aggregate of the remainder's count, sum,
+    min and max, one of its centred squares, and the two passes of the exact
+    quantiles; per-feature constants enter as literal maps, and only one row
+    per feature reaches the driver.
     """
-    from sessionary.operators.quantiles import exact_quantiles, _small_group_quantiles
-    from sessionary.session import materialize
+    from sessionary.operators.quantiles import exact_quantiles
     features = features or feature_names(df)
     spark = df.sparkSession
-    # short lineage (one aggregate over the input): cached, not written
-    vc = materialize(value_counts(df, features), "persist")
-    nn = F.col("value").isNotNull()
-    per = vc.groupBy("feature").agg(
-        F.min("value").alias("min_value"),
-        F.min_by("c", F.when(nn, F.col("value"))).alias("min_count"),
-        F.sum("c").alias("rows"),
-        F.sum(F.when(nn, F.col("c"))).alias("n_all"),
-        F.sum(F.when(nn, F.col("c") * F.col("value"))).alias("s_all"),
-        F.count("value").alias("distinct")).collect()
-    info = {}
-    for r in per:
-        mc = r["min_count"] or 0
-        n_rest = (r["n_all"] or 0) - mc
-        s_rest = (r["s_all"] or 0.0) - (r["min_value"] or 0.0) * mc
-        info[r["feature"]] = dict(min_value=r["min_value"], min_count=mc, rows=r["rows"],
-                                  n_rest=n_rest, mean=(s_rest / n_rest) if n_rest else None,
-                                  distinct=r["distinct"])
-    mins = _literal_map({f: v["min_value"] for f, v in info.items()})
-    means = _literal_map({f: v["mean"] for f, v in info.items() if v["mean"] is not None})
-    rest = vc.where(F.col("value") != F.element_at(mins, F.col("feature")))
-    dev = F.col("value") - F.element_at(means, F.col("feature"))
-    moments = rest.groupBy("feature").agg(
-        F.min("value").alias("min"), F.max("value").alias("max"),
-        F.sum("c").alias("_n"), F.sum(F.col("c") * dev * dev).alias("_ss"))
-    if max([v["distinct"] for v in info.values()] or [0]) <= 4 * accuracy:
-        qlong = _small_group_quantiles(None, ["feature"], [0.25, 0.5, 0.75],
-                                       rest.select("feature", F.col("value").alias("_v"),
-                                                   F.col("c").alias("_c")))
-    else:
-        rows = long_form(df, features)
-        qlong = exact_quantiles(rows.where(F.col("value") != F.element_at(mins, F.col("feature"))),
-                                ["feature"], "value", [0.25, 0.5, 0.75], accuracy)
-    qs = qlong.groupBy("feature").agg(*[
+    prof = {r["feature"]: r for r in min_profile(df, features).collect()}
+    lows = _literal_map({f: r["min_value"] for f, r in prof.items() if r["min_value"] is not None})
+    rest = long_form(df, features).where(F.col("value") != F.try_element_at(lows, F.col("feature")))
+    sums = {r["feature"]: r for r in rest.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("value").alias("s"),
+        F.min("value").alias("low"), F.max("value").alias("high")).collect()}
+    mean = {f: r["s"] / r["n"] for f, r in sums.items()}
+    dev = F.col("value") - F.element_at(_literal_map(mean), F.col("feature"))
+    squares = rest.groupBy("feature").agg(F.sum(dev * dev).alias("_ss"))
+    quartiles = exact_quantiles(rest, ["feature"], "value", [0.25, 0.5, 0.75], accuracy)
+    quartiles = quartiles.groupBy("feature").agg(*[
         F.max(F.when(F.col("q") == F.lit(p), F.col("quantile"))).alias(n)
         for n, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))])
+    known = spark.createDataFrame([
+        (f, r["min_value"], r["min_count"], r["min_percentage"],
+         *((sums[f]["n"], sums[f]["low"], mean[f], sums[f]["high"]) if f in sums else [None] * 4))
+        for f, r in prof.items()],
+        "feature string, min_value double, min_count long, min_percentage double, "
+        "_n long, min double, mean double, max double")
+    # one row per feature on every side
+    out = known.join(squares, "feature", "left").join(quartiles, "feature", "left")
     var = F.try_divide(F.col("_ss"), F.col("_n") - 1)
-    stats = moments.join(qs, "feature", "full")
-    prof = spark.createDataFrame(
-        [(f, v["min_value"], int(v["min_count"]),
-          float(np.round(v["min_count"] / v["rows"] * 100.0, 2)) if v["rows"] else None,
-          v["mean"]) for f, v in info.items()],
-        "feature string, min_value double, min_count long, min_percentage double, mean double")
-    out = prof.join(stats, "feature", "left").select(
+    return out.select(
         "feature", "min_value", "min_count", "min_percentage", "min", "q1", "median",
-        "mean", "q3", "max", F.sqrt(var).alias("std_dev"), var.alias("variance"))
-    return out.orderBy("min_count", "feature")
+        "mean", "q3", "max", F.sqrt(var).alias("std_dev"), var.alias("variance")
+    ).orderBy("min_count", "feature")
 
 
 def _partial_moments(features: list[str], shift: np.ndarray):
@@ -217,17 +182,10 @@ def _selection_rows(df: DataFrame, min_percentage_threshold: float,
                     corr_threshold: float) -> list[tuple]:
     """(feature, min_percentage, correlated_count, selected) per feature.
 
-    Two bounded results reach the driver: one row per feature (its minimum
-    share and mean, from the per-value counts) and the correlation table of
-    the kept features (kept^2 rows)."""
-    vc = value_counts(df, features)
-    rows = (_min_profile_from_counts(vc).join(
-        vc.groupBy("feature").agg((F.sum(F.col("c") * F.col("value"))
-                                   / F.sum(F.when(F.col("value").isNotNull(), F.col("c"))))
-                                  .alias("_mean")), "feature")
-        .select("feature", "min_percentage", "_mean").collect())
-    share = {r["feature"]: r["min_percentage"] for r in rows}
-    means = {r["feature"]: r["_mean"] for r in rows}
+    One row per feature (its minimum share, its mean) and the correlation
+    table of the kept features (kept^2 rows) reach the driver."""
+    share = {r["feature"]: r["min_percentage"] for r in min_profile(df, features).collect()}
+    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in features]).first().asDict()
     kept = [c for c in features if share.get(c) is not None
             and share[c] < min_percentage_threshold]
     t = len(kept) // 2 if correlated_count_threshold is None else correlated_count_threshold

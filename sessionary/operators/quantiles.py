@@ -2,139 +2,85 @@
 
 ``F.percentile`` is exact but keeps a value -> count map per group and merges
 it in one task: for a continuous column of a billion rows that map is the
-whole column.  Here the exact answer is found in two passes:
-
-1. per group, ``percentile_approx`` (bounded sketch, map-side combined) gives
-   values ``lo <= q-th value <= hi`` that bracket the wanted rank with a margin
-   of ``4 / accuracy`` of the rank range;
-2. one more pass counts the rows below ``lo`` and the distinct values inside
-   ``[lo, hi]`` (about ``8 n / accuracy`` of them), and the value at the exact
-   rank is read off their cumulative counts.
-
-Groups with at most ``4 * accuracy`` rows use the full range as the bracket,
-which is then bounded by that row count.  Interpolation follows the usual
-"linear" rule: position ``(n - 1) q``, weights on the two neighbouring ranks.
+whole column.  Here the exact answer is found in two passes, both combined
+map-side:
+
+1. per group, ``percentile_approx`` (a bounded sketch) gives values that
+   bracket the wanted rank with a margin of ``4 / accuracy`` of the rank range;
+   groups of at most ``accuracy`` rows are bracketed by their whole range;
+2. one aggregate counts the rows below the bracket and the rows of each value
+   inside it (about ``8 n / accuracy`` values), and the value at the exact rank
+   is read off their cumulative counts.
+
+The brackets (one row per group and quantile, at most ``MAX_GROUPS`` groups,
+checked) are all that reaches the driver and are broadcast to the second pass,
+so the rows themselves are never shuffled.  A bracket that misses its rank
+raises.  Interpolation follows the usual "linear" rule: position ``(n - 1) q``,
+weights on the two neighbouring ranks.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 100_000
-
-
-def _small_group_quantiles(base: DataFrame, keys: list[str], probs: list[float],
-                           counts: DataFrame | None = None) -> DataFrame:
-    """All groups have at most ``4 * accuracy`` distinct values: exact from
-    value counts.  One pass of distinct (group, value) counts, one cumulative
-    window per group (bounded by its distinct values), all quantiles together.
-    """
-    if counts is None:
-        counts = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    w = (Window.partitionBy(*keys).orderBy("_v")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    wall = Window.partitionBy(*keys)
-    cum = counts.select(*keys, "_v", F.sum("_c").over(w).alias("_cum"),
-                        F.sum("_c").over(wall).alias("_n"))
-    aggs = []
-    for i, p in enumerate(probs):
-        pos = (F.col("_n") - 1) * F.lit(p)
-        aggs += [F.min(F.when(F.col("_cum") > F.floor(pos), F.col("_v"))).alias(f"_a{i}"),
-                 F.min(F.when(F.col("_cum") > F.ceil(pos), F.col("_v"))).alias(f"_b{i}"),
-                 F.first(pos - F.floor(pos)).alias(f"_f{i}")]
-    picked = cum.groupBy(*keys).agg(*aggs)
-    parts = [picked.select(*keys, F.lit(p).alias("q"),
-                           (F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}"))
-                            * F.col(f"_f{i}")).alias("quantile"))
-             for i, p in enumerate(probs)]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+DEFAULT_ACCURACY = 10_000
+MAX_GROUPS = 10_000
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
                     accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Rows ``keys + [q, quantile]``; NULL values are ignored, empty -> NULL."""
+    """Rows ``keys + [q, quantile]``; NULL values are ignored, none left -> NULL."""
     if not keys:  # whole-table quantiles: one constant group
-        out = exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs,
-                              accuracy)
+        out = exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs, accuracy)
         return out.drop("_all")
-    keys = list(keys)
-    probs = [float(p) for p in probs]
-    base = (df.where(F.col(value).isNotNull())
-            .select(*keys, F.col(value).cast("double").alias("_v")))
-    groups = (df.select(*keys).distinct()
-              .select(*keys, F.explode(F.array(*[F.lit(p) for p in probs])).alias("q")))
-    counts = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    largest = counts.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest <= 4 * accuracy:
-        return groups.join(_small_group_quantiles(base, keys, probs, counts), keys + ["q"],
-                           "left")
-    margin = 4.0 / accuracy
-    lo_p = [max(0.0, p - margin) for p in probs]
-    hi_p = [min(1.0, p + margin) for p in probs]
-    sketch = base.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", lo_p, accuracy).alias("_lo"),
-        F.percentile_approx("_v", hi_p, accuracy).alias("_hi"))
-    small = F.col("_n") <= F.lit(4 * accuracy)
-    brackets = (sketch
-                .select(*keys, "_n", F.posexplode(F.arrays_zip(
-                    F.array(*[F.lit(p) for p in probs]).alias("q"),
-                    F.col("_lo").alias("lo"), F.col("_hi").alias("hi"))))
-                .select(*keys, "_n", F.col("col.q").alias("q"),
-                        F.when(small, F.lit(float("-inf"))).otherwise(F.col("col.lo"))
-                        .alias("_blo"),
-                        F.when(small, F.lit(float("inf"))).otherwise(F.col("col.hi"))
-                        .alias("_bhi"))
-                .withColumn("_pos", (F.col("_n") - 1) * F.col("q"))
-                .withColumn("_r0", F.floor("_pos"))
-                .withColumn("_r1", F.ceil("_pos")))
-
-    # one row per (group, q): keys x probs, the size of the sketch table
-    tagged = base.join(brackets, on=keys, how="inner")
-    below = (tagged.groupBy(*keys, "q")
-             .agg(F.count_if(F.col("_v") < F.col("_blo")).alias("_below")))
-    inside = (tagged.where((F.col("_v") >= F.col("_blo")) & (F.col("_v") <= F.col("_bhi")))
-              .groupBy(*keys, "q", "_v").agg(F.count(F.lit(1)).alias("_c")))
-    w = (Window.partitionBy(*keys, "q").orderBy("_v")
+    keys, probs = list(keys), [float(p) for p in probs]
+    spark, margin = df.sparkSession, 4.0 / accuracy
+    base = df.select(*keys, F.col(value).cast("double").alias("_v"))
+    groups = base.groupBy(*keys).agg(
+        F.count("_v").alias("n"),
+        F.percentile_approx("_v", [max(0.0, p - margin) for p in probs], accuracy).alias("low"),
+        F.percentile_approx("_v", [min(1.0, p + margin) for p in probs], accuracy).alias("high")
+    ).limit(MAX_GROUPS + 1).collect()
+    if len(groups) > MAX_GROUPS:
+        raise ValueError(f"over {MAX_GROUPS} groups: use F.percentile for many small groups")
+    brackets = []
+    for g in groups:
+        for k, p in enumerate(probs):
+            whole = g["n"] <= accuracy
+            at = (g["n"] - 1) * p if g["n"] else 0.0
+            brackets.append((*[g[c] for c in keys], p,
+                             -math.inf if whole else g["low"][k], math.inf if whole else g["high"][k],
+                             at, math.floor(at), math.ceil(at)))
+    names = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keys)
+    brackets = spark.createDataFrame(
+        brackets, f"{names}, q double, _low double, _high double, _at double, _r0 long, _r1 long")
+    small = brackets.select(*[F.col(c).alias(f"_k_{c}") for c in keys], "q", "_low", "_high",
+                            "_at", "_r0", "_r1")
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys]
+    counts = (base.where(F.col("_v").isNotNull()).join(F.broadcast(small), same)
+              .where(F.col("_v") <= F.col("_high"))
+              .groupBy(*keys, "q", "_at", "_r0", "_r1",
+                       F.when(F.col("_v") >= F.col("_low"), F.col("_v")).alias("_v"))
+              .agg(F.count(F.lit(1)).alias("_c")))
+    w = (Window.partitionBy(*keys, "q").orderBy(F.col("_v").asc_nulls_first())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cum = (inside.join(below, on=keys + ["q"], how="inner")
-           .join(brackets.select(*keys, "q", "_pos", "_r0", "_r1"), on=keys + ["q"])
-           .withColumn("_cum", F.col("_below") + F.sum("_c").over(w)))
-    picked = cum.groupBy(*keys, "q").agg(
+    cum = counts.withColumn("_cum", F.sum("_c").over(w))
+    picked = cum.groupBy(*keys, "q", "_at", "_r0", "_r1").agg(
         F.min(F.when(F.col("_cum") > F.col("_r0"), F.col("_v"))).alias("_v0"),
         F.min(F.when(F.col("_cum") > F.col("_r1"), F.col("_v"))).alias("_v1"),
-        F.first("_pos").alias("_pos"), F.first("_r0").alias("_r0"))
-    result = picked.select(
-        *keys, "q",
-        (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (F.col("_pos") - F.col("_r0")))
+        F.coalesce(F.max(F.when(F.col("_v").isNull(), F.col("_cum"))), F.lit(0)).alias("_below"))
+    missed = (F.col("_below") > F.col("_r0")) | F.col("_v1").isNull()
+    found = picked.select(
+        *[F.col(c).alias(f"_k_{c}") for c in keys], F.col("q").alias("_q"),
+        F.when(missed, F.raise_error(F.lit("a quantile's bracket missed its rank")).cast("double"))
+        .otherwise(F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (F.col("_at") - F.col("_r0")))
         .alias("quantile"))
     # groups without values still get NULL quantiles
-    return groups.join(result, on=keys + ["q"], how="left")
-
-
-def quantiles_from_counts(counts: DataFrame, keys: list[str], named: dict[str, float],
-                          accuracy: int = DEFAULT_ACCURACY,
-                          fallback: DataFrame | None = None) -> DataFrame:
-    """Wide quantiles from a (keys, _v, c) value-count table.
-
-    When some group has more than ``4 * accuracy`` distinct values the
-    cumulative window would be too big for one task: ``fallback`` (the rows,
-    with a ``value`` column) then goes through :func:`exact_quantiles`.
-    """
-    probs = [float(p) for p in named.values()]
-    widest = counts.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if widest <= 4 * accuracy:
-        long = _small_group_quantiles(None, keys, probs,
-                                      counts.withColumnRenamed("c", "_c"))
-    else:
-        long = exact_quantiles(fallback, keys, "value", probs, accuracy)
-    cols = [F.max(F.when(F.col("q") == F.lit(float(p)), F.col("quantile"))).alias(n)
-            for n, p in named.items()]
-    return long.groupBy(*keys).agg(*cols)
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys] + [F.col("q") == F.col("_q")]
+    return brackets.join(found, same, "left").select(*keys, "q", "quantile")
 
 
 def quantile_columns(df: DataFrame, keys: list[str], value: str,
