@@ -20,6 +20,8 @@ import pyarrow.compute as pc
 
 #: Most entries of the worker's memo of letter pieces; a full memo is dropped.
 MEMO_PIECES = 400_000
+#: Texts whose words are looked up together.
+SLICE_TEXTS = 4_000
 #: Words whose ids are gathered at once (or one text, if that has more).
 SLICE_WORDS = 200_000
 
@@ -71,6 +73,10 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids (uint32) of each whole text in turn; null and empty texts have none."""
+        for at in range(0, len(texts), SLICE_TEXTS):  # bounds the memory, not the texts
+            yield from self._encode(texts.slice(at, SLICE_TEXTS))
+
+    def _encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         if len(self.pieces) > MEMO_PIECES:
             self.pieces.clear()
         split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
