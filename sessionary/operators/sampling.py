@@ -75,9 +75,11 @@ def bottom_k(rows: DataFrame, groups: list[str], targets: DataFrame,
             F.count(F.lit(1)).alias("_upto_hi"))
         # exact iff nothing is over-taken below the bracket and enough rows lie
         # below its top
-        check = (counts.join(F.broadcast(targets.select(*groups, "_n")), groups)
-                 .where((F.col("_below") > F.col("_k"))
-                        | (F.col("_upto_hi") < F.least(F.col("_k"), F.col("_n")))))
+        # (a group without any row below its top is missing from the counts)
+        check = (targets.select(*groups, F.col("_k").alias("_want"), "_n")
+                 .join(counts, groups, "left")
+                 .where((F.coalesce("_below", F.lit(0)) > F.col("_want"))
+                        | (F.coalesce("_upto_hi", F.lit(0)) < F.least("_want", "_n"))))
         if check.limit(1).count() == 0:
             exact = True
             break
