@@ -39,9 +39,12 @@ def best_rating(rated: DataFrame) -> DataFrame:
 
 
 def ratings(events: DataFrame, features: DataFrame | None = None) -> DataFrame:
-    """Rating triples of the eligible visitors."""
+    """Rating triples of the eligible visitors.
+
+    The highest rating's latest time is the same with and without R2 before it
+    (a rating stands for one set of events), so one aggregate does both."""
     ev = events if features is None else eligible_events(events, features)
-    return best_rating(with_rating(latest_per_event(ev)))
+    return best_rating(with_rating(ev))
 
 
 def visitors_with_many_ratings(triples: DataFrame, minimum: int = 2) -> DataFrame:

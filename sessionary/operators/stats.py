@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,28 @@ from sessionary.operators.quantiles import DEFAULT_ACCURACY, quantile_columns
 
 GRID_SIZE = 200   # fixed value: points of a density curve
 CUT = 3.0         # fixed value: curve extends this many bandwidths past the data
-MAX_LITERAL_GROUPS = 10_000  # per-group constants as literals up to this many groups
+MAX_GROUPS = 10_000   # one row of constants per group goes to the driver and every task
+
+
+def _kernel_sums(held, grid_size: int, at_once: int = 4096):
+    """Sums of Gaussian kernels at each group's grid points over a task's rows."""
+    def run(batches):
+        sums = {}
+        for pdf in batches:
+            for group, own in pdf.groupby("group")["_x"]:
+                if group not in held.value:
+                    continue
+                h, g0, step = held.value[group]
+                grid = g0 + step * np.arange(grid_size)
+                total = sums.setdefault(group, np.zeros(grid_size))
+                x = own.to_numpy(float)
+                for k in range(0, len(x), at_once):
+                    z = (grid[:, None] - x[None, k:k + at_once]) / h
+                    total += np.exp(-0.5 * z * z).sum(axis=1)
+        for group, total in sums.items():
+            yield pd.DataFrame({"group": [group] * grid_size,
+                                "point": np.arange(grid_size, dtype=np.int32), "_k": total})
+    return run
 
 
 def describe_by(df: DataFrame, group: str, measure: str, digits: int = 2,
@@ -65,9 +88,9 @@ def density_curves(df: DataFrame, measure: str, group: str | None = None,
 
     Scott's rule: bandwidth ``h = std(ddof=1) * n ** (-1/5)``; the grid spans
     ``[min - cut h, max + cut h]`` in ``grid_size`` points.  The per-group
-    constants (one row per group) enter as literal maps, each row is expanded
-    over the fixed grid and the kernel sums are combined map-side, so the
-    shuffle holds ``groups x grid_size`` partial rows per task.
+    constants (one row per group, at most ``MAX_GROUPS``) go to the tasks, which
+    sum the kernels of their rows batch by batch, so the shuffle holds
+    ``groups x grid_size`` partial rows per task.
     Output: (group, point, x, density).
     """
     x = F.col(measure).cast("double")
@@ -87,29 +110,18 @@ def density_curves(df: DataFrame, measure: str, group: str | None = None,
         .withColumn("_step", (F.col("_hi") - F.col("_lo") + F.lit(2 * cut) * F.col("_h"))
                     / F.lit(grid_size - 1))
         .select("group", "_n", "_h", "_g0", "_step"))
-    rows = params.limit(MAX_LITERAL_GROUPS + 1).collect()
-    grid = F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("point")
-    if len(rows) <= MAX_LITERAL_GROUPS:
-        # one row per group: the constants enter as literal maps (no join)
-        def lit_map(col, typ):
-            items = []
-            for r in rows:
-                items += [F.lit(r["group"]), F.lit(r[col]).cast(typ)]
-            return F.element_at(F.create_map(*items), F.col("group")) if items \
-                else F.lit(None).cast(typ)
-        expanded = (data.select("group", "_x", lit_map("_n", "long").alias("_n"),
-                                lit_map("_h", "double").alias("_h"),
-                                lit_map("_g0", "double").alias("_g0"),
-                                lit_map("_step", "double").alias("_step"))
-                    .where(F.col("_h").isNotNull())
-                    .select("group", "_x", "_n", "_h", "_g0", "_step", grid))
-    else:
-        expanded = (data.join(params, "group")
-                    .select("group", "_x", "_n", "_h", "_g0", "_step", grid))
-    gx = F.col("_g0") + F.col("point") * F.col("_step")
-    z = (gx - F.col("_x")) / F.col("_h")
-    sums = expanded.groupBy("group", "point", "_n", "_h", "_g0", "_step").agg(
-        F.sum(F.exp(F.lit(-0.5) * z * z)).alias("_k"))
+    rows = params.where(F.col("group").isNotNull()).limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"over {MAX_GROUPS} groups")
+    spark = df.sparkSession
+    known = spark.createDataFrame(rows, params.schema)
+    held = spark.sparkContext.broadcast({r["group"]: (r["_h"], r["_g0"], r["_step"]) for r in rows})
+    kind = params.schema["group"].dataType.simpleString()
+    partial = data.select("group", "_x").mapInPandas(
+        _kernel_sums(held, grid_size), f"group {kind}, point int, _k double")
+    # per task one row for each group and grid point
+    sums = partial.groupBy("group", "point").agg(F.sum("_k").alias("_k")).join(
+        F.broadcast(known), "group")
     norm = F.lit(1.0 / math.sqrt(2 * math.pi))
     return sums.select("group", "point", (F.col("_g0") + F.col("point") * F.col("_step"))
                        .alias("x"),
