@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,31 +45,18 @@ def sessionize(events: DataFrame, gap_seconds: float = SESSION_GAP_SECONDS, *,
     return session_flags(sq, gap_seconds).result().select(*events.columns, "session_id")
 
 
-MAX_CATEGORIES = 100_000  # broadcast bound for category code tables
+def event_codes(events: DataFrame, col: str = "event") -> DataFrame:
+    """Category codes, 0-based in sorted order of the distinct values; NULL is -1.
 
-
-def event_codes(events: DataFrame, col: str = "event",
-                max_categories: int = MAX_CATEGORIES) -> DataFrame:
-    """Category codes, 0-based in sorted order of the distinct values.
-
-    The distinct values are counted first; up to ``max_categories`` of them
-    the code table is broadcast (no shuffle of the events), beyond that the
-    codes come from a distributed ranking and a regular join.
+    The distinct values get their places by a distributed ranking; the join with
+    them is planned by Spark (a small code table is broadcast by its own size).
     """
+    from sessionary.operators.graph import global_rank
     cats = events.select(col).where(F.col(col).isNotNull()).distinct()
-    n_cats = cats.count()
-    missing = F.lit(-1).cast("int")  # NULL has no category: code -1
-    if n_cats <= max_categories:
-        # a global window over at most max_categories rows: one small task
-        codes = cats.select(col, (F.dense_rank().over(Window.orderBy(col)) - 1)
-                            .cast("int").alias(f"{col}_code"))
-        joined = events.join(F.broadcast(codes), on=col, how="left")
-    else:
-        from sessionary.operators.graph import global_rank
-        codes = global_rank(cats, [col], "_r") \
-            .select(col, (F.col("_r") - 1).cast("int").alias(f"{col}_code"))
-        joined = events.join(codes, on=col, how="left")
-    return joined.withColumn(f"{col}_code", F.coalesce(F.col(f"{col}_code"), missing))
+    codes = global_rank(cats, [col], "_r").select(
+        col, (F.col("_r") - 1).cast("int").alias(f"{col}_code"))
+    return events.join(codes, on=col, how="left").withColumn(
+        f"{col}_code", F.coalesce(F.col(f"{col}_code"), F.lit(-1).cast("int")))
 
 
 _INT_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)

@@ -260,7 +260,9 @@ def test_samples_equal_brute_force_ranking(spark):
         .withColumn("label", (F.col("key") % 7 == 0).cast("int"))
     got = SM.random_samples(df, "key", 3, 0.1).select("split", "key").toPandas()
     rows = df.select("key", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("split"))
-    h = F.xxhash64(F.col("split") + F.lit(42), F.col("key"))
+    key = lambda *parts: F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 15), 16, 10) \
+        .cast("bigint")
+    h = key((F.col("split") + 42).cast("string"), F.col("key").cast("string"))
     w = Window.partitionBy("split").orderBy(h, "key")
     exp = rows.withColumn("_r", F.row_number().over(w)).where("_r <= 300") \
         .select("split", "key").toPandas()
@@ -268,7 +270,7 @@ def test_samples_equal_brute_force_ranking(spark):
     st = SM.stratified_samples(df, "label", "key", 2, 0.2, drop_label=False) \
         .select("split", "label", "key").toPandas()
     rows = df.select("key", "label", F.explode(F.sequence(F.lit(0), F.lit(1))).alias("split"))
-    h2 = F.xxhash64(F.lit(42), F.col("key"), F.col("split"))
+    h2 = key(F.lit("42"), F.col("key").cast("string"), F.col("split").cast("string"))
     w2 = Window.partitionBy("split", "label").orderBy(h2, "key")
     ranked = rows.withColumn("_r", F.row_number().over(w2)).toPandas()
     quota = st.groupby(["split", "label"]).size().to_dict()
