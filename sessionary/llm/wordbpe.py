@@ -3,8 +3,8 @@
 The tokenizer's rules (white space dropped, pieces cut at every change between
 letters and other signs) never look across ASCII white space, so a text is cut
 there and every different chunk of an Arrow batch goes through the library
-once; the ids of a text are then gathered with numpy.  A bounded memo of letter
-pieces lives in the Python worker across batches.
+once; the ids of a text are then gathered with numpy.  A Python worker keeps
+the pieces of its last slice of texts for the next one.
 ``tests/llm/test_tokens.py`` compares the ids with the library's on whole texts.
 """
 
@@ -18,8 +18,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Most entries of the worker's memo of letter pieces; a full memo is dropped.
-MEMO_PIECES = 400_000
 #: Texts whose words are looked up together.
 SLICE_TEXTS = 4_000
 #: Words whose ids are gathered at once (or one text, if that has more).
@@ -27,6 +25,8 @@ SLICE_WORDS = 200_000
 
 #: Signs that may end a chunk of letters: letters and signs are separate pieces.
 _SIGNS = ".,!?;:|#$%&*"
+#: The letters among the first 256 code points.
+_LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha())
 
 
 def default_path() -> str:
@@ -51,25 +51,20 @@ class WordEncoder:
         self.letters = _byte_letters()
         self.pieces: dict[str, bytes] = {}
 
-    def _piece(self, piece: str) -> bytes | None:
-        """Ids of one lower-case letter or sign piece; None beyond Latin-1."""
-        ids = self.pieces.get(piece)
-        if ids is None:
-            text = piece
-            if not piece.isascii():
-                if max(piece) > "\xff":
-                    return None
-                text = piece.encode("utf-8").decode("latin-1").translate(self.letters)
-            ids = self.pieces[piece] = array("I", [t.id for t in self.bpe(text)]).tobytes()
-        return ids
-
-    def _chunk(self, chunk: str) -> bytes:
-        """Ids of one chunk, as little-endian unsigned 32-bit integers."""
-        stem = chunk.rstrip(_SIGNS)
-        ids = self._piece(stem.lower()) if stem.isalpha() else None
-        if ids is None:  # digits, quotes, other alphabets, other white space, ...
-            return array("I", self.tok.encode(chunk, add_special_tokens=False).ids).tobytes()
-        return ids if len(stem) == len(chunk) else ids + self._piece(chunk[len(stem):])
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a lower-case Latin-1 letter piece, or of any other chunk, as
+        little-endian unsigned 32-bit integers."""
+        if piece.isalpha() and (piece.isascii() or max(piece) <= "\xff"):
+            return self._bpe_ids(piece)
+        if not piece:
+            return b""
+        # digits, quotes, other alphabets, other white space, ...
+        return array("I", self.tok.encode(piece, add_special_tokens=False).ids).tobytes()
+
+    def _bpe_ids(self, piece: str) -> bytes:
+        if not piece.isascii():
+            piece = piece.encode("utf-8").decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.bpe(piece)]).tobytes() if piece else b""
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids (uint32) of each whole text in turn; null and empty texts have none."""
@@ -77,28 +72,41 @@ class WordEncoder:
             yield from self._encode(texts.slice(at, SLICE_TEXTS))
 
     def _encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        if len(self.pieces) > MEMO_PIECES:
-            self.pieces.clear()
         split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
         ends = split.offsets.to_numpy()
         words = split.flatten().dictionary_encode()
-        blobs = [self._chunk(w) for w in words.dictionary.to_pylist()]
+        # letters and the signs after them are separate pieces; other chunks stay whole
+        chunks = words.dictionary
+        stems = pc.utf8_rtrim(chunks, _SIGNS)
+        plain = pc.and_(pc.utf8_is_alpha(stems),
+                        pc.invert(pc.match_substring_regex(stems, r"[^\x00-\x{ff}]")))
+        first = pc.if_else(plain, pc.utf8_lower(stems), chunks).dictionary_encode()
+        after = pc.if_else(plain, pc.utf8_ltrim(chunks, _LETTERS), "").dictionary_encode()
+        pieces, known = first.dictionary.to_pylist(), self.pieces.get
+        blobs = [known(x) or self._piece(x) for x in pieces]
+        self.pieces = dict(zip(pieces, blobs))
+        del pieces
+        signs_from = len(blobs)
+        blobs += [self._bpe_ids(x) for x in after.dictionary.to_pylist()]
         cnt = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
         off = np.cumsum(cnt) - cnt
         flat = np.frombuffer(b"".join(blobs), "<u4")
-        at = words.indices.to_numpy()
-        base, first, n = ends[0], 0, len(texts)
-        while first < n:  # a slice of texts at a time bounds the index arrays
-            last = max(first + 1, int(np.searchsorted(ends, ends[first] + SLICE_WORDS)) - 1)
-            last = min(last, n)
-            part = at[ends[first] - base:ends[last] - base]
-            lens = cnt[part]
+        del blobs
+        first_of, after_of = first.indices.to_numpy(), after.indices.to_numpy() + signs_from
+        at, base, start, n = words.indices.to_numpy(), ends[0], 0, len(texts)
+        while start < n:  # a slice of texts at a time bounds the index arrays
+            last = int(np.searchsorted(ends, ends[start] + SLICE_WORDS)) - 1
+            last = min(max(start + 1, last), n)
+            part = at[ends[start] - base:ends[last] - base]
+            own = np.empty(2 * len(part), np.int64)
+            own[0::2], own[1::2] = first_of[part], after_of[part]
+            lens = cnt[own]
             upto = np.concatenate([[0], np.cumsum(lens)])
-            ids = flat[np.repeat(off[part] - upto[:-1], lens) + np.arange(upto[-1])]
-            cuts = upto[ends[first:last + 1] - ends[first]]
-            for k in range(last - first):
+            ids = flat[np.repeat(off[own] - upto[:-1], lens) + np.arange(upto[-1])]
+            cuts = upto[2 * (ends[start:last + 1] - ends[start])]
+            for k in range(last - start):
                 yield ids[cuts[k]:cuts[k + 1]]
-            first = last
+            start = last
 
 
 @functools.lru_cache(maxsize=4)
