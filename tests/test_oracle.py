@@ -4,19 +4,9 @@ import math
 import pytest
 
 import __spark_entry__ as E
+from sessionary.plans.sql_registry import ORACLE
 from tests.conftest import SF_SMALL
 
-FAST = ["visitor_features", "visitor_features_user_day", "visitor_features_sql", "sessionize", "sessionize_6h",
-        "event_counts", "scan_events", "epoch_ms", "event_codes", "fill_tx", "hour_range",
-        "week_day", "delta_same_event", "views_per_minute", "views_per_hour", "rep_flags",
-        "funnel_flag", "session_counts", "session_stats", "hour_counts", "weekday_counts",
-        "rep_counts", "delta_stats", "session_join", "drop_bouncers", "ratings_semi",
-        "dedup_latest", "rating_map", "ratings", "ratings_multi", "profile_min",
-        "profile_summary", "corr_counts", "feature_selection", "norm_minmax",
-        "describe_by_label", "kde_group", "k_distance_tail", "silhouette", "dbscan_core",
-        "sample_stratified_counts", "sample_random_count", "label_correction", "downcast",
-        "silhouette_sq", "visitor_features_hot", "sessionize_hot"]
-
 
 def _norm(v):
     if v is None:
@@ -39,10 +29,10 @@ def test_every_query_has_oracle_or_is_model_based():
     assert set(sql) <= set(qs)
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     got = E.queries()[name](spark, SF_SMALL).toPandas()
-    exp = duck.sql(E.oracle_sql()[name]).df()
+    exp = duck.sql(ORACLE[name]).df()
     assert _rows(got) == _rows(exp)
 
 
