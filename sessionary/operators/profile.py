@@ -1,9 +1,8 @@
 """Profiling, correlation, feature selection and normalisation (F1-F8).
 
-Everything works on the *long* form ``(feature, value)`` obtained with
-``unpivot``: per-feature statistics become ``groupBy(feature)`` aggregates,
-which combine map-side, so only ``features x tasks`` partial rows shuffle no
-matter how many visitors there are.  The correlation matrix is built from
+Per-feature statistics are aggregates over the whole table (one partial row
+per task) and, for the quantiles, ``groupBy(feature)`` aggregates of the long
+form ``(feature, value)``, which combine map-side.  The correlation matrix is built from
 per-partition sufficient statistics (Arrow batches into numpy, one
 ``features^2`` block per task) summed by a ``groupBy``.
 """
@@ -30,12 +29,6 @@ def feature_names(df: DataFrame, exclude=KEY_COLUMNS) -> list[str]:
             if isinstance(f.dataType, NUMERIC) and f.name not in exclude]
 
 
-def long_form(df: DataFrame, features: list[str]) -> DataFrame:
-    """(feature, value DOUBLE) rows; the value may be NULL."""
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in features])
-    return wide.unpivot([], features, "feature", "value")
-
-
 def min_profile(df: DataFrame, features: list[str] | None = None) -> DataFrame:
     """per feature min_value, min_count and min_percentage.
 
@@ -55,14 +48,6 @@ def min_profile(df: DataFrame, features: list[str] | None = None) -> DataFrame:
         F.try_divide("min_count", "_rows") * F.lit(100.0), 2).alias("min_percentage"))
 
 
-def _literal_map(values: dict, value_type: str = "double"):
-    """A per-feature constant as a map literal (no join needed)."""
-    items = []
-    for k, v in values.items():
-        items += [F.lit(k), F.lit(v).cast(value_type)]
-    return F.create_map(*items) if items else F.create_map()
-
-
 def summary_without_min(df: DataFrame, features: list[str] | None = None,
                         accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """F1 plus statistics of the values other than the minimum.
@@ -70,35 +55,32 @@ def summary_without_min(df: DataFrame, features: list[str] | None = None,
     min, q1, median, mean, q3, max, std_dev, variance (n-1); exact linear
     quantiles; an empty remainder gives NULLs.  Ordered by ``min_count``.
 
-    Plan: F1, one map-side combined aggregate of the remainder's count, sum,
-    min and max, one of its centred squares, and the two passes of the exact
-    quantiles; per-feature constants enter as literal maps, and only one row
-    per feature reaches the driver.
+    Plan: F1, one aggregate of the remainder's count, mean, min and max, one of
+    its centred squares (one row per task each), and the two passes of the
+    exact quantiles; only one row per feature reaches the driver.
     """
     from sessionary.operators.quantiles import exact_quantiles
     features = features or feature_names(df)
     spark = df.sparkSession
     prof = {r["feature"]: r for r in min_profile(df, features).collect()}
-    lows = _literal_map({f: r["min_value"] for f, r in prof.items() if r["min_value"] is not None})
-    rest = long_form(df, features).where(F.col("value") != F.try_element_at(lows, F.col("feature")))
-    sums = {r["feature"]: r for r in rest.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("value").alias("s"),
-        F.min("value").alias("low"), F.max("value").alias("high")).collect()}
-    mean = {f: r["s"] / r["n"] for f, r in sums.items()}
-    dev = F.col("value") - F.element_at(_literal_map(mean), F.col("feature"))
-    squares = rest.groupBy("feature").agg(F.sum(dev * dev).alias("_ss"))
+    # NULL where a value is its feature's minimum: aggregates then skip it
+    wide = df.select(*[F.when(F.col(c).cast("double") != F.lit(prof[c]["min_value"]).cast("double"),
+                              F.col(c).cast("double")).alias(c) for c in features])
+    sums = wide.agg(*[fn(c).alias(f"{name}__{c}") for c in features for name, fn in (
+        ("n", F.count), ("mean", F.avg), ("low", F.min), ("high", F.max))]).first()
+    dev = lambda c: F.col(c) - F.lit(sums[f"mean__{c}"]).cast("double")
+    squares = wide.agg(*[F.sum(dev(c) * dev(c)).alias(c) for c in features]).first()
+    rest = wide.unpivot([], features, "feature", "value").where(F.col("value").isNotNull())
     quartiles = exact_quantiles(rest, ["feature"], "value", [0.25, 0.5, 0.75], accuracy)
     quartiles = quartiles.groupBy("feature").agg(*[
         F.max(F.when(F.col("q") == F.lit(p), F.col("quantile"))).alias(n)
         for n, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))])
     known = spark.createDataFrame([
-        (f, r["min_value"], r["min_count"], r["min_percentage"],
-         *((sums[f]["n"], sums[f]["low"], mean[f], sums[f]["high"]) if f in sums else [None] * 4))
-        for f, r in prof.items()],
+        (f, r["min_value"], r["min_count"], r["min_percentage"], sums[f"n__{f}"], sums[f"low__{f}"],
+         sums[f"mean__{f}"], sums[f"high__{f}"], squares[f]) for f, r in prof.items()],
         "feature string, min_value double, min_count long, min_percentage double, "
-        "_n long, min double, mean double, max double")
-    # one row per feature on every side
-    out = known.join(squares, "feature", "left").join(quartiles, "feature", "left")
+        "_n long, min double, mean double, max double, _ss double")
+    out = known.join(quartiles, "feature", "left")  # one row per feature on both sides
     var = F.try_divide(F.col("_ss"), F.col("_n") - 1)
     return out.select(
         "feature", "min_value", "min_count", "min_percentage", "min", "q1", "median",
