@@ -63,13 +63,21 @@ FURNITURE_NAMES = frozenset(
     "sidebar signup skip social sponsor sponsored subscribe toolbar warning widget".split())
 CONTENT_NAMES = frozenset("article body content entry main post story text".split())
 
+#: What a tag holds after its name: quoted values (with any sign in them), other
+#: values, names.  A slash at the end is left over.
+_ATTRIBUTES = r"""(?:=\s*+(?:"[^"]*"|'[^']*'|[^\s"'<>][^\s<>]*+)|/(?!>)|[^<>/])*+"""
+_TAG = r"(?P<closing>/?)(?P<tag>[a-zA-Z][^\s/<>]*)"
 _TOKEN = re.compile(
     r"<(?:!--.*?(?:-->|\Z)"
-    r"|(script|style|noscript|template|textarea|title|svg|math|iframe|object|select)\b[^<>]*>"
-    r".*?(?:</\1\s*>|\Z)"
-    r"|(/?)([a-zA-Z][^\s/<>]*)([^<>]*)>"
+    rf"|(?:svg|math)(?=[\s/>]){_ATTRIBUTES}/>"
+    r"|(script|style|noscript|template|textarea|title|svg|math|iframe|object|select)(?=[\s/>])"
+    rf"{_ATTRIBUTES}/?>.*?(?:</\1\s*>|\Z)"
+    rf"|{_TAG}(?P<attributes>{_ATTRIBUTES}/?)>"
     r"|[!?][^<>]*>"
-    r"|/?[a-zA-Z][^<>]*\Z)", re.S | re.I)
+    rf"|/?[a-zA-Z]{_ATTRIBUTES}\Z"
+    rf"|(?P<broken>/?[a-zA-Z]{_ATTRIBUTES})(?=<))", re.S | re.I)
+#: For a tag that runs into another one: its quotes mean nothing.
+_PLAIN_TAG = re.compile(rf"<(?:{_TAG}(?P<attributes>[^<>]*)>|[!?][^<>]*>)", re.S | re.I)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
@@ -99,6 +107,15 @@ def _names(attributes: str) -> float:
     return NAMED_CONTENT if words & CONTENT_NAMES else 0.0
 
 
+def _tokens(html: str) -> Iterator[re.Match]:
+    """Tags, comments and skipped elements in page order; no part is read more than twice."""
+    for token in _TOKEN.finditer(html):
+        if token["broken"] is None:
+            yield token
+        else:
+            yield from _PLAIN_TAG.finditer(html, *token.span())
+
+
 def blocks_of(html: str | None) -> list[Block]:
     """Text blocks of a page, in page order, with what surrounds them."""
     html = html or ""
@@ -129,14 +146,14 @@ def blocks_of(html: str | None) -> list[Block]:
             own.link_chars += len(text.strip())
 
     at = 0
-    for token in _TOKEN.finditer(html):
+    for token in _tokens(html):
         if token.start() > at:
             put(html[at:token.start()])
         at = token.end()
-        tag = token[3]
+        tag = token["tag"]
         if tag is None:
             continue
-        tag, closing = tag.lower(), token[2]
+        tag, closing = tag.lower(), token["closing"]
         if tag == "a":
             links = max(0, links - 1) if closing else links + 1
         elif tag == "br":
@@ -161,7 +178,7 @@ def blocks_of(html: str | None) -> list[Block]:
             else:
                 furniture = furniture or tag in FURNITURE_TAGS
                 if tag not in ("html", "body"):  # furniture inside content stays furniture
-                    says = _names(token[4])
+                    says = _names(token["attributes"])
                     named = min(named, says) if min(named, says) < 0 else max(named, says)
             stack.append((tag, count, article, furniture, named))
     if at < len(html):

@@ -46,6 +46,28 @@ def test_odd_pages(page, text):
     assert htmltext.main_text(page, WEIGHTS).replace("<<<", "").strip() == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ('<article><p>one</p><svg class="i"/><p>two</p></article>', "one\n\ntwo"),
+    ("<article><p>one</p><math/><p>two<svg class=i/>no</svg></p></article>", "one\n\ntwo"),
+    ("<article><p>one<svg><path/>no</svg> <SVG />two</p></article>", "one two"),
+    ('<article><p>one</p><svg-icon name="x"></svg-icon><p>two</p></article>', "one\n\ntwo"),
+    ("<article><title-bar>one</title-bar><p>two<template-x></template-x></p></article>", "one\n\ntwo"),
+    ('<article><p>one <img alt="x > y">two <b title=\'a <p> "b\'>three</b></p></article>',
+     "one two three"),
+    ('<article><p>one<script data-x="a > b">no</script> <i a="it\'s">two</i></p></article>', "one two"),
+    ("<article><p>one <i a=it's>two</i> it's</p><p>three", "one two it's\n\nthree"),
+    ('<article><p>one <b a="<i>" <i>two</i></p></article>', 'one <b a="" two'),
+])
+def test_elements_end_where_they_end(page, text):
+    assert htmltext.main_text(page, WEIGHTS) == text
+
+
+def test_long_broken_tags_are_read_in_linear_time():
+    for part in ('="<a "', "<a ='", '<a b="c" <', "<svg/", "<svg =\"", "= "):
+        for end in ("", "<", ">"):
+            htmltext.main_text("<a " + part * 20_000 + end, WEIGHTS)
+
+
 def test_long_broken_pages_are_read_in_linear_time():
     for part in ("<", "<a ", "<div>", "<p>x", "<!--", "<script>", "&", "</div>"):
         htmltext.main_text(part * 20_000, WEIGHTS)
