@@ -39,7 +39,8 @@ RULES = (
 )
 
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-_CANONICAL = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
+_CANONICAL = (r"(?is)<link\b[^>]*\brel\s*=\s*(?:[\"']?|\"[^\">]*\s|'[^'>]*\s)"
+              r"canonical\b[^>]*>")
 _REFRESH = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
 _HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 _TARGET = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)"
@@ -63,19 +64,37 @@ def longest_rule(host: Column, path: Column, rules: Sequence = RULES) -> Column:
     return F.coalesce(*best, F.lit(None).cast("struct<rule: string, verdict: string>"))
 
 
+def without_dots(path: Column) -> Column:
+    """A path from the root without its ``.`` and ``..`` segments."""
+    parts = F.split(path, "/", -1)
+    kept = F.aggregate(
+        F.slice(parts, F.lit(2), F.size(parts)), F.array().cast("array<string>"),
+        lambda acc, part: F.when(part == "..", F.slice(acc, F.lit(1), F.greatest(
+            F.size(acc) - 1, F.lit(0)))).when(part == ".", acc).otherwise(F.concat(acc, F.array(part))))
+    ended = F.when(path.rlike(r"/\.\.?\z"), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(path.rlike(r"/\.\.?(?:/|\z)"), F.concat(F.lit("/"), F.array_join(ended, "/"))).otherwise(path)
+
+
 def node(url: Column) -> Column:
-    """A url without its fragment: what aliases are compared by."""
-    return F.regexp_replace(url, r"(?s)#.*", "")
+    """What aliases are compared by: a url without its fragment and dot segments,
+    scheme and host in lower case."""
+    whole = F.regexp_replace(url, r"(?s)#.*", "")
+    site = F.regexp_extract(whole, r"(?s)^([^/?]*://[^/?]*)", 1)
+    return F.when(site == "", whole).otherwise(F.concat(
+        ascii_lower(site), without_dots(F.regexp_extract(whole, r"(?s)^[^/?]*://[^/?]*([^?]*)", 1)),
+        F.regexp_extract(whole, r"(?s)^[^?]*(\?.*)", 1)))
 
 
 def resolved(link: Column, base: Column) -> Column:
-    """A link of a page as a whole url."""
+    """A link of a page as a whole url (``node`` takes the dot segments out)."""
     scheme = F.regexp_extract(base, r"(?s)^(.*?):", 1)
     site = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*(?:[^?#]*/)?)", 1)
     return (F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
             .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
             .when(link.startswith("/"), F.concat(site, link))
+            .when(link.startswith("?"), F.concat(F.regexp_extract(base, r"(?s)^([^?#]*)", 1), link))
+            .when(link.startswith("#"), F.concat(F.regexp_extract(base, r"(?s)^([^#]*)", 1), link))
             .otherwise(F.concat(folder, F.when(folder.endswith("/"), "").otherwise("/"), link)))
 
 

@@ -75,6 +75,32 @@ def test_links_are_resolved(spark):
     assert all(r["x"] == r["whole"] for r in got)
 
 
+def test_nodes_of_links_by_the_usual_rules(spark):
+    from urllib.parse import urljoin, urlsplit
+
+    from pyspark.sql import functions as F
+    bases = ["https://a.net/en/p", "https://a.net/en/p?q=/../1#f", "https://a.net/", "https://a.net/x/../y/."]
+    links = ["../es/x", "./x", "..", ".", "../../../x", "a/./b/../c/", "?k=1/../2", "#part", "/a/../b",
+             "//b.org/./c", "https://b.org/c/../d?e/../f", "x..y/.z", "HTTPS://B.org/C"]
+    frame = spark.createDataFrame([(b, k) for b in bases for k in links], "base string, link string")
+    for r in frame.select("*", urlrules.node(urlrules.resolved(F.col("link"), F.col("base"))).alias("x")).collect():
+        whole = urlsplit(urljoin(r["base"], r["link"]))
+        expected = urljoin(whole.geturl(), whole.path) + ("?" + whole.query if whole.query else "")
+        assert r["x"] == expected.replace("//B.org", "//b.org"), r
+
+
+def test_links_of_every_form_pass_on_a_block(spark):
+    rows = [(1, "https://a.net/en/p", CANON.format("../es/x")),
+            (2, "HTTPS://A.net/q", CANON.format("/es/y")), (3, "https://a.net/q", ""),
+            (4, "https://b.net/r", '<link rel="nofollow canonical" href="/fr/z">'),
+            (5, "https://c.net/s/t?u", MOVED.format("?v=1")),
+            (6, "https://c.net/s/t?v=1", MOVED.format("../es/")),
+            (7, "https://d.net/en/p", CANON.format("../it/x"))]
+    judged = urlrules.judge(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r["page_id"]: r["verdict"] for r in judged} == {
+        **dict.fromkeys(range(1, 7), "block"), 7: "allow"}
+
+
 def test_no_pages(spark):
     assert urlrules.judge(spark.createDataFrame([], SCHEMA)).count() == 0
 
