@@ -137,3 +137,87 @@ def op2_pii(spark, sf_dir):
 def op7_order_minhash(spark, sf_dir):
     from sessionary.llm import ordermin
     return ordermin.compare_edits(documents(spark, sf_dir))
+
+
+@register("op11_embedding_dedup")
+def op11_embedding_dedup(spark, sf_dir):
+    from sessionary.llm import embeddings
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op11_embedding_dedup"] = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x != 0)) > 0),
+links AS (
+    SELECT a.vec_id AS src, b.vec_id AS dst FROM vectors a JOIN vectors b ON a.vec_id != b.vec_id
+    WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+reach(node, other) AS (
+    SELECT src, dst FROM links
+    UNION SELECT r.node, l.dst FROM reach r JOIN links l ON l.src = r.other),
+tops AS (SELECT node, least(node, min(other)) AS top FROM reach GROUP BY node),
+counts AS (SELECT src, count(*) AS n FROM links GROUP BY src)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(top, vec_id) AS component_id,
+    vec_id = coalesce(top, vec_id) AS kept
+FROM embeddings LEFT JOIN tops ON node = vec_id LEFT JOIN counts ON src = vec_id
+"""
+
+
+@register("op12_token_alignment")
+def op12_token_alignment(spark, sf_dir):
+    from sessionary.llm import tokenalign
+    return tokenalign.align_documents(documents(spark, sf_dir))
+
+
+@register("op13_conversation_trie")
+def op13_conversation_trie(spark, sf_dir):
+    from sessionary.llm import turntrie
+    turns = turntrie.turn_lists(read_table(spark, sf_dir, "conversations"))
+    return turntrie.trie(turntrie.shared_heads(turns))
+
+
+#: crc32 bit by bit; nodes are lists of turns, and a subtree is what starts with its top's list.
+ORACLE["op13_conversation_trie"] = r"""
+WITH given AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+            md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS k
+    FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (
+    SELECT c, c - c % 20 AS head, xor(list_reduce(list_transform(
+        list_concat([4294967295], list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s))),
+        lambda x: x::UBIGINT), lambda crc, byte: list_reduce(list_concat([xor(crc, byte)],
+            [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]), lambda x, step: CASE WHEN x % 2 = 1
+            THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END)), 4294967295::UBIGINT) % 4 AS h
+    FROM (SELECT DISTINCT c FROM given)),
+rebuilt AS (
+    SELECT ids.c, k, 0 AS own, role, text FROM ids JOIN given ON given.c = head AND k <= h
+    UNION ALL SELECT c, k, 1, role, text FROM ids JOIN given USING (c) WHERE k > h),
+paths AS (
+    SELECT c, len(path) AS depth, path, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+    FROM (SELECT c, text, list({'role': role, 'text': text}) OVER (
+        PARTITION BY c ORDER BY own, k) AS path FROM rebuilt)
+    UNION ALL SELECT c, 0, [], 0 FROM ids),
+lengths AS (SELECT c, max(depth) AS ended FROM paths GROUP BY c),
+nodes AS (
+    SELECT depth, path, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+        string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (depth = ended) AS ends
+    FROM paths JOIN lengths USING (c) GROUP BY depth, path),
+children AS (
+    SELECT list_slice(path, 1, depth - 1) AS path, count(*) AS n_children
+    FROM nodes WHERE depth > 0 GROUP BY 1),
+shaped AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children
+    FROM nodes LEFT JOIN children ON nodes.path = children.path AND nodes.depth >= 0),
+subtrees AS (
+    SELECT top.path, count(*) FILTER (below.n_children = 0) AS n_leaves,
+        sum((below.n_convs - 1) * below.words)::BIGINT AS saved_tokens
+    FROM shaped top JOIN shaped below ON below.depth >= top.depth
+        AND list_slice(below.path, 1, top.depth) = top.path
+    GROUP BY top.path)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves,
+    saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM shaped n JOIN subtrees USING (path)
+    LEFT JOIN shaped p ON p.depth = n.depth - 1 AND p.path = list_slice(n.path, 1, n.depth - 1)
+"""
