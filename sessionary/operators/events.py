@@ -7,42 +7,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionary.functions.time import epoch_micros
-from sessionary.operators.sequence import (
-    DEFAULT_HOT_ROWS,
-    Sequenced,
-    add_neighbors,
-    add_running_sum,
-    sequence,
-)
+from sessionary.operators.sequence import Scan, segmented_scan
 
 SESSION_GAP_SECONDS = 1800  # fixed value: 30 minutes of inactivity ends a session
 ORDER = ["timestamp", "event_id"]
 
 
-def session_flags(sq: Sequenced, gap_seconds: float) -> Sequenced:
-    """Add ``session_id`` (0-based per visitor) to a visitor-ordered sequence.
-
-    A new session starts when the gap to the visitor's previous event is
-    strictly greater than ``gap_seconds``; the first event has no gap.
-    """
-    gap_us = int(round(gap_seconds * 1_000_000))
-    sq = add_neighbors(sq, lags={"_prev_ts": ("timestamp", 1)})
-    df = sq.df.withColumn(
-        "_new_session",
-        F.when((epoch_micros("timestamp") - epoch_micros("_prev_ts")) > F.lit(gap_us), 1)
-        .otherwise(0))
-    sq = Sequenced(df, sq.keys, sq.order, sq.split, sq.depth, sq.hot_keys)
-    sq = add_running_sum(sq, "session_id", "_new_session")
-    sq.df = (sq.df.withColumn("session_id", F.col("session_id").cast("bigint"))
-             .drop("_prev_ts", "_new_session"))
-    return sq
+def gap_break(gap_seconds: float) -> tuple[str, int]:
+    """A new session starts when the gap to the visitor's previous event is
+    strictly greater than ``gap_seconds``; the first event has no gap."""
+    return "_us", int(round(gap_seconds * 1_000_000))
 
 
 def sessionize(events: DataFrame, gap_seconds: float = SESSION_GAP_SECONDS, *,
-               skew: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Canonical events + ``session_id``; events without a visitor have no session and go."""
-    sq = sequence(events.where(F.col("visitorid").isNotNull()), ["visitorid"], ORDER, skew=skew, hot_rows=hot_rows)
-    return session_flags(sq, gap_seconds).result().select(*events.columns, "session_id")
+               parts: int | None = None) -> DataFrame:
+    """Canonical events + ``session_id`` (0-based per visitor).
+
+    Events without a visitor have no session and go.  ``parts``: partitions of the scan.
+    """
+    own = events.where(F.col("visitorid").isNotNull()).withColumn("_us", epoch_micros("timestamp"))
+    scan = Scan(breaks={"session": gap_break(gap_seconds)}, numbers={"session_id": "session"})
+    return segmented_scan(own, ["visitorid"], ORDER, scan, parts).select(*events.columns, "session_id")
 
 
 def event_codes(events: DataFrame, col: str = "event") -> DataFrame:

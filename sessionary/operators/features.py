@@ -12,29 +12,26 @@ previous event of the same type, next-event flags, session id).
     {min,avg,max}_dltvw, {min,avg,max}_dltac, {min,avg,max}_dltpr,
     {min,avg,max}_vwpse, {min,avg,max}_acpse, {min,avg,max}_prpse
 
-Plan shape without hot visitors: the events are hashed once on ``visitorid``;
-every window (visitor; visitor+event; visitor+minute; visitor+session) is
-clustered by that hash and the table is one ``groupBy(visitorid)`` - a single
-Exchange for the whole query (pinned by a plan test).  With hot visitors the
-sequence columns come from the chunked path of
-:mod:`sessionary.operators.sequence`, and the per-session / per-minute groups
-are aggregated map-side before their shuffle and joined 1:1 on visitor.
+Plan shape: one segmented scan (:mod:`sessionary.operators.sequence`) gives the
+neighbours, sessions and running counts of every event, whatever the visitor's
+share of the rows; sessions and minutes are runs of neighbouring events there, so
+the table is a single map-side combined ``groupBy(visitorid)`` over the scan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionary.functions.time import floor_seconds, hour_range, minute_bucket, week_day
-from sessionary.operators.events import ORDER, SESSION_GAP_SECONDS, session_flags
-from sessionary.operators.sequence import (
-    DEFAULT_HOT_ROWS,
-    Sequenced,
-    add_neighbors,
-    find_hot_keys,
-    sequence,
+from sessionary.functions.time import (
+    epoch_micros,
+    floor_seconds,
+    hour_range,
+    minute_bucket,
+    week_day,
 )
+from sessionary.operators.events import ORDER, SESSION_GAP_SECONDS, gap_break
+from sessionary.operators.sequence import Scan, segmented_scan
 
 VIEW, CART, BUY = "view", "addtocart", "transaction"
 
@@ -61,31 +58,29 @@ def _flag(cond: Column) -> Column:
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
 
 
-def _enhance(events: DataFrame, gap_seconds: float, skew: str,
-             hot_rows: int) -> tuple[DataFrame, bool]:
-    events = events.where(F.col("visitorid").isNotNull())  # no visitor, no features
-    visitor_seq = sequence(events, ["visitorid"], ORDER, skew=skew, hot_rows=hot_rows)
-    visitor_seq = add_neighbors(
-        visitor_seq,
-        leads={"_next_item": ("itemid", 1), "_next_ev": ("event", 1),
-               "_next_ev2": ("event", 2)})
-    visitor_seq = session_flags(visitor_seq, gap_seconds)
-    rows = visitor_seq.result().withColumn("_sec", floor_seconds("timestamp"))
-
-    # delta to the previous event of the same type: (visitor, event) sequences.
-    # A (visitor, event) key is never larger than its visitor, so it can only
-    # be hot when some visitor is.
-    if visitor_seq.split:
-        type_seq = sequence(rows, ["visitorid", "event"], ORDER, skew="split",
-                            hot_rows=hot_rows)
-    else:
-        type_seq = Sequenced(rows, ["visitorid", "event"], ORDER)
-    type_seq = add_neighbors(type_seq, lags={"_prev_sec": ("_sec", 1)})
-    rows = type_seq.result()
-
+#: Running counts of the scan: events of a type so far in their session or minute.
+_COUNTS = {"_s_views": (VIEW, "session"), "_s_acart": (CART, "session"), "_s_purch": (BUY, "session"),
+           "_vpm": (VIEW, "minute")}
+
+
+def _scan(events: DataFrame, gap_seconds: float, parts: int | None) -> DataFrame:
+    """Events of known visitors with the V1-V8 columns and the running counts."""
+    second = F.unix_seconds("timestamp")
+    rows = events.where(F.col("visitorid").isNotNull()).select(
+        "*", epoch_micros("timestamp").alias("_us"), floor_seconds("timestamp").alias("_sec"),
+        F.floor(second / 60).alias("_minute"),
+        *[_flag(_is(ev)).alias(f"_is_{ev}") for ev in (VIEW, CART, BUY)])
+    scan = Scan(
+        leads={"_next_item": ("itemid", 1), "_next_ev": ("event", 1), "_next_ev2": ("event", 2)},
+        class_lags={"_prev_sec": ("_sec", "event")},
+        breaks={"session": gap_break(gap_seconds), "minute": ("_minute", 0)},
+        numbers={"session_id": "session"},
+        sums={name: (f"_is_{ev}", run) for name, (ev, run) in _COUNTS.items()},
+        ends={"_session_end": "session"})
+    rows = segmented_scan(rows, ["visitorid"], ORDER, scan, parts)
     same_item = F.coalesce(F.col("itemid") == F.col("_next_item"), F.lit(False))
-    enh = rows.select(
-        *[c for c in events.columns], "session_id",
+    return rows.select(
+        *events.columns, "session_id",
         hour_range("timestamp").alias("hour_range"),
         week_day("timestamp").alias("week_day"),
         ((F.col("_sec") - F.col("_prev_sec")) / F.lit(60.0)).alias("deltat_2equal_events"),
@@ -95,14 +90,13 @@ def _enhance(events: DataFrame, gap_seconds: float, skew: str,
         _flag(same_item & _is(VIEW) & (F.col("_next_ev") == VIEW)).alias("repitem_bview"),
         _flag(_is(VIEW) & (F.col("_next_ev") == CART) & (F.col("_next_ev2") == BUY))
         .alias("funnel_flag"),
-    )
-    return enh, visitor_seq.split
+        *_COUNTS, "_session_end")
 
 
 def enhance_events(events: DataFrame, gap_seconds: float = SESSION_GAP_SECONDS, *,
-                   skew: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                   parts: int | None = None) -> DataFrame:
     """Canonical events -> events with session id and the V1-V8 row columns."""
-    return _enhance(events, gap_seconds, skew, hot_rows)[0]
+    return _scan(events, gap_seconds, parts).drop(*_COUNTS, "_session_end")
 
 
 def session_counts(enh: DataFrame) -> DataFrame:
@@ -184,71 +178,33 @@ def bouncer_filter() -> Column:
     return ~((F.col("num_views") <= 1) & (F.col("num_acart") == 0) & (F.col("num_txs") == 0))
 
 
-def _session_stat_aggs_windowed() -> list[Column]:
-    """V10 from per-row session counts (whole-partition windows).
+def _session_stat_aggs() -> list[Column]:
+    """V10 from the running counts: a session's total stands in its last event.
 
-    min / max over rows equal min / max over sessions; the mean over sessions is
-    the visitor total divided by the number of sessions (ids are 0..n-1).
+    The mean over sessions is the visitor's total divided by the number of
+    sessions (ids are 0..n-1).
     """
     n_sess = (F.max("session_id") + F.lit(1)).cast("double")
     out = []
     for src, tag, ev in (("_s_views", "vwpse", VIEW), ("_s_acart", "acpse", CART),
                          ("_s_purch", "prpse", BUY)):
-        out += [F.min(src).alias(f"min_{tag}"),
+        out += [F.min(F.when(F.col("_session_end"), F.col(src))).alias(f"min_{tag}"),
                 F.try_divide(F.count_if(_is(ev)).cast("double"), n_sess).alias(f"avg_{tag}"),
                 F.max(src).alias(f"max_{tag}")]
     return out
 
 
-def aggregate_features(enh: DataFrame, drop_bouncers: bool = True,
-                       weekday_compat: bool = False, windowed: bool = True) -> DataFrame:
-    """V9-V21 from enhanced events.
+def visitor_features(events: DataFrame, gap_seconds: float = SESSION_GAP_SECONDS, *,
+                     drop_bouncers: bool = True, weekday_compat: bool = False,
+                     parts: int | None = None) -> DataFrame:
+    """The 40-column visitor feature table from canonical events.
 
-    ``windowed=True`` (no hot visitors): per-minute views and per-session
-    counts are whole-partition windows clustered by visitor, so the whole
-    table is a single ``groupBy(visitorid)`` behind the one Exchange of the
-    sequence windows.  ``windowed=False`` (hot visitors): the per-session and
-    per-minute groups are aggregated map-side first and joined on visitor,
-    because a window partition over one hot session would be unbounded.
+    ``parts``: partitions of the scan over the events.
     """
-    base = [*event_count_aggs(), *hour_count_aggs(), *weekday_count_aggs(weekday_compat),
-            *rep_count_aggs(), *delta_stat_aggs()]
-    if windowed:
-        w_min = Window.partitionBy("visitorid", "minute")
-        w_ses = Window.partitionBy("visitorid", "session_id")
-        rows = enh.select(
-            "*",
-            F.count_if(_is(VIEW)).over(w_min).alias("_vpm"),
-            F.count_if(_is(VIEW)).over(w_ses).alias("_s_views"),
-            F.count_if(_is(CART)).over(w_ses).alias("_s_acart"),
-            F.count_if(_is(BUY)).over(w_ses).alias("_s_purch"))
-        out = rows.groupBy("visitorid").agg(
-            *base, F.max("_vpm").alias("max_vpmin"), *_session_stat_aggs_windowed())
-        if drop_bouncers:
-            out = out.where(bouncer_filter())
-        return out.select("visitorid", *FEATURE_COLUMNS)
-    main = enh.groupBy("visitorid").agg(*base)
+    out = _scan(events, gap_seconds, parts).groupBy("visitorid").agg(
+        *event_count_aggs(), *hour_count_aggs(), *weekday_count_aggs(weekday_compat),
+        *rep_count_aggs(), *delta_stat_aggs(), F.max("_vpm").alias("max_vpmin"),
+        *_session_stat_aggs())
     if drop_bouncers:
-        main = main.where(bouncer_filter())
-    out = (main.join(views_per_bucket(enh, "minute"), "visitorid", "inner")
-           .join(session_stats(enh), "visitorid", "inner"))
+        out = out.where(bouncer_filter())
     return out.select("visitorid", *FEATURE_COLUMNS)
-
-
-def visitor_features(events: DataFrame, gap_seconds: float = SESSION_GAP_SECONDS, *,
-                     drop_bouncers: bool = True, weekday_compat: bool = False,
-                     skew: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """The 40-column visitor feature table from canonical events."""
-    enh, split = _enhance(events, gap_seconds, skew, hot_rows)
-    if split:
-        # three aggregates read the enhanced events: compute the chunked
-        # windows and border repairs once instead of once per branch
-        from sessionary.session import materialize
-        enh = materialize(enh)
-    return aggregate_features(enh, drop_bouncers, weekday_compat, windowed=not split)
-
-
-__all__ = [
-    "FEATURE_COLUMNS", "enhance_events", "session_counts", "session_stats",
-    "views_per_bucket", "aggregate_features", "visitor_features", "find_hot_keys",
-]

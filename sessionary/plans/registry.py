@@ -773,22 +773,20 @@ def q_silhouette_sq(spark, sf_dir):
     return rounded(N.silhouette_score(pts, noise_label=-1, distance="squaredEuclidean"))
 
 
-# ------------------------------------------------------------ the hot-visitor path
+# ------------------------------------------------- sequences over many partitions
 
-HOT_ROWS_DEMO = 32   # visitors with more events than this take the chunked path
+SMALL_PARTS = 200   # scan partitions of a few visitors (or a part of one) each
 
 
 @register("visitor_features_hot")
 def q_visitor_features_hot(spark, sf_dir):
-    """V21 through the hot-visitor path: every visitor above HOT_ROWS_DEMO
-    events is range-split into chunks with border repair."""
+    """V21 with visitors spread over partitions: carry records matter everywhere."""
     ev = canonical_events(spark, sf_dir, "user")
-    return rounded(V.visitor_features(ev, skew="split", hot_rows=HOT_ROWS_DEMO))
+    return rounded(V.visitor_features(ev, parts=SMALL_PARTS))
 
 
 @register("sessionize_hot")
 def q_sessionize_hot(spark, sf_dir):
-    """P3 through the hot-visitor path."""
+    """P3 with visitors spread over partitions."""
     ev = canonical_events(spark, sf_dir, "user")
-    return P.sessionize(ev, skew="split", hot_rows=HOT_ROWS_DEMO).select(
-        "event_id", "visitorid", "session_id")
+    return P.sessionize(ev, parts=SMALL_PARTS).select("event_id", "visitorid", "session_id")

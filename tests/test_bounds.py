@@ -56,7 +56,7 @@ def test_null_visitors_go_on_every_path(spark):
     from sessionary.sources.tables import SQL_DIR, load_queries
     ev = _null_visitor_events(spark)
     plain = V.visitor_features(ev, drop_bouncers=False)
-    split = V.visitor_features(ev, drop_bouncers=False, skew="split", hot_rows=5)
+    split = V.visitor_features(ev, drop_bouncers=False, parts=7)
     rows = lambda df: sorted(str(r) for r in df.collect())
     assert rows(plain) == rows(split) and {r["visitorid"] for r in plain.collect()} == {0, 1}
     assert P.sessionize(ev).where("visitorid is null").count() == 0

@@ -114,8 +114,8 @@ def test_hot_visitor_path_matches_plain(spark):
     from tests.conftest import SF_SMALL
     from sessionary.sources.tables import canonical_events
     ev = canonical_events(spark, SF_SMALL, "user")
-    a = V.visitor_features(ev, skew="off").orderBy("visitorid").toPandas()
-    b = V.visitor_features(ev, skew="split", hot_rows=10).orderBy("visitorid").toPandas()
+    a = V.visitor_features(ev, parts=1).orderBy("visitorid").toPandas()
+    b = V.visitor_features(ev, parts=90).orderBy("visitorid").toPandas()
     pd.testing.assert_frame_equal(a.round(9), b.round(9), check_dtype=False)
 
 
