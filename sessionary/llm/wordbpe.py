@@ -1,10 +1,11 @@
 """Token ids of a ``tokenizers`` file for many whole texts.
 
-The tokenizer's rules (white space dropped, pieces cut at every change between
-letters and other signs) never look across ASCII white space, so a text is cut
-there and every different chunk of an Arrow batch goes through the library
-once; the ids of a text are then gathered with numpy.  A Python worker keeps
-the pieces of its last slice of texts for the next one.
+The tokenizer is used as loaded: its special tokens, quoted in a text, are these
+tokens (none holds white space).  Its rules (white space dropped, pieces cut at
+every change between letters and other signs) never look across ASCII white
+space, so a text is cut there and every different chunk of an Arrow batch goes
+through the library once; the ids of a text are then gathered with numpy.  A
+Python worker keeps the pieces of its last slice of texts for the next one.
 ``tests/llm/test_tokens.py`` compares the ids with the library's on whole texts.
 """
 
@@ -46,7 +47,6 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         self.bpe = self.tok.model.tokenize
         self.letters = _byte_letters()
         self.pieces: dict[str, bytes] = {}

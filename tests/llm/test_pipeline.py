@@ -55,7 +55,6 @@ def test_every_stage_and_the_whole(spark):
 def check_packed(rows, texts):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(wordbpe.default_path())
-    tok.encode_special_tokens = True
     ends = {}
     for r in rows:
         ends.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))

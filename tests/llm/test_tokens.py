@@ -15,6 +15,7 @@ from tests.conftest import SF_SMALL
 from tests.llm.cases import EDGES, small_documents, table
 
 TEXTS = [t for _, t in EDGES] + [t for _, t in small_documents()[:80]] + [
+    "x <|endoftext|> y", "x<|startoftext|>y<|endoftext|>.", "<|ENDOFTEXT|>", "it's<|endoftext|>'s É",
     "  lead", " one", "tail ", "a  b", "a\n b", "x　y z　", "\x85 x", "ǅ ß ẞ İstanbul ΑΣ."]
 
 
@@ -22,7 +23,6 @@ TEXTS = [t for _, t in EDGES] + [t for _, t in small_documents()[:80]] + [
 def library():
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(wordbpe.default_path())
-    tok.encode_special_tokens = True
     return lambda text: tok.encode(text or "", add_special_tokens=False).ids
 
 
@@ -55,6 +55,10 @@ def test_word_and_byte_ids_of_any_text(library, rank_library, texts):
         assert own.decode(ids) == text.encode()
 
 
+def test_quoted_special_tokens_are_the_tokens(library):
+    assert library("x <|endoftext|> y") == [343, 49407, 344]
+
+
 def test_byte_ids_equal_the_library(rank_library):
     own = bytebpe.encoder(bytebpe.default_path(), bytebpe.default_pattern())
     for text, ids in zip(TEXTS, own.encode(pa.array(TEXTS)), strict=True):
