@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionary.operators.iforest import IsolationForestModel
+from sessionary.operators.iforest import ROOT, IsolationForestModel
 
 
 def _tree_paths(nodes: pd.DataFrame, fidx: dict, scale: float):
@@ -53,7 +53,7 @@ def _tree_paths(nodes: pd.DataFrame, fidx: dict, scale: float):
                 nz[f] = nz.get(f, 1.0) * float(g.loc[child, "n"]) / n
                 walk(child, nb, nz)
 
-        walk(0, {}, {})
+        walk(ROOT, {}, {})
         m_max = max(1, max(len(b) for b, _, _ in leaves))
         L = len(leaves)
         fi = np.zeros((L, m_max), dtype=int)

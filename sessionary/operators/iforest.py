@@ -5,9 +5,14 @@ Fit
      ``psi`` smallest hashes of (row key, tree) - exact size, reproducible on any
      partitioning.  Each row first keeps only the trees whose hash falls in
      the sampling bracket, so rows are never replicated ``T`` times.
-  2. ``groupBy(tree_id).applyInPandas(grow)``: one task per tree over at most
-     ``psi`` rows builds random splits (uniform feature among the non-constant
-     ones, uniform threshold in [min, max), depth limit ``ceil(log2 psi)``).
+  2. Growth by counter-based draws: node i has the children 2i and 2i + 1 (the
+     root is 1), and a node's feature (uniform among the non-constant ones) and
+     threshold (uniform in [min, max)) come from the MD5 of (seed, tree, node),
+     so the same forest grows in any order, in any engine; depth limit
+     ``ceil(log2 psi)``.  Nodes of more than ``group_rows`` rows are split level
+     by level (minima and maxima per node by a map-side combined ``groupBy``, the
+     split joined back to the rows); every smaller node's subtree grows in one
+     ``applyInPandas`` group.
   3. The forest is a node table ``(tree_id, node_id, depth, feature, threshold,
      left, right, n, leaf_value)`` of at most ``T (2 psi - 1)`` rows.
 
@@ -16,11 +21,14 @@ Score
   ``c(leaf size)``; ``decision = score_samples - offset`` (offset -0.5 for
   ``contamination='auto'``, else the contamination percentile of the training
   scores).  Labels: -1 when decision < 0.  Scoring is a map-only
-  ``mapInPandas`` pass with the (bounded) node table shipped to the tasks.
+  ``mapInPandas`` pass with the node table shipped to the tasks while that has at
+  most ``SHIPPED_NODES`` rows; larger forests are joined with the rows level by
+  level instead.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 import os
@@ -39,8 +47,13 @@ EULER_GAMMA = 0.5772156649015329  # fixed value: Euler-Mascheroni constant
 OUTPUT_TYPES = {"path_length": "double", "score_samples": "double", "anomaly_score": "double",
                 "anomaly_label": "int"}
 
-NODE_SCHEMA = ("tree_id int, node_id int, depth int, feature string, threshold double, "
-               "left int, right int, n long, leaf_value double")
+NODE_SCHEMA = ("tree_id int, node_id long, depth int, feature string, threshold double, "
+               "left long, right long, n long, leaf_value double")
+ROOT = 1
+#: Nodes of more rows are split by distributed aggregates.
+GROUP_ROWS = 65_536
+#: Largest node table that is sent to the driver and every task.
+SHIPPED_NODES = 2_000_000
 
 
 def average_path_length(n):
@@ -104,9 +117,10 @@ class IsolationForestModel:
             for c in ("threshold", "left", "right", "leaf_value"):
                 g = g.assign(**{c: pd.to_numeric(g[c])})
             feat = np.array([fidx[f] if isinstance(f, str) else -1 for f in g["feature"]])
+            node = g["node_id"].to_numpy(np.int64)  # ascending: the root comes first
+            at = lambda side: np.searchsorted(node, g[side].fillna(ROOT).to_numpy(np.int64))  # noqa: B023, E731
             trees.append((feat, g["threshold"].fillna(0.0).to_numpy(float),
-                          g["left"].fillna(-1).to_numpy(int), g["right"].fillna(-1).to_numpy(int),
-                          g["leaf_value"].fillna(0.0).to_numpy(float),
+                          at("left"), at("right"), g["leaf_value"].fillna(0.0).to_numpy(float),
                           int(g["depth"].max())))
         self.__dict__["_cached_arrays"] = trees
         return trees
@@ -122,6 +136,8 @@ class IsolationForestModel:
         """Add ``path_length``, ``score_samples``, ``anomaly_score`` (decision
         function) and ``anomaly_label`` (-1 / 1).  Map-only."""
         keep = keep if keep is not None else df.columns
+        if not self.shipped():
+            return self._transform_joined(df, keep)
         held = df.sparkSession.sparkContext.broadcast(self._arrays())
         c = float(average_path_length([self.psi])[0]) or 1.0
         offset = self.offset
@@ -147,6 +163,38 @@ class IsolationForestModel:
         kept = _ddl(base.select(*keep))
         return base.mapInPandas(fn, f"{kept}, {added}" if kept else added)
 
+    def shipped(self) -> bool:
+        """Whether the node table is small enough for the driver and every task."""
+        if "_size" not in self.__dict__:
+            self.__dict__["_size"] = self.nodes.limit(SHIPPED_NODES + 1).count()
+        return self.__dict__["_size"] <= SHIPPED_NODES
+
+    def _transform_joined(self, df: DataFrame, keep: list[str]) -> DataFrame:
+        """``transform`` for a forest of any size: every row descends every tree by joins."""
+        from sessionary.session import materialize
+        rows = materialize(df.select("*", F.monotonically_increasing_id().alias("_row")))
+        x = F.array(*[F.col(f"`{f}`").cast("double") for f in self.features])
+        place = F.array_position(F.array(*[F.lit(f) for f in self.features]), F.col("feature"))
+        nodes = self.nodes.select("tree_id", "node_id", place.cast("int").alias("_f"), "threshold",
+                                  "leaf_value")
+        walk = rows.select("_row", x.alias("_x"), F.explode(F.sequence(
+            F.lit(0), F.lit(self.n_estimators - 1))).alias("tree_id"), F.lit(ROOT).cast("long").alias("node_id"))
+        depth = self.nodes.agg(F.max("depth")).first()[0] or 0
+        for _ in range(depth):
+            go_right = F.element_at("_x", F.col("_f")) > F.col("threshold")
+            step = F.when(F.col("_f").isNull(), F.col("node_id")).otherwise(
+                2 * F.col("node_id") + go_right.cast("long"))
+            walk = materialize(walk.join(nodes, ["tree_id", "node_id"]).select(
+                "_row", "_x", "tree_id", step.alias("node_id")))
+        h = walk.join(nodes, ["tree_id", "node_id"]).groupBy("_row").agg(
+            F.avg("leaf_value").alias("path_length"))
+        c = float(average_path_length([self.psi])[0]) or 1.0
+        score = -F.pow(F.lit(2.0), -F.col("path_length") / F.lit(c))
+        return rows.join(h, "_row").select(
+            *[F.col(f"`{k}`") for k in keep], "path_length", score.alias("score_samples"),
+            (score - F.lit(self.offset)).alias("anomaly_score"),
+            F.when(score - F.lit(self.offset) < 0, -1).otherwise(1).cast("int").alias("anomaly_label"))
+
     # ------------------------------------------------------------ persistence
     def save(self, spark: SparkSession, path: str) -> None:
         """Node table as parquet plus a one-row metadata table: parameters and the
@@ -170,42 +218,97 @@ def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
-def _grow(features: list[str], psi: int, seed: int, max_depth: int, tree_features: dict):
+def draw(seed: int, tree: int, node: int, what: str) -> float:
+    """The uniform number in [0, 1) that belongs to a node: 52 bits of an MD5."""
+    return int(hashlib.md5(f"{seed}:{tree}:{node}:{what}".encode()).hexdigest()[:13], 16) / 2 ** 52
+
+
+def choose_split(seed: int, tree: int, node: int, lo: np.ndarray, hi: np.ndarray):
+    """(feature number, threshold) of a node with these ranges, or None if all are constant."""
+    varies = np.flatnonzero(hi > lo)
+    if not len(varies):
+        return None
+    f = int(varies[int(draw(seed, tree, node, "feature") * len(varies))])
+    cut = float(lo[f] + draw(seed, tree, node, "threshold") * (hi[f] - lo[f]))
+    return f, float(lo[f]) if cut >= hi[f] else cut
+
+
+def _node_row(tree: int, node: int, n: int, split, names: list[str]) -> tuple:
+    depth = node.bit_length() - 1
+    if split is None:
+        return tree, node, depth, None, None, None, None, n, float(depth + average_path_length([n])[0])
+    return tree, node, depth, names[split[0]], split[1], 2 * node, 2 * node + 1, n, None
+
+
+_NODE_COLUMNS = [part.split()[0] for part in NODE_SCHEMA.split(", ")]
+
+
+def _grow(features: list[str], seed: int, max_depth: int, tree_features: dict):
+    """The subtree under one node from its rows."""
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = int(pdf["tree_id"].iloc[0])
-        rng = np.random.default_rng([seed, t])
+        t, top = int(pdf["tree_id"].iloc[0]), int(pdf["node_id"].iloc[0])
         feats = tree_features.get(t, features)
         x = pdf[feats].to_numpy(dtype=float)
-        rows = []
-        stack = [(0, np.arange(len(x)), 0)]
-        next_id = 1
+        rows, stack = [], [(top, x)]
         while stack:
-            nid, idx, depth = stack.pop()
-            sub = x[idx]
-            if depth >= max_depth or len(idx) <= 1:
-                cand = []
-            else:
-                lo, hi = sub.min(0), sub.max(0)
-                cand = np.flatnonzero(hi > lo)
-            if len(cand) == 0:
-                rows.append((t, nid, depth, None, None, None, None, len(idx),
-                             float(depth + average_path_length([len(idx)])[0])))
-                continue
-            f = int(rng.choice(cand))
-            thr = float(rng.uniform(lo[f], hi[f]))
-            if thr >= hi[f]:
-                thr = float(lo[f])
-            go_left = sub[:, f] <= thr
-            lid, rid = next_id, next_id + 1
-            next_id += 2
-            rows.append((t, nid, depth, feats[f], thr, lid, rid, len(idx), None))
-            stack.append((rid, idx[~go_left], depth + 1))
-            stack.append((lid, idx[go_left], depth + 1))
-        return pd.DataFrame(rows, columns=["tree_id", "node_id", "depth", "feature",
-                                           "threshold", "left", "right", "n", "leaf_value"])
+            node, own = stack.pop()
+            split = None
+            if node.bit_length() - 1 < max_depth and len(own) > 1:
+                split = choose_split(seed, t, node, own.min(0), own.max(0))
+            rows.append(_node_row(t, node, len(own), split, feats))
+            if split is not None:
+                left = own[:, split[0]] <= split[1]
+                stack += [(2 * node, own[left]), (2 * node + 1, own[~left])]
+        return pd.DataFrame(rows, columns=_NODE_COLUMNS)
     return grow
 
 
+def _split_large(features: list[str], seed: int, tree_features: dict):
+    """Node rows from the minima and maxima of large nodes (rows: tree, node, n, lows, highs)."""
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for t, node, n, low, high in zip(pdf["tree_id"], pdf["node_id"], pdf["n"], pdf["low"], pdf["high"]):
+                feats = tree_features.get(t, features)
+                at = [features.index(f) for f in feats]
+                split = choose_split(seed, t, node, np.array(low, float)[at], np.array(high, float)[at])
+                rows.append(_node_row(t, node, n, split, feats))
+            yield pd.DataFrame(rows, columns=_NODE_COLUMNS)
+    return run
+
+
+def grow_forest(sample: DataFrame, features: list[str], psi: int, seed: int, max_depth: int,
+                tree_features: dict, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """The node table from the trees' samples (tree_id, features ...)."""
+    from sessionary.session import materialize
+    rows = sample.withColumn("node_id", F.lit(ROOT).cast("long"))
+    done = []
+    for depth in range(max_depth if psi > group_rows else 0):
+        rows = materialize(rows)  # read for the ranges, then for the descent
+        sizes = rows.groupBy("tree_id", "node_id").agg(F.count(F.lit(1)).alias("n"), *[
+            F.array(*[fn(F.col(f"`{f}`").cast("double")) for f in features]).alias(name)
+            for fn, name in ((F.min, "low"), (F.max, "high"))])
+        # the rows of a large node are at its level's depth: smaller ones wait for their group
+        large = materialize(sizes.where((F.col("n") > group_rows)).mapInPandas(
+            _split_large(features, seed, tree_features), NODE_SCHEMA))
+        if large.limit(1).count() == 0:
+            break
+        done.append(large)
+        place = F.array_position(F.array(*[F.lit(f) for f in features]), F.col("feature")).cast("int")
+        x = F.element_at(F.array(*[F.col(f"`{f}`").cast("double") for f in features]), F.col("_f"))
+        cuts = large.select("tree_id", "node_id", place.alias("_f"), "threshold", F.lit(True).alias("_large"))
+        down = F.when(F.col("_large"), 2 * F.col("node_id") + (x > F.col("threshold")).cast("long"))
+        # a large node without a split is a leaf already
+        rows = (rows.join(cuts, ["tree_id", "node_id"], "left")
+                .where(F.col("_large").isNull() | F.col("_f").isNotNull())
+                .withColumn("node_id", F.coalesce(down, "node_id")).drop("_f", "threshold", "_large"))
+    nodes = rows.groupBy("tree_id", "node_id").applyInPandas(
+        _grow(features, seed, max_depth, tree_features), NODE_SCHEMA)
+    for more in done:
+        nodes = nodes.unionByName(more)
+    return materialize(nodes)
+
+
 def tree_samples(df: DataFrame, key: str, n_estimators: int, psi: int, n: int,
                  seed: int = 42) -> DataFrame:
     """Rows of every tree's sample, with ``tree_id`` (exactly ``psi`` per tree)."""
@@ -260,7 +363,7 @@ def bootstrap_samples(df: DataFrame, key: str, n_estimators: int, psi: int, n: i
 def fit(df: DataFrame, features: list[str], key: str = "visitorid", n_estimators: int = 100,
         max_samples="auto", contamination="auto", max_features: float = 1.0,
         bootstrap: bool = False, random_state: int = 42, n: int | None = None,
-        **_ignored) -> IsolationForestModel:
+        group_rows: int = GROUP_ROWS, **_ignored) -> IsolationForestModel:
     """M2: fit an isolation forest on ``df[features]`` (``key`` must be unique).
 
     ``bootstrap=False`` draws each tree's ``psi`` rows without replacement
@@ -282,12 +385,9 @@ def fit(df: DataFrame, features: list[str], key: str = "visitorid", n_estimators
         for t in range(n_estimators):
             pick = sorted(rng.choice(len(features), n_feat, replace=False))
             tree_features[t] = [features[i] for i in pick]
-    draw = bootstrap_samples if bootstrap else tree_samples
-    sample = draw(df.select(key, *features), key, n_estimators, psi, n, random_state)
-    from sessionary.session import materialize
-    nodes = materialize(
-        sample.groupBy("tree_id")
-        .applyInPandas(_grow(features, psi, random_state, max_depth, tree_features), NODE_SCHEMA))
+    sampled = bootstrap_samples if bootstrap else tree_samples
+    sample = sampled(df.select(key, *features), key, n_estimators, psi, n, random_state)
+    nodes = grow_forest(sample, features, psi, random_state, max_depth, tree_features, group_rows)
     model = IsolationForestModel(nodes, list(features), psi, -0.5, n_estimators,
                                  {"n_estimators": n_estimators, "max_samples": max_samples,
                                   "contamination": contamination,

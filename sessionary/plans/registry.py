@@ -419,14 +419,14 @@ def _forest(spark, sf_dir, trees=FOREST_TREES):
 @register("iforest_nodes")
 def q_iforest_nodes(spark, sf_dir):
     _, _, model = _forest(spark, sf_dir)
-    return model.nodes
+    return rounded(model.nodes)
 
 
 @register("iforest_score")
 def q_iforest_score(spark, sf_dir):
     feats, _, model = _forest(spark, sf_dir)
-    return model.transform(feats, keep=["visitorid"]).select(
-        "visitorid", "path_length", "score_samples", "anomaly_score")
+    return rounded(model.transform(feats, keep=["visitorid"]).select(
+        "visitorid", "path_length", "score_samples", "anomaly_score"))
 
 
 @register("iforest_label")
@@ -448,13 +448,13 @@ def q_label_correction(spark, sf_dir):
 @register("split_importance")
 def q_split_importance(spark, sf_dir):
     _, _, model = _forest(spark, sf_dir)
-    return IF.split_importance(model, spark)
+    return rounded(IF.split_importance(model, spark))
 
 
 @register("tree_nodes")
 def q_tree_nodes(spark, sf_dir):
     _, _, model = _forest(spark, sf_dir)
-    return IF.tree_rules(model, spark, 0)
+    return rounded(IF.tree_rules(model, spark, 0))
 
 
 @register("forest_roundtrip")
@@ -467,7 +467,7 @@ def q_forest_roundtrip(spark, sf_dir):
     path = os.path.join(checkpoint_dir(spark), f"forest-{uuid.uuid4().hex}")
     model.save(spark, path)
     loaded = IF.IsolationForestModel.load(spark, path)
-    return loaded.transform(feats, keep=["visitorid"]).select("visitorid", "anomaly_score")
+    return rounded(loaded.transform(feats, keep=["visitorid"]).select("visitorid", "anomaly_score"))
 
 
 def _shap(spark, sf_dir):

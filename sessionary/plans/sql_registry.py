@@ -348,3 +348,54 @@ FROM ab"""
 # the hot-visitor path must give the same tables
 ORACLE["visitor_features_hot"] = ORACLE["visitor_features"]
 ORACLE["sessionize_hot"] = ORACLE["sessionize"]
+
+# ------------------------------------------------------------ forest M2-M4, E1, E2, A1-A3
+from sessionary.plans import forest_sql as FS  # noqa: E402
+
+_SELECTED = f"""{_corr_sql(_FC)},
+kept AS (SELECT feature FROM prof WHERE min_percentage < 95.0),
+hits AS (SELECT feature_a AS feature, COUNT(*) AS c FROM corr
+         WHERE feature_a IN (SELECT feature FROM kept) AND feature_b IN (SELECT feature FROM kept)
+           AND feature_a != feature_b AND abs(r) > 0.8 AND r < 1 - 1e-12 GROUP BY feature_a)"""
+_FOREST = f"""{_LONG}, {_SELECTED}, {FS.forest_ctes('''SELECT k.feature FROM kept k
+    LEFT JOIN hits h USING (feature) WHERE COALESCE(h.c, 0) < (SELECT COUNT(*) // 2 FROM kept)''', _FC)}"""
+_SCORED = f"{_FOREST}, {FS.score_ctes()}"
+
+ORACLE["iforest_nodes"] = f"{_FOREST} SELECT {FS.NODE_COLUMNS} FROM nodes"
+ORACLE["tree_nodes"] = f"""{_FOREST} SELECT {FS.NODE_COLUMNS},
+    CASE WHEN feature IS NULL THEN 'leaf n=' || n || ' value=' || format('{{:,.4f}}', leaf_value)
+         ELSE feature || ' <= ' || format('{{:,.4f}}', threshold) END AS rule
+FROM nodes WHERE tree = 0"""
+ORACLE["split_importance"] = f"{_FOREST}, {FS.IMPORTANCE} SELECT feature, round(weight, 6) AS weight FROM importance"
+ORACLE["iforest_score"] = f"""{_SCORED} SELECT visitorid, round(path_length, 6) AS path_length,
+    round(score_samples, 6) AS score_samples, round(anomaly_score, 6) AS anomaly_score FROM scored"""
+ORACLE["iforest_label"] = f"{_SCORED} SELECT visitorid, anomaly_label FROM scored"
+ORACLE["forest_roundtrip"] = f"{_SCORED} SELECT visitorid, round(anomaly_score, 6) AS anomaly_score FROM scored"
+ORACLE["describe_by_anomaly"] = f"""{_SCORED} SELECT anomaly_label,
+    {_np_round("COUNT(anomaly_score)")} AS count, {_np_round("AVG(anomaly_score)")} AS mean,
+    {_np_round("stddev_samp(anomaly_score)")} AS std, {_np_round("MIN(anomaly_score)")} AS "min",
+    {_np_round("quantile_cont(anomaly_score, 0.25)")} AS p25, {_np_round("quantile_cont(anomaly_score, 0.5)")} AS p50,
+    {_np_round("quantile_cont(anomaly_score, 0.75)")} AS p75, {_np_round("MAX(anomaly_score)")} AS "max"
+FROM scored GROUP BY anomaly_label"""
+_BY_LABEL = "\n    UNION ALL ".join(
+    f"SELECT feature, '{stat}' AS stat, " + ", ".join(
+        f"{_np_round(f'{expr} FILTER (WHERE anomaly_label = {label})')} AS label_{name}"
+        for label, name in ((-1, "m1"), (1, "1"))) + " FROM own GROUP BY feature"
+    for stat, expr in (("min", "MIN(x)"), ("median", "quantile_cont(x, 0.5)"), ("max", "MAX(x)"),
+                       ("std", "stddev_samp(x)")))
+ORACLE["feature_stats_by_anomaly"] = f"""{_SCORED}, {FS.IMPORTANCE},
+top AS (SELECT feature FROM importance ORDER BY weight DESC, feature LIMIT 10),
+own AS (SELECT feature, x, anomaly_label FROM values_ JOIN top USING (feature) JOIN scored USING (visitorid))
+{_BY_LABEL}"""
+ORACLE["kde_anomaly"] = f"""{_SCORED},
+d AS (SELECT 'ALL' AS grp, anomaly_score AS x FROM scored
+      UNION ALL SELECT CAST(anomaly_label AS VARCHAR), anomaly_score FROM scored),
+p AS (SELECT grp, COUNT(*) AS n, stddev_samp(x) * pow(COUNT(*), -0.2) AS h,
+             MIN(x) AS lo, MAX(x) AS hi FROM d GROUP BY grp),
+g AS (SELECT grp, n, h, CAST(k AS INTEGER) AS point,
+             (lo - 3.0 * h) + k * ((hi - lo + 6.0 * h) / 199.0) AS gx
+      FROM p, range(0, 200) t(k) WHERE h > 0)
+SELECT g.grp AS "group", g.point, round(g.gx, 9) AS x,
+       round(SUM(exp(-0.5 * ((g.gx - d.x) / g.h) * ((g.gx - d.x) / g.h)))
+             / sqrt(2 * pi()) / (g.n * g.h), 9) AS density
+FROM g JOIN d ON d.grp = g.grp GROUP BY g.grp, g.point, g.gx, g.n, g.h"""

@@ -165,6 +165,32 @@ def test_forest_independent_of_partitioning(spark, forest):
     pd.testing.assert_frame_equal(model.node_rows(), again.node_rows())
 
 
+def test_forest_of_large_nodes_and_joined_scoring(spark, forest, monkeypatch):
+    """Level-wise splits grow the same forest as whole groups, and joins score it alike."""
+    df, _ = forest
+    rows = df.withColumn("c", F.lit(1.0)).withColumn("d", F.col("a").cast("int").cast("double"))
+    whole, level = (IF.fit(rows, ["a", "b", "c", "d"], n_estimators=6, max_samples=1.0, group_rows=size)
+                    for size in (10_000, 40))
+    pd.testing.assert_frame_equal(whole.node_rows(), level.node_rows())
+    assert (whole.node_rows().query("depth == 0")["n"] == 600).all()
+    part = IF.fit(rows, ["a", "b", "c", "d"], n_estimators=6, max_samples=1.0, max_features=0.5,
+                  group_rows=100)
+    pd.testing.assert_frame_equal(part.node_rows(), IF.fit(
+        rows, ["a", "b", "c", "d"], n_estimators=6, max_samples=1.0, max_features=0.5).node_rows())
+    shipped = whole.transform(rows, keep=["visitorid"]).orderBy("visitorid").toPandas()
+    monkeypatch.setattr(IF, "SHIPPED_NODES", 10)
+    assert not level.shipped()
+    joined = level.transform(rows, keep=["visitorid"]).orderBy("visitorid").toPandas()
+    pd.testing.assert_frame_equal(shipped, joined)
+
+
+def test_forest_of_equal_rows(spark):
+    df = spark.createDataFrame([(k, 1.0, 2.0) for k in range(90)], "visitorid long, a double, b double")
+    for size in (1_000, 10):
+        rows = IF.fit(df, ["a", "b"], n_estimators=2, max_samples=1.0, group_rows=size).node_rows()
+        assert rows[["node_id", "n"]].values.tolist() == [[1, 90], [1, 90]]
+
+
 def test_forest_roundtrip_and_importance(spark, forest, tmp_path):
     df, model = forest
     model.save(spark, str(tmp_path / "f"))

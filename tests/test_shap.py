@@ -36,7 +36,7 @@ def test_shap_equals_all_subsets(spark):
     nodes = model.node_rows()
     trees = [{int(r["node_id"]): r for r in own.to_dict("records")} for _, own in nodes.groupby("tree_id")]
     for visitor, row in data.head(6).set_index("visitorid").iterrows():
-        value = lambda known: np.mean([_expected_leaf(t, 0, row, known) for t in trees])
+        value = lambda known: np.mean([_expected_leaf(t, 1, row, known) for t in trees])
         for f in FEATURES:
             others = [g for g in FEATURES if g != f]
             phi = sum(factorial(k) * factorial(3 - k) / factorial(4)
