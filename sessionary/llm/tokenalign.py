@@ -44,6 +44,8 @@ from sessionary.session import materialize
 #: Characters of whole texts (or one longer text) and texts that are aligned together.
 SLICE_CHARS = 4_000_000
 SLICE_TEXTS = 4_000
+#: Characters of parts that are encoded as one text.
+RUN_CHARS = 20_000
 
 #: In front of a single space between two characters that are not white space.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -88,19 +90,74 @@ class Encoders:
         """The text in parts that are encoded on their own (their leading space left out)."""
         return _CUT.split(text) if self.cuts and _SPACE not in text else [text]
 
-    def encode(self, parts: list[str]) -> tuple[list, list, np.ndarray]:
-        """Ids of A and B per part, and whether both cover the bytes of space + part."""
-        a = [x.ids for x in self.a.encode_batch([" " + p for p in parts], add_special_tokens=False)]
-        b = self.b.encode(parts, num_threads=1) if parts else []
-        good = np.ones(len(parts), bool)
-        whole = [b" " + p.encode() for p in parts]
-        size = np.fromiter(map(len, whole), np.int64, len(whole))
-        for ids, blobs in ((a, self.a_bytes), (b, self.b_bytes)):
-            found = [b"".join([blobs[i] for i in part]) for part in ids]
-            if b"".join(found) != b"".join(whole) or not np.array_equal(
-                    np.fromiter(map(len, found), np.int64, len(found)), size):
-                good &= [x == y for x, y in zip(found, whole)]
-        return a, b, good
+    def _both(self, text: str) -> list[np.ndarray] | None:
+        """Ids of A and B of space + text, or None if their bytes differ from it."""
+        ids = (self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text))
+        whole = b" " + text.encode()
+        if any(b"".join([blobs[i] for i in own]) != whole
+               for own, blobs in zip(ids, (self.a_bytes, self.b_bytes))):
+            return None
+        return [np.array(own, np.int64) for own in ids]
+
+    def _joined(self, parts: list[str]) -> tuple[list, list] | None:
+        """(ids, tokens per part) of A and of B for parts that are encoded as one text."""
+        ids = self._both(" ".join(parts))
+        if ids is None:
+            return None
+        ends = np.cumsum([len(p.encode()) + 1 for p in parts])
+        counts = []
+        for own, size in zip(ids, (self.a_size, self.b_size)):
+            cuts = np.cumsum(size[own])
+            at = np.searchsorted(cuts, ends)
+            if not np.array_equal(cuts[at], ends):
+                return None
+            counts.append(np.diff(at + 1, prepend=0))
+        return ids, counts
+
+    def encode(self, parts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+        """Ids of all parts and tokens per part, of A and of B; whether a part has tokens.
+
+        Runs of parts without white space at their ends are encoded as one text,
+        joined by single spaces, which is where texts are cut; a run whose bytes
+        come back otherwise is encoded part by part.
+        """
+        ids, counts, good = ([], []), ([], []), []
+
+        def add(found: tuple | None, n: int) -> bool:
+            if found is not None:
+                for side in (0, 1):
+                    ids[side].append(found[0][side])
+                    counts[side].append(found[1][side])
+                good.extend([True] * n)
+            return found is not None
+
+        def alone(part: str) -> None:
+            own = self._both(part)
+            if own is None:
+                own = [np.empty(0, np.int64)] * 2
+            add((own, [np.array([len(x)]) for x in own]), 1)
+            good[-1] = len(own[0]) > 0
+
+        def flush(run: list[str]) -> None:
+            if run and not add(self._joined(run), len(run)):
+                for part in run:
+                    alone(part)
+        run, held = [], 0
+        for part in parts:
+            if not self.cuts or _SPACE in part or part != part.strip():
+                flush(run)
+                alone(part)
+                run, held = [], 0
+                continue
+            run.append(part)
+            held += len(part)
+            if held > RUN_CHARS:
+                flush(run)
+                run, held = [], 0
+        flush(run)
+        none = [np.empty(0, np.int64)]
+        return ([np.concatenate(side or none) for side in ids],
+                [np.concatenate(side or none) for side in counts], np.array(good, bool))
 
 
 @functools.lru_cache(maxsize=2)
@@ -137,10 +194,6 @@ def align(a_ids: np.ndarray, b_ids: np.ndarray, a_size: np.ndarray, b_size: np.n
     return group[:len(a_ids)], group[len(a_ids):]
 
 
-def _flat(ids: list) -> np.ndarray:
-    return np.fromiter(itertools.chain.from_iterable(ids), np.int64, sum(map(len, ids)))
-
-
 def _gather(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The indices starts[k] .. starts[k] + counts[k] - 1, one run after another."""
     total = np.cumsum(counts)
@@ -151,15 +204,13 @@ class Aligned:
     """The texts of one slice, aligned through their different parts."""
 
     def __init__(self, texts: list[str], enc: Encoders):
-        number: dict[str, int] = {}
-        split = [[number.setdefault(p, len(number)) for p in enc.pieces(t)] if t else [] for t in texts]
-        parts = list(number)
-        del number
-        a, b, good = enc.encode(parts)
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
-        n_a, n_b = n_a * good, n_b * good
-        a_ids, b_ids = (_flat([x for x, ok in zip(side, good) if ok]) for side in (a, b))
-        del a, b
+        split = [enc.pieces(t) if t else [] for t in texts]
+        number = pa.array(itertools.chain.from_iterable(split), pa.large_string()).dictionary_encode()
+        parts, place = number.dictionary.to_pylist(), number.indices.to_numpy()
+        cut = np.cumsum([0, *map(len, split)])
+        del split, number
+        (a_ids, b_ids), (n_a, n_b), good = enc.encode(parts)
+        del parts
         if len(a_ids):
             a_group, b_group = align(a_ids, b_ids, enc.a_size, enc.b_size)
             last_a, last_b = (np.flatnonzero(np.diff(g, append=-1)) for g in (a_group, b_group))
@@ -167,7 +218,7 @@ class Aligned:
             a_group = b_group = last_a = last_b = np.empty(0, np.int64)
         links = a_ids[last_a] << 32 | b_ids[last_b]
         self.pairs, link_pair = np.unique(links, return_inverse=True)
-        a_cut, n_groups = np.cumsum(n_a), np.zeros(len(parts), np.int64)
+        a_cut, n_groups = np.cumsum(n_a), np.zeros(len(n_a), np.int64)
         some = np.flatnonzero(n_a)
         n_groups[some] = a_group[a_cut[some] - 1] - a_group[a_cut[some] - n_a[some]] + 1
         shown = self._shown(enc.names, a_ids, b_ids, last_a, last_b, n_groups)
@@ -175,9 +226,9 @@ class Aligned:
         self.n_a, self.n_b, self.n_groups, self.digest = [], [], [], []
         self.pair_at, self.times = [], []
         self.totals = np.zeros(len(self.pairs), np.int64)
-        for own in split:
-            at = np.array(own, np.int64)
-            if not len(at) or not good[at].all():
+        for k in range(len(texts)):
+            at = place[cut[k]:cut[k + 1]]
+            if not good[at].all():
                 at = at[:0]
             self.n_a.append(int(n_a[at].sum()))
             self.n_b.append(int(n_b[at].sum()))
@@ -195,7 +246,8 @@ class Aligned:
         a_text, b_text = ([names[i] for i in ids.tolist()] for ids in (a_ids, b_ids))
         groups, a, b = [], 0, 0
         for x, y in zip((last_a + 1).tolist(), (last_b + 1).tolist()):
-            groups.append(",".join(a_text[a:x]) + "|" + ",".join(b_text[b:y]))
+            groups.append(f"{a_text[a]}|{b_text[b]}" if x - a == 1 == y - b else
+                          ",".join(a_text[a:x]) + "|" + ",".join(b_text[b:y]))
             a, b = x, y
         out, at = [], 0
         for n in n_groups.tolist():
