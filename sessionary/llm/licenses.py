@@ -1,6 +1,7 @@
 """License scans: exact set-similarity join of text blocks with templates (operator 1).
 
-Texts are read as overlapping blocks of ``BLOCK_WORDS`` words.  A block meets a
+A text's blocks are its runs of w words, one from every word on; w is
+``BLOCK_WORDS``, or twice the length of a longer template.  A block meets a
 template when it holds at least ``threshold`` of the template's different
 words (containment).  The join is exact and filters in the usual order:
 
@@ -12,11 +13,14 @@ words (containment).  The join is exact and filters in the usual order:
 * position: when the first common word stands at i of m and j of n, no more
   than 1 + min(m - i - 1, n - j - 1) words can be common.
 
+A block that does not begin with a word of the templates holds no more of them
+than the one that begins with the next such word, so only these are looked at;
+sliding from one to the next updates the counts of the block's words.
+
 Templates are a parameter of at most ``MAX_TEMPLATE_WORDS`` words in all
 (checked), so their index goes to every task and the second pass is a map.
 Phrases are templates that a block has to hold whole; an exact check then
-finds the places where their words stand one after the other.  Blocks overlap
-by half, and each place belongs to the one block whose first half it starts in.
+finds the places where their words stand one after the other.
 
 Defined results: null or empty text: no words, no labels, score 0; repeated
 rows: one result each; an empty table gives no rows; extra columns are ignored.
@@ -45,7 +49,7 @@ PHRASES = (
     ("general public license", "gpl"),
 )
 
-#: Notices (text, label) of at most half a block.
+#: Notices and license texts (text, label).
 TEMPLATES = (
     ("Released under the MIT License", "mit-notice"),
     ("Permission is hereby granted, free of charge, to any person obtaining a copy",
@@ -61,6 +65,19 @@ TEMPLATES = (
     ("Licensed under CC BY-NC 4.0", "cc-by-nc-4.0"),
     ("Licensed under a Creative Commons Attribution 4.0 International License", "cc-by-4.0"),
     ("All rights reserved", "all-rights-reserved"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+     "software and associated documentation files (the \"Software\"), to deal in the Software "
+     "without restriction, including without limitation the rights to use, copy, modify, merge, "
+     "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons "
+     "to whom the Software is furnished to do so, subject to the following conditions: The above "
+     "copyright notice and this permission notice shall be included in all copies or substantial "
+     "portions of the Software.", "mit-text"),
+    ("Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
+     "except in compliance with the License. You may obtain a copy of the License at "
+     "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
+     "writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT "
+     "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the "
+     "specific language governing permissions and limitations under the License.", "apache-header"),
 )
 
 #: A-Z become a-z; ASCII signs that are neither letters nor digits separate words.
@@ -75,20 +92,20 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class TemplateIndex:
-    """Templates and phrases as sets in the corpus order, with their prefixes."""
+    """Templates and phrases as sets in the corpus order, with their prefixes by block width."""
 
     def __init__(self, phrases: Sequence, templates: Sequence, threshold: float,
                  block_words: int):
         if not 0 < threshold <= 1:
             raise ValueError("the threshold must lie in (0, 1]")
-        self.block, self.step = block_words, block_words // 2
         self.entries = [(words_of(p), label, 1.0, True) for p, label in phrases]
         self.entries += [(words_of(t), label, threshold, False) for t, label in templates]
         for words, label, _, _ in self.entries:
-            if not 0 < len(words) <= self.step:
-                raise ValueError(f"template {label!r} must have 1 to {self.step} words")
+            if not words:
+                raise ValueError(f"template {label!r} has no words")
         if sum(len(words) for words, *_ in self.entries) > MAX_TEMPLATE_WORDS:
             raise ValueError(f"the templates have over {MAX_TEMPLATE_WORDS} words")
+        self.width = [max(block_words, 2 * len(words)) for words, *_ in self.entries]
         self.vocabulary = {w for words, *_ in self.entries for w in words}
         self.order({})
 
@@ -96,22 +113,24 @@ class TemplateIndex:
         """Order all words by corpus frequency, rarest first, and index the prefixes."""
         ranked = sorted(self.vocabulary, key=lambda w: (frequency.get(w, 0), w))
         self.rank = {w: n for n, w in enumerate(ranked)}
-        self.sorted, self.need, self.prefix = [], [], {}
+        self.sorted, self.need = [], []
+        #: block width -> rank -> (entry, place in the entry's order)
+        self.prefix: dict[int, dict[int, list]] = {}
         for k, (words, _, threshold, _) in enumerate(self.entries):
             own = sorted({self.rank[w] for w in words})
             need = max(1, math.ceil(threshold * len(own) - 1e-9))
             self.sorted.append(own)
             self.need.append(need)
+            prefix = self.prefix.setdefault(self.width[k], {})
             for i, r in enumerate(own[:len(own) - need + 1]):
-                self.prefix.setdefault(r, []).append((k, i))
-        self.rare = {ranked[r] for r in self.prefix}
+                prefix.setdefault(r, []).append((k, i))
         return self
 
-    def meets(self, block: list[int]) -> Iterator[tuple[int, float]]:
+    def meets(self, block: list[int], prefix: dict[int, list]) -> Iterator[tuple[int, float]]:
         """(entry, containment) of the entries that a block's sorted ranks meet."""
         seen, n, own = set(), len(block), None
         for j, r in enumerate(block):
-            for k, i in self.prefix.get(r, ()):
+            for k, i in prefix.get(r, ()):
                 if k in seen:
                     continue
                 seen.add(k)
@@ -124,25 +143,51 @@ class TemplateIndex:
                     yield k, common / m
 
     def scan(self, words: list[bytes]) -> list[tuple]:
-        """(label, is a phrase, block start, containment, places) of every match."""
-        near, step = set(), self.step
-        for n, word in enumerate(words):
-            if word in self.rare:
-                near.add(n // step)
-                if n >= step:
-                    near.add(n // step - 1)
-        found = []
-        for b in sorted(near):
-            start = b * step
-            block = words[start:start + self.block]
-            ranks = sorted({self.rank[w] for w in block if w in self.rank})
-            for k, share in self.meets(ranks):
-                phrase, label, _, exact = self.entries[k]
-                places = [start + p for p in range(min(step, len(block) - len(phrase) + 1))
-                          if block[p:p + len(phrase)] == phrase] if exact else []
-                if places or not exact:
-                    found.append((label, exact, start, share, places))
-        return found
+        """(label, is a phrase, block start, containment, places) of every match.
+
+        Neighbouring blocks that meet a template are one match: the first of the
+        best ones.  A phrase's places are in one match.
+        """
+        known = [(n, self.rank[w]) for n, w in enumerate(words) if w in self.rank]
+        places: dict[int, list[int]] = {}
+        found: list[tuple] = []
+        for width, prefix in self.prefix.items():
+            last: dict[int, tuple[int, int]] = {}  # entry -> (its open match, the last block's turn)
+            for turn, start, block in _blocks(known, prefix, width):
+                for k, share in self.meets(block, prefix):
+                    phrase, label, _, exact = self.entries[k]
+                    if exact:
+                        if words[start:start + len(phrase)] == phrase:
+                            places.setdefault(k, []).append(start)
+                        continue
+                    at, before = last.get(k, (-1, -2))
+                    if before != turn - 1:
+                        at = len(found)
+                        found.append((label, False, start, share, []))
+                    elif share > found[at][3]:
+                        found[at] = (label, False, start, share, [])
+                    last[k] = at, turn
+        return [(self.entries[k][1], True, own[0], 1.0, own) for k, own in sorted(places.items())] + found
+
+
+def _blocks(known: list[tuple[int, int]], prefix: dict[int, list], width: int
+            ) -> Iterator[tuple[int, int, list[int]]]:
+    """(turn, start, sorted different ranks) of the blocks of ``width`` words that
+    begin with a known word and hold a word of a prefix; neighbours have
+    neighbouring turns.  ``known``: (place, rank) of the templates' words."""
+    held: Counter = Counter()
+    rare, end = 0, 0
+    for turn, (start, first) in enumerate(known):
+        while end < len(known) and known[end][0] < start + width:
+            held[known[end][1]] += 1
+            rare += known[end][1] in prefix
+            end += 1
+        if rare:
+            yield turn, start, sorted(held)
+        held[first] -= 1
+        if not held[first]:
+            del held[first]
+        rare -= first in prefix
 
 
 def _count(vocabulary: set[bytes]):
