@@ -1,10 +1,13 @@
 """Density-based clustering on Spark: DBSCAN.
 
 DBSCAN(eps, min_samples), Euclidean, neighbourhoods include the point and use
-``distance <= eps``:
+``distance <= eps``.  Points lie in the cells of an eps grid
+(:mod:`sessionary.operators.cells`): a point meets the points of its own cell and
+of the neighbour cells within eps, and cells with many points are cut into block
+pairs.
 
-1. neighbour counts: block-pair tiles count, per point, the points within
-   ``eps`` (summed per point) -> core flags;
+1. neighbour counts: tiles count, per point, the points within ``eps`` (summed
+   per point) -> core flags;
 2. tiles again, now with core flags: inside a tile the core points within
    ``eps`` of each other form local components (numpy); each core point emits
    one edge to its local component's smallest id, each non-core point one
@@ -15,7 +18,7 @@ DBSCAN(eps, min_samples), Euclidean, neighbourhoods include the point and use
    order; a border point joins the smallest-numbered adjacent cluster; the
    rest is noise (-1).
 
-Two core points within ``eps`` share a tile, so the components are exact.
+Two points within ``eps`` share a tile, so counts and components are exact.
 """
 
 from __future__ import annotations
@@ -25,82 +28,72 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessionary.operators.cells import dealt_grid
 from sessionary.operators.graph import connected_components, global_rank, local_components
-from sessionary.operators.neighbors import (
-    DEFAULT_BLOCK_ROWS,
-    _sqdist,
-    block_pairs,
-    n_blocks_for,
-)
+from sessionary.operators.neighbors import DEFAULT_BLOCK_ROWS, _sqdist
 from sessionary.session import materialize
 
 
-def _split(pdf: pd.DataFrame):
-    bi, bj = int(pdf["bi"].iloc[0]), int(pdf["bj"].iloc[0])
-    if bi == bj:
-        return bi, bj, pdf, pdf
-    return bi, bj, pdf[pdf["blk"] == bi], pdf[pdf["blk"] == bj]
+def _sides(pdf: pd.DataFrame, eps2: float):
+    """(left rows, right rows, which pairs are within eps, whether both sides are one block)."""
+    whole = bool(pdf["first"].iat[0] == pdf["second"].iat[0])
+    left = pdf if whole else pdf[~pdf["late"]]
+    right = pdf if whole else pdf[pdf["late"]]
+    if not len(left) or not len(right):
+        return left, right, np.zeros((len(left), len(right)), bool), whole
+    x = np.stack(left["v"].to_numpy())
+    within = _sqdist(x, x if whole else np.stack(right["v"].to_numpy())) <= eps2
+    if whole:
+        np.fill_diagonal(within, True)
+    return left, right, within, whole
 
 
 def _tile_counts(eps2: float):
     def fn(pdf):
-        bi, bj, left, right = _split(pdf)
-        if not len(left) or not len(right):
-            return pd.DataFrame({"id": [], "c": []})
-        d = _sqdist(np.stack(left["v"].to_numpy()), np.stack(right["v"].to_numpy()))
-        if bi == bj:
-            np.fill_diagonal(d, 0.0)
-        within = d <= eps2
-        ids = [left["id"].to_numpy()]
-        cs = [within.sum(1)]
-        if bi != bj:
+        left, right, within, whole = _sides(pdf, eps2)
+        ids, cs = [left["id"].to_numpy()], [within.sum(1)]
+        if not whole:
             ids.append(right["id"].to_numpy())
             cs.append(within.sum(0))
-        return pd.DataFrame({"id": np.concatenate(ids), "c": np.concatenate(cs)})
+        out = pd.DataFrame({"id": np.concatenate(ids), "c": np.concatenate(cs)})
+        return out[out["c"] > 0]
     return fn
 
 
-def neighbour_counts(points: DataFrame, eps: float, block_rows: int = DEFAULT_BLOCK_ROWS,
-                     n: int | None = None) -> DataFrame:
-    """(id, n_neighbors): points within ``eps``, the point itself included."""
-    n = n if n is not None else points.count()
-    nb = n_blocks_for(n, block_rows)
-    tiles = block_pairs(points, nb).groupBy("bi", "bj").applyInPandas(
+def _count_neighbours(points: DataFrame, eps: float, block_rows: int) -> DataFrame:
+    tiles = dealt_grid(points, eps, block_rows).groupBy("cell", "first", "second").applyInPandas(
         _tile_counts(eps * eps), "id long, c long")
     return tiles.groupBy("id").agg(F.sum("c").alias("n_neighbors"))
 
 
+def neighbour_counts(points: DataFrame, eps: float,
+                     block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """(id, n_neighbors): points within ``eps``, the point itself included."""
+    return _count_neighbours(materialize(points.select("id", "v")), eps, block_rows)
+
+
 def _tile_links(eps2: float):
     def fn(pdf):
-        bi, bj, left, right = _split(pdf)
-        both = left if bi == bj else pd.concat([left, right], ignore_index=True)
-        if not len(both):
-            return pd.DataFrame({"id": [], "rep": [], "kind": []})
-        x = np.stack(both["v"].to_numpy())
-        ids = both["id"].to_numpy()
-        core = both["core"].to_numpy().astype(bool)
-        within = _sqdist(x, x) <= eps2
-        np.fill_diagonal(within, True)
-        ci = np.flatnonzero(core)
-        out_id, out_rep, out_kind = [], [], []
-        if len(ci):
-            lab = local_components(within[np.ix_(ci, ci)])
-            # representative = smallest id in the local component
-            comp_ids = ids[ci]
-            rep_of = {}
-            for lbl, pid in zip(lab, comp_ids):
-                rep_of[lbl] = min(rep_of.get(lbl, pid), pid)
-            reps = np.array([rep_of[lbl] for lbl in lab])
-            out_id += list(comp_ids); out_rep += list(reps); out_kind += [0] * len(ci)
-            nci = np.flatnonzero(~core)
-            if len(nci):
-                touch = within[np.ix_(nci, ci)]
-                rr, cc = np.nonzero(touch)
-                if len(rr):
-                    cand = pd.DataFrame({"id": ids[nci][rr], "rep": reps[cc]}).drop_duplicates()
-                    out_id += list(cand["id"]); out_rep += list(cand["rep"])
-                    out_kind += [1] * len(cand)
-        return pd.DataFrame({"id": out_id, "rep": out_rep, "kind": out_kind})
+        left, right, within, whole = _sides(pdf, eps2)
+        both = left if whole else pd.concat([left, right], ignore_index=True)
+        n, cut = len(both), len(left)
+        near = within
+        if not whole:  # pairs of one block meet in that block's own tile
+            near = np.zeros((n, n), bool)
+            near[:cut, cut:], near[cut:, :cut] = within, within.T
+        ids, core = both["id"].to_numpy(), both["core"].to_numpy().astype(bool)
+        ci, nci = np.flatnonzero(core), np.flatnonzero(~core)
+        none = pd.DataFrame({"id": [], "rep": [], "kind": []})
+        if not len(ci):
+            return none
+        label = local_components(near[np.ix_(ci, ci)])
+        least = pd.Series(ids[ci]).groupby(label).transform("min").to_numpy()
+        touched = near[np.ix_(nci, ci)]
+        row, at = np.nonzero(touched)
+        border = pd.DataFrame({"id": ids[nci][row], "rep": least[at]}).drop_duplicates()
+        linked = least != ids[ci]
+        return pd.concat([pd.DataFrame({"id": ids[ci][linked], "rep": least[linked], "kind": 0}),
+                          border.assign(kind=1)], ignore_index=True)
     return fn
 
 
@@ -108,15 +101,12 @@ def dbscan(points: DataFrame, eps: float = 1.2, min_samples: int = 38,
            block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """(id, n_neighbors, core, label); label -1 = noise."""
     pts = materialize(points.select("id", "v"))
-    n = pts.count()
-    nb = n_blocks_for(n, block_rows)
-    counts = neighbour_counts(pts, eps, block_rows, n)
-    flagged = materialize(pts.join(counts, "id")
+    flagged = materialize(pts.join(_count_neighbours(pts, eps, block_rows), "id")
                           .withColumn("core", F.col("n_neighbors") >= F.lit(min_samples)))
     links = materialize(
-        block_pairs(flagged.select("id", "v", "core"), nb, extra=["core"])
-        .groupBy("bi", "bj").applyInPandas(_tile_links(eps * eps),
-                                           "id long, rep long, kind int"))
+        dealt_grid(flagged.select("id", "v", "core"), eps, block_rows)
+        .groupBy("cell", "first", "second").applyInPandas(_tile_links(eps * eps),
+                                                          "id long, rep long, kind int"))
     core_edges = links.where(F.col("kind") == 0).select(F.col("id").alias("src"),
                                                        F.col("rep").alias("dst"))
     comps = connected_components(

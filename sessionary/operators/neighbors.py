@@ -1,17 +1,17 @@
-"""Exact distance computations by block pairs (N3, N4, M12; DBSCAN/HDBSCAN).
-
-Points are hashed into ``B`` blocks of about ``block_rows`` points.  Every
-unordered block pair ``(i, j)`` is one ``applyInPandas`` group: a point of
-block ``b`` is sent to the ``B`` groups ``(min(b, j), max(b, j))``.  Inside a
-group numpy computes one distance tile (at most ``block_rows^2`` entries) and
-emits only per-point summaries - the ``k`` smallest distances, or per-label
-sums - never pairs.  Per-point summaries from the ``B`` groups are merged by a
-fan-in tournament (``groupBy`` levels of at most ``fan_in`` lists), so no
-group holds more than ``fan_in * k`` values.
-
-Exact all-pairs work is quadratic: ``n^2 / 2`` distance evaluations spread
-over ``B^2 / 2`` tasks.  That is the price of exactness; it suits up to some
-millions of points.
+"""Exact nearest neighbours and silhouettes (N3, N4, M12; HDBSCAN).
+
+Nearest neighbours: points lie in the cells of pivots
+(:mod:`sessionary.operators.cells`).  A first pass finds the k nearest within each
+cell; the k-th distance (or, where a cell is too small, the rim of enough whole
+cells) bounds how far a neighbour can be, and a second pass sends a point only to
+the cells that this bound reaches.  Tasks are pairs of blocks of about
+``block_rows`` points; they emit the ``k`` smallest distances per point, never
+pairs.  Per-point lists are merged by a fan-in tournament (``groupBy`` levels of
+about ``fan_in`` lists), so no group holds much more than ``fan_in * k`` values.
+In many dimensions without structure the bound reaches most cells, and the work is
+that of all pairs of blocks.
+
+Silhouettes and HDBSCAN compare all pairs of blocks (:func:`block_pairs`).
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessionary.operators.cells import Pivots, blocks, deal, visits
+
 DEFAULT_BLOCK_ROWS = 1024
 
 
@@ -94,16 +96,87 @@ def merge_topk(parts: DataFrame, k: int, span: int, fan_in: int = 32) -> DataFra
         width = math.ceil(width / fan_in)
 
 
+def _tile_guest_topk(k: int):
+    """The k nearest own points of each guest, within its bound."""
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        own, guests = pdf[~pdf["late"]], pdf[pdf["late"]]
+        if not len(own) or not len(guests):
+            return pd.DataFrame({"id": [], "d": [], "slot": []})
+        d = _sqdist(np.stack(guests["v"].to_numpy()), np.stack(own["v"].to_numpy()))
+        kk = min(k, d.shape[1])
+        part = np.sort(np.partition(d, kk - 1, axis=1)[:, :kk], axis=1)
+        limit = guests["bound"].to_numpy() ** 2 * (1 + 1e-6) + 1e-12
+        lists = [row[:np.searchsorted(row, top, "right")].tolist() for row, top in zip(part, limit)]
+        slot = hash((int(pdf["cell"].iat[0]), int(pdf["first"].iat[0]))) % SLOTS
+        out = pd.DataFrame({"id": guests["id"].to_numpy(), "d": lists, "slot": slot})
+        return out[out["d"].str.len() > 0]
+    return fn
+
+
+SLOTS = 4_096
+#: Points of a cell, and the most cells.
+CELL_ROWS, MAX_CELLS = 8_192, 1_024
+
+
 def knn_distances(points: DataFrame, k: int, block_rows: int = DEFAULT_BLOCK_ROWS,
-                  n: int | None = None) -> DataFrame:
+                  n: int | None = None, cell_rows: int = CELL_ROWS) -> DataFrame:
     """(id, d): the ``k`` smallest squared distances of each point, the point
     itself (distance 0) included, ascending."""
     n = n if n is not None else points.count()
-    nb = n_blocks_for(n, block_rows)
-    pairs = block_pairs(points, nb)
-    tiles = pairs.groupBy("bi", "bj").applyInPandas(
-        _tile_topk(k), "id long, d array<double>, bj int")
-    return merge_topk(tiles, k, nb)
+    cells = min(MAX_CELLS, math.ceil(n / cell_rows))
+    if cells <= 1:  # one cell: its block pairs are all there is
+        nb = n_blocks_for(n, block_rows)
+        tiles = block_pairs(points, nb).groupBy("bi", "bj").applyInPandas(
+            _tile_topk(k), "id long, d array<double>, bj int")
+        return merge_topk(tiles, k, nb)
+    inner, bounded, guests, own_blocks = _knn_passes(points, k, block_rows, cells)
+    sizes = F.broadcast(guests.groupBy("cell").agg(F.count("*").alias("_guests")))  # MAX_CELLS rows
+    rows = (bounded.select("id", "v", "cell", F.lit(None).cast("double").alias("bound"),
+                           F.lit(False).alias("guest"))
+            .unionByName(guests.withColumn("guest", F.lit(True))).join(sizes, "cell"))
+    far = (deal(rows, own_blocks, blocks(F.col("_guests"), block_rows), inner=False)
+           .groupBy("cell", "first", "second")
+           .applyInPandas(_tile_guest_topk(k), "id long, d array<double>, slot int"))
+    lists = inner.select("id", "d", F.lit(0).alias("bj")).unionByName(
+        far.select("id", "d", F.col("slot").alias("bj")))
+    return merge_topk(lists, k, SLOTS)
+
+
+def _knn_passes(points: DataFrame, k: int, block_rows: int, cells: int):
+    """(lists within cells, points with bounds, guests, blocks per cell as a column)."""
+    from sessionary.session import materialize
+    pts = materialize(points.select("id", "v"))
+    pivots = Pivots(pts, cells)
+    assigned = materialize(pivots.assign(pts))
+    count, radius = pivots.figures(assigned)
+    per_cell = [math.ceil(c / block_rows) for c in count]
+    own_blocks = F.element_at(F.array(*[F.lit(b) for b in per_cell]), F.col("cell") + 1)
+    dealt = deal(assigned.select("id", "v", "cell", F.lit(False).alias("guest")), own_blocks, F.lit(0))
+    tiles = (dealt.withColumn("blk", F.when(F.col("late"), F.col("second")).otherwise(F.col("first")))
+             .withColumnRenamed("first", "bi").withColumnRenamed("second", "bj")
+             .groupBy("cell", "bi", "bj").applyInPandas(_tile_topk(k), "id long, d array<double>, bj int"))
+    inner = materialize(merge_topk(tiles, k, max(per_cell)))
+    kth = inner.select("id", F.sqrt(F.get("d", F.lit(k - 1))).alias("kth"))
+
+    def bound(batches):
+        for pdf in batches:
+            x = np.stack(pdf["v"].to_numpy()) if len(pdf) else np.zeros((0, pivots.pivots.shape[1]))
+            rim = pivots.reach(x, k, count, radius)
+            yield pdf.assign(bound=np.fmin(pdf["kth"].to_numpy(float), rim))[["id", "v", "cell", "bound"]]
+    bounded = materialize(assigned.join(kth, "id").select("id", "v", "cell", "kth").mapInPandas(
+        bound, "id long, v array<double>, cell int, bound double"))
+    return inner, bounded, materialize(visits(pivots, bounded, count, radius)), own_blocks
+
+
+def knn_replication(points: DataFrame, k: int, block_rows: int = DEFAULT_BLOCK_ROWS,
+                    cell_rows: int = CELL_ROWS) -> DataFrame:
+    """(points, cells, visits, factor): how many cells a point visits, its own included."""
+    n = points.count()
+    cells = min(MAX_CELLS, math.ceil(n / cell_rows))
+    visited = _knn_passes(points, k, block_rows, cells)[2].count() if cells > 1 else 0
+    return points.sparkSession.createDataFrame(
+        [(n, cells, n + visited, (n + visited) / max(1, n))],
+        "points long, cells int, visits long, factor double")
 
 
 def k_distances(points: DataFrame, k: int, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:

@@ -42,6 +42,62 @@ def test_knn_matches_brute_force(spark, blobs):
     assert np.allclose(got["distance_sq"].to_numpy(), exp)
 
 
+def _far_blobs(n, seed=2, dims=3):
+    rng = np.random.default_rng(seed)
+    centres = rng.uniform(-60, 60, size=(12, dims))
+    return centres[rng.integers(0, 12, n)] + rng.normal(0, 1, size=(n, dims))
+
+
+@pytest.mark.parametrize("k", [3, 40])
+def test_knn_in_pivot_cells_equals_brute_force(spark, k):
+    """Cells of very different sizes, some with fewer than k points, some over several blocks."""
+    X = np.vstack([_far_blobs(260), np.full((60, 3), 5.0), [[500.0, 0, 0], [-900.0, 3, 1]]])
+    got = N.knn_distances(_points(spark, X), k, block_rows=24, cell_rows=30)
+    d = np.sort(((X[:, None] - X[None]) ** 2).sum(-1), axis=1)[:, :k]
+    rows = {r["id"]: r["d"] for r in got.collect()}
+    assert len(rows) == len(X)
+    assert all(np.allclose(rows[i], d[i], atol=1e-7) for i in range(len(X)))
+
+
+def test_knn_replication_grows_slower_than_the_cells(spark):
+    factor = {}
+    for n, cells in ((500, 20), (2000, 80)):
+        X = np.random.default_rng(n).uniform(0, 1, size=(n, 2))
+        r = N.knn_replication(_points(spark, X), 5, cell_rows=25).first()
+        assert r["cells"] == cells
+        factor[cells] = r["factor"]
+    assert factor[80] < 2 * factor[20] and factor[80] < 80 / 5  # four times the cells
+
+
+def test_grid_tiles_hold_each_near_pair_once(spark):
+    from sessionary.operators.cells import dealt_grid, grid_rows
+    X = np.vstack([np.random.default_rng(4).uniform(0, 9, size=(250, 4)), np.full((60, 4), 1.0),
+                   np.arange(8)[:, None] * np.ones(4)])
+    pts = _points(spark, X)
+    met = {}
+    dealt = dealt_grid(pts, 1.0, 16).toPandas()
+    for _, own in dealt.assign(cell=dealt["cell"].map(tuple)).groupby(["cell", "first", "second"]):
+        assert len(own) <= 60
+        left, right = own[~own["late"]]["id"], own[own["late"]]["id"]
+        whole = own["first"].iat[0] == own["second"].iat[0]
+        for a in left:
+            for b in (x for x in left if x > a) if whole else right:
+                pair = (min(a, b), max(a, b))
+                met[pair] = met.get(pair, 0) + 1
+    d = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1))
+    near = {(i, j) for i, j in zip(*np.nonzero(d <= 1.0)) if i < j}
+    assert all(met.get(p) == 1 for p in near)
+    sent = grid_rows(pts, 1.0).count() / len(X)
+    assert sent < 5  # of the 14 cells
+
+
+@pytest.mark.parametrize("eps", [0.5, 2.5, 40.0])
+def test_dbscan_over_grid_cells(spark, eps):
+    X = np.vstack([_far_blobs(150, seed=5), np.full((50, 3), 2.0), np.arange(6)[:, None] * [0.5, 0, 0]])
+    got = DN.dbscan(_points(spark, X), eps=eps, min_samples=4, block_rows=20).orderBy("id").toPandas()
+    assert (got["label"].to_numpy() == _brute_dbscan(X, eps, 4)).all()
+
+
 def test_k_distance_curve_sorted_and_tail(spark, blobs):
     X, _ = blobs
     pts = _points(spark, X)
