@@ -108,3 +108,65 @@ IMPORTANCE = """importance AS (
     SELECT feature, coalesce(splits, 0) / SUM(splits) OVER () AS weight FROM chosen
         LEFT JOIN (SELECT feature, COUNT(*) AS splits FROM nodes WHERE feature IS NOT NULL GROUP BY feature)
         USING (feature))"""
+
+
+def shap_ctes(visitors: str = "SELECT visitorid FROM vf") -> str:
+    """CTEs ``phi`` (visitorid, feature, shap_value) and ``base`` after ``nodes``.
+
+    A leaf's path has at most 8 different features.  Whether a visitor satisfies the
+    splits of each is a bit pattern; a feature's share of a leaf's value follows
+    from the pattern alone: the coefficients of prod_{j != i} (z_j + o_j t),
+    weighted by s! (m - s - 1)! / m!.
+    """
+    k8 = range(LEVELS)
+
+    def wide(expr: str, name: str, missing: str) -> str:
+        return ", ".join(f"coalesce(MAX({expr}) FILTER (WHERE idx = {k}), {missing}) AS {name}{k}" for k in k8)
+    bits = " + ".join(f"CASE WHEN xs[f{k}] > lo{k} AND xs[f{k}] <= hi{k} THEN {1 << k} ELSE 0 END" for k in k8)
+    ones = ", ".join(f"(pattern >> {k}) & 1 AS o{k}" for k in k8)
+    start = "1.0::DOUBLE AS c0, " + ", ".join(f"0.0::DOUBLE AS c{k}" for k in range(1, LEVELS))
+    steps, source = [], "start"
+    for j in k8:
+        z, o = f"CASE WHEN i = {j} THEN 1.0 ELSE z{j} END", f"CASE WHEN i = {j} THEN 0 ELSE o{j} END"
+        new = ", ".join([f"c0 * ({z}) AS c0"] + [f"c{k} * ({z}) + c{k - 1} * ({o}) AS c{k}" for k in range(1, LEVELS)])
+        steps.append(f"poly{j} AS (SELECT * REPLACE ({new}) FROM {source})")
+        source = f"poly{j}"
+    weight = " + ".join(f"CASE WHEN {k} < m THEN c{k} * factorial({k}) * factorial(greatest(m - {k} - 1, 0)::INT) "
+                        "/ factorial(m::INT) ELSE 0 END" for k in k8)
+    pick = lambda name: "CASE i " + " ".join(f"WHEN {k} THEN {name}{k}" for k in k8) + " END"
+    return f"""
+leaves AS (SELECT * FROM nodes WHERE feature IS NULL AND depth > 0),
+onpath AS (
+    SELECT l.tree, l.node AS leaf, a.feature,
+        MAX(CASE WHEN c.node % 2 = 1 THEN a.threshold END) AS lo,
+        MIN(CASE WHEN c.node % 2 = 0 THEN a.threshold END) AS hi, product(c.n / a.n) AS z
+    FROM leaves l JOIN range(0, {LEVELS}) t(j) ON j < l.depth
+        JOIN nodes a ON a.tree = l.tree AND a.node = l.node >> (l.depth - j)::BIGINT
+        JOIN nodes c ON c.tree = l.tree AND c.node = l.node >> (l.depth - j - 1)::BIGINT
+    GROUP BY ALL),
+numbered AS (
+    SELECT o.*, pos, ROW_NUMBER() OVER (PARTITION BY tree, leaf ORDER BY pos) - 1 AS idx
+    FROM onpath o JOIN chosen USING (feature)),
+leafwide AS MATERIALIZED (
+    SELECT tree, leaf, COUNT(*) AS m, {wide("pos", "f", "1")}, {wide("coalesce(lo, '-infinity'::DOUBLE)", "lo", "'infinity'::DOUBLE")},
+        {wide("coalesce(hi, 'infinity'::DOUBLE)", "hi", "0.0")}, {wide("z", "z", "1.0")}
+    FROM numbered GROUP BY tree, leaf),
+points AS (SELECT visitorid, list(x ORDER BY pos) AS xs FROM values_
+           WHERE visitorid IN ({visitors}) GROUP BY visitorid),
+met AS MATERIALIZED (SELECT visitorid, tree, leaf, {bits} AS pattern FROM points, leafwide),
+start AS (
+    SELECT w.*, pattern, i, {ones}, {start}
+    FROM (SELECT DISTINCT tree, leaf, pattern FROM met) JOIN leafwide w USING (tree, leaf), range(0, {LEVELS}) t(i)
+    WHERE i < m),
+{", ".join(steps)},
+shares AS MATERIALIZED (
+    SELECT p.tree, p.leaf, pattern, {pick("f")} AS pos,
+        leaf_value / {TREES} * (({pick("o")}) - ({pick("z")})) * ({weight}) AS share
+    FROM {source} p JOIN nodes n ON n.tree = p.tree AND n.node = p.leaf),
+summed AS (SELECT visitorid, pos, SUM(share) AS v FROM met JOIN shares USING (tree, leaf, pattern) GROUP BY ALL),
+phi AS MATERIALIZED (
+    SELECT visitorid, feature, coalesce(v, 0.0) AS shap_value
+    FROM (SELECT visitorid, feature, pos FROM points CROSS JOIN chosen) LEFT JOIN summed USING (visitorid, pos)),
+base AS (
+    SELECT SUM(n.leaf_value * n.n / r.n) / {TREES} AS base_value
+    FROM nodes n JOIN nodes r ON r.tree = n.tree AND r.node = 1 WHERE n.feature IS NULL)"""

@@ -483,29 +483,37 @@ def q_shap_values(spark, sf_dir):
     return _shap(spark, sf_dir)[2]
 
 
+@register("shap_long")
+def q_shap_long(spark, sf_dir):
+    """E3 with a row per visitor and feature."""
+    _, ex, sv = _shap(spark, sf_dir)
+    return rounded(sv.select("visitorid", "base_value", *[F.col(f"shap_{f}").alias(f) for f in ex.features])
+                   .unpivot(["visitorid", "base_value"], ex.features, "feature", "shap_value"))
+
+
 @register("shap_importance")
 def q_shap_importance(spark, sf_dir):
     _, ex, sv = _shap(spark, sf_dir)
-    return ex.importance(sv)
+    return rounded(ex.importance(sv))
 
 
 @register("shap_top20")
 def q_shap_top20(spark, sf_dir):
     _, ex, sv = _shap(spark, sf_dir)
-    return ex.top(sv, 20)
+    return rounded(ex.top(sv, 20))
 
 
 @register("shap_dependence")
 def q_shap_dependence(spark, sf_dir):
     feats, ex, sv = _shap(spark, sf_dir)
-    return ex.dependence(feats, sv, ex.features[0])
+    return rounded(ex.dependence(feats, sv, ex.features[0]))
 
 
 @register("shap_instance")
 def q_shap_instance(spark, sf_dir):
     feats, _, model = _forest(spark, sf_dir)
     first = feats.agg(F.min("visitorid")).first()[0]
-    return EX.ForestExplainer(model).instance(feats, first)
+    return rounded(EX.ForestExplainer(model).instance(feats, first))
 
 
 @register("feature_stats_by_anomaly")

@@ -399,3 +399,26 @@ SELECT g.grp AS "group", g.point, round(g.gx, 9) AS x,
        round(SUM(exp(-0.5 * ((g.gx - d.x) / g.h) * ((g.gx - d.x) / g.h)))
              / sqrt(2 * pi()) / (g.n * g.h), 9) AS density
 FROM g JOIN d ON d.grp = g.grp GROUP BY g.grp, g.point, g.gx, g.n, g.h"""
+
+
+# ------------------------------------------------------------ Shapley values E3-E7
+_SHAP = f"{_FOREST}, {FS.shap_ctes()}"
+_MEAN_SHAP = """weights AS (SELECT feature, AVG(abs(shap_value)) AS weight FROM phi GROUP BY feature)"""
+
+ORACLE["shap_long"] = f"""{_SHAP} SELECT visitorid, feature, round(shap_value, 6) AS shap_value,
+    round(base_value, 6) AS base_value FROM phi, base"""
+ORACLE["shap_importance"] = f"{_SHAP}, {_MEAN_SHAP} SELECT feature, round(weight, 6) AS weight FROM weights"
+ORACLE["shap_top20"] = f"""{_SHAP}, {_MEAN_SHAP} SELECT feature, round(weight, 6) AS weight FROM weights
+ORDER BY weights.weight DESC, feature LIMIT 20"""
+ORACLE["shap_dependence"] = f"""{_SHAP}, {_MEAN_SHAP},
+own AS (SELECT feature FROM chosen WHERE pos = 1),
+other AS (SELECT feature FROM (SELECT feature FROM weights ORDER BY weight DESC, feature LIMIT 2)
+          WHERE feature NOT IN (SELECT feature FROM own) LIMIT 1)
+SELECT a.visitorid, a.feature, round(a.x, 6) AS value, round(p.shap_value, 6) AS shap_value,
+    b.feature AS interaction, round(b.x, 6) AS interaction_value
+FROM values_ a JOIN own USING (feature) JOIN phi p USING (visitorid, feature)
+    JOIN values_ b ON b.visitorid = a.visitorid AND b.feature IN (SELECT feature FROM other)"""
+ORACLE["shap_instance"] = f"""{_FOREST}, {FS.shap_ctes("SELECT MIN(visitorid) FROM vf")}
+SELECT visitorid, feature, round(x, 6) AS value, round(shap_value, 6) AS shap_value,
+    round(base_value, 6) AS base_value
+FROM phi JOIN values_ USING (visitorid, feature), base"""
