@@ -83,6 +83,31 @@ def mean_path(trees: list, x: np.ndarray) -> np.ndarray:
     return total / max(1, len(trees))
 
 
+#: Types that hold every value of a type.
+_HOLDS = {"tinyint": ("smallint", "int", "bigint", "float", "double"),
+          "smallint": ("int", "bigint", "float", "double"), "int": ("bigint", "double"),
+          "bigint": (), "float": ("double",), "double": ()}
+
+
+def enforce_signature(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """``df`` with the model's columns in the model's types.
+
+    A missing column raises ``ValueError``; a column whose type holds values that the
+    model's type doesn't raises ``TypeError``; a narrower one is cast.
+    """
+    given = dict(df.dtypes)
+    missing = [c for c in types if c not in given]
+    if missing:
+        raise ValueError(f"the model needs the columns {missing}")
+    casts = {}
+    for c, want in types.items():
+        if given[c] != want:
+            if want not in _HOLDS.get(given[c], ()):
+                raise TypeError(f"column {c!r} is {given[c]}; the model's signature has {want}")
+            casts[c] = F.col(f"`{c}`").cast(want)
+    return df.withColumns(casts) if casts else df
+
+
 @dataclass
 class IsolationForestModel:
     """``nodes`` is the node table in the shared folder; the driver and the
@@ -136,6 +161,7 @@ class IsolationForestModel:
         """Add ``path_length``, ``score_samples``, ``anomaly_score`` (decision
         function) and ``anomaly_label`` (-1 / 1).  Map-only."""
         keep = keep if keep is not None else df.columns
+        df = enforce_signature(df, self.input_types)
         if not self.shipped():
             return self._transform_joined(df, keep)
         held = df.sparkSession.sparkContext.broadcast(self._arrays())
@@ -206,6 +232,12 @@ class IsolationForestModel:
         spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite") \
             .parquet(os.path.join(path, "meta"))
 
+    def signature(self, spark: SparkSession) -> DataFrame:
+        """(direction, column, type): what the model reads and adds."""
+        rows = [("input", c, t) for c, t in self.input_types.items()]
+        rows += [("output", c, t) for c, t in OUTPUT_TYPES.items()]
+        return spark.createDataFrame(rows, "direction string, column string, type string")
+
     @staticmethod
     def load(spark: SparkSession, path: str) -> "IsolationForestModel":
         nodes = spark.read.parquet(os.path.join(path, "nodes"))

@@ -638,9 +638,9 @@ def q_grid_runs(spark, sf_dir):
     sel = PR.feature_selection(feats)
     base = _scratch(spark, "runs")
     log = SK.RunLog(spark, base, "anomaly_detection")
-    parent = log.new_run()
+    parent = log.run_id("grid", GRID)
     for params in SK.param_grid(GRID):
-        run = log.new_run()
+        run = log.run_id("isolation_forest", params)
         det = AnomalyDetection("isolation_forest", **params).fit(feats, sel)
         scored = _forest_artifacts(spark, det.model, feats, base, run)
         log.log_params(run, "isolation_forest", params, parent)
@@ -648,11 +648,40 @@ def q_grid_runs(spark, sf_dir):
         log.log_metrics_df(run, scored.agg(
             F.avg((F.col("anomaly_label") == -1).cast("double")).alias("anomaly_share"),
             F.avg("anomaly_score").alias("mean_score"))
-            .unpivot([], ["anomaly_share", "mean_score"], "key", "value"))
-        log.log_metrics_df(run, _artifact_rows(spark, base, run))
+            .unpivot([], ["anomaly_share", "mean_score"], "key", "value"), "scores")
+        log.log_metrics_df(run, _artifact_rows(spark, base, run), "artifacts")
+        log.finish(run)
     runs = log.table("runs").where(F.col("param") == "n_estimators") \
         .select("run_id", F.col("value").alias("n_estimators"))
-    return log.table("metrics").join(runs, "run_id").select("n_estimators", "key", "value")
+    return rounded(log.table("metrics").join(runs, "run_id").select("n_estimators", "key", "value"))
+
+
+@register("run_log")
+def q_run_log(spark, sf_dir):
+    """Runs over the events, one of them repeated, one never finished: each row once."""
+    ev = canonical_events(spark, sf_dir, "user").where(F.col("visitorid").isNotNull())
+    log = SK.RunLog(spark, _scratch(spark, "runs"), "event_types")
+    for kind, finished in (("view", True), ("addtocart", True), ("view", True), ("transaction", False)):
+        params = {"event": kind}
+        run = log.run_id("count", params)
+        log.log_params(run, "count", params)
+        own = ev.where(F.col("event") == kind)
+        log.log_metrics_df(run, own.agg(F.count("*").cast("double").alias("events"),
+                                        F.count_distinct("visitorid").cast("double").alias("visitors"))
+                           .unpivot([], ["events", "visitors"], "key", "value"))
+        if finished:
+            log.finish(run)
+    runs = log.table("runs").select("run_id", "method", F.col("value").alias("event"))
+    return log.table("metrics").join(runs, "run_id").select("method", "event", "key", "value")
+
+
+@register("forest_signature")
+def q_forest_signature(spark, sf_dir):
+    """Inputs and outputs of a saved forest, as its metadata holds them."""
+    _, _, model = _forest(spark, sf_dir, trees=1)
+    path = _scratch(spark, "forest")
+    model.save(spark, path)
+    return IF.IsolationForestModel.load(spark, path).signature(spark)
 
 
 # ------------------------------------------------------------ HDBSCAN M5-M10, M12
@@ -747,13 +776,13 @@ def q_grid_runs_hdbscan(spark, sf_dir):
                          .fillna(0.0, sel))
     ids, pts = HD.points_of(scaled, sel, "visitorid")
     log = SK.RunLog(spark, _scratch(spark, "runs"), "anomaly_detection")
-    parent = log.new_run()
+    parent = log.run_id("grid", HDBSCAN_GRID)
     prepared = {}
     for params in SK.param_grid(HDBSCAN_GRID):
         ms = params["min_samples"]
         if ms not in prepared:
             prepared[ms] = HD.mst_edges_for(pts, ms)
-        run = log.new_run()
+        run = log.run_id("hdbscan", params)
         det = AnomalyDetection("hdbscan", **params).fit(scaled, sel, prepared=prepared[ms], ids=ids)
         log.log_params(run, "hdbscan", params, parent)
         log.log_config(run, {"features": sel, **params})
@@ -763,10 +792,11 @@ def q_grid_runs_hdbscan(spark, sf_dir):
                         "label"))
         sil = N.silhouette_score(vecs, noise_label=-1, sample_size=100_000)
         log.log_metrics_df(run, sil.select(F.lit("silhouette_score_sample").alias("key"),
-                                           F.col("silhouette").alias("value")))
+                                           F.col("silhouette").alias("value")), "silhouette")
         log.log_metrics_df(run, labels.agg(
             F.count_if(F.col("label") >= 0).cast("double").alias("value"))
-            .select(F.lit("clustered_points").alias("key"), "value"))
+            .select(F.lit("clustered_points").alias("key"), "value"), "clustered")
+        log.finish(run)
     runs = log.table("runs").where(F.col("param") == "min_cluster_size") \
         .select("run_id", F.col("value").alias("min_cluster_size"))
     return log.table("metrics").join(runs, "run_id").select("min_cluster_size", "key", "value")

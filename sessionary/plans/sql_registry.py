@@ -422,3 +422,32 @@ ORACLE["shap_instance"] = f"""{_FOREST}, {FS.shap_ctes("SELECT MIN(visitorid) FR
 SELECT visitorid, feature, round(x, 6) AS value, round(shap_value, 6) AS shap_value,
     round(base_value, 6) AS base_value
 FROM phi JOIN values_ USING (visitorid, feature), base"""
+
+
+# ------------------------------------------------------------ run log S4, M13, signature S5
+ORACLE["run_log"] = _EV + """SELECT 'count' AS method, '"' || event || '"' AS event, key, value FROM (
+    UNPIVOT (SELECT event, COUNT(*)::DOUBLE AS events, COUNT(DISTINCT visitorid)::DOUBLE AS visitors
+             FROM ev WHERE visitorid IS NOT NULL AND event IN ('view', 'addtocart') GROUP BY event)
+    ON events, visitors INTO NAME key VALUE value)"""
+_GRID_VALUES = {
+    "anomaly_share": "AVG(CASE WHEN s + 0.5 < 0 THEN 1.0::DOUBLE ELSE 0.0 END)", "mean_score": "AVG(s + 0.5)",
+    "rows_scores_scored": "COUNT(*)::DOUBLE", "rows_scores_describe": "COUNT(DISTINCT s + 0.5 < 0)::DOUBLE",
+    "rows_importance_splits": "(SELECT COUNT(*) FROM chosen)::DOUBLE",
+    "rows_importance_shap": "(SELECT COUNT(*) FROM chosen)::DOUBLE",
+    "rows_stats_top_features": "(SELECT 4 * least(10, COUNT(*)) FROM chosen)::DOUBLE",
+    "trees_of_model": "trees::DOUBLE"}
+ORACLE["grid_runs"] = f"""{_SCORED},
+grid AS MATERIALIZED (
+    SELECT trees, visitorid, -pow(2.0, -AVG(leaf_value) / {FS.average_path("any_value(psi)")}) AS s
+    FROM walk{FS.LEVELS} w JOIN nodes n ON n.tree = w.tree AND n.node = w.node
+        JOIN (VALUES (10), (50)) t(trees) ON w.tree < trees, psize
+    GROUP BY trees, visitorid)
+""" + "\nUNION ALL ".join(
+    f"SELECT trees::VARCHAR AS n_estimators, '{key}' AS key, round({expr}, 6) AS value FROM grid GROUP BY trees"
+    for key, expr in _GRID_VALUES.items())
+ORACLE["forest_signature"] = f"""{_FOREST},
+kinds AS (UNPIVOT (SELECT {", ".join(f"lower(typeof(MIN({c}))) AS {c}" for c in _FC)} FROM vf)
+          ON {", ".join(_FC)} INTO NAME feature VALUE kind)
+SELECT 'input' AS direction, feature AS "column", kind AS type FROM chosen JOIN kinds USING (feature)
+UNION ALL SELECT 'output', * FROM (VALUES ('path_length', 'double'), ('score_samples', 'double'),
+    ('anomaly_score', 'double'), ('anomaly_label', 'int'))"""

@@ -2,11 +2,12 @@
 
 Artifacts and run records are plain Parquet (or CSV) tables under a base
 folder that the cluster shares (e.g. the checkpoint folder or a warehouse
-path), partitioned by ``run_id`` so that runs append without rewriting.
+path), partitioned by ``run_id`` so that a run replaces its own rows only.
 """
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import json
 import os
@@ -48,45 +49,59 @@ def read_artifact(spark: SparkSession, path: str, run_id: str | None = None,
 
 
 class RunLog:
-    """Parameters, metrics and configuration per run, as appendable tables.
+    """Parameters, metrics and configuration per run, as tables.
 
-    ``runs(run_id, parent, method, param, value, ts)``,
-    ``metrics(run_id, key, value, ts)``, ``configs(run_id, config)``.
+    ``runs(run_id, parent, method, param, value)``, ``metrics(run_id, key, value)``,
+    ``configs(run_id, config)`` and ``commits(run_id, finished)``.  What a run logs under
+    one name is a partition of its own, replaced when the run is repeated, and ``table``
+    shows the rows of finished runs, so a run that failed half way or ran twice leaves
+    each row once.
     """
 
     def __init__(self, spark: SparkSession, base: str, experiment: str = "default"):
         self.spark, self.base, self.experiment = spark, os.path.join(base, experiment), experiment
 
+    def run_id(self, method: str, params: dict) -> str:
+        """The id of this method with these parameters: the same for a repeated run."""
+        text = json.dumps([self.experiment, method, params], sort_keys=True)
+        return "r" + hashlib.md5(text.encode()).hexdigest()
+
     def new_run(self) -> str:
-        return uuid.uuid4().hex
+        """An id of its own, for a run that is never repeated."""
+        return "r" + uuid.uuid4().hex
 
-    def _append(self, table: str, rows: list[tuple], schema: str) -> None:
-        (self.spark.createDataFrame(rows, schema).write.mode("append")
-         .parquet(os.path.join(self.base, table)))
+    def _put(self, table: str, run_id: str, name: str, rows: DataFrame) -> None:
+        (rows.withColumn("run_id", F.lit(run_id)).withColumn("part", F.lit(f"p-{name}"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("run_id", "part").parquet(os.path.join(self.base, table)))
 
     def log_params(self, run_id: str, method: str, params: dict, parent: str = "") -> None:
-        ts = time.time()
-        self._append("runs", [(run_id, parent, method, k, json.dumps(v), ts)
-                              for k, v in params.items()],
-                     "run_id string, parent string, method string, param string, "
-                     "value string, ts double")
+        rows = [(parent, method, k, json.dumps(v)) for k, v in params.items()]
+        self._put("runs", run_id, "params", self.spark.createDataFrame(
+            rows, "parent string, method string, param string, value string"))
 
     def log_metric(self, run_id: str, key: str, value: float) -> None:
-        self._append("metrics", [(run_id, key, float(value), time.time())],
-                     "run_id string, key string, value double, ts double")
-
-    def log_config(self, run_id: str, config: dict) -> None:
-        self._append("configs", [(run_id, json.dumps(config, sort_keys=True))],
-                     "run_id string, config string")
+        self._put("metrics", run_id, f"one-{key}", self.spark.createDataFrame(
+            [(key, float(value))], "key string, value double"))
 
-    def log_metrics_df(self, run_id: str, metrics: DataFrame) -> None:
-        """Metrics computed as a DataFrame (key, value) - no driver round trip."""
-        (metrics.select(F.lit(run_id).alias("run_id"), F.col("key").cast("string"),
-                        F.col("value").cast("double"), F.lit(time.time()).alias("ts"))
-         .write.mode("append").parquet(os.path.join(self.base, "metrics")))
+    def log_metrics_df(self, run_id: str, metrics: DataFrame, name: str = "table") -> None:
+        """Metrics computed as a DataFrame (key, value), logged under ``name`` - no driver round trip."""
+        self._put("metrics", run_id, name, metrics.select(
+            F.col("key").cast("string").alias("key"), F.col("value").cast("double").alias("value")))
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(os.path.join(self.base, name))
+    def log_config(self, run_id: str, config: dict) -> None:
+        self._put("configs", run_id, "config", self.spark.createDataFrame(
+            [(json.dumps(config, sort_keys=True),)], "config string"))
+
+    def finish(self, run_id: str) -> None:
+        """Marks the run as complete: from now on ``table`` shows it."""
+        self._put("commits", run_id, "done", self.spark.createDataFrame([(time.time(),)], "finished double"))
+
+    def table(self, name: str, finished: bool = True) -> DataFrame:
+        """A table's rows: of finished runs, or (``finished=False``) of all."""
+        read = lambda t: self.spark.read.parquet(os.path.join(self.base, t)).drop("part")
+        rows = read(name)
+        return rows.join(read("commits").select("run_id"), "run_id", "left_semi") if finished else rows
 
 
 def param_grid(space: dict) -> list[dict]:

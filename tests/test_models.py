@@ -259,6 +259,43 @@ def test_forest_roundtrip_and_importance(spark, forest, tmp_path):
     assert (np.diff(imp["weight"]) <= 0).all()
 
 
+def test_forest_signature_is_enforced(spark, forest, tmp_path):
+    df, model = forest
+    assert model.input_types == {"a": "double", "b": "double", "c": "double"}
+    model.save(spark, str(tmp_path / "s"))
+    loaded = IF.IsolationForestModel.load(spark, str(tmp_path / "s"))
+    with pytest.raises(ValueError, match="b"):
+        loaded.transform(df.withColumnRenamed("b", "other"))
+    with pytest.raises(TypeError, match="decimal"):
+        loaded.transform(df.withColumn("a", F.col("a").cast("decimal(30,10)")))
+    with pytest.raises(TypeError, match="bigint"):
+        loaded.transform(df.withColumn("a", F.col("a").cast("bigint")))
+    narrow = df.withColumn("a", F.col("a").cast("int"))
+    assert dict(loaded.transform(narrow).dtypes)["a"] == "double"
+    assert loaded.signature(spark).where("direction = 'output'").count() == 4
+
+
+def test_run_log_repeats_and_failures(spark, tmp_path):
+    from sessionary.sources.sinks import RunLog
+    log = RunLog(spark, str(tmp_path), "x")
+    params = {"n": 10, "mode": "auto"}
+    run = log.run_id("forest", params)
+    assert run == RunLog(spark, "elsewhere", "x").run_id("forest", dict(reversed(params.items())))
+    seen = []
+    for value in (1.0, 2.0, 2.0):  # the last two attempts log the same
+        log.log_params(run, "forest", params)
+        log.log_metric(run, "score", value)
+        log.log_metrics_df(run, spark.createDataFrame([("a", value)], "key string, value double"), "a")
+        log.log_config(run, params)
+        log.finish(run)
+        seen.append({t: sorted(map(tuple, log.table(t).collect())) for t in ("runs", "metrics", "configs")})
+    assert seen[1] == seen[2] and len(seen[2]["metrics"]) == 2 and len(seen[2]["runs"]) == 2
+    assert {r["value"] for r in log.table("metrics").collect()} == {2.0}
+    lost = log.new_run()
+    log.log_metric(lost, "score", 9.0)  # never finished
+    assert log.table("metrics").count() == 2 and log.table("metrics", finished=False).count() == 3
+
+
 def test_label_correction(spark):
     df = spark.createDataFrame([(1, -1, 2), (2, -1, 0), (3, 1, 0)],
                                "visitorid long, anomaly_label int, num_txs long")
