@@ -1,8 +1,8 @@
 """Profiling, correlation, feature selection and normalisation (F1-F8).
 
 Per-feature statistics are aggregates over the whole table (one partial row
-per task) and, for the quantiles, ``groupBy(feature)`` aggregates of the long
-form ``(feature, value)``, which combine map-side.  The correlation matrix is built from
+per task) and, for the summary with its quantiles, of the counts of each
+feature's values, which combine map-side.  The correlation matrix is built from
 per-partition sufficient statistics (Arrow batches into numpy, one
 ``features^2`` block per task) summed by a ``groupBy``.
 """
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionary.functions.columns import numpy_round
-from sessionary.operators.quantiles import DEFAULT_ACCURACY
 
 KEY_COLUMNS = ("visitorid",)
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -48,44 +47,53 @@ def min_profile(df: DataFrame, features: list[str] | None = None) -> DataFrame:
         F.try_divide("min_count", "_rows") * F.lit(100.0), 2).alias("min_percentage"))
 
 
-def summary_without_min(df: DataFrame, features: list[str] | None = None,
-                        accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+def value_counts(df: DataFrame, features: list[str]) -> DataFrame:
+    """(feature, value, n): how often each non-null value occurs."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in features]).unpivot(
+        [], features, "feature", "value")
+    return long.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def summary_without_min(df: DataFrame, features: list[str] | None = None) -> DataFrame:
     """F1 plus statistics of the values other than the minimum.
 
     min, q1, median, mean, q3, max, std_dev, variance (n-1); exact linear
     quantiles; an empty remainder gives NULLs.  Ordered by ``min_count``.
 
-    Plan: F1, one aggregate of the remainder's count, mean, min and max, one of
-    its centred squares (one row per task each), and the two passes of the
-    exact quantiles; only one row per feature reaches the driver.
+    Plan: one pass over the table counts each feature's values (combined map-side)
+    and is written once; everything else is aggregates of that table, with a row
+    per feature, and one scan of it for the quantiles.
     """
-    from sessionary.operators.quantiles import exact_quantiles
+    from sessionary.operators.quantiles import quantiles_of_counts
+    from sessionary.session import materialize
     features = features or feature_names(df)
-    spark = df.sparkSession
-    prof = {r["feature"]: r for r in min_profile(df, features).collect()}
-    # NULL where a value is its feature's minimum: aggregates then skip it
-    wide = df.select(*[F.when(F.col(c).cast("double") != F.lit(prof[c]["min_value"]).cast("double"),
-                              F.col(c).cast("double")).alias(c) for c in features])
-    sums = wide.agg(*[fn(c).alias(f"{name}__{c}") for c in features for name, fn in (
-        ("n", F.count), ("mean", F.avg), ("low", F.min), ("high", F.max))]).first()
-    dev = lambda c: F.col(c) - F.lit(sums[f"mean__{c}"]).cast("double")
-    squares = wide.agg(*[F.sum(dev(c) * dev(c)).alias(c) for c in features]).first()
-    rest = wide.unpivot([], features, "feature", "value").where(F.col("value").isNotNull())
-    quartiles = exact_quantiles(rest, ["feature"], "value", [0.25, 0.5, 0.75], accuracy)
+    counts = materialize(value_counts(df, features))
+    total = df.count()
+    least = counts.groupBy("feature").agg(F.min("value").alias("min_value"),
+                                          F.min_by("n", "value").alias("min_count"))
+    # a row per feature on the right side of each of these joins
+    rest = counts.join(F.broadcast(least.select("feature", "min_value")), "feature").where(
+        F.col("value") != F.col("min_value")).select("feature", "value", "n")
+    sums = rest.groupBy("feature").agg(
+        F.sum("n").alias("_n"), (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    dev = F.col("value") - F.col("mean")
+    squares = rest.join(F.broadcast(sums.select("feature", "mean")), "feature").groupBy("feature").agg(
+        F.sum(F.col("n") * dev * dev).alias("_ss"))
+    quartiles = quantiles_of_counts(rest, ["feature"], "value", "n", [0.25, 0.5, 0.75])
     quartiles = quartiles.groupBy("feature").agg(*[
         F.max(F.when(F.col("q") == F.lit(p), F.col("quantile"))).alias(n)
         for n, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))])
-    known = spark.createDataFrame([
-        (f, r["min_value"], r["min_count"], r["min_percentage"], sums[f"n__{f}"], sums[f"low__{f}"],
-         sums[f"mean__{f}"], sums[f"high__{f}"], squares[f]) for f, r in prof.items()],
-        "feature string, min_value double, min_count long, min_percentage double, "
-        "_n long, min double, mean double, max double, _ss double")
-    out = known.join(quartiles, "feature", "left")  # one row per feature on both sides
+    out = df.sparkSession.createDataFrame([(c,) for c in features], "feature string")
+    for part in (least, sums, squares, quartiles):
+        out = out.join(part, "feature", "left")
+    share = numpy_round(F.try_divide(F.coalesce("min_count", F.lit(0)), F.lit(total)) * F.lit(100.0), 2)
     var = F.try_divide(F.col("_ss"), F.col("_n") - 1)
     return out.select(
-        "feature", "min_value", "min_count", "min_percentage", "min", "q1", "median",
-        "mean", "q3", "max", F.sqrt(var).alias("std_dev"), var.alias("variance")
-    ).orderBy("min_count", "feature")
+        "feature", "min_value", F.coalesce("min_count", F.lit(0)).alias("min_count"),
+        share.alias("min_percentage"), "min", "q1", "median", "mean", "q3", "max",
+        F.sqrt(var).alias("std_dev"), var.alias("variance")).orderBy("min_count", "feature")
 
 
 def _partial_moments(features: list[str], shift: np.ndarray):

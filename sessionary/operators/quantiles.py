@@ -1,92 +1,62 @@
-"""Exact quantiles (linear interpolation) without a single-task merge.
+"""Exact quantiles (linear interpolation) of any number of groups.
 
-``F.percentile`` is exact but keeps a value -> count map per group and merges
-it in one task: for a continuous column of a billion rows that map is the
-whole column.  Here the exact answer is found in two passes, both combined
-map-side:
-
-1. per group, ``percentile_approx`` (a bounded sketch) gives values that
-   bracket the wanted rank with a margin of ``4 / accuracy`` of the rank range;
-   groups of at most ``accuracy`` rows are bracketed by their whole range;
-2. one aggregate counts the rows below the bracket and the rows of each value
-   inside it (about ``8 n / accuracy`` values), and the value at the exact rank
-   is read off their cumulative counts.
-
-The brackets (one row per group and quantile, at most ``MAX_GROUPS`` groups,
-checked) are all that reaches the driver and are broadcast to the second pass,
-so the rows themselves are never shuffled.  A bracket that misses its rank
-raises.  Interpolation follows the usual "linear" rule: position ``(n - 1) q``,
-weights on the two neighbouring ranks.
+``F.percentile`` is exact but keeps a value -> count map per group and merges it in
+one task: for a continuous column of a billion rows that map is the whole column.
+Here equal values of a group are counted first (combined map-side), and one
+segmented scan (:mod:`sessionary.operators.sequence`) over the sorted (group, value)
+rows gives cumulative counts, however many partitions a group spans; the values at
+the two ranks next to each quantile are conditional minima.  Groups are rows of
+tables throughout, so their number is not bounded.  Interpolation follows the usual
+"linear" rule: position ``(n - 1) q``, weights on the two neighbouring ranks.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 10_000
-MAX_GROUPS = 10_000
+from sessionary.operators.sequence import Scan, segmented_scan
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
-                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                    parts: int | None = None) -> DataFrame:
     """Rows ``keys + [q, quantile]``; NULL values are ignored, none left -> NULL."""
     if not keys:  # whole-table quantiles: one constant group
-        out = exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs, accuracy)
+        out = exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs, parts)
         return out.drop("_all")
+    counts = df.select(*keys, F.col(value).cast("double").alias("_v")).groupBy(*keys, "_v").agg(
+        F.count("_v").alias("_c"))
+    return quantiles_of_counts(counts, keys, "_v", "_c", probs, parts)
+
+
+def quantiles_of_counts(counts: DataFrame, keys: list[str], value: str, times: str,
+                        probs: list[float], parts: int | None = None) -> DataFrame:
+    """``exact_quantiles`` of rows (keys, value, how many times), one for each value."""
     keys, probs = list(keys), [float(p) for p in probs]
-    spark, margin = df.sparkSession, 4.0 / accuracy
-    base = df.select(*keys, F.col(value).cast("double").alias("_v"))
-    groups = base.groupBy(*keys).agg(
-        F.count("_v").alias("n"),
-        F.percentile_approx("_v", [max(0.0, p - margin) for p in probs], accuracy).alias("low"),
-        F.percentile_approx("_v", [min(1.0, p + margin) for p in probs], accuracy).alias("high")
-    ).limit(MAX_GROUPS + 1).collect()
-    if len(groups) > MAX_GROUPS:
-        raise ValueError(f"over {MAX_GROUPS} groups: use F.percentile for many small groups")
-    brackets = []
-    for g in groups:
-        for k, p in enumerate(probs):
-            whole = g["n"] <= accuracy
-            at = (g["n"] - 1) * p if g["n"] else 0.0
-            brackets.append((*[g[c] for c in keys], p,
-                             -math.inf if whole else g["low"][k], math.inf if whole else g["high"][k],
-                             at, math.floor(at), math.ceil(at)))
-    names = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keys)
-    brackets = spark.createDataFrame(
-        brackets, f"{names}, q double, _low double, _high double, _at double, _r0 long, _r1 long")
-    small = brackets.select(*[F.col(c).alias(f"_k_{c}") for c in keys], "q", "_low", "_high",
-                            "_at", "_r0", "_r1")
-    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys]
-    counts = (base.where(F.col("_v").isNotNull()).join(F.broadcast(small), same)
-              .where(F.col("_v") <= F.col("_high"))
-              .groupBy(*keys, "q", "_at", "_r0", "_r1",
-                       F.when(F.col("_v") >= F.col("_low"), F.col("_v")).alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_c")))
-    w = (Window.partitionBy(*keys, "q").orderBy(F.col("_v").asc_nulls_first())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cum = counts.withColumn("_cum", F.sum("_c").over(w))
-    picked = cum.groupBy(*keys, "q", "_at", "_r0", "_r1").agg(
-        F.min(F.when(F.col("_cum") > F.col("_r0"), F.col("_v"))).alias("_v0"),
-        F.min(F.when(F.col("_cum") > F.col("_r1"), F.col("_v"))).alias("_v1"),
-        F.coalesce(F.max(F.when(F.col("_v").isNull(), F.col("_cum"))), F.lit(0)).alias("_below"))
-    missed = (F.col("_below") > F.col("_r0")) | F.col("_v1").isNull()
-    found = picked.select(
-        *[F.col(c).alias(f"_k_{c}") for c in keys], F.col("q").alias("_q"),
-        F.when(missed, F.raise_error(F.lit("a quantile's bracket missed its rank")).cast("double"))
-        .otherwise(F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (F.col("_at") - F.col("_r0")))
-        .alias("quantile"))
-    # groups without values still get NULL quantiles
-    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys] + [F.col("q") == F.col("_q")]
-    return brackets.join(found, same, "left").select(*keys, "q", "quantile")
+    # a group's keys as one text: a null key is a group like any other
+    group = F.to_json(F.struct(*[F.col(k) for k in keys]))
+    rows = counts.select(*keys, group.alias("_g"), F.col(value).alias("_v"), F.col(times).alias("_c"))
+    totals = rows.groupBy(*keys, "_g").agg(
+        F.coalesce(F.sum(F.when(F.col("_v").isNotNull(), F.col("_c"))), F.lit(0)).alias("_n"))
+    cum = segmented_scan(rows.where(F.col("_v").isNotNull()).select("_g", "_v", "_c"), ["_g"], ["_v"],
+                         Scan(sums={"_cum": ("_c", None)}), parts)
+
+    def at_rank(rank):
+        return F.min(F.when(F.col("_cum") > rank, F.col("_v")))
+    ranks = [(F.col("_n") - 1) * F.lit(p) for p in probs]
+    sides = [(at_rank(F.floor(r)), at_rank(F.ceil(r))) for r in ranks]
+    found = cum.join(totals.select("_g", "_n"), "_g").groupBy("_g").agg(
+        *[v.alias(f"_{side}{k}") for k, pair in enumerate(sides) for side, v in zip("ab", pair)])
+    out = [F.struct(F.lit(p).alias("q"), (F.col(f"_a{k}") + (F.col(f"_b{k}") - F.col(f"_a{k}")) * (
+        r - F.floor(r))).alias("quantile")) for k, (p, r) in enumerate(zip(probs, ranks))]
+    return totals.join(found, "_g", "left").select(*keys, F.explode(F.array(*out)).alias("_q")).select(
+        *keys, F.col("_q.q").alias("q"), F.col("_q.quantile").alias("quantile"))
 
 
 def quantile_columns(df: DataFrame, keys: list[str], value: str,
-                     named: dict[str, float], accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                     named: dict[str, float], parts: int | None = None) -> DataFrame:
     """Wide form: ``keys + list(named)`` with one quantile per named column."""
-    long = exact_quantiles(df, keys, value, list(named.values()), accuracy)
+    long = exact_quantiles(df, keys, value, list(named.values()), parts)
     cols = [F.max(F.when(F.col("q") == F.lit(float(p)), F.col("quantile"))).alias(n)
             for n, p in named.items()]
     if keys:

@@ -152,7 +152,9 @@ class LocalScan:
         return before
 
     def _values(self, columns: list[str], at: list[int]) -> list[tuple]:
-        return list(zip(*[self.rows[c].take(pa.array(at, pa.int64())).to_pylist() for c in columns])) if at else []
+        if not columns:
+            return [()] * len(at)
+        return list(zip(*[self.rows[c].take(pa.array(at, pa.int64())).to_pylist() for c in columns]))
 
     def record(self) -> dict:
         """What the partitions after (and before) this one need of it."""

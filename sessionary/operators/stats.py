@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionary.functions.columns import numpy_round
-from sessionary.operators.quantiles import DEFAULT_ACCURACY, quantile_columns
+from sessionary.operators.quantiles import quantile_columns
 
 GRID_SIZE = 200   # fixed value: points of a density curve
 CUT = 3.0         # fixed value: curve extends this many bandwidths past the data
@@ -39,22 +39,21 @@ def _kernel_sums(held, grid_size: int, at_once: int = 4096):
     return run
 
 
-def describe_by(df: DataFrame, group: str, measure: str, digits: int = 2,
-                accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+def describe_by(df: DataFrame, group: str, measure: str, digits: int = 2) -> DataFrame:
     """A1: count, mean, std, min, 25%, 50%, 75%, max of ``measure`` per group."""
     m = F.col(measure).cast("double")
     moments = df.groupBy(group).agg(
         F.count(m).cast("double").alias("count"), F.avg(m).alias("mean"),
         F.stddev_samp(m).alias("std"), F.min(m).alias("min"), F.max(m).alias("max"))
-    qs = quantile_columns(df, [group], measure, {"p25": 0.25, "p50": 0.5, "p75": 0.75},
-                          accuracy)
-    out = moments.join(qs, group, "left")
+    qs = quantile_columns(df, [group], measure, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    # a null group is a group
+    out = moments.join(qs.withColumnRenamed(group, "_g"), F.col(group).eqNullSafe(F.col("_g")), "left")
     cols = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
     return out.select(group, *[numpy_round(c, digits).alias(c) for c in cols])
 
 
-def stats_by_label_long(df: DataFrame, label: str, features: list[str], digits: int = 2,
-                        accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+def stats_by_label_long(df: DataFrame, label: str, features: list[str],
+                        digits: int = 2) -> DataFrame:
     """A2 long form: (feature, stat, label, value) with min / median / max / std."""
     long = (df.select(F.col(label).alias("label"),
                       *[F.col(c).cast("double").alias(c) for c in features])
@@ -62,7 +61,7 @@ def stats_by_label_long(df: DataFrame, label: str, features: list[str], digits:
     mom = long.groupBy("feature", "label").agg(
         F.min("value").alias("min"), F.max("value").alias("max"),
         F.stddev_samp("value").alias("std"))
-    med = quantile_columns(long, ["feature", "label"], "value", {"median": 0.5}, accuracy)
+    med = quantile_columns(long, ["feature", "label"], "value", {"median": 0.5})
     wide = mom.join(med, ["feature", "label"], "left")
     return (wide.unpivot(["feature", "label"], ["min", "median", "max", "std"], "stat", "value")
             .select("feature", "stat", "label", numpy_round("value", digits).alias("value")))

@@ -140,22 +140,35 @@ def test_a_cluster_needs_a_shared_folder():
         checkpoint_dir(Session())
 
 
-def test_quantile_brackets_and_null_groups(spark):
+def test_quantiles_over_partitions_and_null_groups(spark):
     from sessionary.operators.quantiles import quantile_columns
     rng = np.random.default_rng(2)
     values = {"a": rng.normal(size=3000), "b": rng.integers(0, 4, 2500).astype(float),
               None: rng.normal(size=30), "c": np.array([])}
     rows = [(g, float(v)) for g, own in values.items() for v in own] + [("c", None)]
     df = spark.createDataFrame(rows, "g string, v double")
-    for accuracy in (100, 10_000):  # brackets, and whole ranges
+    for parts in (1, 30):  # groups over one and over several partitions
         got = {r["g"]: r for r in quantile_columns(df, ["g"], "v", {"p25": 0.25, "p90": 0.9},
-                                                    accuracy).collect()}
+                                                    parts).collect()}
         assert got["c"]["p25"] is None
         for g in ("a", "b", None):
             assert got[g]["p25"] == pytest.approx(np.quantile(values[g], 0.25))
             assert got[g]["p90"] == pytest.approx(np.quantile(values[g], 0.9))
 
 
+def test_quantiles_of_many_groups(spark):
+    """A hundred thousand groups, and one that holds a third of all rows."""
+    from pyspark.sql import functions as F
+    from sessionary.operators.quantiles import quantile_columns
+    df = spark.range(450_000).select(
+        F.when(F.col("id") < 150_000, F.lit(-1)).otherwise(F.col("id") % 100_000).alias("g"),
+        F.col("id").cast("double").alias("v"))
+    got = quantile_columns(df, ["g"], "v", {"p": 0.5})
+    want = df.groupBy("g").agg(F.percentile("v", 0.5).alias("w"))
+    assert got.count() == 100_001
+    assert got.join(want, "g").where(F.abs(F.col("p") - F.col("w")) > 1e-9).count() == 0
+
+
 def test_float_downcast(spark):
     from sessionary.operators.events import downcast, downcast_table
     df = spark.createDataFrame([(0.5, 1e-9, 1234567.89, None), (float("nan"), 2.0, 1.0, None)],

@@ -68,6 +68,12 @@ def test_empty_and_two_keys(spark):
     assert got == plain(rows)
 
 
+def test_a_sum_alone_over_partitions(spark):
+    rows = [(k % 2, k, k, k, "a", "p", 0, 1) for k in range(50)]
+    df = segmented_scan(spark.createDataFrame(rows, SCHEMA), ["k"], ["t"], Scan(sums={"sum": ("x", None)}), 13)
+    assert {r["id"]: r["sum"] for r in df.collect()} == {k: k // 2 + 1 for k in range(50)}
+
+
 def test_carry_over_several_partitions_of_one_key():
     """A key over many one-row partitions: sums go on until a break restarts them."""
     scan = Scan(lags={"a": ("t", 2)}, breaks={"gap": ("t", 5)}, numbers={"n": "gap"},
