@@ -26,9 +26,6 @@ H = "_h"       # the raw hash (tie-breaker)
 TWO60 = float(2 ** 60)
 
 
-MAX_CLASSES = 10_000  # one row per class reaches the driver
-
-
 class MissedBracket(RuntimeError):
     """The sampling bracket doesn't hold the k-th key of every group."""
 
@@ -57,7 +54,7 @@ def bottom_k(rows: DataFrame, groups: list[str], targets: DataFrame,
     smallest ``(_u, _h, tie...)`` of their group.
 
     ``targets``: one row per group with ``groups + ['_k', '_n']`` (``_n`` = group
-    size).  The targets table is small (one row per group) and is broadcast.
+    size), joined as a table.
     """
     widths = widths or (sigmas, sigmas * 4, math.inf)
     exact = False
@@ -69,7 +66,7 @@ def bottom_k(rows: DataFrame, groups: list[str], targets: DataFrame,
             t = targets.select(*groups, "_k", lo.alias("_lo"),
                                F.when(F.col("_k") >= F.col("_n"), F.lit(1.01))
                                .otherwise(hi).alias("_hi"))
-        tagged = rows.join(F.broadcast(t), groups, "inner").where(F.col(U) < F.col("_hi"))
+        tagged = rows.join(t, groups, "inner").where(F.col(U) < F.col("_hi"))
         counts = tagged.groupBy(*groups, "_k").agg(
             F.count_if(F.col(U) < F.col("_lo")).alias("_below"),
             F.count(F.lit(1)).alias("_upto_hi"))
@@ -89,7 +86,7 @@ def bottom_k(rows: DataFrame, groups: list[str], targets: DataFrame,
     edge = tagged.where(F.col(U) >= F.col("_lo"))
     below = counts.select(*groups, "_below")
     w = Window.partitionBy(*groups).orderBy(U, H, *tie)
-    ranked = (edge.join(F.broadcast(below), groups, "left")
+    ranked = (edge.join(below, groups, "left")
               .withColumn("_r", F.row_number().over(w))
               .where(F.col("_r") <= F.col("_k") - F.col("_below"))
               .drop("_r", "_below"))
@@ -104,6 +101,15 @@ def bracket_top(k: int, n: int, sigmas: float = 32.0) -> float:
     return min(1.0, (k + sigmas * math.sqrt(n * p * (1 - p)) + 2.0) / n)
 
 
+def _bracket_top(k: Column, n: Column, sigmas: float) -> Column:
+    """``bracket_top`` of columns."""
+    if math.isinf(sigmas):
+        return F.lit(1.01)
+    p = k / n
+    top = (k + F.lit(sigmas) * F.sqrt(n * p * (1 - p)) + F.lit(2.0)) / n
+    return F.when(k >= n, F.lit(1.01)).otherwise(F.least(F.lit(1.0), top))
+
+
 def _widening(below, groups: list[str], targets: DataFrame, tie: list[str]) -> DataFrame:
     """``bottom_k`` of ``below(sigmas)``; a missed bracket is widened up to all rows
     (keys that repeat have equal hashes, so they can miss any bracket)."""
@@ -115,20 +121,27 @@ def _widening(below, groups: list[str], targets: DataFrame, tie: list[str]) -> D
     raise MissedBracket("a group has fewer rows than its target")
 
 
-def _largest_remainder(counts: dict, total: int) -> dict:
-    """Split ``total`` over classes in proportion to ``counts`` (exact sum)."""
-    n = sum(counts.values())
-    raw = {c: total * v / n for c, v in counts.items()}
-    base = {c: min(counts[c], int(math.floor(x))) for c, x in raw.items()}
-    left = total - sum(base.values())
-    order = sorted(counts, key=lambda c: (-(raw[c] - base[c]), str(c)))
-    for c in order:
-        if left <= 0:
-            break
-        if base[c] < counts[c]:
-            base[c] += 1
-            left -= 1
-    return base
+def class_shares(counts: DataFrame, label: str, total: int, n: int) -> DataFrame:
+    """``counts`` (label, n) with ``_k``: the classes' shares of ``total`` by largest remainder.
+
+    What the whole parts leave over goes, one row each, to the classes of the
+    largest fractions (equal ones by name), ranked over all partitions.
+    """
+    from sessionary.operators.graph import global_rank
+    from sessionary.session import materialize
+    raw = F.lit(float(total)) * F.col("n") / F.lit(float(n))
+    table = materialize(counts.withColumn("_raw", raw).withColumn(
+        "_k", F.least("n", F.floor("_raw"))).withColumn("_class", F.monotonically_increasing_id()))
+    left = total - (table.agg(F.sum("_k")).first()[0] or 0)
+    if left <= 0:
+        return table.drop("_raw")
+    open_ = table.where(F.col("_k") < F.col("n")).select(
+        "_class", (F.col("_k") - F.col("_raw")).alias("_minus"),
+        F.coalesce(F.col(label).cast("string"), F.lit("None")).alias("_name"))
+    first = global_rank(open_, ["_minus", "_name", "_class"], "_rank").where(
+        F.col("_rank") <= left).select("_class", F.lit(1).alias("_more"))
+    return materialize(table.join(first, "_class", "left").withColumn(
+        "_k", F.col("_k") + F.coalesce("_more", F.lit(0))).drop("_more", "_raw"))
 
 
 def stratified_samples(df: DataFrame, label: str, key: str, n_splits: int,
@@ -137,30 +150,19 @@ def stratified_samples(df: DataFrame, label: str, key: str, n_splits: int,
     """``n_splits`` stratified samples (column ``split``), class shares kept.
 
     Sample size ``ceil(sample_size * n)`` (a fraction) or ``sample_size`` rows
-    (an int >= 1); classes get their share by largest remainder.  The class
-    count table (one row per class) is the only thing the driver reads.
+    (an int >= 1); classes (NULL is one) get their share by largest remainder.  The
+    classes are a table that is joined with the rows, so their number is not bounded.
     """
-    found = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"{label} has over {MAX_CLASSES} classes")
-    counts = {r[label]: r["count"] for r in found}
-    n = sum(counts.values())
-    total = (int(sample_size) if isinstance(sample_size, int) and sample_size >= 1
-             else int(math.ceil(sample_size * n)))
-    alloc = _largest_remainder(counts, total)
-    if not counts:
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    n = df.count()
+    if not n:
         out = df.limit(0).withColumn("split", F.lit(0))
         return out.drop(label) if drop_label else out
-    spark = df.sparkSession
-    # classes by number, NULL being a class like any other
-    number = {c: k for k, c in enumerate(sorted(counts, key=lambda c: (c is None, str(c))))}
-    named = [x for c, k in number.items() if c is not None for x in (F.lit(c), F.lit(k))]
-    cls = F.when(F.col(label).isNull(), F.lit(number.get(None, -1)))
-    cls = cls.otherwise(F.element_at(F.create_map(*named), F.col(label))) if named else cls
-    targets = spark.createDataFrame(
-        [(s, k, alloc[c], counts[c]) for s in range(n_splits) for c, k in number.items()],
-        "split int, _class int, _k long, _n long")
+    total = (int(sample_size) if isinstance(sample_size, int) and sample_size >= 1
+             else int(math.ceil(sample_size * n)))
+    classes = class_shares(counts, label, total, n)
     splits = F.sequence(F.lit(0), F.lit(n_splits - 1))
+    targets = classes.select(F.explode(splits).alias("split"), "_class", "_k", F.col("n").alias("_n"))
 
     def u_of(sp):
         return uniform_hash(key, sp, seed=seed)[1]
@@ -168,10 +170,11 @@ def stratified_samples(df: DataFrame, label: str, key: str, n_splits: int,
     def below(sigmas: float) -> DataFrame:
         # each row keeps only the splits whose hash is below its class's bracket
         # top, before exploding: the data is never replicated n_splits times
-        tops = F.array(*[F.lit(bracket_top(alloc[c], counts[c], sigmas)) for c in number])
-        rows = df.withColumn("_class", cls)
+        tops = classes.select(F.col(label).alias("_label"), "_class",
+                              _bracket_top(F.col("_k"), F.col("n"), sigmas).alias("_top"))
+        rows = df.join(tops, F.col(label).eqNullSafe(F.col("_label"))).drop("_label")
         rows = rows.select("*", F.explode(F.filter(
-            splits, lambda sp: u_of(sp) < F.get(tops, F.col("_class")))).alias("split"))
+            splits, lambda sp: u_of(sp) < F.col("_top"))).alias("split")).drop("_top")
         h, u = uniform_hash(key, "split", seed=seed)
         return rows.withColumn(H, h).withColumn(U, u)
     out = _widening(below, ["split", "_class"], targets, [key]).drop(U, H, "_class")

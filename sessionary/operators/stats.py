@@ -15,27 +15,33 @@ from sessionary.operators.quantiles import quantile_columns
 
 GRID_SIZE = 200   # fixed value: points of a density curve
 CUT = 3.0         # fixed value: curve extends this many bandwidths past the data
-MAX_GROUPS = 10_000   # one row of constants per group goes to the driver and every task
+HELD_GROUPS = 1_000   # groups whose sums a task holds before it returns them
 
 
-def _kernel_sums(held, grid_size: int, at_once: int = 4096):
+def _kernel_sums(grid_size: int, at_once: int = 4096):
     """Sums of Gaussian kernels at each group's grid points over a task's rows."""
+    names = ["_whole", "group", "_h", "_g0", "_step"]
+
+    def rows_of(sums: dict) -> pd.DataFrame:
+        parts = [pd.DataFrame({**dict(zip(names, key)), "point": np.arange(grid_size, dtype=np.int32),
+                               "_k": total}) for key, total in sums.items()]
+        return pd.concat(parts, ignore_index=True)
+
     def run(batches):
         sums = {}
         for pdf in batches:
-            for group, own in pdf.groupby("group")["_x"]:
-                if group not in held.value:
-                    continue
-                h, g0, step = held.value[group]
+            for (whole, group, h, g0, step), own in pdf.groupby(names)["_x"]:
                 grid = g0 + step * np.arange(grid_size)
-                total = sums.setdefault(group, np.zeros(grid_size))
+                total = sums.setdefault((whole, group, h, g0, step), np.zeros(grid_size))
                 x = own.to_numpy(float)
                 for k in range(0, len(x), at_once):
                     z = (grid[:, None] - x[None, k:k + at_once]) / h
                     total += np.exp(-0.5 * z * z).sum(axis=1)
-        for group, total in sums.items():
-            yield pd.DataFrame({"group": [group] * grid_size,
-                                "point": np.arange(grid_size, dtype=np.int32), "_k": total})
+            if len(sums) > HELD_GROUPS:
+                yield rows_of(sums)
+                sums = {}
+        if sums:
+            yield rows_of(sums)
     return run
 
 
@@ -87,20 +93,22 @@ def density_curves(df: DataFrame, measure: str, group: str | None = None,
 
     Scott's rule: bandwidth ``h = std(ddof=1) * n ** (-1/5)``; the grid spans
     ``[min - cut h, max + cut h]`` in ``grid_size`` points.  The per-group
-    constants (one row per group, at most ``MAX_GROUPS``) go to the tasks, which
-    sum the kernels of their rows batch by batch, so the shuffle holds
-    ``groups x grid_size`` partial rows per task.
+    constants are a table that is joined with the rows; tasks sum the kernels of
+    their rows batch by batch, so the shuffle holds ``groups x grid_size`` partial
+    rows per task.  A group that is itself called ``all_label`` keeps its own curve.
     Output: (group, point, x, density).
     """
+    from sessionary.session import materialize
     x = F.col(measure).cast("double")
-    parts = [df.select(F.lit(all_label).alias("group"), x.alias("_x"))]
+    parts = [df.select(F.lit(True).alias("_whole"), F.lit(all_label).alias("group"), x.alias("_x"))]
     if group is not None:
-        parts.append(df.select(F.col(group).cast("string").alias("group"), x.alias("_x")))
+        parts.append(df.select(F.lit(False).alias("_whole"), F.col(group).cast("string").alias("group"),
+                               x.alias("_x")).where(F.col("group").isNotNull()))
     data = parts[0]
     for p in parts[1:]:
         data = data.unionByName(p)
     data = data.where(F.col("_x").isNotNull())
-    params = (data.groupBy("group").agg(
+    params = materialize(data.groupBy("_whole", "group").agg(
         F.count(F.lit(1)).alias("_n"), F.stddev_samp("_x").alias("_sd"),
         F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
         .withColumn("_h", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
@@ -108,19 +116,14 @@ def density_curves(df: DataFrame, measure: str, group: str | None = None,
         .withColumn("_g0", F.col("_lo") - F.lit(cut) * F.col("_h"))
         .withColumn("_step", (F.col("_hi") - F.col("_lo") + F.lit(2 * cut) * F.col("_h"))
                     / F.lit(grid_size - 1))
-        .select("group", "_n", "_h", "_g0", "_step"))
-    rows = params.where(F.col("group").isNotNull()).limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"over {MAX_GROUPS} groups")
-    spark = df.sparkSession
-    known = spark.createDataFrame(rows, params.schema)
-    held = spark.sparkContext.broadcast({r["group"]: (r["_h"], r["_g0"], r["_step"]) for r in rows})
-    kind = params.schema["group"].dataType.simpleString()
-    partial = data.select("group", "_x").mapInPandas(
-        _kernel_sums(held, grid_size), f"group {kind}, point int, _k double")
+        .select("_whole", "group", "_n", "_h", "_g0", "_step"))
+    rows = data.join(params.drop("_n"), ["_whole", "group"])
+    partial = rows.select("_whole", "group", "_h", "_g0", "_step", "_x").mapInPandas(
+        _kernel_sums(grid_size),
+        "_whole boolean, group string, _h double, _g0 double, _step double, point int, _k double")
     # per task one row for each group and grid point
-    sums = partial.groupBy("group", "point").agg(F.sum("_k").alias("_k")).join(
-        F.broadcast(known), "group")
+    sums = partial.groupBy("_whole", "group", "_h", "_g0", "_step", "point").agg(
+        F.sum("_k").alias("_k")).join(params.select("_whole", "group", "_n"), ["_whole", "group"])
     norm = F.lit(1.0 / math.sqrt(2 * math.pi))
     return sums.select("group", "point", (F.col("_g0") + F.col("point") * F.col("_step"))
                        .alias("x"),

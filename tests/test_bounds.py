@@ -169,6 +169,31 @@ def test_quantiles_of_many_groups(spark):
     assert got.join(want, "g").where(F.abs(F.col("p") - F.col("w")) > 1e-9).count() == 0
 
 
+def test_samples_of_many_classes(spark):
+    """A hundred thousand classes, one of them null, one with a third of the rows."""
+    from pyspark.sql import functions as F
+    from sessionary.operators.sampling import stratified_samples
+    df = spark.range(300_000).select("id", F.when(F.col("id") < 100_000, F.lit(0)).when(
+        F.col("id") % 100_000 == 7, F.lit(None)).otherwise(F.col("id") % 100_000).alias("c"))
+    got = stratified_samples(df, "c", "id", 1, 0.5, drop_label=False)
+    assert got.count() == 150_000 and got.select("id").distinct().count() == 150_000
+    sizes = {r["c"]: r["count"] for r in got.groupBy("c").count().collect()}
+    assert sizes[None] == 1 and sizes[0] >= 50_000
+    assert set(sizes.values()) - {sizes[0]} <= {1, 2}
+
+
+def test_density_of_many_groups_and_a_group_called_all(spark):
+    from pyspark.sql import functions as F
+    from sessionary.operators.stats import density_curves
+    df = spark.range(30_000).select((F.col("id") % 11_000).cast("string").alias("g"),
+                                    F.col("id").cast("double").alias("v"))
+    df = df.withColumn("g", F.when(F.col("g") == "5", F.lit("ALL")).otherwise(F.col("g")))
+    curves = density_curves(df, "v", "g", grid_size=3)
+    assert curves.count() == 3 * 11_001
+    own = [(r["x"], r["density"]) for r in curves.where("group = 'ALL'").collect()]
+    assert len(own) == 6 and len(set(own)) == 6
+
+
 def test_float_downcast(spark):
     from sessionary.operators.events import downcast, downcast_table
     df = spark.createDataFrame([(0.5, 1e-9, 1234567.89, None), (float("nan"), 2.0, 1.0, None)],
