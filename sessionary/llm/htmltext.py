@@ -12,7 +12,9 @@ The classifier adds two parts.  A logistic regression on a block's text
 inside elements that name their purpose label themselves; ``fit_pages`` pages
 with the smallest id hashes and at most ``fit_blocks`` of their blocks (the
 documented bounds) reach the driver.  What the surrounding elements say
-(article, nav, footer, class names ...) adds fixed log-odds.
+(article, nav, footer, class names ...) adds fixed log-odds.  An element that names
+furniture but wraps the page (most of its text, its first h1 and every article in
+it: a form or a "page with sidebar" around all) says nothing.
 
 Nodes whose own cost outweighs all of their edges keep that label in every
 minimum cut; they are settled first and maximum flow (Dinic) runs on the rest.
@@ -62,6 +64,10 @@ FURNITURE_NAMES = frozenset(
     "pagination popup promo promotion recommended related reply respond search share sharing "
     "sidebar signup skip social sponsor sponsored subscribe toolbar warning widget".split())
 CONTENT_NAMES = frozenset("article body content entry main post story text".split())
+#: First parts of class names that tell of a state, not of a purpose.
+STATE_NAMES = frozenset("has with without no is js hide show".split())
+#: Share of a page's text beyond which an element can wrap the page.
+WRAPS = 0.5
 
 #: What a tag holds after its name: quoted values (with any sign in them), other
 #: values, names.  A slash at the end is left over.
@@ -88,12 +94,44 @@ class Block:
     tag: str
     parent: int
     article: bool
-    furniture: bool
-    named: float
+    #: Enclosing elements whose tag, or whose names, say furniture; whether names say content.
+    tagged_by: tuple
+    named_by: tuple
+    content_name: bool
+    furniture: bool = False
+    named: float = 0.0
     parts: list = field(default_factory=list)
     link_chars: int = 0
     text: str = ""
 
+    def settle(self, wrappers: set[int]) -> None:
+        """What the surroundings say, without the elements that wrap the page."""
+        self.furniture = any(k not in wrappers for k in self.tagged_by)
+        against = any(k not in wrappers for k in self.named_by)
+        self.named = NAMED_FURNITURE if against else NAMED_CONTENT if self.content_name else 0.0
+        self.article = self.article and not self.furniture and not against
+
+
+def page_wrappers(blocks: list[Block]) -> set[int]:
+    """Furniture elements that hold most text, the first h1 and every article."""
+    total = sum(len(b.text) for b in blocks)
+    held: dict[int, int] = {}
+    for b in blocks:
+        for k in {*b.tagged_by, *b.named_by}:
+            held[k] = held.get(k, 0) + len(b.text)
+    out = {k for k, n in held.items() if n > WRAPS * total}
+    title = next((b for b in blocks if b.tag == "h1"), None)
+    for b in blocks:
+        if b is title or b.article:
+            out &= {*b.tagged_by, *b.named_by}
+    return out
+
+
+def _purpose(name: str) -> list[str]:
+    """The words of a class name or id, none if it tells of a state (has-sidebar)."""
+    words = _WORD.findall(name)
+    return [] if len(words) > 1 and words[0] in STATE_NAMES else words
+
 
 def _names(attributes: str) -> float:
     """Log-odds that an element's names and hiding attributes add."""
@@ -101,7 +139,8 @@ def _names(attributes: str) -> float:
         return 0.0
     if _HIDDEN.search(attributes):
         return NAMED_FURNITURE
-    words = {w for found in _NAMES.findall(attributes) for w in _WORD.findall("".join(found).lower())}
+    words = {w for found in _NAMES.findall(attributes) for name in "".join(found).lower().split()
+             for w in _purpose(name)}
     if words & FURNITURE_NAMES:
         return NAMED_FURNITURE
     return NAMED_CONTENT if words & CONTENT_NAMES else 0.0
@@ -120,8 +159,8 @@ def blocks_of(html: str | None) -> list[Block]:
     """Text blocks of a page, in page order, with what surrounds them."""
     html = html or ""
     out: list[Block] = []
-    # open block elements: (tag, number, in an article, in furniture, log-odds of names)
-    stack = [("", 0, False, False, 0.0)]
+    # open block elements: (tag, number, in an article, furniture by tag, by name, content by name)
+    stack = [("", 0, False, (), (), False)]
     count, links, own = 0, 0, None
 
     def close() -> None:
@@ -137,9 +176,9 @@ def blocks_of(html: str | None) -> list[Block]:
         if own is None:
             if not text or text.isspace():
                 return
-            tag, number, article, furniture, named = stack[-1]
+            tag, number, *says = stack[-1]
             parent = stack[-2][1] if tag in LEAF_TAGS and len(stack) > 1 else number
-            own = Block(tag, parent, article, furniture, named)
+            own = Block(tag, parent, *says)
         text = htmllib.unescape(text) if "&" in text else text
         own.parts.append(text)
         if links:
@@ -171,19 +210,23 @@ def blocks_of(html: str | None) -> list[Block]:
             if len(stack) > 1 and stack[-1][0] in LEAF_TAGS and (
                     stack[-1][0] == tag or stack[-1][0] == "p"):
                 stack.pop()  # its end tag was left out
-            _, _, article, furniture, named = stack[-1]
+            _, _, article, tagged, named, content = stack[-1]
             count += 1
             if tag in ARTICLE_TAGS:
-                article, named = not furniture, 0.0
-            else:
-                furniture = furniture or tag in FURNITURE_TAGS
-                if tag not in ("html", "body"):  # furniture inside content stays furniture
-                    says = _names(token["attributes"])
-                    named = min(named, says) if min(named, says) < 0 else max(named, says)
-            stack.append((tag, count, article, furniture, named))
+                article, content = True, False
+            if tag in FURNITURE_TAGS:
+                tagged = (*tagged, count)
+            if tag not in ("html", "body"):
+                says = _names(token["attributes"])
+                named = (*named, count) if says < 0 else named
+                content = content or says > 0 and tag not in ARTICLE_TAGS
+            stack.append((tag, count, article, tagged, named, content))
     if at < len(html):
         put(html[at:])
     close()
+    wrappers = page_wrappers(out)
+    for block in out:
+        block.settle(wrappers)
     return out
 
 
@@ -196,7 +239,7 @@ def text_features(block: Block) -> list[float]:
 
 
 #: Used where the pages name no purposes to learn from.
-DEFAULT_WEIGHTS = (-1.5, 1.0, -3.0, 1.0, 1.0, 0.0, -0.5)
+DEFAULT_WEIGHTS = (-1.5, 1.0, -3.0, 1.0, 1.0, 1.0, -0.5)
 
 
 def train(rows: np.ndarray, content: np.ndarray, steps: int = 300, ridge: float = 0.01) -> np.ndarray:

@@ -112,3 +112,36 @@ def test_edges(spark):
     assert sorted(got, key=str) == sorted([(1, "u", True), (1, "u", True), (2, None, False),
                                            (None, "v", False)], key=str)
     assert htmltext.extract(frame.limit(0)).count() == 0
+
+
+ARTICLE = "<h1>Title of it</h1>" + "".join(
+    f"<p>This is a long paragraph number {k} of the article, with a sentence. And another one.</p>"
+    for k in range(4))
+COMMENTS = ('<div id="comments"><ol><li class="comment"><article class="comment-body"><p>What a fine text '
+            "this is, dear author. I liked it a lot.</p></article></li></ol></div>")
+
+
+def test_names_around_and_of_an_article():
+    """Comments and promotions in article elements go, wherever they stand."""
+    weights = np.array(htmltext.DEFAULT_WEIGHTS)
+    promo = '<article class="related promo"><p>Buy this now, it is the best. You will like it.</p></article>'
+    for page in (f"<article>{ARTICLE}</article>{COMMENTS}", f"<article>{ARTICLE}{COMMENTS}</article>",
+                 f"<main>{ARTICLE}</main>{promo}{COMMENTS}"):
+        text = htmltext.main_text(f"<html><body>{page}</body></html>", weights)
+        assert text.startswith("Title of it\n\nThis is") and text.count("long paragraph") == 4
+        assert "fine text" not in text and "Buy" not in text
+
+
+def test_elements_that_wrap_the_page():
+    """A form or a page "with sidebar" around everything is no furniture; others are."""
+    weights = np.array(htmltext.DEFAULT_WEIGHTS)
+    side = '<div class="sidebar"><p>See also our other pages about this, dear reader. They are fine.</p></div>'
+    for page in (f'<div class="layout has-sidebar">{ARTICLE}</div>', f"<form action=x>{ARTICLE}<input></form>",
+                 f'<div class="page-with-sidebar"><article>{ARTICLE}</article>{side}</div>',
+                 f"<form><div class='popup'><article>{ARTICLE}</article></div>{side}</form>"):
+        text = htmltext.main_text(f"<body>{page}</body>", weights)
+        assert text.startswith("Title of it\n\nThis is") and text.count("long paragraph") == 4
+        assert "See also" not in text
+    long_comments = COMMENTS.replace("I liked it a lot.", "I liked it a lot. " * 200)
+    text = htmltext.main_text(f"<body><article>{ARTICLE}</article>{long_comments}</body>", weights)
+    assert "fine text" not in text and text.count("long paragraph") == 4
