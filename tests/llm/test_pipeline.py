@@ -85,7 +85,7 @@ def test_stages_cope_with_edges(spark):
 
 def test_registration():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
     assert "pipeline" in names and corpus_pipeline.ORACLE_SQL is None
     assert set(ORACLE) <= set(QUERIES)
