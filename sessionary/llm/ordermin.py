@@ -1,7 +1,10 @@
 """Order MinHash fingerprints of documents (operator 7).
 
-A text is its sequence of words; every run of ``width`` words is a k-mer (the
-last ones are filled up with the end).  Equal k-mers are numbered by their
+A text is its sequence of words; a word of more than ``LONG`` characters counts
+as the overlapping runs of ``GRAM`` characters that begin at each of its
+characters, so texts without spaces and long tokens are compared by characters.
+Every run of ``width`` such words is a k-mer (the last ones are filled up with
+the end).  Equal k-mers are numbered by their
 occurrence, so repeats count.  The numbered k-mers are dealt into ``tuples``
 classes by hash; in each class the ``picked`` ones with the least hashes are
 selected, put back into text order and hashed together.  The tuple hashes are
@@ -37,6 +40,8 @@ from sessionary.llm.common import id_text, shuffle_parts
 WIDTH = 2
 TUPLES = 32
 PICKED = 2
+#: Words of more characters count as their runs of ``GRAM`` characters.
+LONG, GRAM = 24, 5
 #: Bits of a place in a text; the k-mer's hash has the bits above.
 PLACE_BITS = 24
 _PLACE = (1 << PLACE_BITS) - 1
@@ -90,13 +95,26 @@ def selected(ranked: Column, tuples: int = TUPLES, picked: int = PICKED) -> Colu
         cls(F.get(ranked, i - picked)) != cls(value)))
 
 
+def words_of(text: Column) -> Column:
+    """The words of a text, long ones as their overlapping runs of characters.
+
+    The split serves texts without long words and gives the same as the pattern.
+    """
+    word = r"[^\x20\x09-\x0D]"
+    whole = rf"(?<!{word}){word}{{1,{LONG}}}+(?!{word})"
+    pattern = rf"(?=({whole}|{word}{{1,{GRAM}}}))(?:{whole}|{word})"
+    return F.when(text.rlike(f"{word}{{{LONG + 1}}}"), F.regexp_extract_all(
+        text, F.lit(pattern), F.lit(1))).otherwise(F.filter(
+            F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+
+
 def signature(text: Column, width: int = WIDTH, tuples: int = TUPLES,
               picked: int = PICKED) -> Column:
     """``tuples`` hashes of a text, null for a class without k-mers."""
     if tuples & (tuples - 1):
         raise ValueError("tuples must be a power of two")
     shift = 64 - (tuples - 1).bit_length()
-    words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    words = _let(F.coalesce(text, F.lit("")), words_of)
 
     def hashed(own: Column) -> Column:
         """Tuple hash of a class: its k-mers' hashes in text order."""

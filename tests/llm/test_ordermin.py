@@ -32,8 +32,16 @@ def signed(x):
     return x - (1 << 64) if x >> 63 else x
 
 
+def plain_words(text):
+    for w in re.split(r"[\x20\x09-\x0D]+", text or ""):
+        if len(w) <= ordermin.LONG:
+            yield from [w] if w else []
+        else:
+            yield from (w[k:k + ordermin.GRAM] for k in range(len(w)))
+
+
 def plain_signature(text):
-    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w]
+    words = list(plain_words(text))
     high = lambda h: signed(h) >> ordermin.PLACE_BITS
     kmers = [high(chain(w, words[k + 1] if k + 1 < len(words) else "")) for k, w in enumerate(words)]
     seen, ranked = {}, []
@@ -127,6 +135,19 @@ def test_likeness_follows_the_edit_distance(spark):
     assert got["moved"] < 0.95 and got["shuffled"] < 0.2
 
 
+def test_texts_without_spaces(spark):
+    rng = np.random.default_rng(11)
+    signs = [chr(k) for k in rng.integers(0x4E00, 0x9000, 800)]
+    token = rng.choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"), 6000)
+    mixed = "word " * 30 + "x" * 24 + " " + "y" * 25 + " \U0001f600" * 3 + "\U0001f600" * 30 + "\n" + "z" * 70
+    docs = [(4, "".join(signs)), (3, "".join(token)), (2, mixed), (1, "other words stand here"), (0, "q" * 3000)]
+    frame = ordermin.compare_edits(table(spark, docs))
+    assert rows_of(frame) == sorted(expected(docs), key=str)
+    near = {r["doc_id"]: (r["near_edited"], r["near_next"]) for r in frame.collect()}
+    for doc in (4, 3):  # half of the text stays
+        assert 0.2 < near[doc][0] < 0.8 and near[doc][1] == 0.0
+
+
 def test_no_python_in_the_plan(spark):
     plan = QUERIES["op7_order_minhash"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|ArrowEval", plan)
