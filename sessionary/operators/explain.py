@@ -11,8 +11,10 @@ indicators ``o_j`` and cover shares ``z_j``, feature ``i`` receives
     v * (o_i - z_i) * sum_s w(s, m) * [t^s] prod_{j != i} (z_j + o_j t),
     w(s, m) = s! (m - s - 1)! / m!
 
-which is evaluated for all rows and leaves of a tree at once with numpy
-(polynomial product, then one synthetic division per feature).  The node
+which depends on the row only by its indicators: numpy evaluates it (polynomial
+product, then one synthetic division per feature) for every pattern of a leaf's
+indicators ahead, and a row looks its own up.  Paths of more than ``TABLE_FEATURES``
+features are evaluated for the patterns that the rows at hand have.  The node
 table is bounded (``T (2 psi - 1)`` rows) and ships to the tasks; rows are
 processed in Arrow batches by ``mapInPandas`` - nothing per row in Python.
 Local accuracy holds: ``base_value + sum(shap) = E[h(x)]``.
@@ -30,17 +32,54 @@ from pyspark.sql import functions as F
 from sessionary.operators.iforest import ROOT, IsolationForestModel
 
 
+#: Leaves whose paths have at most this many features get a table of every pattern.
+TABLE_FEATURES = 10
+ROWS_AT_ONCE = 2_048
+
+
+def _attributions(o: np.ndarray, z: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """(leaves, m, patterns) attributions for indicators ``o`` (patterns, m), cover
+    shares ``z`` (leaves, m) and leaf values ``v`` (leaves)."""
+    P, m = o.shape
+    L = len(z)
+    w = np.array([factorial(s) * factorial(m - s - 1) / factorial(m) for s in range(m)])
+    # P(t) = prod_j (z_j + o_j t), coefficients (L, P, m + 1)
+    p = np.zeros((L, P, m + 1))
+    p[..., 0] = 1.0
+    for j in range(m):
+        shifted = np.concatenate([np.zeros((L, P, 1)), p[..., :-1]], axis=2)
+        p = z[:, j, None, None] * p + o[:, j, None] * shifted
+    out = np.empty((L, m, P))
+    for i in range(m):
+        zi, oi = z[:, i, None], o[:, i]
+        # divide by (z_i + o_i t): constant when o_i = 0, synthetic when 1
+        c_const = p[..., :m] / zi[..., None]
+        c_lin = np.zeros((L, P, m))
+        c_lin[..., m - 1] = p[..., m]
+        for s in range(m - 1, 0, -1):
+            c_lin[..., s - 1] = p[..., s] - zi * c_lin[..., s]
+        c = np.where(oi[:, None] > 0, c_lin, c_const)
+        out[:, i] = v[:, None] * (oi - zi) * (c * w).sum(axis=2)
+    return out
+
+
+def _bits(codes: np.ndarray, m: int) -> np.ndarray:
+    """(patterns, m) indicators of the codes' bits."""
+    return ((codes[:, None] >> np.arange(m)) & 1).astype(float)
+
+
 def _tree_paths(nodes: pd.DataFrame, fidx: dict, scale: float):
-    """Per tree: leaf arrays (feature idx, lo, hi, z, mask, value, m)."""
+    """Per tree: conditions (feature, lo, hi), leaves (condition per path feature, cover
+    shares, value, table of the attributions of every pattern or None), base value."""
     trees = []
     for _, g in nodes.groupby("tree_id", sort=True):
-        g = g.set_index("node_id")
+        rows = {r["node_id"]: r for r in g.to_dict("records")}
         leaves = []
 
         def walk(nid, bounds, z):
-            row = g.loc[nid]
+            row = rows[nid]  # noqa: B023
             if not isinstance(row["feature"], str):
-                leaves.append((dict(bounds), dict(z), float(row["leaf_value"]) * scale))
+                leaves.append((bounds, z, float(row["leaf_value"]) * scale))  # noqa: B023
                 return
             f = fidx[row["feature"]]
             thr = float(row["threshold"])
@@ -50,71 +89,49 @@ def _tree_paths(nodes: pd.DataFrame, fidx: dict, scale: float):
                 nb = dict(bounds)
                 nb[f] = (lo, min(hi, thr)) if is_left else (max(lo, thr), hi)
                 nz = dict(z)
-                nz[f] = nz.get(f, 1.0) * float(g.loc[child, "n"]) / n
+                nz[f] = nz.get(f, 1.0) * float(rows[child]["n"]) / n  # noqa: B023
                 walk(child, nb, nz)
 
         walk(ROOT, {}, {})
-        m_max = max(1, max(len(b) for b, _, _ in leaves))
-        L = len(leaves)
-        fi = np.zeros((L, m_max), dtype=int)
-        lo = np.full((L, m_max), -np.inf)
-        hi = np.full((L, m_max), np.inf)
-        zz = np.ones((L, m_max))
-        mask = np.zeros((L, m_max), dtype=bool)
-        val = np.zeros(L)
-        mm = np.zeros(L, dtype=int)
-        for li, (b, z, v) in enumerate(leaves):
-            for j, f in enumerate(sorted(b)):
-                fi[li, j] = f
-                lo[li, j], hi[li, j] = b[f]
-                zz[li, j] = z[f]
-                mask[li, j] = True
-            val[li] = v
-            mm[li] = len(b)
-        w = np.zeros((L, m_max))
-        for li in range(L):
-            m = mm[li]
-            for s in range(m):
-                w[li, s] = factorial(s) * factorial(m - s - 1) / factorial(m)
-        cover = np.prod(np.where(mask, zz, 1.0), axis=1)
-        trees.append((fi, lo, hi, zz, mask, val, w, float((cover * val).sum())))
+        conditions: dict = {}
+        by_length: dict = {}
+        for bounds, z, v in leaves:
+            order = sorted(bounds)
+            at = [conditions.setdefault((f, *bounds[f]), len(conditions)) for f in order]
+            by_length.setdefault(len(order), []).append((at, [z[f] for f in order], v))
+        prepared = []
+        for m, own in by_length.items():
+            z, v = np.array([x[1] for x in own]).reshape(len(own), m), np.array([x[2] for x in own])
+            tables = _attributions(_bits(np.arange(2 ** m), m), z, v) \
+                if 0 < m <= TABLE_FEATURES else [None] * len(own)
+            prepared += [(at, zz, vv, table) for (at, _, _), zz, vv, table in zip(own, z, v, tables)]
+        base = sum(v * float(np.prod(list(z.values()))) for _, z, v in leaves)
+        trees.append((list(conditions), prepared, float(base)))
     return trees
 
 
 def shap_matrix(x: np.ndarray, trees, n_features: int) -> np.ndarray:
-    """(rows, features) attributions for the prepared ``trees``."""
-    R = len(x)
-    phi = np.zeros((R, n_features))
-    for fi, lo, hi, zz, mask, val, w, _ in trees:
-        L, M = fi.shape
-        xv = x[:, fi]                                   # (R, L, M)
-        o = ((xv > lo) & (xv <= hi) & mask).astype(float)
-        z = np.broadcast_to(zz, o.shape)
-        # P(t) = prod_j (z_j + o_j t), coefficients (R, L, M + 1)
-        p = np.zeros((R, L, M + 1))
-        p[..., 0] = 1.0
-        for j in range(M):
-            zj, oj = z[..., j:j + 1], o[..., j:j + 1]
-            shifted = np.concatenate([np.zeros((R, L, 1)), p[..., :-1]], axis=2)
-            p = zj * p + oj * shifted
-        for i in range(M):
-            zi, oi = z[..., i], o[..., i]
-            # divide by (z_i + o_i t): constant when o_i = 0, synthetic when 1
-            c_const = p[..., :M] / zi[..., None]
-            c_lin = np.zeros((R, L, M))
-            c_lin[..., M - 1] = p[..., M]
-            for s in range(M - 1, 0, -1):
-                c_lin[..., s - 1] = p[..., s] - zi * c_lin[..., s]
-            c = np.where(oi[..., None] > 0, c_lin, c_const)
-            s_i = (c * w[None, :, :]).sum(axis=2)
-            contrib = val[None, :] * (oi - zi) * s_i * mask[None, :, i]
-            onehot = np.zeros((L, n_features))
-            onehot[np.arange(L), fi[:, i]] = 1.0
-            phi += contrib @ onehot
-    return phi
-
-
-ROWS_AT_ONCE = 256
+    """(rows, features) attributions for the prepared ``trees``.
+
+    A row's indicators on a leaf's path are the bits of a code.  Equal codes have equal
+    attributions, so they are computed once per code - ahead, as a table, for short
+    paths - and looked up."""
+    columns = np.ascontiguousarray(x.T)
+    phi = np.zeros((n_features, len(x)))
+    for conditions, leaves, _ in trees:
+        met = [((columns[f] > lo) & (columns[f] <= hi)).astype(np.int64) for f, lo, hi in conditions]
+        for at, z, v, table in leaves:
+            if not at:
+                continue
+            code = met[at[0]]
+            for j, c in enumerate(at[1:], 1):
+                code = code | (met[c] << j)
+            if table is None:
+                codes, code = np.unique(code, return_inverse=True)
+                table = _attributions(_bits(codes, len(at)), z[None], np.array([v]))[0]
+            for j, c in enumerate(at):
+                phi[conditions[c][0]] += table[j].take(code)
+    return phi.T
 
 
 class ForestExplainer:
@@ -136,7 +153,7 @@ class ForestExplainer:
         def fn(batches):
             for pdf in batches:
                 x = pdf[feats].to_numpy(dtype=float)
-                # few rows at a time: the arrays are rows x leaves x path features
+                # few rows at a time: their columns and codes stay in the cache
                 phi = np.concatenate([np.zeros((0, k))] + [
                     shap_matrix(x[at:at + ROWS_AT_ONCE], held.value, k)
                     for at in range(0, len(x), ROWS_AT_ONCE)])

@@ -44,3 +44,26 @@ def test_shap_equals_all_subsets(spark):
                       for k in range(4) for s in combinations(others, k))
             assert got[visitor][f"shap_{f}"] == pytest.approx(phi, abs=1e-9)
         assert got[visitor]["base_value"] == pytest.approx(value(set()))
+
+
+@pytest.mark.parametrize("table_features", [explain.TABLE_FEATURES, 1])
+def test_shap_is_computed_per_pattern_not_per_row(spark, monkeypatch, table_features):
+    """Rows look their attributions up: many rows take no more evaluations than few."""
+    rng = np.random.default_rng(3)
+    data = pd.DataFrame({"visitorid": range(200), **{f: rng.normal(size=200) for f in FEATURES}})
+    model = iforest.fit(spark.createDataFrame(data), FEATURES, n_estimators=3, max_samples=64)
+    expected = explain.ForestExplainer(model).trees
+    x = data[FEATURES].to_numpy(float)
+    want = explain.shap_matrix(x, expected, len(FEATURES))
+    monkeypatch.setattr(explain, "TABLE_FEATURES", table_features)
+    trees = explain.ForestExplainer(model).trees
+    evaluated, whole = [], explain._attributions
+
+    def counted(o, z, v):
+        evaluated.append(len(o) * len(z))
+        return whole(o, z, v)
+    monkeypatch.setattr(explain, "_attributions", counted)
+    got = explain.shap_matrix(np.repeat(x, 50, axis=0), trees, len(FEATURES))
+    assert np.allclose(got, np.repeat(want, 50, axis=0), atol=1e-12)
+    leaves = sum(len(own) for _, own, _ in trees)
+    assert sum(evaluated) <= (0 if table_features > 1 else leaves * 2 ** len(FEATURES))
