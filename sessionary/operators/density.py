@@ -4,14 +4,15 @@ DBSCAN(eps, min_samples), Euclidean, neighbourhoods include the point and use
 ``distance <= eps``.  Points lie in the cells of an eps grid
 (:mod:`sessionary.operators.cells`): a point meets the points of its own cell and
 of the neighbour cells within eps, and cells with many points are cut into block
-pairs.
+pairs: about a dozen blocks for all points (:func:`block_rows_for`), which a task
+takes in pieces of ``block_rows`` rows.
 
 1. neighbour counts: tiles count, per point, the points within ``eps`` (summed
    per point) -> core flags;
 2. tiles again, now with core flags: inside a tile the core points within
    ``eps`` of each other form local components (numpy); each core point emits
    one edge to its local component's smallest id, each non-core point one
-   candidate per adjacent local component.  That is at most one row per point
+   candidate per adjacent local component.  That is at most one row per core point
    and tile - never the neighbour pairs themselves;
 3. global components of the star edges (:func:`connected_components`); a
    cluster is named by its smallest core id and numbered 0, 1, ... in that
@@ -30,70 +31,114 @@ from pyspark.sql import functions as F
 
 from sessionary.operators.cells import dealt_grid
 from sessionary.operators.graph import connected_components, global_rank, local_components
-from sessionary.operators.neighbors import DEFAULT_BLOCK_ROWS, _sqdist
+from sessionary.operators.neighbors import (
+    DEFAULT_BLOCK_ROWS,
+    _matrix,
+    _sqdist,
+    block_rows_for,
+    pieces,
+)
 from sessionary.session import materialize
 
 
-def _sides(pdf: pd.DataFrame, eps2: float):
-    """(left rows, right rows, which pairs are within eps, whether both sides are one block)."""
+def _sides(pdf: pd.DataFrame):
+    """(left rows, right rows, whether both sides are one block)."""
     whole = bool(pdf["first"].iat[0] == pdf["second"].iat[0])
-    left = pdf if whole else pdf[~pdf["late"]]
-    right = pdf if whole else pdf[pdf["late"]]
-    if not len(left) or not len(right):
-        return left, right, np.zeros((len(left), len(right)), bool), whole
-    x = np.stack(left["v"].to_numpy())
-    within = _sqdist(x, x if whole else np.stack(right["v"].to_numpy())) <= eps2
-    if whole:
-        np.fill_diagonal(within, True)
-    return left, right, within, whole
-
-
-def _tile_counts(eps2: float):
+    return (pdf, pdf, whole) if whole else (pdf[~pdf["late"]], pdf[pdf["late"]], whole)
+
+
+def _near(left: pd.DataFrame, right: pd.DataFrame, whole: bool, eps2: float, rows: int):
+    """(slice of left, slice of right, which pairs are within eps) of every piece pair;
+    of one block each pair of pieces comes once."""
+    xl, xr = _matrix(left["v"]), _matrix(right["v"])
+    for i in pieces(len(left), rows):
+        for j in pieces(len(right), rows):
+            if not whole or j.start >= i.start:
+                within = _sqdist(xl[i], xr[j]) <= eps2
+                if whole and i == j:
+                    np.fill_diagonal(within, True)
+                yield i, j, within
+
+
+def _tile_counts(eps2: float, rows: int):
     def fn(pdf):
-        left, right, within, whole = _sides(pdf, eps2)
-        ids, cs = [left["id"].to_numpy()], [within.sum(1)]
+        left, right, whole = _sides(pdf)
+        to_left = np.zeros(len(left), np.int64)
+        to_right = to_left if whole else np.zeros(len(right), np.int64)
+        for i, j, within in _near(left, right, whole, eps2, rows):
+            to_left[i] += within.sum(1)
+            if not whole or i != j:
+                to_right[j] += within.sum(0)
+        ids, cs = [left["id"].to_numpy()], [to_left]
         if not whole:
             ids.append(right["id"].to_numpy())
-            cs.append(within.sum(0))
+            cs.append(to_right)
         out = pd.DataFrame({"id": np.concatenate(ids), "c": np.concatenate(cs)})
         return out[out["c"] > 0]
     return fn
 
 
-def _count_neighbours(points: DataFrame, eps: float, block_rows: int) -> DataFrame:
-    tiles = dealt_grid(points, eps, block_rows).groupBy("cell", "first", "second").applyInPandas(
-        _tile_counts(eps * eps), "id long, c long")
+def _count_neighbours(points: DataFrame, eps: float, block_rows: int, n: int) -> DataFrame:
+    tiles = dealt_grid(points, eps, block_rows_for(n, block_rows)).groupBy(
+        "cell", "first", "second").applyInPandas(_tile_counts(eps * eps, block_rows), "id long, c long")
     return tiles.groupBy("id").agg(F.sum("c").alias("n_neighbors"))
 
 
 def neighbour_counts(points: DataFrame, eps: float,
                      block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """(id, n_neighbors): points within ``eps``, the point itself included."""
-    return _count_neighbours(materialize(points.select("id", "v")), eps, block_rows)
+    pts = materialize(points.select("id", "v"))
+    return _count_neighbours(pts, eps, block_rows, pts.count())
+
+
+def _linked(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest reachable index of each of n vertices with the edges (a, b)."""
+    label = np.arange(n)
+    while True:
+        new = label.copy()
+        np.minimum.at(new, a, label[b])
+        np.minimum.at(new, b, label[a])
+        new = new[new]
+        if np.array_equal(new, label):
+            return label
+        label = new
 
 
-def _tile_links(eps2: float):
+def _tile_links(eps2: float, rows: int):
     def fn(pdf):
-        left, right, within, whole = _sides(pdf, eps2)
+        left, right, whole = _sides(pdf)
         both = left if whole else pd.concat([left, right], ignore_index=True)
-        n, cut = len(both), len(left)
-        near = within
-        if not whole:  # pairs of one block meet in that block's own tile
-            near = np.zeros((n, n), bool)
-            near[:cut, cut:], near[cut:, :cut] = within, within.T
-        ids, core = both["id"].to_numpy(), both["core"].to_numpy().astype(bool)
-        ci, nci = np.flatnonzero(core), np.flatnonzero(~core)
-        none = pd.DataFrame({"id": [], "rep": [], "kind": []})
-        if not len(ci):
-            return none
-        label = local_components(near[np.ix_(ci, ci)])
-        least = pd.Series(ids[ci]).groupby(label).transform("min").to_numpy()
-        touched = near[np.ix_(nci, ci)]
-        row, at = np.nonzero(touched)
-        border = pd.DataFrame({"id": ids[nci][row], "rep": least[at]}).drop_duplicates()
-        linked = least != ids[ci]
-        return pd.concat([pd.DataFrame({"id": ids[ci][linked], "rep": least[linked], "kind": 0}),
-                          border.assign(kind=1)], ignore_index=True)
+        order = both["id"].to_numpy().argsort(kind="stable")  # small places for small ids
+        ids, core = both["id"].to_numpy()[order], both["core"].to_numpy().astype(bool)[order]
+        place = np.empty(len(both), np.int64)
+        place[order] = np.arange(len(both))
+        none = np.zeros(0, np.int64)
+        stars, border = [(none, none)], [(none, none)]
+        for i, j, within in _near(left, right, whole, eps2, rows):
+            at = [place[i], place[j] if whole else place[len(left):][j]]
+            if whole and i == j:
+                spots, near = at[0], within
+            else:  # pairs of one piece meet in that piece's own pair
+                spots, cut = np.concatenate(at), len(at[0])
+                near = np.zeros((len(spots), len(spots)), bool)
+                near[:cut, cut:], near[cut:, :cut] = within, within.T
+            ci, nci = np.flatnonzero(core[spots]), np.flatnonzero(~core[spots])
+            if not len(ci):
+                continue
+            label = local_components(near[np.ix_(ci, ci)])
+            least = pd.Series(spots[ci]).groupby(label).transform("min").to_numpy()
+            apart = least != spots[ci]
+            stars.append((spots[ci][apart], least[apart]))
+            row, col = np.nonzero(near[np.ix_(nci, ci)])
+            pairs = np.unique(np.stack([spots[nci][row], least[col]]), axis=1)
+            border.append((pairs[0], pairs[1]))
+        label = _linked(len(ids), *(np.concatenate(x) for x in zip(*stars)))
+        linked = np.flatnonzero(core & (label != np.arange(len(ids))))
+        at, rep = (np.concatenate(x) for x in zip(*border))
+        pairs = np.unique(np.stack([at, label[rep]]), axis=1)
+        return pd.concat([pd.DataFrame({"id": ids[linked], "rep": ids[label[linked]], "kind": 0}),
+                          pd.DataFrame({"id": ids[pairs[0]], "rep": ids[pairs[1]], "kind": 1})],
+                         ignore_index=True)
     return fn
 
 
@@ -101,11 +146,12 @@ def dbscan(points: DataFrame, eps: float = 1.2, min_samples: int = 38,
            block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """(id, n_neighbors, core, label); label -1 = noise."""
     pts = materialize(points.select("id", "v"))
-    flagged = materialize(pts.join(_count_neighbours(pts, eps, block_rows), "id")
+    n = pts.count()
+    flagged = materialize(pts.join(_count_neighbours(pts, eps, block_rows, n), "id")
                           .withColumn("core", F.col("n_neighbors") >= F.lit(min_samples)))
     links = materialize(
-        dealt_grid(flagged.select("id", "v", "core"), eps, block_rows)
-        .groupBy("cell", "first", "second").applyInPandas(_tile_links(eps * eps),
+        dealt_grid(flagged.select("id", "v", "core"), eps, block_rows_for(n, block_rows))
+        .groupBy("cell", "first", "second").applyInPandas(_tile_links(eps * eps, block_rows),
                                                           "id long, rep long, kind int"))
     core_edges = links.where(F.col("kind") == 0).select(F.col("id").alias("src"),
                                                        F.col("rep").alias("dst"))

@@ -100,7 +100,9 @@ def density_curves(df: DataFrame, measure: str, group: str | None = None,
     """
     from sessionary.session import materialize
     x = F.col(measure).cast("double")
-    parts = [df.select(F.lit(True).alias("_whole"), F.lit(all_label).alias("group"), x.alias("_x"))]
+    # true in every row, but no literal: on literals alone the joins would be nested loops
+    whole = F.pmod(F.xxhash64(x), F.lit(1).cast("long")) == 0
+    parts = [df.select(whole.alias("_whole"), F.lit(all_label).alias("group"), x.alias("_x"))]
     if group is not None:
         parts.append(df.select(F.lit(False).alias("_whole"), F.col(group).cast("string").alias("group"),
                                x.alias("_x")).where(F.col("group").isNotNull()))

@@ -396,3 +396,35 @@ def test_samples_equal_brute_force_ranking(spark):
     exp2 = ranked[ranked.apply(lambda r: r["_r"] <= quota[(r["split"], r["label"])], axis=1)]
     assert sorted(map(tuple, st.values)) == \
         sorted(map(tuple, exp2[["split", "label", "key"]].values))
+
+
+def _sent(monkeypatch, module, name, run):
+    """Rows that each call of ``module.name`` hands to its tasks."""
+    sent, whole = [], getattr(module, name)
+
+    def counted(*args, **kw):
+        out = whole(*args, **kw)
+        sent.append(out.count())
+        return out
+    monkeypatch.setattr(module, name, counted)
+    run()
+    return sum(sent)
+
+
+@pytest.mark.parametrize("what", ["knn", "silhouette", "dbscan"])
+def test_rows_sent_to_tiles_grow_as_the_points(spark, monkeypatch, what):
+    """In many dimensions without structure every point still goes to a fixed number of blocks."""
+    rng = np.random.default_rng(4)
+    sent = []
+    for n in (400, 1_600):
+        X = rng.normal(size=(n, 24))
+        pts = _points(spark, X, np.arange(n) % 3)
+        with monkeypatch.context() as m:
+            sent.append({
+                "knn": lambda: _sent(m, N, "block_pairs", lambda: N.knn_distances(
+                    pts.select("id", "v"), 5, block_rows=20, cell_rows=20).collect()),
+                "silhouette": lambda: _sent(m, N, "block_pairs", lambda: N.silhouette_score(
+                    pts, block_rows=20).collect()),
+                "dbscan": lambda: _sent(m, DN, "dealt_grid", lambda: DN.dbscan(
+                    pts.select("id", "v"), eps=40.0, min_samples=4, block_rows=20).collect())}[what]())
+    assert 0 < sent[1] <= 4.4 * sent[0]
