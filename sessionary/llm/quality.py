@@ -4,13 +4,15 @@ Every document gets its rule statistics from its whole text.  Two base rules
 reject outright; for the rest an isolation forest scores how few random splits
 set the document's statistics apart, and documents beyond a threshold go.
 
-Fit: of the labelled documents the ``fit_rows`` with the smallest id hashes (a
-documented bound; they alone reach the driver, as a dozen numbers each), less
-those that the base rules reject.  The good rows of one half set each rule's limits (all but their tails keep it);
-the forest's rows are the amounts by which a document breaks the rules, and
-that half grows the trees.  The other half sets the threshold, where losing a
+Fit: all labelled documents, less those that the base rules reject, halved by a
+hash of their ids.  The good rows of one half set each rule's limits (all but
+their tails keep it, by exact quantiles); the forest's rows are the amounts by
+which a document breaks the rules, and each tree grows from the ``tree_rows`` rows
+of that half with the smallest hashes of (id, tree), as isolation trees do; these
+rows alone reach the driver.  The other half sets the threshold, where losing a
 share of its good rows counts ``good_cost`` times as much as keeping that share
-of its bad ones.  Scoring is one map over all documents.
+of its bad ones: counts by score and running sums over the sorted scores.
+Scoring is one map over all documents.
 
 Defined results: null or empty text: no words, so the base rules reject it;
 labels absent, empty or without good rows: no forest, the base rules decide
@@ -27,10 +29,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-FIT_ROWS = 6_000
+from sessionary.operators.quantiles import quantile_columns
+from sessionary.session import materialize
+
 N_TREES = 100
 TREE_ROWS = 128
 GOOD_COST = 20.0
@@ -130,10 +134,13 @@ class Forest:
         return np.exp2(-total / len(self.feature) / self.norm)
 
 
-def rule_limits(good: np.ndarray, tail: float = RULE_TAIL) -> tuple:
+def rule_limits(good: DataFrame, tail: float = RULE_TAIL) -> tuple:
     """(low, high, scale) per statistic: the range of all but the tails of the good rows."""
-    low, high = np.quantile(good, [tail, 1 - tail], axis=0)
-    spread = good.std(axis=0)
+    ends = {r["feature"]: (r["low"], r["high"]) for r in quantile_columns(
+        good.unpivot([], list(FEATURES), "feature", "value"), ["feature"], "value",
+        {"low": tail, "high": 1 - tail}).collect()}
+    spread = np.array(good.agg(*[F.stddev_pop(c) for c in FEATURES]).first(), float)
+    low, high = np.array([ends[c] for c in FEATURES], float).T
     return low, high, np.where(spread > 0, spread, 0.05)
 
 
@@ -148,18 +155,38 @@ def excess(rows: np.ndarray, limits: tuple) -> np.ndarray:
     return np.log1p(np.maximum(0, np.maximum(low - rows, rows - high)) / scale)
 
 
-def grow(rows: np.ndarray, limits: tuple, n_trees: int = N_TREES, tree_rows: int = TREE_ROWS,
-         seed: int = SEED) -> Forest:
-    """Random splits between the smallest and the largest value of a random feature."""
+def tree_samples(rows: DataFrame, n: int, n_trees: int = N_TREES, tree_rows: int = TREE_ROWS,
+                 seed: int = SEED) -> list[np.ndarray]:
+    """For each tree the ``tree_rows`` of n rows with the smallest hashes of (doc_id, tree).
+
+    A row goes only to the trees in whose bracket its hash falls; the bracket holds
+    somewhat more than enough rows, and widens should it hold too few for a tree."""
+    size = min(tree_rows, n)
+    share = (size + 6 * size ** 0.5 + 6) / max(n, 1)
+    while True:
+        top = int(-2 ** 63 + min(share, 1.0) * (2 ** 64 - 1))
+        hashes = F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: F.struct(
+            t.alias("tree"), F.xxhash64("doc_id", F.lit(seed), t).alias("h")))
+        chosen = (rows.select("doc_id", *FEATURES, F.explode(F.filter(
+            hashes, lambda x: x["h"] <= F.lit(min(top, 2 ** 63 - 1)))).alias("_t"))
+            .select("doc_id", "_t.tree", "_t.h", *FEATURES).toPandas().sort_values(["tree", "h", "doc_id"]))
+        held = chosen.groupby("tree").head(size)
+        if len(held) == n_trees * size or share >= 1:
+            return [own[list(FEATURES)].to_numpy(float) for _, own in held.groupby("tree")]
+        share *= 4
+
+
+def grow(samples: list[np.ndarray], limits: tuple, seed: int = SEED) -> Forest:
+    """A tree for each sample, by random splits between the smallest and the largest value
+    of a random feature."""
     rng = np.random.default_rng(seed)
-    rows = excess(rows, limits)
-    size = min(tree_rows, len(rows))
+    n_trees, size = len(samples), max(len(x) for x in samples)
     depth = max(1, int(np.ceil(np.log2(max(size, 2)))))
     nodes = 2 ** (depth + 1) - 1
     feature = np.full((n_trees, nodes), -1, np.int64)
     split, path = np.zeros((n_trees, nodes)), np.zeros((n_trees, nodes))
     for tree in range(n_trees):
-        todo = [(0, 0, rows[rng.choice(len(rows), size, replace=False)])]
+        todo = [(0, 0, excess(samples[tree], limits))]
         while todo:
             at, level, own = todo.pop()
             low, high = own.min(axis=0), own.max(axis=0)
@@ -195,26 +222,56 @@ def calibrate(good: np.ndarray, bad: np.ndarray, good_cost: float = GOOD_COST) -
     return float(cuts[best:best + 2].mean())
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS,
-        good_cost: float = GOOD_COST, seed: int = SEED, **options) -> Forest | None:
-    """Forest and threshold from a bounded sample of the labelled documents."""
-    chosen = (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "quality")
+def calibrate_rows(scored: DataFrame, good_cost: float = GOOD_COST) -> float:
+    """:func:`calibrate` of (score, quality) rows, which stay in Spark."""
+    counts = scored.groupBy("score").agg(F.sum((F.col("quality") == 1).cast("long")).alias("good"),
+                                         F.sum((F.col("quality") == 0).cast("long")).alias("bad"))
+    cuts = materialize(counts.orderBy("score").withColumn("_p", F.spark_partition_id()))
+    parts = cuts.groupBy("_p").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"),
+                                   F.max(F.when(F.col("good") > 0, F.col("score"))).alias("top")).collect()
+    n_good, n_bad = sum(r["good"] for r in parts), sum(r["bad"] for r in parts)
+    if not n_good or not n_bad:
+        return max(r["top"] for r in parts if r["top"] is not None) if n_good else np.inf
+    # rows up to a score: those of the partitions before it, and in its own one up to it
+    before, rows = (0, 0), []
+    for r in sorted(parts, key=lambda r: r["_p"]):
+        rows.append((r["_p"], *before))
+        before = (before[0] + r["good"], before[1] + r["bad"])
+    offsets = scored.sparkSession.createDataFrame(rows, "_p int, _good long, _bad long")
+    run = Window.partitionBy("_p").orderBy("score").rowsBetween(Window.unboundedPreceding, 0)
+    gain = ((F.lit(n_bad) - F.col("_bad") - F.sum("bad").over(run)) / F.lit(n_bad)
+            - F.lit(good_cost) * (F.lit(n_good) - F.col("_good") - F.sum("good").over(run)) / F.lit(n_good))
+    best = cuts.join(F.broadcast(offsets), "_p").select("score", gain.alias("gain")).agg(
+        F.max(F.struct("gain", "score")).alias("b")).first()["b"]["score"]
+    above = cuts.where(F.col("score") > F.lit(best)).agg(F.min("score")).first()[0]
+    return float(best if above is None else (best + above) / 2)
+
+
+def fit(docs: DataFrame, labels: DataFrame, good_cost: float = GOOD_COST, seed: int = SEED,
+        **options) -> Forest | None:
+    """Forest and threshold from all labelled documents."""
+    marked = (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "quality")
               .where("doc_id is not null and quality in (0, 1)")
-              .groupBy("doc_id").agg(F.min("quality").alias("quality"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
-    rows = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
-            .join(F.broadcast(chosen), "doc_id")
-            .select("doc_id", "quality", rule_statistics(F.col("text")).alias("s"))
-            .select("doc_id", "quality", "s.*").groupBy("doc_id")
-            .agg(*[F.min(c).alias(c) for c in ("quality", *COUNTS, *FEATURES)])
-            .where(~base_failed("")).orderBy("doc_id").toPandas())
-    values, good = rows[list(FEATURES)].to_numpy(float), (rows["quality"] == 1).to_numpy()
-    half = np.random.default_rng(seed).permutation(len(rows)) % 2 == 0
-    if (good & half).sum() < 2:
+              .groupBy("doc_id").agg(F.min("quality").alias("quality")))
+    rows = materialize(
+        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), rule_statistics(F.col("text")).alias("s"))
+        .join(marked, "doc_id")
+        .select("doc_id", "quality", "s.*").groupBy("doc_id")
+        .agg(*[F.min(c).alias(c) for c in ("quality", *COUNTS, *FEATURES)])
+        .where(~base_failed(""))
+        .withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(2)) == 0))
+    grown, held_out = rows.where("half"), rows.where("not half")
+    good = grown.where("quality = 1")
+    if good.limit(2).count() < 2:
         return None
-    forest = grow(values[half], rule_limits(values[good & half]), seed=seed, **options)
-    forest.threshold = calibrate(forest.score(values[good & ~half]),
-                                 forest.score(values[~good & ~half]), good_cost)
+    forest = grow(tree_samples(grown, grown.count(), seed=seed, **options), rule_limits(good), seed)
+    held = docs.sparkSession.sparkContext.broadcast(forest)
+
+    @F.pandas_udf("double")
+    def scores(own: pd.DataFrame) -> pd.Series:
+        return pd.Series(held.value.score(own[list(FEATURES)].to_numpy(float)))
+    forest.threshold = calibrate_rows(held_out.select(
+        scores(F.struct(*FEATURES)).alias("score"), "quality"), good_cost)
     return forest
 
 

@@ -3,6 +3,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from sessionary.llm import quality
 from sessionary.llm.queries import QUERIES
@@ -86,3 +88,31 @@ def test_calibration_weighs_good_rows_more():
     assert quality.calibrate(good, good) == good.max()
     assert quality.calibrate(good, bad[:0]) == good.max()
     assert quality.calibrate(good[:0], bad) == np.inf
+
+
+def test_limits_and_threshold_come_from_all_labelled_documents(spark, monkeypatch):
+    """More labelled documents than any bound on the fit: each of them counts."""
+    n = 9_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(
+        F.lit("some plain words that follow each other in this text number "), F.col("id").cast("string"),
+        F.when(F.col("id") % 9 == 0, F.lit(" ## || ## || ##")).otherwise(F.lit(" end."))).alias("text"))
+    known = docs.select("doc_id", (F.col("doc_id") % 9 != 0).cast("int").alias("quality"))
+    seen = []
+    limits, threshold = quality.rule_limits, quality.calibrate_rows
+
+    def counted(rows, *args):
+        seen.append(rows.count())
+        return (limits if len(seen) == 1 else threshold)(rows, *args)
+    monkeypatch.setattr(quality, "rule_limits", counted)
+    monkeypatch.setattr(quality, "calibrate_rows", counted)
+    forest = quality.fit(docs, known)
+    assert seen[1] > 4_000 and abs(seen[0] - (n - seen[1]) * 8 / 9) < 100 and np.isfinite(forest.threshold)
+
+
+def test_threshold_of_rows_equals_that_of_arrays(spark):
+    rng = np.random.default_rng(2)
+    good, bad = rng.normal(0.4, 0.1, 300).round(2), rng.normal(0.6, 0.1, 200).round(2)
+    for g, b in ((good, bad), (good, bad[:0]), (good[:0], bad), (good, good)):
+        rows = [(float(x), 1) for x in g] + [(float(x), 0) for x in b]
+        frame = spark.createDataFrame(rows, "score double, quality int").repartition(5)
+        assert quality.calibrate_rows(frame) == pytest.approx(quality.calibrate(g, b))
