@@ -13,8 +13,10 @@ indicators ``o_j`` and cover shares ``z_j``, feature ``i`` receives
 
 which depends on the row only by its indicators: numpy evaluates it (polynomial
 product, then one synthetic division per feature) for every pattern of a leaf's
-indicators ahead, and a row looks its own up.  Paths of more than ``TABLE_FEATURES``
-features are evaluated for the patterns that the rows at hand have.  The node
+indicators ahead.  Neighbouring leaves (all below one node) share a table of their
+summed attributions for every combination of intervals, so a row looks up one number
+per feature and part of a tree, not per feature and leaf.  Paths of more than
+``TABLE_FEATURES`` features are evaluated for the patterns that the rows at hand have.  The node
 table is bounded (``T (2 psi - 1)`` rows) and ships to the tasks; rows are
 processed in Arrow batches by ``mapInPandas`` - nothing per row in Python.
 Local accuracy holds: ``base_value + sum(shap) = E[h(x)]``.
@@ -22,6 +24,7 @@ Local accuracy holds: ``base_value + sum(shap) = E[h(x)]``.
 
 from __future__ import annotations
 
+import math
 from math import factorial
 
 import numpy as np
@@ -34,7 +37,9 @@ from sessionary.operators.iforest import ROOT, IsolationForestModel
 
 #: Leaves whose paths have at most this many features get a table of every pattern.
 TABLE_FEATURES = 10
-ROWS_AT_ONCE = 2_048
+#: Leaves below one node share a table while it has at most this many combinations of states.
+PART_STATES = 1_024
+ROWS_AT_ONCE = 16_384
 
 
 def _attributions(o: np.ndarray, z: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -68,43 +73,98 @@ def _bits(codes: np.ndarray, m: int) -> np.ndarray:
     return ((codes[:, None] >> np.arange(m)) & 1).astype(float)
 
 
+def _part_table(part: dict, leaves: list, features: list[int], sizes: list[int]) -> np.ndarray:
+    """(features, combinations of states) attributions, summed over the leaves of a part."""
+    table = np.zeros((len(features), *sizes))
+    for bounds, own in leaves:
+        order = sorted(bounds)
+        code = np.zeros([1] * len(sizes), dtype=int)
+        for bit, f in enumerate(order):
+            k = features.index(f)
+            (lo, hi), cuts = part[f]
+            ends = np.array([lo, *cuts, hi])
+            inside = np.append(False, (ends[:-1] >= bounds[f][0]) & (ends[1:] <= bounds[f][1]))
+            code = code + (inside << bit).reshape([-1 if i == k else 1 for i in range(len(sizes))])
+        for bit, f in enumerate(order):
+            table[features.index(f)] += own[bit][code]
+    return table.reshape(len(features), -1)
+
+
 def _tree_paths(nodes: pd.DataFrame, fidx: dict, scale: float):
-    """Per tree: conditions (feature, lo, hi), leaves (condition per path feature, cover
-    shares, value, table of the attributions of every pattern or None), base value."""
+    """Per tree: conditions (feature, lo, hi), parts (conditions with their weights in a
+    row's code, features, (cover shares, value) of a single leaf without a table, table of
+    the attributions of every code or None), base value.
+
+    A part is all leaves below one node.  Its attributions depend on a row by one state of
+    each feature on its paths: 0 outside the node's bounds, else the number of the interval
+    between the part's own thresholds.  Parts are as large as ``PART_STATES`` allows."""
     trees = []
     for _, g in nodes.groupby("tree_id", sort=True):
         rows = {r["node_id"]: r for r in g.to_dict("records")}
         leaves = []
+        conditions: dict = {}
+        found = []  # (bounds of the part's node, its thresholds, numbers of its leaves)
 
         def walk(nid, bounds, z):
+            """The thresholds and leaves below a node if they are one part so far, else None."""
             row = rows[nid]  # noqa: B023
             if not isinstance(row["feature"], str):
                 leaves.append((bounds, z, float(row["leaf_value"]) * scale))  # noqa: B023
-                return
+                return {}, [len(leaves) - 1]  # noqa: B023
             f = fidx[row["feature"]]
             thr = float(row["threshold"])
             n = float(row["n"])
+            below = []
             for child, is_left in ((int(row["left"]), True), (int(row["right"]), False)):
                 lo, hi = bounds.get(f, (-np.inf, np.inf))
                 nb = dict(bounds)
                 nb[f] = (lo, min(hi, thr)) if is_left else (max(lo, thr), hi)
                 nz = dict(z)
                 nz[f] = nz.get(f, 1.0) * float(rows[child]["n"]) / n  # noqa: B023
-                walk(child, nb, nz)
+                below.append((nb, walk(child, nb, nz)))
+            if all(part is not None for _, part in below):
+                cuts = {f: {thr}}
+                for _, (more, _) in below:
+                    for k, own in more.items():
+                        cuts[k] = cuts.get(k, set()) | own
+                own = below[0][1][1] + below[1][1][1]
+                states = math.prod(len(cuts.get(k, ())) + 2 for k in {*bounds, *cuts})
+                short = all(len(leaves[k][0]) <= TABLE_FEATURES for k in own)  # noqa: B023
+                if short and states <= PART_STATES:
+                    return cuts, own
+            found.extend((nb, *part) for nb, part in below if part is not None)  # noqa: B023
+            return None
 
-        walk(ROOT, {}, {})
-        conditions: dict = {}
+        whole = walk(ROOT, {}, {})
+        if whole is not None:
+            found.append(({}, *whole))
         by_length: dict = {}
-        for bounds, z, v in leaves:
-            order = sorted(bounds)
-            at = [conditions.setdefault((f, *bounds[f]), len(conditions)) for f in order]
-            by_length.setdefault(len(order), []).append((at, [z[f] for f in order], v))
-        prepared = []
+        for k, (bounds, _, _) in enumerate(leaves):
+            by_length.setdefault(len(bounds), []).append(k)
+        tables: dict = {}
         for m, own in by_length.items():
-            z, v = np.array([x[1] for x in own]).reshape(len(own), m), np.array([x[2] for x in own])
-            tables = _attributions(_bits(np.arange(2 ** m), m), z, v) \
-                if 0 < m <= TABLE_FEATURES else [None] * len(own)
-            prepared += [(at, zz, vv, table) for (at, _, _), zz, vv, table in zip(own, z, v, tables)]
+            if 0 < m <= TABLE_FEATURES:
+                z = np.array([[leaves[k][1][f] for f in sorted(leaves[k][0])] for k in own])
+                tables.update(zip(own, _attributions(_bits(np.arange(2 ** m), m), z,
+                                                     np.array([leaves[k][2] for k in own]))))
+        prepared = []
+        for bounds, cuts, own in found:
+            part = {f: (bounds.get(f, (-np.inf, np.inf)), sorted(cuts.get(f, ()))) for f in {*bounds, *cuts}}
+            features = sorted(part)
+            if not features:
+                continue
+            sizes = [len(part[f][1]) + 2 for f in features]
+            codes, weight = [], 1
+            for f, size in zip(features[::-1], sizes[::-1]):
+                (lo, hi), inner = part[f]
+                codes += [(conditions.setdefault((f, low, hi), len(conditions)), weight) for low in (lo, *inner)]
+                weight *= size
+            if own[0] in tables:
+                table = _part_table(part, [(leaves[k][0], tables[k]) for k in own], features, sizes)
+                prepared.append((codes, features, None, table))
+            else:  # a single leaf: two states a feature
+                _, z, v = leaves[own[0]]
+                prepared.append((codes, features, ([z[f] for f in features[::-1]], v), None))
         base = sum(v * float(np.prod(list(z.values()))) for _, z, v in leaves)
         trees.append((list(conditions), prepared, float(base)))
     return trees
@@ -113,24 +173,27 @@ def _tree_paths(nodes: pd.DataFrame, fidx: dict, scale: float):
 def shap_matrix(x: np.ndarray, trees, n_features: int) -> np.ndarray:
     """(rows, features) attributions for the prepared ``trees``.
 
-    A row's indicators on a leaf's path are the bits of a code.  Equal codes have equal
-    attributions, so they are computed once per code - ahead, as a table, for short
-    paths - and looked up."""
+    A row's states in a part make a code.  Equal codes have equal attributions, so they are
+    computed once per code - ahead, as a table, for short paths - and looked up."""
     columns = np.ascontiguousarray(x.T)
     phi = np.zeros((n_features, len(x)))
-    for conditions, leaves, _ in trees:
-        met = [((columns[f] > lo) & (columns[f] <= hi)).astype(np.int64) for f, lo, hi in conditions]
-        for at, z, v, table in leaves:
-            if not at:
-                continue
-            code = met[at[0]]
-            for j, c in enumerate(at[1:], 1):
-                code = code | (met[c] << j)
+    looked = np.empty(len(x))
+    for conditions, parts, _ in trees:
+        met = [(columns[f] > lo) & (columns[f] <= hi) for f, lo, hi in conditions]
+        for codes, features, leaf, table in parts:
+            # narrow codes are quicker to add up
+            kind = np.int16 if table is not None and table.shape[1] <= 2 ** 15 else np.intp
+            code = np.zeros(len(x), dtype=kind)
+            for c, weight in codes:
+                code += met[c] * kind(weight)
             if table is None:
+                z, v = leaf
                 codes, code = np.unique(code, return_inverse=True)
-                table = _attributions(_bits(codes, len(at)), z[None], np.array([v]))[0]
-            for j, c in enumerate(at):
-                phi[conditions[c][0]] += table[j].take(code)
+                table = _attributions(_bits(codes, len(z)), np.array([z]), np.array([v]))[0][::-1]
+            code = code.astype(np.intp)
+            for own, f in zip(table, features):
+                own.take(code, out=looked, mode="clip")
+                phi[f] += looked
     return phi.T
 
 
@@ -153,7 +216,7 @@ class ForestExplainer:
         def fn(batches):
             for pdf in batches:
                 x = pdf[feats].to_numpy(dtype=float)
-                # few rows at a time: their columns and codes stay in the cache
+                # many rows at a time: numpy's cost per call is small beside them
                 phi = np.concatenate([np.zeros((0, k))] + [
                     shap_matrix(x[at:at + ROWS_AT_ONCE], held.value, k)
                     for at in range(0, len(x), ROWS_AT_ONCE)])
