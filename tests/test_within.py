@@ -36,3 +36,17 @@ def test_linked_pieces_are_not_compared(monkeypatch):
     out = DN._tile_links(0.8 ** 2, rows)(pdf, x)
     assert len(out) == n - 1 and set(out["rep"]) == {0} and set(out["kind"]) == {0}
     assert len(seen) <= 2 * n // rows
+
+
+def test_tiles_of_one_cell_are_many_tasks(spark, monkeypatch):
+    """All points in one cell: its tiles do not end in one task, however the sizes are joined."""
+    from pyspark.sql import functions as F
+    from sessionary.operators import cells
+    pts = spark.range(400).select("id", F.array(F.rand(1), F.rand(2)).alias("v"))
+    for most in (cells.MOST_CELLS, 0):
+        monkeypatch.setattr(cells, "MOST_CELLS", most)
+        dealt = cells.dealt_grid(pts, 5.0, 40).withColumn("task", F.spark_partition_id())
+        assert dealt.groupBy("cell", "first", "second").agg(F.count_distinct("task").alias("n")).where(
+            "n > 1").count() == 0
+        plan = dealt._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(cell#" in plan and ", first#" in plan
