@@ -28,6 +28,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +52,10 @@ def _by_arrow(fn, schema: str):
     wanted = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in schema.split(", ")])
 
     def run(table):
-        x = table["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
+        v = table["v"].combine_chunks()
+        if v.null_count or pc.count_distinct(pc.list_value_length(v)).as_py() > 1:
+            raise ValueError("a vector is missing or has another length than the others")
+        x = v.flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
         return pa.Table.from_pandas(fn(table.drop_columns(["v", "cell"]).to_pandas(), x), wanted,
                                     preserve_index=False)
     return run

@@ -50,3 +50,15 @@ def test_tiles_of_one_cell_are_many_tasks(spark, monkeypatch):
             "n > 1").count() == 0
         plan = dealt._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(cell#" in plan and ", first#" in plan
+
+
+def test_vectors_of_other_lengths_are_refused():
+    """Rows are not dealt out anew over the values of missing or longer vectors."""
+    import pyarrow as pa
+    rows = {"id": [1, 2], "cell": [[0], [0]], "first": [0, 0], "second": [0, 0], "late": [False, False]}
+    run = DN._by_arrow(DN._tile_counts(1.0, 10), DN.COUNTS)
+    kind = pa.list_(pa.float64())
+    assert run(pa.table({**rows, "v": pa.array([[1.0, 2.0], [1.0, 2.5]], kind)})).to_pydict()["c"] == [2, 2]
+    for bad in ([[1.0, 2.0], None], [[1.0, 2.0, 3.0], [1.0]]):
+        with pytest.raises(ValueError):
+            run(pa.table({**rows, "v": pa.array(bad, kind)}))
